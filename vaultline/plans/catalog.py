@@ -192,3 +192,215 @@ def _alert_top10(spark, d):
 @q("kpi_daily_fraud")
 def _kpi_daily(spark, d):
     return kpi.kpi_daily_fraud(fact_fraud(spark, d))
+
+
+# ---------------------------------------------------------------------------
+# change handling: SCD2 on customers, SCD1 on accounts
+# ---------------------------------------------------------------------------
+from vaultline.config import AS_OF_2, AS_OF_3  # noqa: E402
+from vaultline.operators import dims, scd  # noqa: E402
+
+CUST_KEY, ACC_KEY = "customer_id", "account_id"
+
+
+def scd2_initial(spark, d):
+    return scd.scd2_apply(None, fx.customers(spark, d), CUST_KEY, AS_OF_1)
+
+
+def scd2_batch2(spark, d, insert_new_keys: bool = True):
+    return scd.scd2_apply(
+        scd2_initial(spark, d), fx.customers_b2(spark, d), CUST_KEY, AS_OF_2, insert_new_keys=insert_new_keys
+    )
+
+
+def silver_accounts(spark, d):
+    b1 = scd.scd1_upsert(None, fx.accounts_b1(spark, d), ACC_KEY, order_by=["load_seq"])
+    return scd.scd1_upsert(b1, fx.accounts_b2(spark, d), ACC_KEY, order_by=["load_seq"])
+
+
+def customers_current(spark, d):
+    return scd.current_only(scd2_batch2(spark, d))
+
+
+@q("scd2_initial")
+def _scd2_initial(spark, d):
+    return scd2_initial(spark, d)
+
+
+@q("scd2_expire")
+def _scd2_expire(spark, d):
+    return scd.scd2_expire(scd2_initial(spark, d), fx.customers_b2(spark, d), CUST_KEY, AS_OF_2)
+
+
+@q("scd2_changed_keys")
+def _scd2_changed_keys(spark, d):
+    expired = scd.expired_only(scd.scd2_expire(scd2_initial(spark, d), fx.customers_b2(spark, d), CUST_KEY, AS_OF_2))
+    return scd.changed_keys(fx.customers_b2(spark, d), expired, CUST_KEY)
+
+
+@q("scd2_apply")
+def _scd2_apply(spark, d):
+    return scd2_batch2(spark, d)
+
+
+@q("scd2_apply_existing_only")
+def _scd2_apply_existing_only(spark, d):
+    return scd2_batch2(spark, d, insert_new_keys=False)
+
+
+@q("scd2_reapply_noop")
+def _scd2_reapply_noop(spark, d):
+    return scd.scd2_apply(scd2_batch2(spark, d), fx.customers_b2(spark, d), CUST_KEY, AS_OF_3)
+
+
+@q("scd2_current")
+def _scd2_current(spark, d):
+    return scd.current_only(scd2_batch2(spark, d))
+
+
+@q("scd2_expired")
+def _scd2_expired(spark, d):
+    return scd.expired_only(scd2_batch2(spark, d))
+
+
+@q("scd2_totals")
+def _scd2_totals(spark, d):
+    return scd.scd2_totals(scd2_batch2(spark, d))
+
+
+@q("scd2_invariants")
+def _scd2_invariants(spark, d):
+    return scd.scd2_invariants(scd2_batch2(spark, d), CUST_KEY)
+
+
+@q("accounts_dedupe")
+def _accounts_dedupe(spark, d):
+    return scd.dedupe(fx.accounts_b2(spark, d), [ACC_KEY], ["load_seq"])
+
+
+@q("scd1_upsert")
+def _scd1_upsert(spark, d):
+    return silver_accounts(spark, d)
+
+
+# ---------------------------------------------------------------------------
+# credit risk (current customers after the second customer load)
+# ---------------------------------------------------------------------------
+
+def credit_joined(spark, d, nulls: bool = True):
+    src = fx.credit_nulls(spark, d) if nulls else fx.credit(spark, d)
+    return scores.credit_join(src, customers_current(spark, d))
+
+
+@q("credit_join")
+def _credit_join(spark, d):
+    return credit_joined(spark, d, nulls=False)
+
+
+@q("credit_defaults")
+def _credit_defaults(spark, d):
+    return scores.recent_defaults(credit_joined(spark, d)).select("customer_id", "last_default_date", "recent_defaults")
+
+
+@q("credit_loans_norm")
+def _credit_loans_norm(spark, d):
+    return scores.open_loans_norm(credit_joined(spark, d), SOURCE.loans_cap).select(
+        "customer_id", "open_loans", "open_loans_norm"
+    )
+
+
+@q("credit_score")
+def _credit_score(spark, d):
+    df = (
+        credit_joined(spark, d)
+        .transform(scores.recent_defaults)
+        .transform(scores.open_loans_norm, SOURCE.loans_cap)
+        .transform(scores.credit_risk_score, SOURCE)
+    )
+    return df.select("customer_id", "credit_score", "open_loans_norm", "recent_defaults", "credit_risk_score")
+
+
+@q("credit_class")
+def _credit_class(spark, d):
+    fact = scores.build_fact_credit(fx.credit_nulls(spark, d), customers_current(spark, d), SOURCE)
+    return fact.select("customer_id", "credit_risk_score", "credit_risk_category")
+
+
+@q("fact_credit_risk")
+def _fact_credit_risk(spark, d):
+    return scores.build_fact_credit(fx.credit(spark, d), customers_current(spark, d), SOURCE)
+
+
+@q("credit_distribution")
+def _credit_distribution(spark, d):
+    fact = scores.build_fact_credit(fx.credit_nulls(spark, d), customers_current(spark, d), SOURCE)
+    return kpi.class_distribution(fact, "credit_risk_category")
+
+
+# ---------------------------------------------------------------------------
+# gold: churn, dimensions
+# ---------------------------------------------------------------------------
+
+@q("churn_risk")
+def _churn_risk(spark, d):
+    return kpi.churn_risk(silver_accounts(spark, d))
+
+
+@q("churn_distribution")
+def _churn_distribution(spark, d):
+    return kpi.class_distribution(kpi.churn_risk(silver_accounts(spark, d)), "churn_risk")
+
+
+@q("dim_customer")
+def _dim_customer(spark, d):
+    return scd2_batch2(spark, d)
+
+
+@q("dim_accounts")
+def _dim_accounts(spark, d):
+    return silver_accounts(spark, d)
+
+
+@q("dim_date")
+def _dim_date(spark, d):
+    """Calendar of the full years the transactions span."""
+    return dims.build_dim_date_for(silver_raw(spark, d), "txn_date")
+
+
+@q("distinct_locations")
+def _distinct_locations(spark, d):
+    return silver_raw(spark, d).select("location").distinct()
+
+
+@q("location_country_map")
+def _location_country_map(spark, d):
+    """Fixed literal map (source cities): the fixture's locations are all Unknown."""
+    return dims.location_rows(silver_raw(spark, d)).select("location", "country", "region")
+
+
+@q("location_country_join")
+def _location_country_join(spark, d):
+    return dims.location_rows(silver_raw(spark, d), fx.location_map(spark, d)).select("location", "country", "region")
+
+
+@q("dim_location")
+def _dim_location(spark, d):
+    return dims.build_dim_location(silver_raw(spark, d), fx.location_map(spark, d))
+
+
+@q("dim_location_extend")
+def _dim_location_extend(spark, d):
+    """A first load saw only the mapped locations; the unmapped ones
+    arrive later and get the next keys while the first keys stay.
+
+    The distinct (location, txn_country) pairs are checkpointed once, so
+    silver is computed once for both loads."""
+    locs = silver_raw(spark, d).select("location", "txn_country").distinct().checkpoint(eager=True)
+    first = dims.build_dim_location(locs.filter(F.col("txn_country") != "Unknown"), fx.location_map(spark, d))
+    return dims.extend_dim_location(first, locs, fx.location_map(spark, d))
+
+
+@q("assign_key_two_phase")
+def _assign_key_two_phase(spark, d):
+    """Dense surrogate key for customers in name order, without one task."""
+    return dims.assign_key(fx.customers(spark, d).select("customer_id", "name"), "name", "customer_key")

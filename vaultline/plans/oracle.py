@@ -185,8 +185,13 @@ def fraud_ctes(cfg: RiskConfig) -> list[tuple[str, str]]:
 _TXN_FX = ("fx_location_map", "fx_accounts", "fx_customers")
 
 
-def raw_chain(body: str, cfg: RiskConfig = FIXTURE) -> str:
-    return with_fx(body, "fx_transactions_raw", *_TXN_FX, extra=txn_ctes("fx_transactions_raw", cfg, "timestamp", True))
+def raw_chain(body: str, cfg: RiskConfig = FIXTURE, more: list[tuple[str, str]] | None = None) -> str:
+    return with_fx(
+        body,
+        "fx_transactions_raw",
+        *_TXN_FX,
+        extra=txn_ctes("fx_transactions_raw", cfg, "timestamp", True) + (more or []),
+    )
 
 
 def clean_chain(body: str, cfg: RiskConfig = FIXTURE) -> str:
@@ -259,3 +264,232 @@ ORACLE["kpi_daily_fraud"] = clean_chain(
     f"{rnd('sum(amount)', 2)} AS total_amount, {rnd('avg(fraud_score)', 4)} AS avg_fraud_score "
     "FROM t_fact GROUP BY txn_date, fraud_risk_category"
 )
+
+
+# ---------------------------------------------------------------------------
+# SCD2 customers / SCD1 accounts
+# ---------------------------------------------------------------------------
+_CUST = "customer_id, name, country, customer_type, risk_category"
+_SCD = "effective_start, effective_end, is_current"
+
+
+def dedupe_sql(src: str, key: str, order: str) -> str:
+    return (
+        f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn "
+        f"FROM {src}) WHERE _rn = 1"
+    )
+
+
+def scd2_step_sql(prev: str, stg: str, as_of: str, insert_new: bool = True) -> str:
+    """Apply staging ``stg`` to SCD2 table ``prev`` as one UNION ALL of the
+    five kinds of output row."""
+    a = ts(as_of)
+    parts = [
+        f"SELECT * FROM {prev} WHERE NOT is_current",
+        f"SELECT p.* FROM {prev} p WHERE p.is_current AND NOT EXISTS (SELECT 1 FROM {stg} s "
+        f"WHERE s.customer_id = p.customer_id AND s.customer_type IS DISTINCT FROM p.customer_type)",
+        f"SELECT p.customer_id, p.name, p.country, p.customer_type, p.risk_category, p.effective_start, "
+        f"{a} AS effective_end, FALSE AS is_current FROM {prev} p JOIN {stg} s ON s.customer_id = p.customer_id "
+        f"WHERE p.is_current AND s.customer_type IS DISTINCT FROM p.customer_type",
+        f"SELECT s.customer_id, s.name, s.country, s.customer_type, s.risk_category, {a} AS effective_start, "
+        f"CAST(NULL AS TIMESTAMP) AS effective_end, TRUE AS is_current FROM {stg} s JOIN {prev} p "
+        f"ON s.customer_id = p.customer_id WHERE p.is_current AND s.customer_type IS DISTINCT FROM p.customer_type",
+    ]
+    if insert_new:
+        parts.append(
+            f"SELECT s.customer_id, s.name, s.country, s.customer_type, s.risk_category, {a} AS effective_start, "
+            f"CAST(NULL AS TIMESTAMP) AS effective_end, TRUE AS is_current FROM {stg} s WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {prev} p WHERE p.is_current AND p.customer_id = s.customer_id)"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+_CUST_ORDER = "name DESC NULLS LAST, country DESC NULLS LAST, customer_type DESC NULLS LAST, risk_category DESC NULLS LAST"
+SCD_BASE = [
+    ("s_init", f"SELECT {_CUST}, {ts(AS_OF_1)} AS effective_start, CAST(NULL AS TIMESTAMP) AS effective_end, "
+               f"TRUE AS is_current FROM ({dedupe_sql('fx_customers', 'customer_id', _CUST_ORDER)})"),
+    ("s_stg2", dedupe_sql("fx_customers_b2", "customer_id", _CUST_ORDER)),
+    ("s_b2", scd2_step_sql("s_init", "s_stg2", AS_OF_2)),
+]
+
+
+def scd_chain(body: str, *extra_fx: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return with_fx(body, "fx_customers", "fx_customers_b2", *extra_fx, extra=SCD_BASE + (extra or []))
+
+
+ORACLE["scd2_initial"] = scd_chain("SELECT * FROM s_init")
+ORACLE["scd2_apply"] = scd_chain("SELECT * FROM s_b2")
+ORACLE["scd2_apply_existing_only"] = scd_chain(
+    "SELECT * FROM s_b2x", extra=[("s_b2x", scd2_step_sql("s_init", "s_stg2", AS_OF_2, insert_new=False))]
+)
+ORACLE["scd2_reapply_noop"] = scd_chain("SELECT * FROM s_b2")
+ORACLE["scd2_current"] = scd_chain("SELECT * FROM s_b2 WHERE is_current")
+ORACLE["scd2_expired"] = scd_chain("SELECT * FROM s_b2 WHERE NOT is_current")
+ORACLE["scd2_totals"] = scd_chain(
+    "SELECT count(*) AS total, count(*) FILTER (WHERE is_current) AS current, "
+    "count(*) FILTER (WHERE NOT is_current) AS expired FROM s_b2"
+)
+ORACLE["scd2_invariants"] = scd_chain(
+    "SELECT count(*) AS keys, count(*) FILTER (WHERE nc = 1) AS keys_one_current, "
+    "CAST(coalesce(sum(ov), 0) AS BIGINT) AS overlapping, CAST(coalesce(sum(oe), 0) AS BIGINT) AS expired_open "
+    "FROM (SELECT customer_id, count(*) FILTER (WHERE is_current) AS nc, sum(ov) AS ov, sum(oe) AS oe FROM ("
+    "SELECT customer_id, is_current, CASE WHEN lag(effective_start) OVER w IS NOT NULL AND "
+    "(lag(effective_end) OVER w IS NULL OR lag(effective_end) OVER w > effective_start) THEN 1 ELSE 0 END AS ov, "
+    "CASE WHEN NOT is_current AND effective_end IS NULL THEN 1 ELSE 0 END AS oe FROM s_b2 "
+    "WINDOW w AS (PARTITION BY customer_id ORDER BY effective_start, effective_end)) GROUP BY customer_id)"
+)
+_EXPIRE = (
+    "s_exp",
+    "SELECT * FROM s_init WHERE NOT is_current UNION ALL "
+    "SELECT p.customer_id, p.name, p.country, p.customer_type, p.risk_category, p.effective_start, "
+    f"CASE WHEN s.customer_id IS NOT NULL AND s.customer_type IS DISTINCT FROM p.customer_type THEN {ts(AS_OF_2)} "
+    "ELSE p.effective_end END AS effective_end, "
+    "CASE WHEN s.customer_id IS NOT NULL AND s.customer_type IS DISTINCT FROM p.customer_type THEN FALSE "
+    "ELSE p.is_current END AS is_current FROM s_init p LEFT JOIN s_stg2 s ON p.customer_id = s.customer_id "
+    "WHERE p.is_current",
+)
+ORACLE["scd2_expire"] = scd_chain("SELECT * FROM s_exp", extra=[_EXPIRE])
+ORACLE["scd2_changed_keys"] = scd_chain(
+    "SELECT * FROM fx_customers_b2 b WHERE b.customer_id IN (SELECT customer_id FROM s_exp WHERE NOT is_current)",
+    extra=[_EXPIRE],
+)
+
+_ACC_ORDER = "load_seq DESC NULLS LAST, customer_id DESC NULLS LAST, status DESC NULLS LAST"
+ACC_CTES = [
+    ("a_b1", dedupe_sql("fx_accounts_b1", "account_id", _ACC_ORDER)),
+    ("a_b2", dedupe_sql("fx_accounts_b2", "account_id", _ACC_ORDER)),
+    (
+        "a_silver",
+        "SELECT * FROM a_b1 WHERE NOT EXISTS (SELECT 1 FROM a_b2 WHERE a_b2.account_id = a_b1.account_id) "
+        "UNION ALL SELECT * FROM a_b2",
+    ),
+    (
+        "a_churn",
+        "SELECT *, CASE WHEN status = 'Closed' THEN 'Churned' WHEN status = 'Dormant' THEN 'High' "
+        "ELSE 'Low' END AS churn_risk FROM a_silver",
+    ),
+]
+
+
+def acc_chain(body: str) -> str:
+    return with_fx(body, "fx_accounts_b1", "fx_accounts_b2", extra=ACC_CTES)
+
+
+ORACLE["accounts_dedupe"] = acc_chain("SELECT * FROM a_b2")
+ORACLE["scd1_upsert"] = acc_chain("SELECT * FROM a_silver")
+ORACLE["dim_accounts"] = acc_chain("SELECT * FROM a_silver")
+ORACLE["churn_risk"] = acc_chain("SELECT * FROM a_churn")
+ORACLE["churn_distribution"] = acc_chain('SELECT churn_risk, count(*) AS "count" FROM a_churn GROUP BY churn_risk')
+ORACLE["dim_customer"] = scd_chain("SELECT * FROM s_b2")
+
+
+# ---------------------------------------------------------------------------
+# credit risk
+# ---------------------------------------------------------------------------
+
+def credit_ctes(src: str, cfg: RiskConfig = SOURCE) -> list[tuple[str, str]]:
+    ws, wl, wd = cfg.credit_weights
+    cap = dbl(cfg.loans_cap)
+    score = (
+        f"(CAST(1.0 AS DOUBLE) - credit_score / {dbl(cfg.max_credit_score)}) * {dbl(ws)} "
+        f"+ open_loans_norm * {dbl(wl)} + recent_defaults * {dbl(wd)}"
+    )
+    return [
+        (
+            "c_join",
+            f"SELECT cr.*, c.name, c.country, c.customer_type, c.risk_category FROM {src} cr "
+            "JOIN (SELECT * FROM s_b2 WHERE is_current) c ON cr.customer_id = c.customer_id",
+        ),
+        (
+            "c_feat",
+            "SELECT *, CASE WHEN last_default_date IS NOT NULL THEN 1 ELSE 0 END AS recent_defaults, "
+            f"CASE WHEN open_loans / {cap} > CAST(1.0 AS DOUBLE) THEN CAST(1.0 AS DOUBLE) "
+            f"ELSE {rnd(f'open_loans / {cap}', 2)} END AS open_loans_norm FROM c_join",
+        ),
+        ("c_score", f"SELECT *, {rnd(score, 2)} AS credit_risk_score FROM c_feat"),
+        (
+            "c_fact",
+            "SELECT customer_id, name, country, customer_type, risk_category, credit_score, open_loans, "
+            "open_loans_norm, last_default_date, recent_defaults, credit_risk_score, "
+            "CASE WHEN credit_risk_score IS NULL THEN 'Unknown' "
+            f"WHEN credit_risk_score < {dbl(cfg.credit_low)} THEN 'Low' "
+            f"WHEN credit_risk_score < {dbl(cfg.credit_medium)} THEN 'Medium' ELSE 'High' END "
+            "AS credit_risk_category FROM c_score",
+        ),
+    ]
+
+
+def credit_chain(body: str, src: str = "fx_credit_nulls") -> str:
+    return scd_chain(body, src, extra=credit_ctes(src))
+
+
+ORACLE["credit_join"] = credit_chain("SELECT * FROM c_join", "fx_credit")
+ORACLE["credit_defaults"] = credit_chain("SELECT customer_id, last_default_date, recent_defaults FROM c_feat")
+ORACLE["credit_loans_norm"] = credit_chain("SELECT customer_id, open_loans, open_loans_norm FROM c_feat")
+ORACLE["credit_score"] = credit_chain(
+    "SELECT customer_id, credit_score, open_loans_norm, recent_defaults, credit_risk_score FROM c_score"
+)
+ORACLE["credit_class"] = credit_chain("SELECT customer_id, credit_risk_score, credit_risk_category FROM c_fact")
+ORACLE["fact_credit_risk"] = credit_chain("SELECT * FROM c_fact", "fx_credit")
+ORACLE["credit_distribution"] = credit_chain(
+    'SELECT credit_risk_category, count(*) AS "count" FROM c_fact GROUP BY credit_risk_category'
+)
+
+
+# ---------------------------------------------------------------------------
+# dimensions over silver transactions (dirty input, fixture thresholds)
+# ---------------------------------------------------------------------------
+_REGION = (
+    "CASE WHEN country = 'India' THEN 'Asia' WHEN country = 'UK' THEN 'Europe' "
+    "WHEN country IN ('USA', 'Canada') THEN 'Americas' ELSE 'Other' END"
+)
+_FIXED_COUNTRY = (
+    "CASE location WHEN 'Mumbai' THEN 'India' WHEN 'Delhi' THEN 'India' WHEN 'London' THEN 'UK' "
+    "WHEN 'New York' THEN 'USA' WHEN 'Toronto' THEN 'Canada' ELSE 'Unknown' END"
+)
+_LOC_ROWS = (
+    "SELECT l.location, coalesce(m.country, 'Unknown') AS country FROM "
+    "(SELECT DISTINCT location FROM {src} WHERE location IS NOT NULL) l "
+    "LEFT JOIN fx_location_map m ON l.location = m.location"
+)
+
+ORACLE["distinct_locations"] = raw_chain("SELECT DISTINCT location FROM t_silver")
+ORACLE["location_country_map"] = raw_chain(
+    f"SELECT location, country, {_REGION} AS region FROM (SELECT location, {_FIXED_COUNTRY} AS country "
+    "FROM (SELECT DISTINCT location FROM t_silver WHERE location IS NOT NULL))"
+)
+ORACLE["location_country_join"] = raw_chain(
+    f"SELECT location, country, {_REGION} AS region FROM ({_LOC_ROWS.format(src='t_silver')})"
+)
+ORACLE["dim_location"] = raw_chain(
+    "SELECT CAST(row_number() OVER (ORDER BY location) AS INTEGER) AS location_key, location, country, "
+    f"{_REGION} AS region FROM ({_LOC_ROWS.format(src='t_silver')})"
+)
+ORACLE["dim_location_extend"] = raw_chain(
+    "SELECT location_key, location, country, region FROM first_load UNION ALL "
+    "SELECT CAST((SELECT max(location_key) FROM first_load) + row_number() OVER (ORDER BY location) AS INTEGER), "
+    f"location, country, {_REGION} FROM ({_LOC_ROWS.format(src='t_silver')}) n "
+    "WHERE n.location NOT IN (SELECT location FROM first_load)",
+    more=[
+        ("early", "SELECT * FROM t_silver WHERE txn_country <> 'Unknown'"),
+        (
+            "first_load",
+            "SELECT CAST(row_number() OVER (ORDER BY location) AS INTEGER) AS location_key, location, country, "
+            f"{_REGION} AS region FROM ({_LOC_ROWS.format(src='early')})",
+        ),
+    ],
+)
+ORACLE["dim_date"] = raw_chain(
+    "SELECT full_date, CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, "
+    "CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month, "
+    "CAST(day(full_date) AS INTEGER) AS day, CAST(quarter(full_date) AS INTEGER) AS quarter, "
+    "dayname(full_date) AS day_name, monthname(full_date) AS month_name, "
+    "CASE WHEN dayofweek(full_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend FROM ("
+    "SELECT CAST(g AS DATE) AS full_date FROM (SELECT make_date(CAST(year(min(txn_date)) AS INTEGER), 1, 1) AS lo, "
+    "make_date(CAST(year(max(txn_date)) AS INTEGER), 12, 31) AS hi FROM t_silver) b, "
+    "generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS gs(g))"
+)
+ORACLE["assign_key_two_phase"] = with_fx(
+    "SELECT customer_id, name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS customer_key FROM fx_customers",
+    "fx_customers",
+)
