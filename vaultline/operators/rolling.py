@@ -8,7 +8,7 @@ bucket are also copied, as context only, into the next bucket.  With
 ``B >= seconds`` the frame ``[t - seconds, t]`` of an owned row lies inside
 its bucket plus that context, so the counts equal the plain form while a
 hot key is spread over as many tasks as it has buckets.  Only the three
-columns the window needs travel in the context copies.
+columns the window needs are non-NULL in the context copies.
 """
 
 from __future__ import annotations
@@ -49,6 +49,11 @@ def rolling_count(
 
     By default rows with a NULL key or time get a NULL count; with
     ``null_peers=True`` they count each other as the source pipeline does.
+
+    One pass over ``df``: each row is exploded into its own copy and, when
+    it lies in the tail of its bucket, a context copy for the next bucket
+    whose other columns are NULL (so context copies are small in the
+    shuffle).  The input is scanned once.
     """
     bsec = int(bucket_seconds or max(seconds, 3600))
     if bsec < seconds:
@@ -64,18 +69,27 @@ def rolling_count(
         if not isinstance(f.dataType, (StructType, ArrayType, MapType)) and f.name not in (_B, _OWN, _NUL)
     ]
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in atomic]), F.lit(_NULL_SPREAD))
-    if null_peers:
-        own_bucket = bucket  # NULL time -> NULL bucket: those rows are peers
-    else:
-        own_bucket = F.when(invalid, spread).otherwise(bucket)
-    own = df.withColumns({_B: own_bucket, _OWN: F.lit(True), _NUL: invalid})
+    own_bucket = bucket if null_peers else F.when(invalid, spread).otherwise(bucket)
     ctx_ok = u.isNotNull() if null_peers else ~invalid
-    ctx = df.filter(ctx_ok & (u >= (bucket + F.lit(1)) * F.lit(bsec) - F.lit(seconds))).select(
-        F.col(key), u, F.col(value), (bucket + F.lit(1)).alias(_B), F.lit(False).alias(_OWN), F.lit(False).alias(_NUL)
+    in_tail = ctx_ok & (u >= (bucket + F.lit(1)) * F.lit(bsec) - F.lit(seconds))
+    copies = F.when(in_tail, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    both = df.withColumn(_OWN, F.explode(copies))
+    own = F.col(_OWN)
+    keep = {key, order_unix, value}
+    blanked = {
+        f.name: F.when(own, F.col(f.name)).otherwise(F.lit(None).cast(f.dataType))
+        for f in df.schema.fields
+        if f.name not in keep
+    }
+    both = both.withColumns(
+        {
+            **blanked,
+            _B: F.when(own, own_bucket).otherwise(bucket + F.lit(1)),
+            _NUL: F.when(own, invalid).otherwise(F.lit(False)),
+        }
     )
-    both = own.unionByName(ctx, allowMissingColumns=True)
     w = Window.partitionBy(key, _B, _NUL).orderBy(order_unix).rangeBetween(-seconds, 0)
     cnt = F.count(value).over(w)
     if not null_peers:
         cnt = F.when(F.col(_NUL), F.lit(None)).otherwise(cnt)
-    return both.withColumn(out, cnt).filter(F.col(_OWN)).drop(_B, _OWN, _NUL)
+    return both.withColumn(out, cnt).filter(own).drop(_B, _OWN, _NUL)

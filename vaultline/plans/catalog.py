@@ -404,3 +404,85 @@ def _dim_location_extend(spark, d):
 def _assign_key_two_phase(spark, d):
     """Dense surrogate key for customers in name order, without one task."""
     return dims.assign_key(fx.customers(spark, d).select("customer_id", "name"), "name", "customer_key")
+
+
+# ---------------------------------------------------------------------------
+# ingestion, storage layout, incremental loads, quality counts
+# ---------------------------------------------------------------------------
+from vaultline.operators import quality  # noqa: E402
+from vaultline.plans import jobs  # noqa: E402
+from vaultline.session import scratch_path  # noqa: E402
+from vaultline.sources import tables  # noqa: E402
+
+TXN_SPLIT = "2024-01-16 00:00:00"
+
+
+@q("audit_columns")
+def _audit_columns(spark, d):
+    return add_audit(fx.customers(spark, d), "customers.csv", AS_OF_1)
+
+
+@q("bronze_customers")
+def _bronze_customers(spark, d):
+    """Customers written as a CSV file, ingested with the declared schema."""
+    raw = scratch_path(spark, "raw-customers")
+    fx.customers(spark, d).write.option("header", True).csv(raw)
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.ingest(spark, lake, "customers", raw, AS_OF_1)
+    return tables.read_table(spark, lake.bronze("customers"))
+
+
+@q("bronze_transactions")
+def _bronze_transactions(spark, d):
+    """Dirty transactions written as JSON Lines, ingested with the declared
+    schema; ``metadata`` is shown as JSON text."""
+    raw = scratch_path(spark, "raw-transactions")
+    fx.transactions_raw(spark, d).write.json(raw)
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.ingest(spark, lake, "transactions", raw, AS_OF_1)
+    bronze = tables.read_table(spark, lake.bronze("transactions"))
+    return bronze.withColumn("metadata", F.to_json("metadata"))
+
+
+@q("fact_transactions")
+def _fact_transactions(spark, d):
+    """Silver copied to a gold path partitioned by day, read back."""
+    return tables.publish_copy(spark, silver_raw(spark, d), scratch_path(spark, "fact-transactions"), "txn_date")
+
+
+@q("cluster_silver")
+def _cluster_silver(spark, d):
+    """silver_customer laid out clustered by (customer_id, is_current)."""
+    path = tables.cluster_table(scd2_batch2(spark, d), ["customer_id", "is_current"], scratch_path(spark, "clustered"))
+    return spark.read.parquet(path)
+
+
+def _txn_batches(spark, d):
+    bronze = bronze_txn_raw(spark, d)
+    early = F.coalesce(F.try_to_timestamp(F.col("timestamp")) < F.lit(TXN_SPLIT).cast("timestamp"), F.lit(False))
+    return bronze.filter(early), bronze.filter(~early)
+
+
+@q("silver_txn_append")
+def _silver_txn_append(spark, d):
+    """Two time-ordered batches appended, the second one twice: equals the
+    one-shot silver table (window context crosses the batch cut)."""
+    path = scratch_path(spark, "silver-transactions")
+    b1, b2 = _txn_batches(spark, d)
+    acc, cust, loc = fx.accounts(spark, d), fx.customers(spark, d), fx.location_map(spark, d)
+    for batch in (b1, b2, b2):
+        jobs.append_silver_transactions(spark, batch, acc, cust, path, FIXTURE, loc)
+    return spark.read.parquet(path)
+
+
+@q("txn_quality_counts")
+def _txn_quality_counts(spark, d):
+    """Counts observed while writing silver in one job (no extra passes)."""
+    path = scratch_path(spark, "silver-observed")
+    m = jobs.append_silver_transactions(
+        spark, bronze_txn_raw(spark, d), fx.accounts(spark, d), fx.customers(spark, d), path, FIXTURE,
+        fx.location_map(spark, d),
+    )
+    cols = ["raw_rows", "kept_rows", "dropped_rows", "high_amount_rows", "rapid_rows", "geo_mismatch_rows",
+            "matched_rows", "unmatched_rows"]
+    return spark.createDataFrame([tuple(int(m[c]) for c in cols)], ", ".join(f"{c} long" for c in cols))

@@ -493,3 +493,35 @@ ORACLE["assign_key_two_phase"] = with_fx(
     "SELECT customer_id, name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS customer_key FROM fx_customers",
     "fx_customers",
 )
+
+
+# ---------------------------------------------------------------------------
+# ingestion, storage layout, incremental loads, quality counts
+# ---------------------------------------------------------------------------
+ORACLE["audit_columns"] = with_fx(
+    f"SELECT *, {ts(AS_OF_1)} AS created_timestamp, 'customers.csv' AS source_table FROM fx_customers",
+    "fx_customers",
+)
+ORACLE["bronze_customers"] = with_fx(
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, name, country, customer_type, risk_category, "
+    f"{ts(AS_OF_1)} AS created_timestamp, 'customers.csv' AS source_table FROM fx_customers",
+    "fx_customers",
+)
+ORACLE["bronze_transactions"] = with_fx(
+    "SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(account_id AS VARCHAR) AS account_id, amount, "
+    'currency, transaction_type, merchant, location, "timestamp", CAST(to_json(metadata) AS VARCHAR) AS metadata, '
+    f"{ts(AS_OF_1)} AS created_timestamp, 'transactions.json' AS source_table FROM fx_transactions_raw",
+    "fx_transactions_raw",
+)
+ORACLE["fact_transactions"] = ORACLE["silver_transactions"]
+ORACLE["cluster_silver"] = ORACLE["scd2_apply"]
+ORACLE["silver_txn_append"] = ORACLE["silver_transactions"]
+ORACLE["txn_quality_counts"] = raw_chain(
+    "SELECT (SELECT count(*) FROM fx_transactions_raw) AS raw_rows, count(*) AS kept_rows, "
+    "(SELECT count(*) FROM fx_transactions_raw) - count(*) AS dropped_rows, "
+    "count(*) FILTER (WHERE high_amount_flag = 1) AS high_amount_rows, "
+    "count(*) FILTER (WHERE rapid_txn_flag = 1) AS rapid_rows, "
+    "count(*) FILTER (WHERE geo_mismatch_flag = 1) AS geo_mismatch_rows, "
+    "count(*) FILTER (WHERE customer_id IS NOT NULL) AS matched_rows, "
+    "count(*) FILTER (WHERE customer_id IS NULL) AS unmatched_rows FROM t_silver"
+)
