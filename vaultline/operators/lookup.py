@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 from vaultline.functions.exprs import lookup_expr
 
 
+_BOUNDS: dict[tuple[int, int, int], bool] = {}
+
+
 def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    ``max_rows + 1`` of them).  The answer is kept per session and plan,
+    which is sound for plans over immutable inputs."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    hit = _BOUNDS.get(key)
+    if hit is None:
+        hit = df.limit(max_rows + 1).count() <= max_rows
+        _BOUNDS[key] = hit
+    return hit
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -6,8 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
+def read_parquet(spark: SparkSession, path: str, reuse: bool = True) -> DataFrame:
+    """Parquet scan.  ``reuse`` keeps one DataFrame per (session, path) so
+    repeated reads of an immutable input skip the file listing; pass
+    ``reuse=False`` for paths whose content can change."""
+    if not reuse:
+        return spark.read.parquet(path)
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, infer: bool = False) -> DataFrame:
