@@ -191,15 +191,18 @@ def build_silver_transactions(
     return enrich_transactions(rapid_flag(prepared, cfg), accounts, customers_current, location_map)
 
 
-def rapid_flag_with_context(prepared: DataFrame, context: DataFrame | None, cfg: RiskConfig) -> DataFrame:
+def rapid_flag_with_context(
+    prepared: DataFrame, context: DataFrame | None, cfg: RiskConfig, keep_context: bool = False
+) -> DataFrame:
     """Rapid flag of ``prepared`` rows counting earlier-loaded rows too.
 
     ``context`` holds (transaction_id, account_id, txn_timestamp) of rows
-    already in silver near the batch; they take part in the window and are
-    dropped after it, so a batch boundary does not reset the counts.
+    already in silver near the batch; they take part in the window (marked
+    ``_ctx``) and are dropped after it unless ``keep_context``.
     """
     if context is None:
         return rapid_flag(prepared, cfg)
-    ctx = context.select("transaction_id", "account_id", "txn_timestamp").withColumn("_ctx", F.lit(True))
+    ctx = context.withColumn("_ctx", F.lit(True))
     both = prepared.withColumn("_ctx", F.lit(False)).unionByName(ctx, allowMissingColumns=True)
-    return rapid_flag(both, cfg).filter(~F.col("_ctx")).drop("_ctx")
+    flagged = rapid_flag(both, cfg)
+    return flagged if keep_context else flagged.filter(~F.col("_ctx")).drop("_ctx")

@@ -83,29 +83,17 @@ def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
     return tables.write_snapshot(out, base, mode="evolve", merge_schema=True)
 
 
-def silver_txn_context(spark: SparkSession, path: str, prepared: DataFrame, window_s: int) -> DataFrame | None:
-    """Rows already in silver that the batch's windows can reach.
+def _ts_lit(value: dt.datetime):
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
-    Bounds come from one two-value aggregate of the batch; the read is
-    pruned to the days between ``lo - window`` and ``hi``.
-    """
-    if not tables._exists(spark, path):
-        return None
-    lo, hi = prepared.agg(F.min("txn_timestamp"), F.max("txn_timestamp")).first()
-    if lo is None:
-        return None
-    start = lo - dt.timedelta(seconds=window_s)
-    existing = spark.read.parquet(path)
-    lo_ts = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
-    hi_ts = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
-    near = existing.filter(
+
+def _near(existing: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """Existing silver rows with time in [start, end], read with day pruning."""
+    return existing.filter(
         (F.col("txn_date") >= F.lit(start.date().isoformat()).cast("date"))
-        & (F.col("txn_date") <= F.lit(hi.date().isoformat()).cast("date"))
-        & (F.col("txn_timestamp") >= lo_ts)
-        & (F.col("txn_timestamp") <= hi_ts)
-    )
-    return near.select("transaction_id", "account_id", "txn_timestamp").join(
-        prepared.select("transaction_id"), "transaction_id", "left_anti"
+        & (F.col("txn_date") <= F.lit(end.date().isoformat()).cast("date"))
+        & (F.col("txn_timestamp") >= _ts_lit(start))
+        & (F.col("txn_timestamp") <= _ts_lit(end))
     )
 
 
@@ -121,20 +109,61 @@ def append_silver_transactions(
 ) -> dict:
     """Add one bronze batch to silver_transactions (partitioned by day).
 
-    Rolling counts see the rows already loaded within the window (so a
-    batch cut does not reset them); the touched days are re-emitted with
-    the batch winning on ``transaction_id``, so a re-run changes nothing.
-    Returns the quality counts observed during the write.
-    Open: rows already in silver after the batch start keep their flags
-    when a late batch lands before them.
+    Batches may arrive in any time order.  With batch times in [lo, hi]
+    and window W:
+    * the batch's rows are counted together with the silver rows of the
+      same accounts in [lo - W, hi + W] (so a batch cut does not reset a
+      window);
+    * silver rows in [lo, hi + W] of those accounts have their window
+      recounted, and the ones whose rapid flag changes are re-emitted;
+    * the touched days are rewritten with the batch winning on
+      ``transaction_id``, so re-running a batch changes nothing.
+    The result equals loading all batches at once.  Returns the quality
+    counts observed while writing.  ``idempotent=False`` is the plain
+    append of the source pipeline.
     """
     raw, raw_obs = quality.observe_raw(bronze_batch)
     prepared = tx.prepare_transactions(raw, cfg)
-    context = silver_txn_context(spark, path, prepared, cfg.rapid_window_s)
-    flagged = tx.rapid_flag_with_context(prepared, context, cfg)
-    silver = tx.enrich_transactions(flagged, accounts, customers_current, location_map)
-    silver, out_obs = quality.observe_silver(silver)
-    tables.upsert_partitions(silver, path, "txn_date", "transaction_id" if idempotent else None)
+    exists = tables._exists(spark, path)
+    bounds = prepared.agg(F.min("txn_timestamp"), F.max("txn_timestamp")).first() if exists and idempotent else None
+    if bounds is None or bounds[0] is None:
+        silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
+        silver, out_obs = quality.observe_silver(silver)
+        tables.upsert_partitions(silver, path, "txn_date", "transaction_id" if idempotent else None)
+        return quality.quality_row(raw_obs, out_obs)
+
+    lo, hi = bounds
+    w = dt.timedelta(seconds=cfg.rapid_window_s)
+    existing = spark.read.parquet(path)
+    batch_keys = prepared.select("transaction_id")
+    batch_accounts = prepared.select("account_id").distinct()
+    near = (
+        _near(existing, lo - w, hi + w)
+        .join(batch_keys, "transaction_id", "left_anti")
+        .join(batch_accounts, "account_id", "left_semi")
+    )
+    counted = tx.rapid_flag_with_context(
+        prepared.withColumn("_old", F.lit(False)),
+        near.select("transaction_id", "account_id", "txn_timestamp").withColumn("_old", F.lit(True)),
+        cfg,
+        keep_context=True,
+    )
+    new_rows = tx.enrich_transactions(
+        counted.filter(~F.col("_old")).drop("_old", "_ctx"), accounts, customers_current, location_map
+    )
+    new_rows, out_obs = quality.observe_silver(new_rows)
+    recount = counted.filter(F.col("_old") & (F.col("txn_timestamp") >= _ts_lit(lo))).select(
+        "transaction_id", F.col("rapid_txn_flag").alias("_flag")
+    )
+    changed = (
+        _near(existing, lo, hi + w)
+        .join(recount, "transaction_id")
+        .filter(F.col("_flag") != F.col("rapid_txn_flag"))
+        .withColumn("rapid_txn_flag", F.col("_flag"))
+        .drop("_flag")
+        .select(*new_rows.columns)
+    )
+    tables.upsert_partitions(new_rows.unionByName(changed), path, "txn_date", "transaction_id")
     return quality.quality_row(raw_obs, out_obs)
 
 

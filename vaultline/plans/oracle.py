@@ -525,3 +525,4 @@ ORACLE["txn_quality_counts"] = raw_chain(
     "count(*) FILTER (WHERE customer_id IS NOT NULL) AS matched_rows, "
     "count(*) FILTER (WHERE customer_id IS NULL) AS unmatched_rows FROM t_silver"
 )
+ORACLE["silver_txn_stream"] = ORACLE["silver_transactions"]
