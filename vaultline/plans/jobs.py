@@ -125,14 +125,20 @@ def append_silver_transactions(
     raw, raw_obs = quality.observe_raw(bronze_batch)
     prepared = tx.prepare_transactions(raw, cfg)
     exists = tables._exists(spark, path)
-    bounds = prepared.agg(F.min("txn_timestamp"), F.max("txn_timestamp")).first() if exists and idempotent else None
+    bounds = (
+        prepared.agg(
+            F.min("txn_timestamp"), F.max("txn_timestamp"), F.count_if(F.col("txn_timestamp").isNull())
+        ).first()
+        if exists and idempotent
+        else None
+    )
     if bounds is None or bounds[0] is None:
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
         tables.upsert_partitions(silver, path, "txn_date", "transaction_id" if idempotent else None)
         return quality.quality_row(raw_obs, out_obs)
 
-    lo, hi = bounds
+    lo, hi, n_unparsed = bounds
     w = dt.timedelta(seconds=cfg.rapid_window_s)
     existing = spark.read.parquet(path)
     batch_keys = prepared.select("transaction_id")
@@ -163,7 +169,12 @@ def append_silver_transactions(
         .drop("_flag")
         .select(*new_rows.columns)
     )
-    tables.upsert_partitions(new_rows.unionByName(changed), path, "txn_date", "transaction_id")
+    # every day the batch or a recounted row can touch: [lo, hi + W]
+    n_days = ((hi + w).date() - lo.date()).days
+    days: list = [lo.date() + dt.timedelta(days=i) for i in range(n_days + 1)]
+    if n_unparsed:
+        days.append(None)  # rows without a time live in the NULL partition
+    tables.upsert_partitions(new_rows.unionByName(changed), path, "txn_date", "transaction_id", days)
     return quality.quality_row(raw_obs, out_obs)
 
 

@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.session import scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
@@ -107,28 +106,36 @@ def append_snapshot(df: DataFrame, base: str) -> str:
     return write_snapshot(df, base, mode="replace")
 
 
-def upsert_partitions(df: DataFrame, path: str, partition_col: str, key: str | None) -> None:
+def upsert_partitions(
+    df: DataFrame, path: str, partition_col: str, key: str | None, days: Sequence[object] | None = None
+) -> None:
     """Idempotent append of a batch to a table partitioned by ``partition_col``.
 
     Only the days the batch touches are rewritten: their existing rows
-    minus the batch's keys, plus the batch (the batch wins), are staged in
-    the shared scratch folder and then swapped in with dynamic partition
-    overwrite.  Re-running a batch therefore changes nothing.  With
-    ``key=None`` the batch is appended as is (source behaviour).
+    minus the batch's keys, plus the batch (the batch wins).  Dynamic
+    partition overwrite stages the new files and swaps the touched day
+    folders in at job commit, so the job may read the days it replaces and
+    a failed job leaves the table as it was.  Re-running a batch changes
+    nothing.  With ``key=None`` the batch is appended as is (source
+    behaviour: a re-run duplicates rows).  ``days`` (a superset of the
+    batch's partition values) saves the pass that would collect them.
     """
     spark = df.sparkSession
     if key is None or not _exists(spark, path):
-        df.write.mode("append").partitionBy(partition_col).parquet(path)
+        clustered_by(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
         return
-    # one row per touched day: bounded by the batch's time span
-    days = [r[0] for r in df.select(partition_col).distinct().collect()]
+    if days is None:
+        # one row per touched day: bounded by the batch's time span
+        days = [r[0] for r in df.select(partition_col).distinct().collect()]
     existing = spark.read.parquet(path)
-    keep = existing.filter(F.col(partition_col).isin(days)).join(df.select(key), key, "left_anti")
+    values = [v for v in days if v is not None]
+    touched = F.col(partition_col).isin(values) if values else F.lit(False)
+    if len(values) < len(days):
+        touched = touched | F.col(partition_col).isNull()
+    keep = existing.filter(touched).join(df.select(key), key, "left_anti")
     merged = keep.unionByName(df.select(*existing.columns))
-    stage = scratch_path(spark, "stage")
-    merged.write.partitionBy(partition_col).parquet(stage)
     (
-        spark.read.parquet(stage)
+        clustered_by(merged, partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -136,9 +143,16 @@ def upsert_partitions(df: DataFrame, path: str, partition_col: str, key: str | N
     )
 
 
+def clustered_by(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of one partition value go to few tasks before a partitioned
+    write (few files per day instead of one per task and day); AQE splits
+    a hot day and merges small ones (REBALANCE)."""
+    return df.hint("rebalance", partition_col)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> str:
     """Static overwrite of a date-partitioned table (to a path not read)."""
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    clustered_by(df, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
     return path
 
 
