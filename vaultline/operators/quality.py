@@ -57,3 +57,17 @@ def assert_schema(df: DataFrame, expected: StructType | Mapping[str, str]) -> No
     )
     if have != want:
         raise AssertionError(f"schema mismatch: have {have}, want {want}")
+
+
+def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
+    """One row: rows, distinct keys, keys held by more than one row.
+
+    Partial aggregation per key before the shuffle, then one global
+    aggregate over the per-key counts.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+    )

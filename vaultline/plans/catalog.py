@@ -509,3 +509,9 @@ def _silver_txn_stream(spark, d):
     return got.withColumns(
         {"transaction_id": F.col("transaction_id").cast("long"), "account_id": F.col("account_id").cast("long")}
     )
+
+
+@q("scd1_invariants")
+def _scd1_invariants(spark, d):
+    """silver_accounts after two loads: one row per account_id."""
+    return quality.key_uniqueness(silver_accounts(spark, d), ACC_KEY)

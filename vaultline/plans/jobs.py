@@ -218,3 +218,29 @@ def build_gold(spark: SparkSession, lake: Lake, cfg: RiskConfig, year_of_dates:
     out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"))
     out["kpi_daily_fraud"] = tables.write_snapshot(kpi.kpi_daily_fraud(fact), lake.gold("kpi_daily_fraud"))
     return out
+
+
+def run_jobs(
+    spark: SparkSession,
+    lake: Lake,
+    raw: Mapping[str, str],
+    as_of: str,
+    cfg: RiskConfig,
+    location_map: Mapping[str, str] | DataFrame | None = None,
+    json_multiline: bool = False,
+) -> dict:
+    """One load of the whole lake, in the source's job order: ingest each
+    raw source given (name -> path), SCD2 customers, SCD1 accounts,
+    transactions into silver, then gold.  Returns what each step wrote
+    plus the observed transaction quality counts."""
+    out: dict = {}
+    for name, path in raw.items():
+        out[f"bronze_{name}"] = ingest(spark, lake, name, path, as_of, multiline=json_multiline)
+    if "customers" in raw:
+        out["silver_customer"] = load_silver_customers(spark, lake, as_of)
+    if "accounts" in raw:
+        out["silver_accounts"] = load_silver_accounts(spark, lake)
+    if "transactions" in raw:
+        out["transaction_quality"] = load_silver_transactions(spark, lake, cfg, location_map)
+    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map)
+    return out

@@ -526,3 +526,7 @@ ORACLE["txn_quality_counts"] = raw_chain(
     "count(*) FILTER (WHERE customer_id IS NULL) AS unmatched_rows FROM t_silver"
 )
 ORACLE["silver_txn_stream"] = ORACLE["silver_transactions"]
+ORACLE["scd1_invariants"] = acc_chain(
+    "SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, count(*) AS keys, "
+    "count(*) FILTER (WHERE n > 1) AS duplicate_keys FROM (SELECT account_id, count(*) AS n FROM a_silver GROUP BY account_id)"
+)
