@@ -16,11 +16,37 @@ def test_silver_plan_has_no_python_and_no_single_partition(spark):
     assert "SinglePartition" not in p
 
 
-def test_silver_plan_has_one_window_exchange(spark):
-    p = C.silver_raw(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert p.count("Window [") == 1 or p.count("Window") >= 1
-    # window partitioned by account and time bucket, not by account alone
-    assert "_rc_bucket" in p
+def _big_side_exchanges(plan: str) -> list[str]:
+    """hash exchanges over the transactions (account_id first key)."""
+    return [ln.strip() for ln in plan.splitlines() if "Exchange hashpartitioning(account_id" in ln]
+
+
+def test_silver_plan_shuffles(spark):
+    import dataclasses
+
+    from vaultline.config import FIXTURE
+    from vaultline.operators import transactions as tx
+    from vaultline.sources import fixtures as fx
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffle joins
+    try:
+        def plan(cfg):
+            df = tx.build_silver_transactions(
+                C.bronze_txn_raw(spark, SF), fx.accounts(spark, SF), fx.customers(spark, SF), cfg, fx.location_map(spark, SF)
+            )
+            return df._jdf.queryExecution().executedPlan().toString()
+
+        safe = _big_side_exchanges(plan(FIXTURE))
+        plain = _big_side_exchanges(plan(dataclasses.replace(FIXTURE, skew_safe_window=False)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # both plans shuffle the account dimension once for the join; the
+    # skew-safe plan shuffles the transactions twice (window on (account,
+    # bucket), join on account), the plain plan once (the join reuses the
+    # window's account partitioning)
+    assert sum("_rc_bucket" in e for e in safe) == 1
+    assert not any("_rc_bucket" in e for e in plain)
+    assert len(safe) == len(plain) + 1 == 3
 
 
 def test_filters_pushed_and_columns_pruned(spark):

@@ -49,6 +49,12 @@ class RiskConfig:
     # Time bucket of the skew-safe rolling window; None = automatic
     # (max(window, 3600) s).  Must be >= rapid_window_s.
     rapid_bucket_s: int | None = None
+    # True: window partitioned by (account, time bucket) -- a hot account
+    # spreads over many tasks, at the price of a second shuffle of the
+    # transactions for the account join.  False: window partitioned by
+    # account, whose partitioning the account join reuses (one shuffle),
+    # but one account is one task.
+    skew_safe_window: bool = True
     # Parity switch: rows with NULL time (or NULL account) count each other
     # like the source pipeline does; default gives them a NULL count.
     null_peers: bool = False

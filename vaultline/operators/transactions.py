@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType, StructType
 from vaultline.config import LOCATION_COUNTRY, UNKNOWN, RiskConfig
 from vaultline.functions.exprs import flag, parse_timestamp, unix_seconds
 from vaultline.operators.lookup import lookup_join, lookup_map
-from vaultline.operators.rolling import rolling_count
+from vaultline.operators.rolling import rolling_count, rolling_count_plain
 
 METADATA_FIELDS = ("device", "ip_address", "channel")
 
@@ -77,6 +77,10 @@ def high_amount_flag(df: DataFrame, threshold: float = 50000.0, amount_col: str
 def txn_window_count(df: DataFrame, cfg: RiskConfig, key: str = "account_id") -> DataFrame:
     """Rolling per-account count of transactions in the trailing window."""
     df = df.withColumn("txn_unix", unix_seconds(F.col("txn_timestamp")))
+    if not cfg.skew_safe_window:
+        return rolling_count_plain(
+            df, key, "txn_unix", cfg.rapid_window_s, "transaction_id", WINDOW_COUNT, null_peers=cfg.null_peers
+        )
     return rolling_count(
         df,
         key,

@@ -7,7 +7,7 @@ string runs on the bare driver tables.
 
 from __future__ import annotations
 
-from vaultline.config import AS_OF_1, AS_OF_2, AS_OF_3, FIXTURE, SOURCE, RiskConfig
+from vaultline.config import AS_OF_1, AS_OF_2, FIXTURE, SOURCE, RiskConfig
 
 
 def rnd(expr: str, n: int) -> str:
