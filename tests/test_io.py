@@ -75,3 +75,13 @@ def test_multiline_json(spark):
     rows = tables.read_table(spark, lake.bronze("transactions")).orderBy("transaction_id").collect()
     assert [r.transaction_id for r in rows] == ["t1", "t2"]
     assert rows[0].metadata.channel == "web" and rows[1].metadata is None
+
+
+def test_audit_from_file_path(spark):
+    from vaultline.operators.audit import add_audit
+
+    raw = scratch_path(spark, "audit-files")
+    spark.range(6).repartition(2).write.parquet(raw)
+    df = add_audit(spark.read.parquet(raw), "ignored", "2024-01-01 00:00:00", from_file=True)
+    paths = {r.source_table for r in df.collect()}
+    assert 1 <= len(paths) <= 2 and all(p.endswith(".parquet") for p in paths)
