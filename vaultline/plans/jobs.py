@@ -9,7 +9,7 @@ at each job boundary.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,27 +119,35 @@ def append_silver_transactions(
     * the touched days are rewritten with the batch winning on
       ``transaction_id``, so re-running a batch changes nothing.
     The result equals loading all batches at once.  Returns the quality
-    counts observed while writing.  ``idempotent=False`` is the plain
-    append of the source pipeline.
+    counts observed while writing and ``days``, the day partitions the
+    load may have changed (for an incremental gold run).
+    ``idempotent=False`` is the plain append of the source pipeline.
     """
     raw, raw_obs = quality.observe_raw(bronze_batch)
     prepared = tx.prepare_transactions(raw, cfg)
-    exists = tables._exists(spark, path)
-    bounds = (
-        prepared.agg(
-            F.min("txn_timestamp"), F.max("txn_timestamp"), F.count_if(F.col("txn_timestamp").isNull())
-        ).first()
-        if exists and idempotent
-        else None
-    )
-    if bounds is None or bounds[0] is None:
+    if not idempotent:
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
-        tables.upsert_partitions(silver, path, "txn_date", "transaction_id" if idempotent else None)
+        tables.upsert_partitions(silver, path, "txn_date", None)
         return quality.quality_row(raw_obs, out_obs)
 
-    lo, hi, n_unparsed = bounds
+    lo, hi, n_unparsed = prepared.agg(
+        F.min("txn_timestamp"), F.max("txn_timestamp"), F.count_if(F.col("txn_timestamp").isNull())
+    ).first()
     w = dt.timedelta(seconds=cfg.rapid_window_s)
+    # every day the batch or a recounted row can touch: [lo, hi + W]
+    days: list = []
+    if lo is not None:
+        days = [lo.date() + dt.timedelta(days=i) for i in range(((hi + w).date() - lo.date()).days + 1)]
+    if n_unparsed:
+        days.append(None)  # rows without a time live in the NULL partition
+
+    if lo is None or not tables._exists(spark, path):
+        silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
+        silver, out_obs = quality.observe_silver(silver)
+        tables.upsert_partitions(silver, path, "txn_date", "transaction_id", days)
+        return {**quality.quality_row(raw_obs, out_obs), "days": days}
+
     existing = spark.read.parquet(path)
     batch_keys = prepared.select("transaction_id")
     batch_accounts = prepared.select("account_id").distinct()
@@ -169,13 +177,8 @@ def append_silver_transactions(
         .drop("_flag")
         .select(*new_rows.columns)
     )
-    # every day the batch or a recounted row can touch: [lo, hi + W]
-    n_days = ((hi + w).date() - lo.date()).days
-    days: list = [lo.date() + dt.timedelta(days=i) for i in range(n_days + 1)]
-    if n_unparsed:
-        days.append(None)  # rows without a time live in the NULL partition
     tables.upsert_partitions(new_rows.unionByName(changed), path, "txn_date", "transaction_id", days)
-    return quality.quality_row(raw_obs, out_obs)
+    return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
 
 def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, location_map=None) -> dict:
@@ -189,15 +192,70 @@ def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, l
 
 # ------------------------------------------------------------------ gold ---
 
-def build_gold(spark: SparkSession, lake: Lake, cfg: RiskConfig, year_of_dates: bool = True, location_map=None) -> dict:
-    """Facts, dimensions and KPIs from silver (jobs 4-6 of the source)."""
+def _day_filter(days: Sequence[object]):
+    values = [d for d in days if d is not None]
+    cond = F.col("txn_date").isin(values) if values else F.lit(False)
+    return cond | F.col("txn_date").isNull() if len(values) < len(days) else cond
+
+
+def build_gold(
+    spark: SparkSession,
+    lake: Lake,
+    cfg: RiskConfig,
+    location_map: Mapping[str, str] | DataFrame | None = None,
+    days: Sequence[object] | None = None,
+) -> dict:
+    """Facts, dimensions and KPIs from silver (jobs 4-6 of the source).
+
+    ``days=None`` builds everything from all of silver.  With the days a
+    silver load reported, the day-partitioned facts are recomputed for
+    those days only (dynamic partition overwrite), the daily KPI is
+    recomputed for them and merged with the other days, and the location
+    and date dimensions are extended; work is proportional to the load,
+    not to the history.
+    """
     silver_txn = spark.read.parquet(lake.silver("transactions"))
     customers = tables.read_table(spark, lake.silver("customer"))
     accounts = tables.read_table(spark, lake.silver("accounts"))
-    out = {}
-    fact = scores.build_fact_fraud(silver_txn, cfg)
-    out["fact_fraud"] = tables.write_partitioned(fact, lake.gold("fact_fraud"), "txn_date")
-    fact = spark.read.parquet(out["fact_fraud"])
+    out: dict = {}
+    paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions")}
+    incremental = days is not None and all(tables._exists(spark, p) for p in paths.values())
+    touched = silver_txn.filter(_day_filter(days)) if incremental else silver_txn
+
+    fact = scores.build_fact_fraud(touched, cfg)
+    for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
+        if incremental:
+            tables.overwrite_partitions(df, paths[name], "txn_date", len(days))
+        else:
+            tables.write_partitioned(df, paths[name], "txn_date")
+        out[name] = paths[name]
+
+    fact_days = spark.read.parquet(paths["fact_fraud"])
+    kpi_base = lake.gold("kpi_daily_fraud")
+    if incremental and tables.table_exists(spark, kpi_base):
+        fresh = kpi.kpi_daily_fraud(fact_days.filter(_day_filter(days)), ordered=False)
+        kept = tables.read_table(spark, kpi_base).filter(~F.coalesce(_day_filter(days), F.lit(False)))
+        daily = kept.unionByName(fresh).orderBy("txn_date", "fraud_risk_category")
+    else:
+        daily = kpi.kpi_daily_fraud(fact_days)
+    out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base)
+
+    loc_base = lake.gold("dim_location")
+    if tables.table_exists(spark, loc_base):
+        locs = dims.extend_dim_location(tables.read_table(spark, loc_base), touched, location_map)
+    else:
+        locs = dims.build_dim_location(touched, location_map)
+    out["dim_location"] = tables.write_snapshot(locs, loc_base)
+
+    date_base = lake.gold("dim_date")
+    if incremental and tables.table_exists(spark, date_base):
+        span = tables.read_table(spark, date_base).select(F.col("full_date").alias("txn_date")).unionByName(
+            touched.select("txn_date")
+        )
+    else:
+        span = silver_txn.select("txn_date")
+    out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base)
+
     if tables.table_exists(spark, lake.bronze("credit_history")):
         credit = tables.read_table(spark, lake.bronze("credit_history"))
         out["fact_credit"] = tables.write_snapshot(
@@ -205,18 +263,7 @@ def build_gold(spark: SparkSession, lake: Lake, cfg: RiskConfig, year_of_dates:
         )
     out["dim_customer"] = tables.write_snapshot(customers, lake.gold("dim_customer"))
     out["dim_accounts"] = tables.write_snapshot(accounts, lake.gold("dim_accounts"))
-    dates = dims.build_dim_date_for(silver_txn, "txn_date") if year_of_dates else None
-    if dates is not None:
-        out["dim_date"] = tables.write_snapshot(dates, lake.gold("dim_date"))
-    out["fact_transactions"] = tables.write_partitioned(silver_txn, lake.gold("fact_transactions"), "txn_date")
-    loc_base = lake.gold("dim_location")
-    if tables.table_exists(spark, loc_base):
-        locs = dims.extend_dim_location(tables.read_table(spark, loc_base), silver_txn, location_map)
-    else:
-        locs = dims.build_dim_location(silver_txn, location_map)
-    out["dim_location"] = tables.write_snapshot(locs, loc_base)
     out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"))
-    out["kpi_daily_fraud"] = tables.write_snapshot(kpi.kpi_daily_fraud(fact), lake.gold("kpi_daily_fraud"))
     return out
 
 
@@ -240,7 +287,9 @@ def run_jobs(
         out["silver_customer"] = load_silver_customers(spark, lake, as_of)
     if "accounts" in raw:
         out["silver_accounts"] = load_silver_accounts(spark, lake)
+    days = None
     if "transactions" in raw:
         out["transaction_quality"] = load_silver_transactions(spark, lake, cfg, location_map)
-    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map)
+        days = out["transaction_quality"].get("days")
+    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map, days=days)
     return out

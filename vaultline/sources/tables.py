@@ -122,7 +122,9 @@ def upsert_partitions(
     """
     spark = df.sparkSession
     if key is None or not _exists(spark, path):
-        clustered_by(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+        clustered_by(df, partition_col, None if days is None else len(days)).write.mode("append").partitionBy(
+            partition_col
+        ).parquet(path)
         return
     if days is None:
         # one row per touched day: bounded by the batch's time span
@@ -135,7 +137,7 @@ def upsert_partitions(
     keep = existing.filter(touched).join(df.select(key), key, "left_anti")
     merged = keep.unionByName(df.select(*existing.columns))
     (
-        clustered_by(merged, partition_col)
+        clustered_by(merged, partition_col, len(days))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -143,13 +145,33 @@ def upsert_partitions(
     )
 
 
-def clustered_by(df: DataFrame, partition_col: str) -> DataFrame:
-    """Rows of one partition value go to few tasks before a partitioned
-    write (few files per day instead of one per task and day); AQE splits
-    a hot day and merges small ones (REBALANCE)."""
+FEW_DAYS = 7
+
+
+def clustered_by(df: DataFrame, partition_col: str, n_values: int | None = None) -> DataFrame:
+    """Before a partitioned write: when many partition values are written
+    (or their number is unknown), rows of one value are first brought to
+    few tasks, so each day gets few files instead of one per task and day;
+    AQE splits a hot day and merges small ones (REBALANCE).  A write of a
+    few days skips that extra shuffle: each task then writes at most a
+    few files anyway."""
+    if n_values is not None and n_values <= FEW_DAYS:
+        return df
     return df.hint("rebalance", partition_col)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, n_values: int | None = None) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic overwrite);
+    the others stay."""
+    (
+        clustered_by(df, partition_col, n_values)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> str:
     """Static overwrite of a date-partitioned table (to a path not read)."""
     clustered_by(df, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
