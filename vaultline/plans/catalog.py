@@ -492,7 +492,8 @@ def _txn_quality_counts(spark, d):
 @q("silver_txn_stream")
 def _silver_txn_stream(spark, d):
     """Dirty transactions landed as JSON files and loaded by the stream,
-    one file per micro-batch in arbitrary time order: equals the one-shot
+    two files per micro-batch, each file spanning the whole time range (so
+    every micro-batch is partly late): equals the one-shot
     silver table."""
     from vaultline.streaming import start_transaction_stream
 
@@ -501,7 +502,7 @@ def _silver_txn_stream(spark, d):
     path = scratch_path(spark, "silver-stream")
     acc, cust, loc = fx.accounts(spark, d), fx.customers(spark, d), fx.location_map(spark, d)
     query = start_transaction_stream(
-        spark, landing, path, lambda: acc, lambda: cust, FIXTURE, loc, as_of=AS_OF_1, max_files_per_trigger=1
+        spark, landing, path, lambda: acc, lambda: cust, FIXTURE, loc, as_of=AS_OF_1, max_files_per_trigger=2
     )
     query.awaitTermination()
     got = spark.read.parquet(path)

@@ -83,6 +83,12 @@ def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
     return tables.write_snapshot(out, base, mode="evolve", merge_schema=True)
 
 
+def _day_filter(days: Sequence[object]):
+    values = [d for d in days if d is not None]
+    cond = F.col("txn_date").isin(values) if values else F.lit(False)
+    return cond | F.col("txn_date").isNull() if len(values) < len(days) else cond
+
+
 def _ts_lit(value: dt.datetime):
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -117,7 +123,8 @@ def append_silver_transactions(
     * silver rows in [lo, hi + W] of those accounts have their window
       recounted, and the ones whose rapid flag changes are re-emitted;
     * the touched days are rewritten with the batch winning on
-      ``transaction_id``, so re-running a batch changes nothing.
+      ``transaction_id``, so re-running a batch changes nothing (an id
+      re-sent with a time on another, untouched day is not looked up).
     The result equals loading all batches at once.  Returns the quality
     counts observed while writing and ``days``, the day partitions the
     load may have changed (for an incremental gold run).
@@ -169,15 +176,16 @@ def append_silver_transactions(
     recount = counted.filter(F.col("_old") & (F.col("txn_timestamp") >= _ts_lit(lo))).select(
         "transaction_id", F.col("rapid_txn_flag").alias("_flag")
     )
-    changed = (
-        _near(existing, lo, hi + w)
-        .join(recount, "transaction_id")
-        .filter(F.col("_flag") != F.col("rapid_txn_flag"))
-        .withColumn("rapid_txn_flag", F.col("_flag"))
-        .drop("_flag")
+    # the touched days as they will be: existing rows not replaced by the
+    # batch, with recounted flags where the window changed, plus the batch
+    kept = (
+        existing.filter(_day_filter(days))
+        .join(batch_keys, "transaction_id", "left_anti")
+        .join(recount, "transaction_id", "left")
+        .withColumn("rapid_txn_flag", F.coalesce(F.col("_flag"), F.col("rapid_txn_flag")))
         .select(*new_rows.columns)
     )
-    tables.upsert_partitions(new_rows.unionByName(changed), path, "txn_date", "transaction_id", days)
+    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", len(days))
     return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
 
@@ -192,12 +200,6 @@ def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, l
 
 # ------------------------------------------------------------------ gold ---
 
-def _day_filter(days: Sequence[object]):
-    values = [d for d in days if d is not None]
-    cond = F.col("txn_date").isin(values) if values else F.lit(False)
-    return cond | F.col("txn_date").isNull() if len(values) < len(days) else cond
-
-
 def build_gold(
     spark: SparkSession,
     lake: Lake,
