@@ -85,3 +85,17 @@ def test_audit_from_file_path(spark):
     df = add_audit(spark.read.parquet(raw), "ignored", "2024-01-01 00:00:00", from_file=True)
     paths = {r.source_table for r in df.collect()}
     assert 1 <= len(paths) <= 2 and all(p.endswith(".parquet") for p in paths)
+
+
+def test_failed_version_is_skipped(spark):
+    import os
+
+    base = scratch_path(spark, "snap-fail")
+    tables.write_snapshot(spark.range(2), base)
+    # a write that died half-way: folder without the commit marker
+    os.makedirs(tables.version_path(base, 2).replace("file:", ""))
+    assert tables.versions(spark, base) == [1]
+    assert tables.read_table(spark, base).count() == 2
+    path = tables.write_snapshot(spark.range(5), base)
+    assert path.endswith("v=000003")
+    assert tables.versions(spark, base) == [1, 3] and tables.read_table(spark, base).count() == 5

@@ -45,6 +45,20 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def _next_version(spark: SparkSession, base: str) -> int:
+    """One past every version folder, committed or not: a write that died
+    half-way leaves its folder behind, and a retry must not reuse it."""
+    fs, p, _ = _fs(spark, base)
+    if not fs.exists(p):
+        return 1
+    taken = [
+        int(st.getPath().getName()[2:])
+        for st in fs.listStatus(p)
+        if st.isDirectory() and st.getPath().getName().startswith("v=") and st.getPath().getName()[2:].isdigit()
+    ]
+    return max(taken, default=0) + 1
+
+
 def table_exists(spark: SparkSession, base: str) -> bool:
     return bool(versions(spark, base))
 
@@ -90,7 +104,7 @@ def write_snapshot(
         raise FileExistsError(base)
     if vs and mode == "evolve":
         check_schema(read_table(spark, base), df, merge_schema)
-    path = version_path(base, (vs[-1] + 1) if vs else 1)
+    path = version_path(base, _next_version(spark, base))
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
