@@ -47,7 +47,7 @@ class RiskConfig:
     credit_low: float = 0.3
     credit_medium: float = 0.6
     # Time bucket of the skew-safe rolling window; None = automatic
-    # (max(window, 3600) s).  Must be >= rapid_window_s.
+    # (max(4 x window, 3600) s).  Must be >= rapid_window_s.
     rapid_bucket_s: int | None = None
     # True: window partitioned by (account, time bucket) -- a hot account
     # spreads over many tasks, at the price of a second shuffle of the

@@ -55,7 +55,10 @@ def rolling_count(
     whose other columns are NULL (so context copies are small in the
     shuffle).  The input is scanned once.
     """
-    bsec = int(bucket_seconds or max(seconds, 3600))
+    # a row gets a context copy with probability ~ seconds / bsec, so the
+    # default keeps that at <= 25% while a bucket stays short enough to
+    # spread a hot key over many tasks
+    bsec = int(bucket_seconds or max(4 * seconds, 3600))
     if bsec < seconds:
         raise ValueError("bucket_seconds must be >= the window length")
     u = F.col(order_unix)
