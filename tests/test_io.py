@@ -99,3 +99,9 @@ def test_failed_version_is_skipped(spark):
     path = tables.write_snapshot(spark.range(5), base)
     assert path.endswith("v=000003")
     assert tables.versions(spark, base) == [1, 3] and tables.read_table(spark, base).count() == 5
+
+
+def test_verified_snapshot_write(spark):
+    base = scratch_path(spark, "snap-verify")
+    path = tables.write_snapshot(spark.range(7), base, verify=True)
+    assert spark.read.parquet(path).count() == 7

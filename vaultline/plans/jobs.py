@@ -71,7 +71,7 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     if silver is not None:
         staging = staging.select(*[c for c in silver.columns if c not in scd.SCD_COLUMNS])
     out = scd.scd2_apply(silver, staging, "customer_id", as_of, tracked)
-    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True)
+    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True)
 
 
 def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
@@ -80,7 +80,7 @@ def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
     base = lake.silver("accounts")
     target = tables.read_table(spark, base) if tables.table_exists(spark, base) else None
     out = scd.scd1_upsert(target, staging, "account_id", order_by, merge_schema=True)
-    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True)
+    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True)
 
 
 def _day_filter(days: Sequence[object]):

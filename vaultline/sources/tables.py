@@ -12,9 +12,10 @@ overwrite.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -91,12 +92,15 @@ def write_snapshot(
     mode: str = "replace",
     merge_schema: bool = False,
     partition_by: Sequence[str] | None = None,
+    verify: bool = False,
 ) -> str:
     """Write ``df`` as the next version of ``base``; returns its path.
 
     ``mode="replace"`` accepts any schema (overwrite with a new schema);
     ``mode="evolve"`` applies ``check_schema`` against the current version;
     ``mode="errorifexists"`` refuses when a version exists.
+    ``verify=True`` counts the rows while writing (an Observation, no
+    extra pass) and compares with a count of the committed files.
     """
     spark = df.sparkSession
     vs = versions(spark, base)
@@ -105,10 +109,18 @@ def write_snapshot(
     if vs and mode == "evolve":
         check_schema(read_table(spark, base), df, merge_schema)
     path = version_path(base, _next_version(spark, base))
+    obs = None
+    if verify:
+        obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if obs is not None:
+        written, stored = obs.get["rows"], spark.read.parquet(path).count()
+        if written != stored:
+            raise RuntimeError(f"{path}: wrote {written} rows, read back {stored}")
     return path
 
 
