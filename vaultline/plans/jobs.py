@@ -71,6 +71,10 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     if silver is not None:
         staging = staging.select(*[c for c in silver.columns if c not in scd.SCD_COLUMNS])
     out = scd.scd2_apply(silver, staging, "customer_id", as_of, tracked)
+    # current rows first within each file: Parquet row-group statistics
+    # then let readers of current rows (transactions, credit, the next
+    # apply) skip the history through the pushed is_current filter
+    out = out.sortWithinPartitions(F.col(scd.CURRENT).desc(), "customer_id")
     return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True)
 
 
