@@ -129,3 +129,34 @@ def test_scd1_schema_rules(spark):
 def test_dedupe_survivor_is_deterministic(spark):
     df = spark.createDataFrame([("1", "b", 1), ("1", "a", 1), ("1", "c", 0)], "k string, v string, seq int")
     assert scd.dedupe(df, ["k"], ["seq"]).first().v == "b"
+
+
+def test_null_keys_skipped_and_reapply_stays_noop(spark):
+    first = [("1", "n", "x"), (None, "n", "x")]
+    once = _apply_all(spark, [first, first])
+    assert sorted(r.customer_id for r in once.collect()) == ["1"]
+    t = spark.createDataFrame([("1", "a")], "account_id string, status string")
+    st = spark.createDataFrame([(None, "b"), ("2", "c")], "account_id string, status string")
+    assert sorted(r.account_id for r in scd.scd1_upsert(t, st, "account_id").collect()) == ["1", "2"]
+
+
+def test_several_tracked_columns(spark):
+    schema = "customer_id string, country string, customer_type string"
+    s1 = spark.createDataFrame([("1", "UK", "x"), ("2", "UK", "x")], schema)
+    s2 = spark.createDataFrame([("1", "FR", "x"), ("2", "UK", "x")], schema)
+    one = scd.scd2_apply(None, s1, "customer_id", AS_OF[0])
+    only_type = scd.scd2_apply(one, s2, "customer_id", AS_OF[1])
+    both = scd.scd2_apply(one, s2, "customer_id", AS_OF[1], tracked=("customer_type", "country"))
+    assert only_type.count() == 2
+    assert both.count() == 3
+    cur = {r.customer_id: r.country for r in scd.current_only(both).collect()}
+    assert cur == {"1": "FR", "2": "UK"}
+
+
+def test_staging_missing_column_is_an_error(spark):
+    import pytest
+
+    one = scd.scd2_apply(None, _df(spark, [("1", "n", "x")]), "customer_id", AS_OF[0])
+    lacking = spark.createDataFrame([("1", "x")], "customer_id string, customer_type string")
+    with pytest.raises(ValueError):
+        scd.scd2_apply(one, lacking, "customer_id", AS_OF[1])

@@ -72,7 +72,8 @@ def _sides(silver: DataFrame, staging: DataFrame, key: str, order_by: Sequence[s
     if missing:
         raise ValueError(f"staging lacks columns {missing}")
     types = {f.name: f.dataType for f in silver.schema.fields}
-    st = dedupe(staging.select(*[F.col(c).cast(types[c]).alias(c) for c in data_cols]), [key], order_by)
+    keyed = staging.filter(F.col(key).isNotNull())  # a row without a key is never loaded
+    st = dedupe(keyed.select(*[F.col(c).cast(types[c]).alias(c) for c in data_cols]), [key], order_by)
     cur = current_only(silver)
     t = cur.select(F.col(key).alias("_k"), F.struct(*[F.col(c) for c in silver.columns]).alias("_t"))
     s = st.select(F.col(key).alias("_k"), F.struct(*[F.col(c) for c in data_cols]).alias("_s"))
@@ -117,13 +118,14 @@ def scd2_apply(
 ) -> DataFrame:
     """Apply one staging batch to an SCD2 table (``None`` = first load).
 
-    Per key: unchanged or absent from staging -> kept as is; tracked value
+    Staging rows without a key are skipped (they could never match, so
+    every re-apply would insert them again).  Per key: unchanged or absent from staging -> kept as is; tracked value
     changed -> old version closed at ``as_of`` and a new one opened at
     ``as_of``; key new -> opened (unless ``insert_new_keys=False``).
     Re-applying the same batch changes nothing.
     """
     if silver is None:
-        return scd2_init(dedupe(staging, [key], order_by), as_of)
+        return scd2_init(dedupe(staging.filter(F.col(key).isNotNull()), [key], order_by), as_of)
     data_cols, t, s = _sides(silver, staging, key, order_by)
     tt, ss = F.col("_t"), F.col("_s")
     cols = silver.columns
@@ -187,12 +189,13 @@ def scd1_upsert(
     order_by: Sequence[str] = (),
     merge_schema: bool = False,
 ) -> DataFrame:
-    """Update every column on a key match, insert otherwise.
+    """Update every column on a key match, insert otherwise (staging rows
+    without a key are skipped).
 
     Staging must hold every target column; extra staging columns are an
     error unless ``merge_schema`` (then old rows get NULL for them).
     """
-    st = dedupe(staging, [key], order_by)
+    st = dedupe(staging.filter(F.col(key).isNotNull()), [key], order_by)
     if target is None:
         return st
     missing = [c for c in target.columns if c not in st.columns]
