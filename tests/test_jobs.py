@@ -1,5 +1,7 @@
 """Raw files -> bronze -> silver -> gold, twice, on the sf0.001 tables."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,9 +51,21 @@ def test_bronze_versions(spark, lake):
 
 def test_silver_customer_counts(spark, lake):
     lk, _ = lake
-    s = tables.read_table(spark, lk.silver("customer"))
+    s = jobs.read_silver_customers(spark, lk)
     row = scd.scd2_totals(s).first()
     assert (row.total, row.current, row.expired) == (173, 153, 20)
+    assert jobs.read_silver_customers(spark, lk, current_only=True).count() == 153
+    assert dict(s.dtypes)["effective_end"] == "timestamp_ntz"
+    # one history partition per load that closed rows, plus the current one
+    assert {r[0] for r in s.select("effective_end").distinct().collect()} == {None, dt.datetime(2024, 2, 1)}
+
+
+def test_silver_customer_reload_is_noop(spark, lake):
+    lk, _ = lake
+    before = sorted(map(tuple, jobs.read_silver_customers(spark, lk).collect()), key=repr)
+    jobs.load_silver_customers(spark, lk, AS_OF_2)
+    after = sorted(map(tuple, jobs.read_silver_customers(spark, lk).collect()), key=repr)
+    assert before == after
 
 
 def test_silver_accounts(spark, lake):

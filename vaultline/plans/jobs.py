@@ -63,19 +63,39 @@ def ingest(
 
 # ---------------------------------------------------------------- silver ---
 
+def read_silver_customers(spark: SparkSession, lake: Lake, current_only: bool = False) -> DataFrame:
+    """The SCD2 customer table; ``current_only`` reads just the NULL
+    ``effective_end`` partition (partition pruning, no history scanned)."""
+    df = spark.read.parquet(lake.silver("customer"))
+    # partition values come back as text/timestamp: restore the type
+    df = df.withColumn(scd.END, F.col(scd.END).cast("timestamp_ntz"))
+    if current_only:
+        df = df.filter(F.col(scd.END).isNull()).transform(scd.current_only)
+    return df
+
+
 def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=("customer_type",)) -> str:
-    """SCD2 apply of the newest bronze customers onto silver_customer."""
+    """SCD2 apply of the newest bronze customers onto silver_customer.
+
+    The table is partitioned by ``effective_end``: current rows live in the
+    NULL partition and the rows a load closes all end at its ``as_of``.
+    A load therefore reads only the current rows and rewrites exactly two
+    partitions, {NULL, as_of}, with dynamic partition overwrite; history
+    is never read or copied, so a load costs O(current rows + batch), not
+    O(all versions).  Re-running a load (or retrying a failed one)
+    rewrites the same two partitions with the same rows.
+    """
     staging = tables.read_table(spark, lake.bronze("customers"))
-    base = lake.silver("customer")
-    silver = tables.read_table(spark, base) if tables.table_exists(spark, base) else None
-    if silver is not None:
-        staging = staging.select(*[c for c in silver.columns if c not in scd.SCD_COLUMNS])
-    out = scd.scd2_apply(silver, staging, "customer_id", as_of, tracked)
-    # current rows first within each file: Parquet row-group statistics
-    # then let readers of current rows (transactions, credit, the next
-    # apply) skip the history through the pushed is_current filter
-    out = out.sortWithinPartitions(F.col(scd.CURRENT).desc(), "customer_id")
-    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True)
+    path = lake.silver("customer")
+    if not tables._exists(spark, path):
+        out = scd.scd2_apply(None, staging, "customer_id", as_of, tracked)
+        out.write.mode("errorifexists").partitionBy(scd.END).parquet(path)
+        return path
+    current = read_silver_customers(spark, lake, current_only=True)
+    data_cols = [c for c in current.columns if c not in scd.SCD_COLUMNS]
+    step = scd.scd2_apply(current, staging.select(*data_cols), "customer_id", as_of, tracked)
+    tables.overwrite_partitions(step.select(*current.columns), path, scd.END, n_values=2)
+    return path
 
 
 def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
@@ -196,7 +216,7 @@ def append_silver_transactions(
 def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, location_map=None) -> dict:
     bronze = tables.read_table(spark, lake.bronze("transactions"))
     accounts = tables.read_table(spark, lake.silver("accounts"))
-    customers = scd.current_only(tables.read_table(spark, lake.silver("customer")))
+    customers = read_silver_customers(spark, lake, current_only=True)
     return append_silver_transactions(
         spark, bronze, accounts, customers, lake.silver("transactions"), cfg, location_map
     )
@@ -221,7 +241,7 @@ def build_gold(
     not to the history.
     """
     silver_txn = spark.read.parquet(lake.silver("transactions"))
-    customers = tables.read_table(spark, lake.silver("customer"))
+    customers = read_silver_customers(spark, lake)
     accounts = tables.read_table(spark, lake.silver("accounts"))
     out: dict = {}
     paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions")}
