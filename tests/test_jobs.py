@@ -92,7 +92,10 @@ def test_gold_tables(spark, lake):
     assert spark.read.parquet(gold["fact_credit"]).count() == 150
     # a second gold run succeeds and keeps location keys
     first = {r.location: r.location_key for r in spark.read.parquet(gold["dim_location"]).collect()}
-    again = jobs.build_gold(spark, lk, FIXTURE, location_map=fx.location_map(spark, SF))
+    again = jobs.build_gold(spark, lk, FIXTURE, location_map=fx.location_map(spark, SF), publish_db="gold_test")
+    assert spark.table("gold_test.fact_fraud").count() == 964
+    assert spark.table("gold_test.kpi_daily_fraud").count() == spark.read.parquet(again["kpi_daily_fraud"]).count()
+    assert spark.table("gold_test.dim_location").count() == 25
     second = {r.location: r.location_key for r in spark.read.parquet(again["dim_location"]).collect()}
     assert first == second
 

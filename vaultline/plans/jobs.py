@@ -230,6 +230,7 @@ def build_gold(
     cfg: RiskConfig,
     location_map: Mapping[str, str] | DataFrame | None = None,
     days: Sequence[object] | None = None,
+    publish_db: str | None = None,
 ) -> dict:
     """Facts, dimensions and KPIs from silver (jobs 4-6 of the source).
 
@@ -238,7 +239,8 @@ def build_gold(
     those days only (dynamic partition overwrite), the daily KPI is
     recomputed for them and merged with the other days, and the location
     and date dimensions are extended; work is proportional to the load,
-    not to the history.
+    not to the history.  ``publish_db`` also registers every gold output
+    as an external catalog table ``publish_db.<name>`` (metadata only).
     """
     silver_txn = spark.read.parquet(lake.silver("transactions"))
     customers = read_silver_customers(spark, lake)
@@ -290,6 +292,9 @@ def build_gold(
     out["dim_customer"] = tables.write_snapshot(customers, lake.gold("dim_customer"))
     out["dim_accounts"] = tables.write_snapshot(accounts, lake.gold("dim_accounts"))
     out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"))
+    if publish_db:
+        for name, path in out.items():
+            tables.publish_path(spark, f"{publish_db}.{name}", path, partitioned=name in paths)
     return out
 
 

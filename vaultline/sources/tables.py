@@ -210,6 +210,20 @@ def publish(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
 
+def publish_path(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """Register files already written at ``path`` as an external catalog
+    table: metadata only, where a second ``saveAsTable`` write would run
+    the whole plan again.  Re-publishing replaces the entry (dropping an
+    external table leaves its files alone); partitioned tables get their
+    partitions recovered from the folders."""
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def publish_copy(spark: SparkSession, src: DataFrame, dst: str, partition_by: str | None = None) -> DataFrame:
     """Copy a silver table to a gold path and read the copy back."""
     if partition_by:
