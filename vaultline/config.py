@@ -31,7 +31,11 @@ RISK_LABELS = ("Low", "Medium", "High")
 
 @dataclass(frozen=True)
 class RiskConfig:
-    """All tunables of the flags and scores (defaults = source values)."""
+    """All tunables of the flags and scores.
+
+    Fixed values: the defaults of the first eleven fields are the source
+    pipeline's thresholds and weights, stated plainly and in its order.
+    """
 
     high_amount: float = 50000.0
     rapid_window_s: int = 300
