@@ -185,3 +185,18 @@ def test_random_batches_in_any_order_equal_one_shot(spark, order):
     assert got.count() == one_shot.count() == 964
     assert got.exceptAll(one_shot).count() == 0 and one_shot.exceptAll(got).count() == 0
     assert got.filter(F.col("rapid_txn_flag") == 1).count() > 0
+
+
+def test_command_line_load(spark):
+    from vaultline.plans import run
+
+    raw = scratch_path(spark, "cli-raw")
+    fx.customers(spark, SF).write.option("header", True).csv(f"{raw}/customers")
+    fx.accounts(spark, SF).write.option("header", True).csv(f"{raw}/accounts")
+    fx.transactions_raw(spark, SF).write.json(f"{raw}/transactions")
+    lake = scratch_path(spark, "cli-lake")
+    out = run.main(["--lake", lake, "--as-of", AS_OF_1, "--customers", f"{raw}/customers", "--accounts",
+                    f"{raw}/accounts", "--transactions", f"{raw}/transactions", "--fixture-thresholds",
+                    "--publish-db", "gold_cli"])
+    assert out["transaction_quality"]["kept_rows"] == 964
+    assert spark.table("gold_cli.fact_fraud").count() == 964

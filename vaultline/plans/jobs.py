@@ -306,6 +306,7 @@ def run_jobs(
     cfg: RiskConfig,
     location_map: Mapping[str, str] | DataFrame | None = None,
     json_multiline: bool = False,
+    publish_db: str | None = None,
 ) -> dict:
     """One load of the whole lake, in the source's job order: ingest each
     raw source given (name -> path), SCD2 customers, SCD1 accounts,
@@ -322,5 +323,5 @@ def run_jobs(
     if "transactions" in raw:
         out["transaction_quality"] = load_silver_transactions(spark, lake, cfg, location_map)
         days = out["transaction_quality"].get("days")
-    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map, days=days)
+    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map, days=days, publish_db=publish_db)
     return out
