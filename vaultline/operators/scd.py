@@ -115,14 +115,17 @@ def scd2_apply(
     tracked: Sequence[str] = ("customer_type",),
     insert_new_keys: bool = True,
     order_by: Sequence[str] = (),
+    keep_expired: bool = True,
 ) -> DataFrame:
     """Apply one staging batch to an SCD2 table (``None`` = first load).
 
-    Staging rows without a key are skipped (they could never match, so
-    every re-apply would insert them again).  Per key: unchanged or absent from staging -> kept as is; tracked value
+    Per key: unchanged or absent from staging -> kept as is; tracked value
     changed -> old version closed at ``as_of`` and a new one opened at
     ``as_of``; key new -> opened (unless ``insert_new_keys=False``).
-    Re-applying the same batch changes nothing.
+    Staging rows without a key are skipped (they could never match, so
+    every re-apply would insert them again).  Re-applying the same batch
+    changes nothing.  ``keep_expired=False`` returns only the current rows
+    and the rows this batch closes (for tables that keep history apart).
     """
     if silver is None:
         return scd2_init(dedupe(staging.filter(F.col(key).isNotNull()), [key], order_by), as_of)
@@ -137,7 +140,7 @@ def scd2_apply(
     second = F.when(changed, opened)
     rows = F.filter(F.array(first, second), lambda r: r.isNotNull())
     out = t.join(s, "_k", "full_outer").select(F.inline(rows))
-    return out.unionByName(expired_only(silver))
+    return out.unionByName(expired_only(silver)) if keep_expired else out
 
 
 def changed_keys(staging: DataFrame, expired: DataFrame, key: str) -> DataFrame:

@@ -93,7 +93,7 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
         return path
     current = read_silver_customers(spark, lake, current_only=True)
     data_cols = [c for c in current.columns if c not in scd.SCD_COLUMNS]
-    step = scd.scd2_apply(current, staging.select(*data_cols), "customer_id", as_of, tracked)
+    step = scd.scd2_apply(current, staging.select(*data_cols), "customer_id", as_of, tracked, keep_expired=False)
     tables.overwrite_partitions(step.select(*current.columns), path, scd.END, n_values=2)
     return path
 
