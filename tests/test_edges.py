@@ -152,3 +152,15 @@ def test_audit_columns_fixed(spark):
     assert row.created_timestamp == dt.datetime(2024, 1, 1)
     assert row.source_table == "customers.csv"
     assert F is not None
+
+
+def test_mean_on_a_rounding_tie_is_exact(spark):
+    """2,000 scores averaging exactly 0.30805: HALF_UP gives 0.3081 however
+    the additions are ordered (a float sum can land on either side)."""
+    rows = [(f"t{i}", "A", 1.0, 0.4 if i < 161 else 0.3, "Medium") for i in range(2000)]
+    df = spark.createDataFrame(
+        rows, "transaction_id string, account_id string, amount double, fraud_score double, fraud_risk_category string"
+    ).withColumn("txn_date", F.lit("2024-01-29").cast("date"))
+    for n in (1, 7, 16):
+        got = kpi.kpi_daily_fraud(df.repartition(n)).first().avg_fraud_score
+        assert got == 0.3081

@@ -62,6 +62,23 @@ def classify(score: Column, low: float, medium: float, null_label: str | None =
     return expr.otherwise(F.lit(hi))
 
 
+def units(value: Column, scale: int = 2) -> Column:
+    """Exact integer units of a value held to ``scale`` decimals (e.g. a
+    score rounded to 2 places: 0.3 -> 30), summable without float noise."""
+    return F.round(value * F.lit(10**scale)).cast("long")
+
+
+def exact_mean(units_sum: str, count: str, scale: int = 2, places: int = 4) -> Column:
+    """HALF_UP rounding to ``places`` of ``units_sum / (count * 10^scale)``,
+    computed in integers over two aggregated columns (non-negative
+    values), so the result does not depend on the order of additions."""
+    num = f"CAST({units_sum} AS DECIMAL(38,0)) * {2 * 10**places} + CAST({count} AS DECIMAL(38,0)) * {10**scale}"
+    den = f"CAST({count} AS DECIMAL(38,0)) * {2 * 10**scale}"
+    return F.expr(
+        f"CASE WHEN {count} = 0 THEN NULL ELSE CAST(({num}) div ({den}) AS DOUBLE) / {float(10**places)!r} END"
+    )
+
+
 def lookup_expr(key: Column, mapping: Mapping[str, str], default: str | None) -> Column:
     """Literal map lookup; a missing key or NULL gives ``default``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.config import CHURN_BY_STATUS, CHURN_DEFAULT
-from vaultline.functions.exprs import lookup_expr
+from vaultline.functions.exprs import exact_mean, lookup_expr, units
 
 
 def churn_risk(accounts: DataFrame, status_col: str = "status") -> DataFrame:
@@ -28,7 +28,8 @@ def alert_summary(fact_fraud: DataFrame, k: int = 10, label: str = "High") -> Da
     """Top-k accounts by number of ``label`` transactions.
 
     Ties are broken by total amount (desc) then account_id (asc), so the
-    cut is deterministic.  Sums are rounded (2 places; averages 4) so the
+    cut is deterministic.  The amount sum is rounded to 2 places and the
+    mean score is exact (integer units, rounded once to 4 places), so the
     result does not depend on the order of floating-point additions.
     The plan is partial agg -> shuffle -> final agg -> TakeOrderedAndProject;
     only k rows per task ever reach the driver.
@@ -39,8 +40,11 @@ def alert_summary(fact_fraud: DataFrame, k: int = 10, label: str = "High") -> Da
         .agg(
             F.count("transaction_id").alias("high_risk_txn_count"),
             F.round(F.sum("amount"), 2).alias("total_amount"),
-            F.round(F.avg("fraud_score"), 4).alias("avg_fraud_score"),
+            F.sum(units(F.col("fraud_score"))).alias("_su"),
+            F.count("fraud_score").alias("_sn"),
         )
+        .withColumn("avg_fraud_score", exact_mean("_su", "_sn"))
+        .drop("_su", "_sn")
     )
     return agg.orderBy(F.desc("high_risk_txn_count"), F.desc("total_amount"), F.asc("account_id")).limit(k)
 
@@ -48,13 +52,23 @@ def alert_summary(fact_fraud: DataFrame, k: int = 10, label: str = "High") -> Da
 def kpi_daily_fraud(fact_fraud: DataFrame, ordered: bool = True) -> DataFrame:
     """Per day and class: transactions, amount (2 places), mean score (4).
 
+    Scores hold 2 decimals, so the mean is taken over exact integer units
+    and rounded once (HALF_UP): a mean that lands exactly on a rounding
+    tie (e.g. 0.30805) no longer flips with the order of additions.
+
     Partial aggregation runs before the shuffle, so a hot day costs no
     more than any other; the sort is over the small aggregated result
     (days x classes).
     """
-    agg = fact_fraud.groupBy("txn_date", "fraud_risk_category").agg(
-        F.count("transaction_id").alias("transaction_count"),
-        F.round(F.sum("amount"), 2).alias("total_amount"),
-        F.round(F.avg("fraud_score"), 4).alias("avg_fraud_score"),
+    agg = (
+        fact_fraud.groupBy("txn_date", "fraud_risk_category")
+        .agg(
+            F.count("transaction_id").alias("transaction_count"),
+            F.round(F.sum("amount"), 2).alias("total_amount"),
+            F.sum(units(F.col("fraud_score"))).alias("_su"),
+            F.count("fraud_score").alias("_sn"),
+        )
+        .withColumn("avg_fraud_score", exact_mean("_su", "_sn"))
+        .drop("_su", "_sn")
     )
     return agg.orderBy("txn_date", "fraud_risk_category") if ordered else agg

@@ -15,6 +15,13 @@ def rnd(expr: str, n: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
+def exact_mean_sql(col: str) -> str:
+    """Mean of a 2-decimal column, HALF_UP to 4 places, in integer units."""
+    su = f"sum(CAST(round({col} * 100) AS HUGEINT))"
+    n = f"CAST(count({col}) AS HUGEINT)"
+    return f"CASE WHEN count({col}) = 0 THEN NULL ELSE CAST(({su} * 20000 + {n} * 100) // ({n} * 200) AS DOUBLE) / 10000.0 END"
+
+
 def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
@@ -256,12 +263,12 @@ ORACLE["high_risk_count"] = clean_chain(
 ORACLE["alert_top10_accounts"] = clean_chain(
     "SELECT account_id, high_risk_txn_count, total_amount, avg_fraud_score FROM ("
     f"SELECT account_id, count(transaction_id) AS high_risk_txn_count, {rnd('sum(amount)', 2)} AS total_amount, "
-    f"{rnd('avg(fraud_score)', 4)} AS avg_fraud_score FROM t_fact WHERE fraud_risk_category = 'High' "
+    f"{exact_mean_sql('fraud_score')} AS avg_fraud_score FROM t_fact WHERE fraud_risk_category = 'High' "
     "GROUP BY account_id) ORDER BY high_risk_txn_count DESC, total_amount DESC, account_id ASC LIMIT 10"
 )
 ORACLE["kpi_daily_fraud"] = clean_chain(
     "SELECT txn_date, fraud_risk_category, count(transaction_id) AS transaction_count, "
-    f"{rnd('sum(amount)', 2)} AS total_amount, {rnd('avg(fraud_score)', 4)} AS avg_fraud_score "
+    f"{rnd('sum(amount)', 2)} AS total_amount, {exact_mean_sql('fraud_score')} AS avg_fraud_score "
     "FROM t_fact GROUP BY txn_date, fraud_risk_category"
 )
 
