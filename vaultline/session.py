@@ -27,6 +27,8 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "vaultl
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # checkpoint files are removed once their DataFrame is gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # no Python call-site capture on every DataFrame call (driver-side
         # cost only; error messages lose the Python line)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
