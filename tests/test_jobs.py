@@ -195,8 +195,16 @@ def test_command_line_load(spark):
     fx.accounts(spark, SF).write.option("header", True).csv(f"{raw}/accounts")
     fx.transactions_raw(spark, SF).write.json(f"{raw}/transactions")
     lake = scratch_path(spark, "cli-lake")
+    import json
+    import os
+
+    cfg_path = os.path.join(scratch_path(spark, "cli-cfg").replace("file:", ""), "cfg.json")
+    os.makedirs(os.path.dirname(cfg_path), exist_ok=True)
+    with open(cfg_path, "w") as f:
+        json.dump({"high_amount": 100.0, "rapid_window_s": 21600, "fraud_weights": [0.4, 0.3, 0.3]}, f)
     out = run.main(["--lake", lake, "--as-of", AS_OF_1, "--customers", f"{raw}/customers", "--accounts",
-                    f"{raw}/accounts", "--transactions", f"{raw}/transactions", "--fixture-thresholds",
+                    f"{raw}/accounts", "--transactions", f"{raw}/transactions", "--config", cfg_path,
                     "--publish-db", "gold_cli"])
     assert out["transaction_quality"]["kept_rows"] == 964
+    assert out["transaction_quality"]["high_amount_rows"] > 0
     assert spark.table("gold_cli.fact_fraud").count() == 964

@@ -12,10 +12,11 @@ one JSON line.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 import json
 
-from vaultline.config import FIXTURE, SOURCE
+from vaultline.config import FIXTURE, SOURCE, RiskConfig
 from vaultline.plans import jobs
 from vaultline.session import get_spark
 
@@ -31,13 +32,22 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--multiline-json", action="store_true", help="transactions are whole-file JSON documents")
     ap.add_argument("--publish-db", default=None, help="register gold outputs in this catalog database")
     ap.add_argument("--fixture-thresholds", action="store_true", help="use the test-data thresholds")
+    ap.add_argument("--config", default=None, help="JSON file overriding RiskConfig fields, e.g. {\"high_amount\": 10000}")
     args = ap.parse_args(argv)
+    cfg = FIXTURE if args.fixture_thresholds else SOURCE
+    if args.config:
+        with open(args.config) as f:
+            overrides = json.load(f)
+        unknown = set(overrides) - {fl.name for fl in dataclasses.fields(RiskConfig)}
+        if unknown:
+            ap.error(f"unknown RiskConfig fields: {sorted(unknown)}")
+        cfg = dataclasses.replace(cfg, **{k: tuple(v) if isinstance(v, list) else v for k, v in overrides.items()})
 
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     raw = {n: getattr(args, n) for n in SOURCE_ARGS if getattr(args, n)}
     spark = get_spark()
     out = jobs.run_jobs(
-        spark, jobs.Lake(args.lake.rstrip("/")), raw, as_of, FIXTURE if args.fixture_thresholds else SOURCE,
+        spark, jobs.Lake(args.lake.rstrip("/")), raw, as_of, cfg,
         json_multiline=args.multiline_json, publish_db=args.publish_db,
     )
     print(json.dumps(out, default=str))
