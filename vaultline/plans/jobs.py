@@ -224,6 +224,10 @@ def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, l
 
 # ------------------------------------------------------------------ gold ---
 
+def _latest(spark: SparkSession, base: str) -> str:
+    return tables.version_path(base, tables.versions(spark, base)[-1])
+
+
 def build_gold(
     spark: SparkSession,
     lake: Lake,
@@ -231,6 +235,7 @@ def build_gold(
     location_map: Mapping[str, str] | DataFrame | None = None,
     days: Sequence[object] | None = None,
     publish_db: str | None = None,
+    customer_as_of: str | None = None,
 ) -> dict:
     """Facts, dimensions and KPIs from silver (jobs 4-6 of the source).
 
@@ -238,58 +243,79 @@ def build_gold(
     silver load reported, the day-partitioned facts are recomputed for
     those days only (dynamic partition overwrite), the daily KPI is
     recomputed for them and merged with the other days, and the location
-    and date dimensions are extended; work is proportional to the load,
-    not to the history.  ``publish_db`` also registers every gold output
-    as an external catalog table ``publish_db.<name>`` (metadata only).
+    and date dimensions are extended (``days=[]``: no transaction changed,
+    so none of these is touched).  ``dim_customer`` mirrors the
+    ``effective_end`` partitions of silver: after a customer load at
+    ``customer_as_of`` only the partitions {NULL, as_of} are copied, and an
+    incremental run without a customer load leaves it as it is.  Work is
+    proportional to the load, not to the history.  ``publish_db`` also
+    registers every gold output as an external catalog table
+    ``publish_db.<name>`` (metadata only).
     """
     silver_txn = spark.read.parquet(lake.silver("transactions"))
-    customers = read_silver_customers(spark, lake)
     accounts = tables.read_table(spark, lake.silver("accounts"))
     out: dict = {}
-    paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions")}
-    incremental = days is not None and all(tables._exists(spark, p) for p in paths.values())
+    paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions", "dim_customer")}
+    incremental = days is not None and all(tables._exists(spark, paths[n]) for n in ("fact_fraud", "fact_transactions"))
+    bases = {n: lake.gold(n) for n in ("kpi_daily_fraud", "dim_location", "dim_date")}
+    nothing_new = incremental and not days and all(tables.table_exists(spark, b) for b in bases.values())
     touched = silver_txn.filter(_day_filter(days)) if incremental else silver_txn
 
-    fact = scores.build_fact_fraud(touched, cfg)
-    for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
-        if incremental:
-            tables.overwrite_partitions(df, paths[name], "txn_date", len(days))
-        else:
-            tables.write_partitioned(df, paths[name], "txn_date")
-        out[name] = paths[name]
-
-    fact_days = spark.read.parquet(paths["fact_fraud"])
-    kpi_base = lake.gold("kpi_daily_fraud")
-    if incremental and tables.table_exists(spark, kpi_base):
-        fresh = kpi.kpi_daily_fraud(fact_days.filter(_day_filter(days)), ordered=False)
-        kept = tables.read_table(spark, kpi_base).filter(~F.coalesce(_day_filter(days), F.lit(False)))
-        daily = kept.unionByName(fresh).orderBy("txn_date", "fraud_risk_category")
-    else:
-        daily = kpi.kpi_daily_fraud(fact_days)
-    out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base)
-
-    loc_base = lake.gold("dim_location")
-    if tables.table_exists(spark, loc_base):
-        locs = dims.extend_dim_location(tables.read_table(spark, loc_base), touched, location_map)
+    if nothing_new:
+        out.update({n: paths[n] for n in ("fact_fraud", "fact_transactions")})
+        out.update({n: _latest(spark, b) for n, b in bases.items()})
     else:
-        locs = dims.build_dim_location(touched, location_map)
-    out["dim_location"] = tables.write_snapshot(locs, loc_base)
+        fact = scores.build_fact_fraud(touched, cfg)
+        for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
+            if incremental:
+                tables.overwrite_partitions(df, paths[name], "txn_date", len(days))
+            else:
+                tables.write_partitioned(df, paths[name], "txn_date")
+            out[name] = paths[name]
+
+        fact_days = spark.read.parquet(paths["fact_fraud"])
+        kpi_base = bases["kpi_daily_fraud"]
+        if incremental and tables.table_exists(spark, kpi_base):
+            fresh = kpi.kpi_daily_fraud(fact_days.filter(_day_filter(days)), ordered=False)
+            kept = tables.read_table(spark, kpi_base).filter(~F.coalesce(_day_filter(days), F.lit(False)))
+            daily = kept.unionByName(fresh).orderBy("txn_date", "fraud_risk_category")
+        else:
+            daily = kpi.kpi_daily_fraud(fact_days)
+        out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base)
 
-    date_base = lake.gold("dim_date")
-    if incremental and tables.table_exists(spark, date_base):
-        span = tables.read_table(spark, date_base).select(F.col("full_date").alias("txn_date")).unionByName(
-            touched.select("txn_date")
+        loc_base = bases["dim_location"]
+        if tables.table_exists(spark, loc_base):
+            locs = dims.extend_dim_location(tables.read_table(spark, loc_base), touched, location_map)
+        else:
+            locs = dims.build_dim_location(touched, location_map)
+        out["dim_location"] = tables.write_snapshot(locs, loc_base)
+
+        date_base = bases["dim_date"]
+        if incremental and tables.table_exists(spark, date_base):
+            span = tables.read_table(spark, date_base).select(F.col("full_date").alias("txn_date")).unionByName(
+                touched.select("txn_date")
+            )
+        else:
+            span = silver_txn.select("txn_date")
+        out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base)
+
+    cust_path = paths["dim_customer"]
+    if not tables._exists(spark, cust_path) or (days is None and customer_as_of is None):
+        read_silver_customers(spark, lake).write.mode("overwrite").partitionBy(scd.END).parquet(cust_path)
+    elif customer_as_of is not None:
+        end = F.col(scd.END)
+        changed = read_silver_customers(spark, lake).filter(
+            end.isNull() | (end == F.lit(customer_as_of).cast("timestamp_ntz"))
         )
-    else:
-        span = silver_txn.select("txn_date")
-    out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base)
+        tables.overwrite_partitions(changed, cust_path, scd.END, n_values=2)
+    out["dim_customer"] = cust_path
 
     if tables.table_exists(spark, lake.bronze("credit_history")):
         credit = tables.read_table(spark, lake.bronze("credit_history"))
         out["fact_credit"] = tables.write_snapshot(
-            scores.build_fact_credit(credit, scd.current_only(customers), cfg), lake.gold("fact_credit")
+            scores.build_fact_credit(credit, read_silver_customers(spark, lake, current_only=True), cfg),
+            lake.gold("fact_credit"),
         )
-    out["dim_customer"] = tables.write_snapshot(customers, lake.gold("dim_customer"))
     out["dim_accounts"] = tables.write_snapshot(accounts, lake.gold("dim_accounts"))
     out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"))
     if publish_db:
@@ -319,9 +345,12 @@ def run_jobs(
         out["silver_customer"] = load_silver_customers(spark, lake, as_of)
     if "accounts" in raw:
         out["silver_accounts"] = load_silver_accounts(spark, lake)
-    days = None
+    days: list = []  # no transaction load: no transaction day changed
     if "transactions" in raw:
         out["transaction_quality"] = load_silver_transactions(spark, lake, cfg, location_map)
         days = out["transaction_quality"].get("days")
-    out["gold"] = build_gold(spark, lake, cfg, location_map=location_map, days=days, publish_db=publish_db)
+    out["gold"] = build_gold(
+        spark, lake, cfg, location_map=location_map, days=days, publish_db=publish_db,
+        customer_as_of=as_of if "customers" in raw else None,
+    )
     return out
