@@ -42,7 +42,14 @@ def build_dim_date_for(df: DataFrame, date_col: str) -> DataFrame:
     return calendar(year_spine_of(df, date_col))
 
 
-def assign_key(df: DataFrame, order_col: str, out: str, start: int = 0, num_partitions: int | None = None) -> DataFrame:
+def assign_key(
+    df: DataFrame,
+    order_col: str,
+    out: str,
+    start: int = 0,
+    num_partitions: int | None = None,
+    dtype: str = "int",
+) -> DataFrame:
     """Dense key ``start + 1, start + 2, ...`` in ``order_col`` order, without
     funnelling the rows through one task (a global ``row_number`` window
     plans an ``Exchange SinglePartition``).
@@ -56,7 +63,9 @@ def assign_key(df: DataFrame, order_col: str, out: str, start: int = 0, num_part
        per partition, a size bound known up front, so it is broadcast);
     4. key = start + offset + position + 1.
     Ties in ``order_col`` get distinct keys in arbitrary order (as with
-    ``row_number``).
+    ``row_number``).  Keys are ``int`` like the source's; pass
+    ``dtype="long"`` for more than 2^31 rows (ANSI mode raises rather
+    than wrapping).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -78,7 +87,7 @@ def assign_key(df: DataFrame, order_col: str, out: str, start: int = 0, num_part
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     keyed = ranged.join(F.broadcast(offsets), "_pid")
-    return keyed.withColumn(out, (F.lit(start) + F.col("_off") + F.col("_pos") + F.lit(1)).cast("int")).drop(
+    return keyed.withColumn(out, (F.lit(start) + F.col("_off") + F.col("_pos") + F.lit(1)).cast(dtype)).drop(
         "_pid", "_pos", "_off"
     )
 
