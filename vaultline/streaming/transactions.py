@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,9 +51,16 @@ def start_transaction_stream(
     stream = add_audit(stream, "transactions.json", as_of)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        jobs.append_silver_transactions(
-            batch.sparkSession, batch, accounts(), customers_current(), silver_path, cfg, location_map
-        )
+        # the load reads its batch several times (bounds, rows, keys,
+        # accounts): parse the landed files once (spills to disk; lost
+        # blocks are recomputed from the files)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            jobs.append_silver_transactions(
+                batch.sparkSession, batch, accounts(), customers_current(), silver_path, cfg, location_map
+            )
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(load).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint")
