@@ -65,3 +65,27 @@ def test_scd2_apply_shuffles_only_current_rows(spark):
     p = _plan(df)
     assert "FullOuter" in p or "full" in p.lower()
     assert "Python" not in p
+
+
+def test_top10_is_take_ordered_and_kpi_has_no_single_partition(spark):
+    p = _plan(C.QUERIES["alert_top10_accounts"](spark, SF))
+    assert "TakeOrderedAndProject" in p
+    k = _plan(C.QUERIES["kpi_daily_fraud"](spark, SF))
+    assert "SinglePartition" not in k and "rangepartitioning" in k
+
+
+def test_lookup_join_broadcasts_only_within_its_bound(spark):
+    from pyspark.sql import functions as F
+
+    from vaultline.operators.lookup import lookup_join
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select(F.format_string("L%d", F.col("id") % 7).alias("location"))
+        mapping = spark.range(7).select(F.format_string("L%d", "id").alias("location"), F.lit("X").alias("country"))
+        small = _plan(lookup_join(df, "location", mapping, "location", "country", "c", "Unknown", max_broadcast_rows=10))
+        big = _plan(lookup_join(df, "location", mapping, "location", "country", "c", "Unknown", max_broadcast_rows=3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
