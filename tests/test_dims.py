@@ -45,3 +45,10 @@ def test_extend_keeps_keys(spark):
     more = spark.createDataFrame([("London",), ("Athens",), ("Mumbai",)], "location string")
     ext = {r.location: (r.location_key, r.country, r.region) for r in dims.extend_dim_location(first, more).collect()}
     assert ext == {"London": (1, "UK", "Europe"), "Mumbai": (2, "India", "Asia"), "Athens": (3, "Unknown", "Other")}
+
+
+def test_two_phase_key_with_adaptive_partitions(spark):
+    df = spark.range(3000).select(F.format_string("k%05d", (F.col("id") * 7919) % 3000).alias("k"))
+    a = {r.k: r.key for r in dims.assign_key(df, "k", "key").collect()}
+    b = {r.k: r.key for r in dims.assign_key_single(df, "k", "key").collect()}
+    assert a == b

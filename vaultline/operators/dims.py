@@ -69,10 +69,15 @@ def assign_key(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without an explicit count AQE may merge neighbouring ranges (a small
+    # dimension becomes a few tasks, not spark.sql.shuffle.partitions);
+    # merged ranges stay contiguous and in order, so positions hold
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, F.col(order_col))
+    else:
+        ranged = df.repartitionByRange(F.col(order_col))
     ranged = (
-        df.repartitionByRange(n, F.col(order_col))
-        .sortWithinPartitions(order_col)
+        ranged.sortWithinPartitions(order_col)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumns(
             {

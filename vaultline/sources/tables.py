@@ -237,9 +237,8 @@ def cluster_table(df: DataFrame, cols: Sequence[str], path: str, n_files: int |
     """Lay rows out clustered by ``cols``: range-partition into ``n_files``
     files, sorted inside each, so Parquet min/max statistics skip row
     groups on those columns.  The rows are unchanged."""
-    spark = df.sparkSession
-    n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols).write.mode(
-        "overwrite"
-    ).parquet(path)
+    keys = [F.col(c) for c in cols]
+    # no count given: AQE sizes the ranges (few files for a small table)
+    ranged = df.repartitionByRange(n_files, *keys) if n_files else df.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
     return path
