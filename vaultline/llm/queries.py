@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm.mixing import mix_sources
+from vaultline.llm.packing import pack_documents
 from vaultline.llm.repetition import repetition_quality
 
 
@@ -23,9 +24,22 @@ def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions")
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    """Content of a public tokenizer file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op9_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
+
+
 QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
     "op6_mix_curriculum": op6_mix_curriculum,
+    "op9_pack_min_slack": op9_pack_min_slack,
 }
 
 ORACLE: dict[str, str] = {}
