@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def by_size(batches: Iterator[pa.RecordBatch], name: str, most: int = 4 << 20) -
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(name))
-        sizes = np.cumsum([len(v) if v is not None else 0 for v in col.cast(pa.binary())])
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(col.cast(pa.binary())), 0).to_numpy(zero_copy_only=False))
         begin = 0
         while begin < batch.num_rows:
             used = sizes[begin - 1] if begin else 0
