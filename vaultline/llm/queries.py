@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.packing import pack_documents
 from vaultline.llm.repetition import repetition_quality
+from vaultline.llm.simhash import simhash_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +37,16 @@ def op9_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash_components(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op9_pack_min_slack": op9_pack_min_slack,
+    "op10_simhash_gray": op10_simhash_gray,
 }
 
 ORACLE: dict[str, str] = {}
