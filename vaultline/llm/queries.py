@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.llm import pii
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.packing import pack_documents
 from vaultline.llm.repetition import repetition_quality
@@ -25,6 +26,14 @@ def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions")
 
 
+def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = pii.find_pii(docs, keep=["doc_id"], models=pii.fit_models(docs))
+    counts = [F.size(F.filter("pii_base", lambda x: x["rank"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    base, spans = pii.spans_text(F.col("pii_base")), pii.spans_text(F.col("pii_spans"))
+    return got.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
     """Content of a public tokenizer file."""
     import public_tokenizers
@@ -44,6 +53,7 @@ def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
+    "op3_pii_boosted": op3_pii_boosted,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op9_pack_min_slack": op9_pack_min_slack,
     "op10_simhash_gray": op10_simhash_gray,
