@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import pii
+from vaultline.llm.common import fold_bucket
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.packing import pack_documents
+from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import simhash_components
 
@@ -26,6 +28,13 @@ def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions")
 
 
+def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold_bucket(F.col("doc_id")) == 1
+    got = ppm_score(docs, ~held_out, carry={"held_out": held_out})
+    return got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     got = pii.find_pii(docs, keep=["doc_id"], models=pii.fit_models(docs))
@@ -53,6 +62,7 @@ def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
+    "op2_ppm_score": op2_ppm_score,
     "op3_pii_boosted": op3_pii_boosted,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op9_pack_min_slack": op9_pack_min_slack,
