@@ -30,8 +30,8 @@ from vaultline.session import scratch_path
 
 BITS = 9  # of a symbol: 0 is a text's end, and what stands before its start; byte b is b + 1
 SYMBOLS = 257
-ORDER = 4
-CHUNK_BYTES = 32 << 20
+ORDER = 5
+CHUNK_BYTES = 48 << 20
 _PART_BYTES = 4 << 20
 _LOWER = bytes(range(256)).lower()
 _GRAM, _WORD = b"g", b"w"
