@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vaultline.llm import pii
 from vaultline.llm.common import fold_bucket
 from vaultline.llm.mixing import mix_sources
+from vaultline.llm.neardup import embedding_components
 from vaultline.llm.packing import pack_documents
 from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
@@ -55,6 +56,10 @@ def op9_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op8_embedding_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash_components(_table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_ppm_score": op2_ppm_score,
     "op3_pii_boosted": op3_pii_boosted,
     "op6_mix_curriculum": op6_mix_curriculum,
+    "op8_embedding_collisions": op8_embedding_collisions,
     "op9_pack_min_slack": op9_pack_min_slack,
     "op10_simhash_gray": op10_simhash_gray,
 }
