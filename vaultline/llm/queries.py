@@ -13,6 +13,7 @@ from vaultline.llm.packing import pack_documents
 from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import simhash_components
+from vaultline.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,13 @@ def op1_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(docs, spans_too=False).drop("text")
 
 
+def op5_toxicity_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_bucket(F.col("doc_id")) == 0
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return score_toxicity(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions")
@@ -69,6 +77,7 @@ QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
     "op2_ppm_score": op2_ppm_score,
     "op3_pii_boosted": op3_pii_boosted,
+    "op5_toxicity_subword": op5_toxicity_subword,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op8_embedding_collisions": op8_embedding_collisions,
     "op9_pack_min_slack": op9_pack_min_slack,
