@@ -35,10 +35,11 @@ class ToxicityRules:
     grams: tuple[int, ...] = (3, 4, 5)
     bucket_bits: int = 18
     dimension: int = 8
-    epochs: int = 8
+    epochs: int = 12
     batch: int = 64
     rate: float = 1.0
-    least_texts: int = 8  # buckets of fewer sample texts have no vector
+    decay: float = 0.015  # of the vectors, each step, times the rate
+    least_share: float = 0.005  # buckets in fewer of the sample's texts (and in under 2) have no vector
     held: int = 5  # every so many sample rows calibrate instead of training
     seed: int = 11
 
@@ -108,7 +109,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, rules: ToxicityRul
     frequency = np.zeros(size, np.int64)
     for u, _ in rows:
         frequency[u] += 1
-    live = frequency >= rules.least_texts
+    live = frequency >= max(2, rules.least_share * len(texts))
     slot = np.cumsum(live) - 1
     data = []
     for u, n in rows:
@@ -145,6 +146,8 @@ def train(texts: list[str], labels: np.ndarray, share: float, rules: ToxicityRul
                 m_ += 0.1 * g
                 v_ *= 0.99
                 v_ += 0.01 * g * g
+                if p_ is vec:
+                    p_ *= 1 - r * rules.decay
                 p_ -= r * (m_ / (1 - 0.9**step)) / (np.sqrt(v_ / (1 - 0.99**step)) + 1e-8)
     value = np.zeros(size)
     value[live] = vec @ (soft[:, 1] - soft[:, 0])
