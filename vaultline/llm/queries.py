@@ -10,6 +10,7 @@ from vaultline.llm.common import fold_bucket
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.neardup import embedding_components
 from vaultline.llm.packing import pack_documents
+from vaultline.llm.pages import extract_pages
 from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import simhash_components
@@ -25,6 +26,10 @@ def op1_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(docs, spans_too=False).drop("text")
 
 
+def op4_extract_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold_bucket(F.col("doc_id")) == 0
@@ -77,6 +82,7 @@ QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
     "op2_ppm_score": op2_ppm_score,
     "op3_pii_boosted": op3_pii_boosted,
+    "op4_extract_template": op4_extract_template,
     "op5_toxicity_subword": op5_toxicity_subword,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op8_embedding_collisions": op8_embedding_collisions,
