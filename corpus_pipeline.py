@@ -1,4 +1,5 @@
-"""The corpus pipeline: quality rules and mixing over ``documents``.
+"""The corpus pipeline over ``documents``: quality rules, near duplicates,
+personal data, mixing, packing.
 
 STAGES are (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
@@ -14,10 +15,13 @@ from vaultline.session import scratch_path
 
 STAGES = [
     ("quality rules", stages.quality),
+    ("simhash near-dedup", stages.near_duplicates),
+    ("personal data", stages.personal_data),
     ("mixing to target weights", stages.mixing),
+    ("best-fit packing", stages.packing),
 ]
 
-#: suffix arrays, fingerprints, trees and packing are not SQL; tests compare with brute force
+#: suffix arrays, fingerprints, boosted trees and packing are not SQL; tests compare with brute force
 ORACLE_SQL = None
 
 

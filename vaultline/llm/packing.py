@@ -107,6 +107,16 @@ def document_ids(text: bytes, words: WordIds) -> np.ndarray:
 _END = np.array([END_ID], np.uint32).tobytes()
 
 
+def tokenizer_json(path: str | None = None) -> str:
+    """Content of a tokenizer file, the public word BPE by default."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 def token_pieces(docs: DataFrame, tokenizer_json: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: ``doc_id``, piece, start, length,
     ids_crc32 (of the ids as little-endian unsigned 32 bits) and, if asked

@@ -9,7 +9,7 @@ from vaultline.llm import pii
 from vaultline.llm.common import fold_bucket
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.neardup import embedding_components
-from vaultline.llm.packing import pack_documents
+from vaultline.llm.packing import pack_documents, tokenizer_json
 from vaultline.llm.pages import extract_pages
 from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
@@ -57,14 +57,6 @@ def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
 
 
-def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
-    """Content of a public tokenizer file."""
-    import public_tokenizers
-
-    with open(public_tokenizers.path(name), encoding="utf-8") as f:
-        return f.read()
-
-
 def op9_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vaultline.llm import pii
 from vaultline.llm.mixing import mix_sources, training_order
+from vaultline.llm.packing import pack_documents, tokenizer_json
 from vaultline.llm.repetition import repetition_quality
+from vaultline.llm.simhash import keep_one
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +17,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repetition_quality(docs, spans_too=False).where("kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind; ``n_chars`` follows."""
+    found = pii.find_pii(docs, models=pii.fit_models(docs))
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("pii_spans")))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.size("pii_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return clean.select(*docs.columns)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in training order: a document taken twice stands there twice."""
     rest = [c for c in docs.columns if c not in ("doc_id", "source")]
     return training_order(mix_sources(docs, carry=rest), docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in sequences of 2048 tokens."""
+    return pack_documents(docs, tokenizer_json())
