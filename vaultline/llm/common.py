@@ -49,8 +49,9 @@ def by_size(batches: Iterator[pa.RecordBatch], name: str, most: int = 4 << 20) -
             begin = end
 
 
-def renamed(df: DataFrame, prefix: str = "in_") -> tuple[DataFrame, dict[str, str]]:
-    """All columns under positional names, so that an operator's own column
-    names never clash with the caller's; the second value maps back."""
-    names = [f"{prefix}{i}" for i in range(len(df.columns))]
-    return df.toDF(*names), dict(zip(names, df.columns, strict=True))
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its columns named by place (``in_0``, ``in_1``, ...), so
+    that no name of its own can clash with an operator's, and what each name
+    has become."""
+    names = [f"in_{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))

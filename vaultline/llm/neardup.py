@@ -56,10 +56,11 @@ def _lines(dimension: int, count: int, seed: int) -> np.ndarray:
 def calibrate(sample: np.ndarray, mean: np.ndarray, total: int, cosine: float, recall: float, seed: int, window: float = 1.0, most: int = 512) -> Tables:
     """Tables for ``total`` vectors of the sample's kind.
 
-    Each sample vector gets a partner at exactly the limit; the share of them
-    that collide in a table gives the number of tables with which two
-    collisions reach ``recall`` (one collision where even ``most`` tables do
-    not), and then the largest count that still does."""
+    Each sample vector gets a partner at exactly the limit; how often the two
+    collide in trial tables gives the number of tables with which two
+    collisions reach ``recall`` on the average of the sample (one collision
+    where even ``most`` tables do not), and then the largest count that still
+    does."""
     d = sample.shape[1]
     sides = int(np.clip(np.log2(max(total, 1) / CELL), 0, 40))
     rng = np.random.default_rng(seed)
@@ -72,15 +73,16 @@ def calibrate(sample: np.ndarray, mean: np.ndarray, total: int, cosine: float, r
     lines = _lines(d, probe * (sides + 1), seed + 1)
     trial = Tables(lines, mean @ lines, probe, sides, window, 1)
     (ca, ha), (cb, hb) = trial.cells(sample), trial.cells(partner)
-    p = float(((ca == cb) & (np.abs(ha - hb) <= window)).mean()) if len(sample) else 1.0
-    p = min(max(p, 1e-6), 1 - 1e-9)
+    # of each vector by itself: where vectors crowd, pairs at the limit collide less often
+    hits = ((ca == cb) & (np.abs(ha - hb) <= window)).sum(axis=1)
+    p = (hits + 0.5) / (probe + 1) if len(sample) else np.full(1, 0.5)
 
     def enough(t: int, least: int) -> bool:
-        miss, term = 0.0, (1 - p) ** t
+        miss, term = np.zeros(len(p)), (1 - p) ** t
         for k in range(least):
             miss += term
-            term *= (t - k) / (k + 1) * p / (1 - p)
-        return 1 - miss >= recall
+            term = term * ((t - k) / (k + 1)) * p / (1 - p)
+        return float((1 - miss).mean()) >= recall
 
     tables = next((t for t in range(2, most + 1) if enough(t, 2)), None)
     if tables is None:

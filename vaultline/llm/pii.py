@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.boosting import Boosted, calibrate, fit
+from vaultline.llm.common import renamed
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -159,7 +160,7 @@ def fit_models(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule
     calibrates the threshold."""
     key = F.xxhash64(F.col(doc_id).cast("string"))
     picked = docs.select(key.alias("__key")).orderBy("__key").limit(rules.sample_documents).distinct()
-    sample = docs.withColumn("__key", key).join(F.broadcast(picked), "__key").select("__key", F.col(text).alias("__text"))
+    sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key")
     spans = _base(sample, "__text", [F.col("__key")])
     rows = None
     for k, kind in enumerate(KINDS):
@@ -184,10 +185,12 @@ def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     Base spans are always in ``pii_spans``; a proposal is added if its kind's
     model selects it and it overlaps no base span and no earlier added one.
     Null and empty texts have no spans; every row is taken by itself; an empty
-    table gives an empty result.  Names in ``keep`` may not begin with ``__``
-    or be one of the two."""
-    keep = docs.columns if keep is None else keep
-    spans = _base(docs, text, [F.col(c) for c in keep])
+    table gives an empty result.  A kept column that bears one of the two
+    names comes as ``in_`` and its name."""
+    src, at = renamed(docs)
+    wanted = docs.columns if keep is None else keep
+    keep = [at[c] for c in wanted]
+    spans = _base(src, at[text], [F.col(c) for c in keep])
     kind_of = "array<struct<start:int,rank:int,end:int>>"
     plain = lambda c, k: F.transform(c, lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("rank"), x["end"].alias("end")))
     base = F.array_sort(F.concat(*(plain(F.col(f"b_{kind}"), k) for k, kind in enumerate(KINDS))))
@@ -202,7 +205,9 @@ def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     ]
     added = reduce(lambda a, b: F.concat(a, b), more) if more else F.array().cast(kind_of)
     with_added = scored.select(*keep, "pii_base", added.alias("__added"))
-    return with_added.select(*keep, "pii_base", F.when(F.size("__added") == 0, F.col("pii_base")).otherwise(_merged(F.col("pii_base"), F.col("__added"))).alias("pii_spans"))
+    final = F.when(F.size("__added") == 0, F.col("pii_base")).otherwise(_merged(F.col("pii_base"), F.col("__added")))
+    names = [f"in_{c}" if c in ("pii_base", "pii_spans") else c for c in wanted]
+    return with_added.select(*keep, "pii_base", final.alias("pii_spans")).toDF(*names, "pii_base", "pii_spans")
 
 
 def _merged(base: Column, added: Column) -> Column:

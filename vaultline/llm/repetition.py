@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vaultline.llm.common import SPACES, by_size, text_bytes
+from vaultline.llm.common import SPACES, by_size, renamed, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 _NOT_WORD_CHARS = SPACES + bytes(range(0x80, 0xC0))  # white space and UTF-8 continuation bytes
@@ -223,19 +223,19 @@ def repetition_quality(docs: DataFrame, text: str = "text", rules: RepetitionRul
     an empty table gives an empty result.  No shuffle: one pass, in batches of
     about 4 MB of text or one longer text.
     """
-    own = set(MEASURES.names)
-    names = [f"in_{c}" if c in own else c for c in docs.columns]
-    src = docs.toDF(*names)
-    text = f"in_{text}" if text in own else text
+    src, at = renamed(docs)
+    body = at[text]
     kept = [f for f in MEASURES if spans_too or f.name != "repeat_spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_size(batches, text):
-            got = measure(text_bytes(b.column(b.schema.get_field_index(text))), rules, spans_too)
+        for b in by_size(batches, body):
+            got = measure(text_bytes(b.column(b.schema.get_field_index(body))), rules, spans_too)
             arrays = [pa.array(got[f.name], f.type) for f in kept]
             yield pa.RecordBatch.from_arrays([*b.columns, *arrays], names=[*b.schema.names, *(f.name for f in kept)])
 
     ddl = {"int64": "long", "bool": "boolean"}
-    fields = ", ".join(f"`{f.name}` {ddl.get(str(f.type), 'array<array<long>>')}" for f in kept)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields), fields])
-    return src.mapInArrow(run, schema)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields]
+    fields += [f"`{f.name}` {ddl.get(str(f.type), 'array<array<long>>')}" for f in kept]
+    own = {f.name for f in kept}
+    names = [f"in_{c}" if c in own else c for c in docs.columns]
+    return src.mapInArrow(run, ", ".join(fields)).toDF(*names, *(f.name for f in kept))

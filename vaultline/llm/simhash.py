@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import by_size, text_bytes
+from vaultline.llm.common import by_size, renamed, text_bytes
 from vaultline.llm.components import components, local_roots
 
 SEED = 42
@@ -250,15 +250,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     by the other columns, stays; rows without an id have no place in that
     order and all stay.  The table itself is joined once, with the (id, text
     hash) of the rows that go or share an id."""
-    got = simhash_components(docs.where(F.col(doc_id).isNotNull()), doc_id, text, width, distance).checkpoint()
+    src, at = renamed(docs)
+    key, body = at[doc_id], at[text]
+    got = simhash_components(src.where(F.col(key).isNotNull()), key, body, width, distance).checkpoint()
     per = got.groupBy("doc_id", "component_id").agg(F.count("*").alias("n"))
     shared = per.where("n > 1 and doc_id = component_id").select(F.col("doc_id").alias("s_id"))
     marks = got.join(shared, F.col("doc_id") == F.col("s_id"), "left").where("doc_id <> component_id or s_id is not null")
     marks = marks.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.min("component_id").alias("m_component"))
-    both = (docs[doc_id] == marks["m_id"]) & (F.xxhash64(docs[text]) == marks["m_hash"])
-    marked = docs.join(marks, both, "left")
-    names = docs.columns
-    once = marked.where("m_id is null").select(*(docs[c] for c in names))
+    marked = src.join(marks, (F.col(key) == F.col("m_id")) & (F.xxhash64(body) == F.col("m_hash")), "left")
+    names = src.columns
+    once = marked.where("m_id is null").select(*names)
     again = marked.where("m_id = m_component")
-    first = again.groupBy("m_component").agg(F.min(F.struct(docs[text], *(docs[c] for c in names if c != text))).alias("m_row"))
-    return once.unionByName(first.select(*(F.col("m_row")[c].alias(c) for c in names)))
+    first = again.groupBy("m_component").agg(F.min(F.struct(body, *(c for c in names if c != body))).alias("m_row"))
+    return once.unionByName(first.select(*(F.col("m_row")[c].alias(c) for c in names))).toDF(*docs.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import pii
+from vaultline.llm.common import renamed
 from vaultline.llm.mixing import mix_sources, training_order
 from vaultline.llm.packing import pack_documents, tokenizer_json
 from vaultline.llm.repetition import repetition_quality
@@ -14,27 +15,32 @@ from vaultline.llm.simhash import keep_one
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text passes the quality rules."""
-    return repetition_quality(docs, spans_too=False).where("kept").select(*docs.columns)
+    src, at = renamed(docs)
+    return repetition_quality(src, at["text"], spans_too=False).where("kept").select(*src.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies; rows without an id stay."""
     return keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind; ``n_chars`` follows."""
-    found = pii.find_pii(docs, models=pii.fit_models(docs))
-    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("pii_spans")))
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("pii_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+    src, at = renamed(docs)
+    text = at["text"]
+    found = pii.find_pii(src, text, models=pii.fit_models(src, at["doc_id"], text))
+    clean = found.withColumn(text, pii.redact(F.col(text), F.col("pii_spans")))
+    if "n_chars" in at:
+        clean = clean.withColumn(at["n_chars"], F.when(F.size("pii_spans") > 0, F.length(text).cast("long")).otherwise(F.col(at["n_chars"])))
+    return clean.select(*src.columns).toDF(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in training order: a document taken twice stands there twice."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "source")]
-    return training_order(mix_sources(docs, carry=rest), docs.columns)
+    src, at = renamed(docs)
+    doc_id, source = at["doc_id"], at["source"]
+    mixed = mix_sources(src, doc_id, at["text"], source, carry=[c for c in src.columns if c not in (doc_id, source)])
+    return training_order(mixed, src.columns, doc_id).toDF(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import by_size
+from vaultline.llm.common import by_size, renamed
 
 _SPACE = str.maketrans({c: " " for c in "\t\n\r\x0b\f"})
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -206,14 +206,15 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", keep: list
     empty table gives an empty result.  The broadcast model is of fixed size."""
     keep = docs.columns if keep is None else keep
     names = [f"in_{c}" if c in ("score", "predicted") else c for c in keep]
-    src = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"), *(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)))
+    src, at = renamed(docs)
+    src = src.select(F.coalesce(at[text], F.lit("")).alias("text"), *(at[c] for c in keep))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_size(batches, "__text", 1 << 20):
+        for b in by_size(batches, "text", 1 << 20):
             p = held.value.scores(b.column(0).to_pylist())
             cols = [*b.columns[1:], pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[1:], "score", "predicted"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[1:]]
-    return src.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
+    return src.mapInArrow(run, ", ".join([*fields, "score double, predicted int"])).toDF(*names, "score", "predicted")
