@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ from vaultline.session import scratch_path
 
 BITS = 9  # of a symbol: 0 is a text's end, and what stands before its start; byte b is b + 1
 SYMBOLS = 257
-ORDER = 5
-CHUNK_BYTES = 48 << 20
+ORDER = 4
+CHUNK_BYTES = 32 << 20
 _PART_BYTES = 4 << 20
 _LOWER = bytes(range(256)).lower()
 _GRAM, _WORD = b"g", b"w"
@@ -129,9 +130,16 @@ def count_table(docs: DataFrame, train: Column, text: str, order: int = ORDER) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        codes, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # leaves and counts, merged now and then
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            if not found:
+                return np.empty(0, np.int64), np.empty(0, np.int64)
+            codes, at = np.unique(np.concatenate([u for u, _ in found]), return_inverse=True)
+            return codes, np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(codes)).astype(np.int64)
 
         def flush() -> Iterator[pa.RecordBatch]:
+            codes, sums = merged()
             for keys, n in ((_gram_keys(codes), sums.tolist()), ([_WORD + w for w in words], list(words.values()))):
                 for i in range(0, len(keys), 50_000):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000], pa.binary()), pa.array(n[i : i + 50_000], pa.int64())], names=["key", "n"])
@@ -144,15 +152,14 @@ def count_table(docs: DataFrame, train: Column, text: str, order: int = ORDER) -
                     words.update(t.split())
                     words[b""] += 1  # the end, counted as a token
             for yes in (True, False):
-                c, _ = leaves([t for t, x in zip(texts, learn, strict=True) if x == yes], order)
-                u, n = np.unique(c, return_counts=True)
-                both, at = np.unique(np.concatenate((codes, u)), return_inverse=True)
-                sums = np.bincount(at, weights=np.concatenate((sums, n if yes else np.zeros(len(u)))), minlength=len(both)).astype(np.int64)
-                codes = both
-            if len(words) > 1_500_000 or len(codes) > 3_000_000:  # partial counts add up anyway
+                u, n = np.unique(leaves([t for t, x in zip(texts, learn, strict=True) if x == yes], order)[0], return_counts=True)
+                found.append((u, n if yes else np.zeros(len(u), np.int64)))
+            if sum(len(u) for u, _ in found) > 2_000_000:
+                found = [merged()]
+            if len(words) > 1_500_000 or len(found[0][0]) > 1_500_000:  # partial counts add up anyway
                 yield from flush()
                 words.clear()
-                codes, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+                found = []
         yield from flush()
 
     return src.mapInArrow(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -180,28 +187,31 @@ def leaf_costs(grams: DataFrame, order: int = ORDER) -> DataFrame:
     return coded.withColumn("tail", tail).groupBy("tail").applyInArrow(branch, "key binary, value double")
 
 
-def _asked(texts: list[bytes], order: int) -> tuple[np.ndarray, list[bytes]]:
-    """Distinct leaves and words of a chunk, both sorted; read in parts."""
-    codes, words = np.empty(0, np.int64), set()
-    for part in _parts(texts):
-        codes = np.union1d(codes, leaves(part, order)[0])
-        for t in part:
-            words.update(t.split())
-    return codes, sorted(words)
-
-
-def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _parts(texts: pa.ChunkedArray) -> Iterator[list[bytes]]:
+    """The texts in lower case, some megabytes at a time."""
     part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= _PART_BYTES:
-            yield part
-            part, size = [], 0
+    for block in texts.chunks:
+        for begin in range(0, len(block), 256):
+            for t in text_bytes(block.slice(begin, 256)):
+                part.append(t.translate(_LOWER))
+                size += len(t)
+                if size >= _PART_BYTES:
+                    yield part
+                    part, size = [], 0
     if part:
         yield part
 
 
+_UNSEEN = float(np.log10(0.5))
+
+
+class _Logs(dict):
+    """log10(count + 0.5) of a word; no known word has that of count 0."""
+
+    def __missing__(self, word: bytes) -> float:
+        return _UNSEEN
+
+
 def ppm_score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per document: doc_id, the ``carry`` columns, n_tokens, n_known,
     train_tokens, base_score and score.
@@ -231,38 +241,39 @@ def ppm_score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str
     src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
 
     def ask(table: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int32()), "at": pa.array([], pa.int32()), "key": pa.array([], pa.binary())})
-        codes, kinds_ = _asked([t.translate(_LOWER) for t in text_bytes(table["text"])], order)
-        keys = _gram_keys(codes) + [_WORD + w for w in kinds_]
-        n = len(keys)
-        return pa.table({"chunk": pa.array(np.full(n, table["chunk"][0].as_py(), np.int32)), "at": pa.array(np.arange(n, dtype=np.int32)), "key": pa.array(keys, pa.binary())})
-
-    asked = src.groupBy("chunk").applyInArrow(ask, "chunk int, at int, key binary")
-    answers = asked.join(model, "key").select("chunk", "at", "value")
+        """The distinct leaves and words of a chunk."""
+        codes, known = np.empty(0, np.int64), set()
+        for part in _parts(table["text"]):
+            codes = np.union1d(codes, leaves(part, order)[0])
+            for t in part:
+                known.update(t.split())
+        keys = pa.array(_gram_keys(codes) + [_WORD + w for w in known], pa.binary())
+        chunk = table["chunk"][0].as_py() if table.num_rows else 0
+        return pa.table({"chunk": pa.array(np.full(len(keys), chunk, np.int32)), "key": keys})
+
+    asked = src.groupBy("chunk").applyInArrow(ask, "chunk int, key binary")
+    answers = asked.join(model, "key").select("chunk", "key", "value")
     names = [f"c_{k}" for k in carry]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = [t.translate(_LOWER) for t in text_bytes(left["text"])] if left.num_rows else []
-        codes, kinds_ = _asked(texts, order)
-        value = np.zeros(len(codes) + len(kinds_))
-        value[right["at"].to_numpy()] = right["value"].to_numpy()
-        cost, known = value[: len(codes)], value[len(codes) :]
-        logs = dict(zip(kinds_, np.log10(known + 0.5).tolist(), strict=True))
-        unseen = {w for w, c in zip(kinds_, known.tolist(), strict=True) if not c}
+        is_word = pc.equal(pc.binary_slice(right["key"], 0, 1), _WORD)
+        grams, known = right.filter(pc.invert(is_word)), right.filter(is_word)
+        codes = np.frombuffer(b"".join(k[1:] for k in grams["key"].to_pylist()), ">i8").astype(np.int64)
+        order_ = np.argsort(codes)
+        codes, cost = codes[order_], grams["value"].to_numpy()[order_]
+        logs = _Logs(zip((k[1:] for k in known["key"].to_pylist()), np.log10(known["value"].to_numpy() + 0.5).tolist(), strict=True))
         scale, end_log = np.log10(size + 0.5 * (kinds + 1)), np.log10(end_count + 0.5)
         n_tokens, n_known, base, score_ = [], [], [], []
-        for part in _parts(texts):
+        for part in _parts(left["text"]):
             code, starts = leaves(part, order)
-            sums = np.add.reduceat(cost[np.searchsorted(codes, code)], starts[:-1])
-            score_ += sums.tolist()
+            score_ += np.add.reduceat(cost[np.searchsorted(codes, code)], starts[:-1]).tolist()
             for t in part:
-                w = t.split()
-                n_tokens.append(len(w) + 1)
-                n_known.append(len(w) - sum(map(unseen.__contains__, w)) + (end_count > 0))
-                base.append(sum(map(logs.__getitem__, w)) + end_log - (len(w) + 1) * scale)
+                each = list(map(logs.__getitem__, t.split()))
+                n_tokens.append(len(each) + 1)
+                n_known.append(len(each) - each.count(_UNSEEN) + (end_count > 0))
+                base.append(sum(each) + end_log - (len(each) + 1) * scale)
         cols = {"doc_id": left["doc_id"], **{n: left[n] for n in names}}
-        more = {"n_tokens": n_tokens, "n_known": n_known, "train_tokens": [size] * len(texts)}
+        more = {"n_tokens": n_tokens, "n_known": n_known, "train_tokens": [size] * len(base)}
         out = {**cols, **{k: pa.array(v, pa.int64()) for k, v in more.items()}}
         out |= {"base_score": pa.array(np.array(base, float)), "score": pa.array(np.array(score_, float))}
         return pa.table(out)
