@@ -177,12 +177,17 @@ def near_links(classes: DataFrame, spec: dict[int, Tables], cosine: float = 0.9)
     # cells over BLOCK, from keys alone; at most tables * vectors / BLOCK of them
     large = rows.groupBy("d", "t", "cell").count().where(F.col("count") > BLOCK)
     large = large.select(F.col("d").alias("l_d"), F.col("t").alias("l_t"), F.col("cell").alias("l_cell"), F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
-    both = rows.join(large, (rows["d"] == large["l_d"]) & (rows["t"] == large["l_t"]) & (rows["cell"] == large["l_cell"]), "left")
-    both = both.withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("parts"))).cast("int"))
-    other = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda k: F.struct(F.least(k, F.col("part") + 1).cast("long").alias("a"), F.greatest(k, F.col("part") + 1).cast("long").alias("b")))
-    blocks = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(other, lambda s: s["a"] * (1 << 31) + s["b"]))
+    large = large.checkpoint()
     keys = ["d", "t", "cell", "block"]
-    dealt = both.select("d", "t", "cell", F.explode(blocks).alias("block"), "part", "rep", "n", "vec")
+    if large.isEmpty():  # no cell to split: spare the vectors a shuffle
+        dealt = rows.select("d", "t", "cell", F.lit(0).cast("long").alias("block"), F.lit(0).alias("part"), "rep", "n", "vec")
+    else:
+        both = rows.join(large, (rows["d"] == large["l_d"]) & (rows["t"] == large["l_t"]) & (rows["cell"] == large["l_cell"]), "left")
+        both = both.withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("parts"))).cast("int"))
+        meets = lambda k: F.struct(F.least(k, F.col("part") + 1).cast("long").alias("a"), F.greatest(k, F.col("part") + 1).cast("long").alias("b"))
+        pairs = F.transform(F.transform(F.sequence(F.lit(1), F.col("parts")), meets), lambda s: s["a"] * (1 << 31) + s["b"])
+        blocks = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)
+        dealt = both.select("d", "t", "cell", F.explode(blocks).alias("block"), "part", "rep", "n", "vec")
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
