@@ -424,20 +424,59 @@ def _audit_columns(spark, d):
 
 @q("bronze_customers")
 def _bronze_customers(spark, d):
-    """Customers written as a CSV file, ingested with the declared schema."""
+    """Customers written as CSV with columns in another order and one that is
+    not declared: bound by name, nothing lost."""
     raw = scratch_path(spark, "raw-customers")
-    fx.customers(spark, d).write.option("header", True).csv(raw)
+    shuffled = fx.customers(spark, d).select(
+        "risk_category", "name", F.upper("name").alias("email"), "customer_id", "customer_type", "country"
+    )
+    shuffled.write.option("header", True).csv(raw)
     lake = jobs.Lake(scratch_path(spark, "lake"))
     jobs.ingest(spark, lake, "customers", raw, AS_OF_1)
     return tables.read_table(spark, lake.bronze("customers"))
 
 
+@q("bronze_credit")
+def _bronze_credit(spark, d):
+    """Credit history with fields that their type cannot take: NULL there, the
+    reason kept in ``_corrupt_record``."""
+    raw = scratch_path(spark, "raw-credit")
+    cid = F.col("customer_id")
+    bad = fx.credit(spark, d).select(
+        cid,
+        F.when(cid % 10 == 3, F.concat(F.col("credit_score").cast("string"), F.lit("x"))).otherwise(F.col("credit_score").cast("string")).alias("credit_score"),
+        "open_loans",
+        F.when(cid % 10 == 7, F.lit("notadate")).otherwise(F.col("last_default_date").cast("string")).alias("last_default_date"),
+    )
+    bad.write.option("header", True).csv(raw)
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.ingest(spark, lake, "credit_history", raw, AS_OF_1)
+    return tables.read_table(spark, lake.bronze("credit_history"))
+
+
 @q("bronze_transactions")
 def _bronze_transactions(spark, d):
     """Dirty transactions written as JSON Lines, ingested with the declared
     schema; ``metadata`` is shown as JSON text."""
     raw = scratch_path(spark, "raw-transactions")
     fx.transactions_raw(spark, d).write.json(raw)
+    return _ingested_transactions(spark, raw)
+
+
+@q("bronze_transactions_multiline")
+def _bronze_transactions_multiline(spark, d):
+    """The same rows as documents of about a thousand rows, each a file that
+    holds one indented array; how to read them is recognised."""
+    raw = scratch_path(spark, "raw-transactions-documents")
+    rows = fx.transactions_raw(spark, d)
+    buckets = max(1, rows.count() // 1000)
+    rows = rows.select(F.pmod(F.xxhash64("transaction_id", "timestamp"), F.lit(buckets)).alias("part"), F.struct(*rows.columns).alias("row"))
+    text = rows.groupBy("part").agg(F.to_json(F.collect_list("row"), {"pretty": "true"}).alias("value"))
+    text.write.partitionBy("part").text(raw)
+    return _ingested_transactions(spark, raw).drop("part")
+
+
+def _ingested_transactions(spark, raw):
     lake = jobs.Lake(scratch_path(spark, "lake"))
     jobs.ingest(spark, lake, "transactions", raw, AS_OF_1)
     bronze = tables.read_table(spark, lake.bronze("transactions"))

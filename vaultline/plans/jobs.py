@@ -21,7 +21,7 @@ from vaultline.operators import transactions as tx
 from vaultline.operators.audit import add_audit
 from vaultline.schemas import SOURCES
 from vaultline.sources import tables
-from vaultline.sources.files import read_csv, read_json
+from vaultline.sources.files import CORRUPT, accepted, read_csv, read_json
 
 
 @dataclass(frozen=True)
@@ -49,9 +49,13 @@ def ingest(
     path: str,
     as_of: str | None = None,
     infer: bool = False,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> str:
-    """Raw file -> bronze snapshot with audit columns."""
+    """Raw file -> bronze snapshot with audit columns.
+
+    Bronze keeps every column and every row of the file; rows that could not
+    be read as declared carry the reason in ``_corrupt_record`` and go no
+    further (``rejected_count``)."""
     fmt, schema = SOURCES[name]
     declared = None if infer else schema
     if fmt == "csv":
@@ -61,6 +65,17 @@ def ingest(
     return tables.write_snapshot(add_audit(df, f"{name}.{fmt}", as_of), lake.bronze(name), mode="replace")
 
 
+def read_bronze(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """Rows of the newest bronze snapshot that were read without fault."""
+    return accepted(tables.read_table(spark, lake.bronze(name)))
+
+
+def rejected_count(spark: SparkSession, lake: Lake, name: str) -> int:
+    """Rows of the newest bronze snapshot that could not be read as declared."""
+    df = tables.read_table(spark, lake.bronze(name))
+    return df.where(F.col(CORRUPT).isNotNull()).count() if CORRUPT in df.columns else 0
+
+
 # ---------------------------------------------------------------- silver ---
 
 def read_silver_customers(spark: SparkSession, lake: Lake, current_only: bool = False) -> DataFrame:
@@ -85,7 +100,7 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     O(all versions).  Re-running a load (or retrying a failed one)
     rewrites the same two partitions with the same rows.
     """
-    staging = tables.read_table(spark, lake.bronze("customers"))
+    staging = read_bronze(spark, lake, "customers")
     path = lake.silver("customer")
     if not tables._exists(spark, path):
         out = scd.scd2_apply(None, staging, "customer_id", as_of, tracked)
@@ -100,7 +115,7 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
 
 def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
     """SCD1 upsert of the newest bronze accounts onto silver_accounts."""
-    staging = tables.read_table(spark, lake.bronze("accounts"))
+    staging = read_bronze(spark, lake, "accounts")
     base = lake.silver("accounts")
     target = tables.read_table(spark, base) if tables.table_exists(spark, base) else None
     out = scd.scd1_upsert(target, staging, "account_id", order_by, merge_schema=True)
@@ -214,7 +229,7 @@ def append_silver_transactions(
 
 
 def load_silver_transactions(spark: SparkSession, lake: Lake, cfg: RiskConfig, location_map=None) -> dict:
-    bronze = tables.read_table(spark, lake.bronze("transactions"))
+    bronze = read_bronze(spark, lake, "transactions")
     accounts = tables.read_table(spark, lake.silver("accounts"))
     customers = read_silver_customers(spark, lake, current_only=True)
     return append_silver_transactions(
@@ -311,7 +326,7 @@ def build_gold(
     out["dim_customer"] = cust_path
 
     if tables.table_exists(spark, lake.bronze("credit_history")):
-        credit = tables.read_table(spark, lake.bronze("credit_history"))
+        credit = read_bronze(spark, lake, "credit_history")
         out["fact_credit"] = tables.write_snapshot(
             scores.build_fact_credit(credit, read_silver_customers(spark, lake, current_only=True), cfg),
             lake.gold("fact_credit"),
@@ -331,7 +346,7 @@ def run_jobs(
     as_of: str,
     cfg: RiskConfig,
     location_map: Mapping[str, str] | DataFrame | None = None,
-    json_multiline: bool = False,
+    json_multiline: bool | None = None,
     publish_db: str | None = None,
 ) -> dict:
     """One load of the whole lake, in the source's job order: ingest each
@@ -341,6 +356,7 @@ def run_jobs(
     out: dict = {}
     for name, path in raw.items():
         out[f"bronze_{name}"] = ingest(spark, lake, name, path, as_of, multiline=json_multiline)
+    out["rejected"] = {name: rejected_count(spark, lake, name) for name in raw}
     if "customers" in raw:
         out["silver_customer"] = load_silver_customers(spark, lake, as_of)
     if "accounts" in raw:

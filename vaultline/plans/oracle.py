@@ -510,16 +510,25 @@ ORACLE["audit_columns"] = with_fx(
     "fx_customers",
 )
 ORACLE["bronze_customers"] = with_fx(
-    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, name, country, customer_type, risk_category, "
-    f"{ts(AS_OF_1)} AS created_timestamp, 'customers.csv' AS source_table FROM fx_customers",
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, name, country, customer_type, risk_category, upper(name) AS email, "
+    f"CAST(NULL AS VARCHAR) AS _corrupt_record, {ts(AS_OF_1)} AS created_timestamp, 'customers.csv' AS source_table FROM fx_customers",
     "fx_customers",
 )
+ORACLE["bronze_credit"] = with_fx(
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, CASE WHEN customer_id % 10 <> 3 THEN credit_score END AS credit_score, open_loans, "
+    "CASE WHEN customer_id % 10 <> 7 THEN last_default_date END AS last_default_date, "
+    "CASE customer_id % 10 WHEN 3 THEN 'credit_score=' || CAST(credit_score AS VARCHAR) || 'x' "
+    "WHEN 7 THEN 'last_default_date=notadate' END AS _corrupt_record, "
+    f"{ts(AS_OF_1)} AS created_timestamp, 'credit_history.csv' AS source_table FROM fx_credit",
+    "fx_credit",
+)
 ORACLE["bronze_transactions"] = with_fx(
     "SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(account_id AS VARCHAR) AS account_id, amount, "
     'currency, transaction_type, merchant, location, "timestamp", CAST(to_json(metadata) AS VARCHAR) AS metadata, '
-    f"{ts(AS_OF_1)} AS created_timestamp, 'transactions.json' AS source_table FROM fx_transactions_raw",
+    f"CAST(NULL AS VARCHAR) AS _corrupt_record, {ts(AS_OF_1)} AS created_timestamp, 'transactions.json' AS source_table FROM fx_transactions_raw",
     "fx_transactions_raw",
 )
+ORACLE["bronze_transactions_multiline"] = ORACLE["bronze_transactions"]
 ORACLE["fact_transactions"] = ORACLE["silver_transactions"]
 ORACLE["cluster_silver"] = ORACLE["scd2_apply"]
 ORACLE["silver_txn_append"] = ORACLE["silver_transactions"]

@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--as-of", default=None, help="load instant 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
     for name in SOURCE_ARGS:
         ap.add_argument(f"--{name.replace('_', '-')}", dest=name, default=None, help=f"raw {name} file or folder")
-    ap.add_argument("--multiline-json", action="store_true", help="transactions are whole-file JSON documents")
+    ap.add_argument("--multiline-json", action="store_true", default=None, help="transactions are whole-file JSON documents (found out if not given)")
     ap.add_argument("--publish-db", default=None, help="register gold outputs in this catalog database")
     ap.add_argument("--fixture-thresholds", action="store_true", help="use the test-data thresholds")
     ap.add_argument("--config", default=None, help="JSON file overriding RiskConfig fields, e.g. {\"high_amount\": 10000}")

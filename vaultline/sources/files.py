@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 _READS: dict[tuple[int, str], DataFrame] = {}
@@ -23,22 +26,78 @@ def read_parquet(spark: SparkSession, path: str, reuse: bool = True) -> DataFram
     return df
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _typed(raw: DataFrame, schema: StructType | None) -> DataFrame:
+    """Declared columns first, by name and with their type; the other columns
+    stay as read.  A declared column that the input lacks is NULL.  A value
+    that its type cannot take becomes NULL and is named in CORRUPT."""
+    declared = schema.fields if schema is not None else []
+    at = {c.lower(): c for c in raw.columns if c != CORRUPT}
+    cols, bad = [], []
+    for f in declared:
+        own = at.pop(f.name.lower(), None)
+        if own is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value = F.col(f"`{own}`")
+        typed = value.try_cast(f.dataType)
+        cols.append(typed.alias(f.name))
+        bad.append(F.when(value.isNotNull() & typed.isNull(), F.concat(F.lit(f"{f.name}="), value)))
+    cols += [F.col(f"`{c}`") for c in raw.columns if c.lower() in at]
+    wrong = F.concat_ws("; ", *bad) if bad else F.lit("")
+    return raw.select(*cols, F.coalesce(CORRUPT, F.when(wrong != "", wrong)).alias(CORRUPT))
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, infer: bool = False) -> DataFrame:
-    """CSV with a header line.  A declared schema avoids the extra pass of
-    inference and keeps types independent of the data; malformed lines
-    become NULL fields (PERMISSIVE) instead of failing the job."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", infer)
-    return r.csv(path)
-
-
-def read_json(spark: SparkSession, path: str, schema: StructType | None = None, multiline: bool = False) -> DataFrame:
-    """JSON scan.  ``multiline=True`` reads whole-file documents (one task
-    per file); JSON Lines (the default) splits across tasks."""
-    r = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+    """CSV with a header line, bound by the header's names.
+
+    Columns of ``schema`` come first, whatever their place in the file, and
+    further columns are kept (as text, or inferred).  Lines with too few or
+    too many fields, and fields that their declared type cannot take, stay in
+    the result with NULL there; column CORRUPT then holds the line or the
+    fields (NULL for good rows).  Files of one folder must agree on the
+    header: a differing one fails the read instead of shifting its columns.
+    """
+    options = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
+    found = spark.read.options(**{**options, "inferSchema": infer}).csv(path)
+    fields = [f for f in found.schema.fields if f.name != CORRUPT]
+    if schema is not None and not infer:
+        fields = [StructField(f.name, StringType()) for f in fields]
+    raw = spark.read.options(**options).schema(StructType([*fields, StructField(CORRUPT, StringType())])).csv(path)
+    return _typed(raw, None if infer else schema)
+
+
+def _is_document(spark: SparkSession, path: str) -> bool:
+    """Whether JSON input is one document a file rather than one value a line:
+    the first line with anything on it is no complete value."""
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+    if not first:
+        return False
+    try:
+        json.loads(first[0][0])
+    except ValueError:
+        return True
+    return False
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType | None = None, multiline: bool | None = None) -> DataFrame:
+    """JSON scan.  ``multiline=True`` reads whole-file documents (one task per
+    file), ``False`` JSON Lines, which split across tasks; by default the
+    first line tells which it is.  Declared columns have their declared type,
+    further ones are inferred and kept.  A value that cannot be read that way
+    has NULL fields and its text in column CORRUPT."""
+    multiline = _is_document(spark, path) if multiline is None else multiline
+    options = {"multiLine": multiline, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    inferred = spark.read.options(**options).json(path).schema
+    declared = list(schema.fields) if schema is not None else []
+    names = {f.name for f in declared} | {CORRUPT}
+    fields = [*declared, *(f for f in inferred.fields if f.name not in names)]
+    df = spark.read.options(**options).schema(StructType([*fields, StructField(CORRUPT, StringType())])).json(path)
+    return df
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    """Rows that were read without fault, without column CORRUPT."""
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
