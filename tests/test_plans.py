@@ -74,18 +74,16 @@ def test_top10_is_take_ordered_and_kpi_has_no_single_partition(spark):
     assert "SinglePartition" not in k and "rangepartitioning" in k
 
 
-def test_lookup_join_broadcasts_only_within_its_bound(spark):
+def test_lookup_join_leaves_the_strategy_to_its_size(spark):
     from pyspark.sql import functions as F
 
     from vaultline.operators.lookup import lookup_join
 
+    df = spark.range(100).select(F.format_string("L%d", F.col("id") % 7).alias("location"))
+    mapping = spark.range(7).select(F.format_string("L%d", "id").alias("location"), F.lit("X").alias("country"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = spark.range(100).select(F.format_string("L%d", F.col("id") % 7).alias("location"))
-        mapping = spark.range(7).select(F.format_string("L%d", "id").alias("location"), F.lit("X").alias("country"))
-        small = _plan(lookup_join(df, "location", mapping, "location", "country", "c", "Unknown", max_broadcast_rows=10))
-        big = _plan(lookup_join(df, "location", mapping, "location", "country", "c", "Unknown", max_broadcast_rows=3))
+        plan = _plan(lookup_join(df, "location", mapping, "location", "country", "c", "Unknown"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan

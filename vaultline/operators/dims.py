@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from vaultline.config import COUNTRY_REGION, LOCATION_COUNTRY, OTHER_REGION, UNKNOWN
 from vaultline.functions.exprs import flag, lookup_expr
@@ -62,8 +63,8 @@ def assign_key(
     3. offsets = running total of the per-partition row counts (one row
        per partition, a size bound known up front, so it is broadcast);
     4. key = start + offset + position + 1.
-    Ties in ``order_col`` get distinct keys in arbitrary order (as with
-    ``row_number``).  Keys are ``int`` like the source's; pass
+    Ties in ``order_col`` get distinct keys in the order of the other
+    columns.  Keys are ``int`` like the source's; pass
     ``dtype="long"`` for more than 2^31 rows (ANSI mode raises rather
     than wrapping).
     """
@@ -72,12 +73,12 @@ def assign_key(
     # without an explicit count AQE may merge neighbouring ranges (a small
     # dimension becomes a few tasks, not spark.sql.shuffle.partitions);
     # merged ranges stay contiguous and in order, so positions hold
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, F.col(order_col))
-    else:
-        ranged = df.repartitionByRange(F.col(order_col))
+    # the other columns break ties, so that a hot value spans many ranges
+    ties = [f.name for f in df.schema.fields if f.name != order_col and isinstance(f.dataType, AtomicType)]
+    order = [F.col(order_col), *(F.col(c) for c in ties)]
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = (
-        ranged.sortWithinPartitions(order_col)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumns(
             {

@@ -10,27 +10,6 @@ from pyspark.sql import functions as F
 from vaultline.functions.exprs import lookup_expr
 
 
-_BOUNDS: dict[tuple[int, int, int], bool] = {}
-
-
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them).  The answer is kept per session and plan,
-    which is sound for plans over immutable inputs."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    hit = _BOUNDS.get(key)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
-        _BOUNDS[key] = hit
-    return hit
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise the join
-    stays a shuffle join (and AQE may still pick broadcast at run time)."""
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
-
-
 def lookup_map(df: DataFrame, key: str, mapping: Mapping[str, str], out: str, default: str | None) -> DataFrame:
     """Literal map in the plan: no join, no shuffle."""
     return df.withColumn(out, lookup_expr(F.col(key), mapping, default))
@@ -44,15 +23,14 @@ def lookup_join(
     map_value: str,
     out: str,
     default: str | None,
-    max_broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Left join to a mapping table; unmatched or NULL keys get ``default``.
 
     The mapping is reduced to one value per key first (the smallest), so a
-    duplicated mapping row can never multiply the input rows.
+    duplicated mapping row can never multiply the input rows.  Whether the
+    mapping is broadcast is Spark's choice by its size at run time.
     """
     m = mapping.groupBy(F.col(map_key).alias("_lk")).agg(F.min(map_value).alias("_lv"))
-    m = broadcast_if_small(m, max_broadcast_rows)
     joined = df.join(m, df[key] == m["_lk"], "left")
     val = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
     return joined.withColumn(out, val).drop("_lk", "_lv")

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 _B, _OWN, _NUL = "_rc_bucket", "_rc_own", "_rc_nul"
-_NULL_SPREAD = 256
 
 
 def rolling_count_plain(
@@ -64,14 +63,14 @@ def rolling_count(
     u = F.col(order_unix)
     bucket = F.floor(u / F.lit(bsec)).cast("long")
     invalid = u.isNull() if null_peers else (u.isNull() | F.col(key).isNull())
-    # Rows that get no count are spread over a few groups by a hash of
-    # their atomic columns, so that NULL times never form one hot group.
+    # Rows that get no count are spread by the whole hash of their atomic
+    # columns, so that NULL times never form one hot group.
     atomic = [
         f.name
         for f in df.schema.fields
         if not isinstance(f.dataType, (StructType, ArrayType, MapType)) and f.name not in (_B, _OWN, _NUL)
     ]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in atomic]), F.lit(_NULL_SPREAD))
+    spread = F.xxhash64(*[F.col(c) for c in atomic])
     own_bucket = bucket if null_peers else F.when(invalid, spread).otherwise(bucket)
     ctx_ok = u.isNotNull() if null_peers else ~invalid
     in_tail = ctx_ok & (u >= (bucket + F.lit(1)) * F.lit(bsec) - F.lit(seconds))

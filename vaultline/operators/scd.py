@@ -69,8 +69,9 @@ def _changed(t: Column, s: Column, tracked: Sequence[str]) -> Column:
 def _sides(silver: DataFrame, staging: DataFrame, key: str, order_by: Sequence[str]):
     data_cols = [c for c in silver.columns if c not in SCD_COLUMNS]
     missing = [c for c in data_cols if c not in staging.columns]
-    if missing:
-        raise ValueError(f"staging lacks columns {missing}")
+    extra = [c for c in staging.columns if c not in data_cols]
+    if missing or extra:
+        raise ValueError(f"staging lacks columns {missing}" if missing else f"staging has new columns {extra}")
     types = {f.name: f.dataType for f in silver.schema.fields}
     keyed = staging.filter(F.col(key).isNotNull())  # a row without a key is never loaded
     st = dedupe(keyed.select(*[F.col(c).cast(types[c]).alias(c) for c in data_cols]), [key], order_by)

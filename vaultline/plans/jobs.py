@@ -8,7 +8,6 @@ at each job boundary.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -78,39 +77,54 @@ def rejected_count(spark: SparkSession, lake: Lake, name: str) -> int:
 
 # ---------------------------------------------------------------- silver ---
 
+def _history(lake: Lake) -> str:
+    return lake.silver("customer_history")
+
+
 def read_silver_customers(spark: SparkSession, lake: Lake, current_only: bool = False) -> DataFrame:
-    """The SCD2 customer table; ``current_only`` reads just the NULL
-    ``effective_end`` partition (partition pruning, no history scanned)."""
-    df = spark.read.parquet(lake.silver("customer"))
-    # partition values come back as text/timestamp: restore the type
-    df = df.withColumn(scd.END, F.col(scd.END).cast("timestamp_ntz"))
+    """The SCD2 customer table: the newest version of the current rows, and
+    the rows closed by every committed load; ``current_only`` leaves the
+    history unread."""
+    base = lake.silver("customer")
+    current = tables.read_table(spark, base)
     if current_only:
-        df = df.filter(F.col(scd.END).isNull()).transform(scd.current_only)
-    return df
+        return current.transform(scd.current_only)
+    committed = {str(v) for v in tables.versions(spark, base)}
+    loads = tables.partition_values(spark, _history(lake), "load")
+    if not loads & committed:
+        return current
+    closed = spark.read.schema(current.schema.add("load", "long")).parquet(_history(lake))
+    dead = sorted(int(x) for x in loads - committed)  # loads that died before their current rows
+    closed = closed.where(~F.col("load").isin(dead)) if dead else closed
+    return current.unionByName(closed.drop("load"))
 
 
 def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=("customer_type",)) -> str:
     """SCD2 apply of the newest bronze customers onto silver_customer.
 
-    The table is partitioned by ``effective_end``: current rows live in the
-    NULL partition and the rows a load closes all end at its ``as_of``.
-    A load therefore reads only the current rows and rewrites exactly two
-    partitions, {NULL, as_of}, with dynamic partition overwrite; history
-    is never read or copied, so a load costs O(current rows + batch), not
-    O(all versions).  Re-running a load (or retrying a failed one)
-    rewrites the same two partitions with the same rows.
+    A load reads only the current rows.  It first writes the rows it closes
+    to their own folder of the history, named by the version it is about to
+    write, and then the current rows as that version; the version's commit
+    marker makes both visible at once.  A load that dies before it leaves the
+    table as it was, and the next attempt takes a new number.  Closed rows of
+    earlier loads are never touched, whatever their ``as_of``; a load older
+    than the newest open row is refused.  Costs O(current rows + batch).
     """
     staging = read_bronze(spark, lake, "customers")
-    path = lake.silver("customer")
-    if not tables._exists(spark, path):
-        out = scd.scd2_apply(None, staging, "customer_id", as_of, tracked)
-        out.write.mode("errorifexists").partitionBy(scd.END).parquet(path)
-        return path
+    base = lake.silver("customer")
+    if not tables.table_exists(spark, base):
+        return tables.write_snapshot(scd.scd2_apply(None, staging, "customer_id", as_of, tracked), base)
     current = read_silver_customers(spark, lake, current_only=True)
-    data_cols = [c for c in current.columns if c not in scd.SCD_COLUMNS]
-    step = scd.scd2_apply(current, staging.select(*data_cols), "customer_id", as_of, tracked, keep_expired=False)
-    tables.overwrite_partitions(step.select(*current.columns), path, scd.END, n_values=2)
-    return path
+    newest = current.agg(F.max(scd.START).alias("at"), F.lit(as_of).cast("timestamp_ntz").alias("now")).first()
+    if newest["at"] is not None and newest["now"] < newest["at"]:
+        raise ValueError(f"load as of {as_of} is older than rows opened at {newest['at']}")
+    step = scd.scd2_apply(current, staging, "customer_id", as_of, tracked, keep_expired=False)
+    step = step.select(*current.columns).checkpoint()
+    load = tables.next_version(spark, base)
+    closed = step.transform(scd.expired_only)
+    if not closed.isEmpty():
+        closed.write.mode("overwrite").parquet(f"{_history(lake)}/load={load}")
+    return tables.write_snapshot(step.transform(scd.current_only), base)
 
 
 def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
@@ -128,20 +142,6 @@ def _day_filter(days: Sequence[object]):
     return cond | F.col("txn_date").isNull() if len(values) < len(days) else cond
 
 
-def _ts_lit(value: dt.datetime):
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
-def _near(existing: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """Existing silver rows with time in [start, end], read with day pruning."""
-    return existing.filter(
-        (F.col("txn_date") >= F.lit(start.date().isoformat()).cast("date"))
-        & (F.col("txn_date") <= F.lit(end.date().isoformat()).cast("date"))
-        & (F.col("txn_timestamp") >= _ts_lit(start))
-        & (F.col("txn_timestamp") <= _ts_lit(end))
-    )
-
-
 def append_silver_transactions(
     spark: SparkSession,
     bronze_batch: DataFrame,
@@ -154,20 +154,25 @@ def append_silver_transactions(
 ) -> dict:
     """Add one bronze batch to silver_transactions (partitioned by day).
 
-    Batches may arrive in any time order.  With batch times in [lo, hi]
-    and window W:
-    * the batch's rows are counted together with the silver rows of the
-      same accounts in [lo - W, hi + W] (so a batch cut does not reset a
-      window);
-    * silver rows in [lo, hi + W] of those accounts have their window
-      recounted, and the ones whose rapid flag changes are re-emitted;
-    * the touched days are rewritten with the batch winning on
-      ``transaction_id``, so re-running a batch changes nothing (an id
-      re-sent with a time on another, untouched day is not looked up).
+    Silver holds one row for each ``transaction_id``: of an id sent more than
+    once the newest row counts, within a batch by time and then by the other
+    columns, and across batches the later batch.  Batches may arrive in any
+    time order.  The batch is read once (kept in the checkpoint folder).
+
+    * Rows of silver with an id of the batch are looked up in all of silver
+      (four narrow columns), wherever they lie: they go.
+    * Anchors are the places, (account, time), of the batch's rows and of the
+      rows that go.  Windows reach from an anchor to W later, so the account's
+      rows on the anchor's day and on the day W later are counted anew, with
+      the days before them as context.
+    * The days rewritten are those of the batch's rows, of rows that go and
+      of rows whose flag changes: no day is rewritten for lying between two
+      others.
+
     The result equals loading all batches at once.  Returns the quality
-    counts observed while writing and ``days``, the day partitions the
-    load may have changed (for an incremental gold run).
-    ``idempotent=False`` is the plain append of the source pipeline.
+    counts observed on the way and ``days``, the partitions that may have
+    changed (for an incremental gold run).  ``idempotent=False`` is the plain
+    append of the source pipeline.
     """
     raw, raw_obs = quality.observe_raw(bronze_batch)
     prepared = tx.prepare_transactions(raw, cfg)
@@ -177,54 +182,53 @@ def append_silver_transactions(
         tables.upsert_partitions(silver, path, "txn_date", None)
         return quality.quality_row(raw_obs, out_obs)
 
-    lo, hi, n_unparsed = prepared.agg(
-        F.min("txn_timestamp"), F.max("txn_timestamp"), F.count_if(F.col("txn_timestamp").isNull())
-    ).first()
-    w = dt.timedelta(seconds=cfg.rapid_window_s)
-    # every day the batch or a recounted row can touch: [lo, hi + W]
-    days: list = []
-    if lo is not None:
-        days = [lo.date() + dt.timedelta(days=i) for i in range(((hi + w).date() - lo.date()).days + 1)]
-    if n_unparsed:
-        days.append(None)  # rows without a time live in the NULL partition
-
-    if lo is None or not tables._exists(spark, path):
+    prepared = scd.dedupe(prepared, ["transaction_id"], ["txn_timestamp"]).checkpoint()
+    accounts = accounts.join(prepared.select("account_id").distinct(), "account_id", "left_semi")
+    if not tables.has_data(spark, path):
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
-        tables.upsert_partitions(silver, path, "txn_date", "transaction_id", days)
+        tables.write_partitioned(silver, path, "txn_date")
+        days = [r[0] for r in prepared.select("txn_date").distinct().collect()]
         return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
     existing = spark.read.parquet(path)
-    batch_keys = prepared.select("transaction_id")
-    batch_accounts = prepared.select("account_id").distinct()
+    ids = prepared.select("transaction_id")
+    place = ["account_id", "txn_timestamp", "txn_date"]
+    gone = existing.select("transaction_id", *place).join(ids, "transaction_id", "left_semi").checkpoint()
+    anchors = prepared.select(*place).unionByName(gone.select(*place)).where("account_id is not null and txn_timestamp is not null")
+    w = F.expr(f"INTERVAL {int(cfg.rapid_window_s)} SECONDS")
+    after = F.explode(F.array(F.col("txn_date"), F.to_date(F.col("txn_timestamp") + w)))
+    recounted = anchors.select("account_id", after.alias("txn_date")).distinct()
+    back = -(-int(cfg.rapid_window_s) // 86400)
+    before = F.explode(F.sequence(F.lit(0), F.lit(back)))
+    context = recounted.select("account_id", F.col("txn_date").alias("_day"), before.alias("_b"))
+    context = context.select("account_id", F.date_sub("_day", F.col("_b")).alias("txn_date")).distinct()
     near = (
-        _near(existing, lo - w, hi + w)
-        .join(batch_keys, "transaction_id", "left_anti")
-        .join(batch_accounts, "account_id", "left_semi")
-    )
-    counted = tx.rapid_flag_with_context(
-        prepared.withColumn("_old", F.lit(False)),
-        near.select("transaction_id", "account_id", "txn_timestamp").withColumn("_old", F.lit(True)),
-        cfg,
-        keep_context=True,
+        existing.select("transaction_id", *place, F.col("rapid_txn_flag").alias("_was"))
+        .join(context, ["account_id", "txn_date"], "left_semi")
+        .join(ids, "transaction_id", "left_anti")
+        .join(recounted.withColumn("_again", F.lit(True)), ["account_id", "txn_date"], "left")
     )
+    counted = tx.rapid_flag_with_context(prepared, near, cfg, keep_context=True).checkpoint()
+    changed = counted.where(F.col("_ctx") & F.col("_again") & (F.col("rapid_txn_flag") != F.col("_was")))
+    changed = changed.select("transaction_id", "txn_date", F.col("rapid_txn_flag").alias("_flag"))
+    touched = prepared.select("txn_date").unionByName(gone.select("txn_date")).unionByName(changed.select("txn_date"))
+    days = [r[0] for r in touched.distinct().collect()]  # one row for each day that changes
+
     new_rows = tx.enrich_transactions(
-        counted.filter(~F.col("_old")).drop("_old", "_ctx"), accounts, customers_current, location_map
+        counted.where(~F.col("_ctx")).drop("_ctx", "_was", "_again"), accounts, customers_current, location_map
     )
     new_rows, out_obs = quality.observe_silver(new_rows)
-    recount = counted.filter(F.col("_old") & (F.col("txn_timestamp") >= _ts_lit(lo))).select(
-        "transaction_id", F.col("rapid_txn_flag").alias("_flag")
-    )
-    # the touched days as they will be: existing rows not replaced by the
-    # batch, with recounted flags where the window changed, plus the batch
+    # the days as they will be: rows not replaced by the batch, with their new
+    # flags, plus the batch; silver has one row an id, so the join adds none
     kept = (
         existing.filter(_day_filter(days))
-        .join(batch_keys, "transaction_id", "left_anti")
-        .join(recount, "transaction_id", "left")
+        .join(ids, "transaction_id", "left_anti")
+        .join(changed.select("transaction_id", "_flag"), "transaction_id", "left")
         .withColumn("rapid_txn_flag", F.coalesce(F.col("_flag"), F.col("rapid_txn_flag")))
         .select(*new_rows.columns)
     )
-    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", len(days))
+    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date")
     return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
 
@@ -243,6 +247,25 @@ def _latest(spark: SparkSession, base: str) -> str:
     return tables.version_path(base, tables.versions(spark, base)[-1])
 
 
+def _copy_customers(spark: SparkSession, lake: Lake, path: str, whole: bool) -> None:
+    """Gold copy of the customer table, partitioned by the load that closed
+    the rows (NULL: current).  Unless ``whole``, the current rows and the
+    loads that the copy lacks are written; the others are left as they are."""
+    base = lake.silver("customer")
+    there = set() if whole or not tables.has_data(spark, path) else tables.partition_values(spark, path, "closed_by")
+    loads = tables.partition_values(spark, _history(lake), "load") & {str(v) for v in tables.versions(spark, base)}
+    current = tables.read_table(spark, base)
+    out = current.withColumn("closed_by", F.lit(None).cast("long"))
+    missing = sorted(int(x) for x in loads - there)
+    if missing:
+        closed = spark.read.schema(current.schema.add("load", "long")).parquet(_history(lake))
+        out = out.unionByName(closed.where(F.col("load").isin(missing)).withColumnRenamed("load", "closed_by"))
+    if there:
+        tables.overwrite_partitions(out, path, "closed_by")
+    else:
+        tables.write_partitioned(out, path, "closed_by")
+
+
 def build_gold(
     spark: SparkSession,
     lake: Lake,
@@ -259,10 +282,11 @@ def build_gold(
     those days only (dynamic partition overwrite), the daily KPI is
     recomputed for them and merged with the other days, and the location
     and date dimensions are extended (``days=[]``: no transaction changed,
-    so none of these is touched).  ``dim_customer`` mirrors the
-    ``effective_end`` partitions of silver: after a customer load at
-    ``customer_as_of`` only the partitions {NULL, as_of} are copied, and an
-    incremental run without a customer load leaves it as it is.  Work is
+    so none of these is touched).  ``dim_customer`` holds a partition for
+    each customer load that closed rows and one for the current rows: after a
+    customer load (``customer_as_of``) only the current rows and the loads
+    not yet there are copied, and an incremental run without a customer load
+    leaves it as it is.  Work is
     proportional to the load, not to the history.  ``publish_db`` also
     registers every gold output as an external catalog table
     ``publish_db.<name>`` (metadata only).
@@ -271,7 +295,7 @@ def build_gold(
     accounts = tables.read_table(spark, lake.silver("accounts"))
     out: dict = {}
     paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions", "dim_customer")}
-    incremental = days is not None and all(tables._exists(spark, paths[n]) for n in ("fact_fraud", "fact_transactions"))
+    incremental = days is not None and all(tables.has_data(spark, paths[n]) for n in ("fact_fraud", "fact_transactions"))
     bases = {n: lake.gold(n) for n in ("kpi_daily_fraud", "dim_location", "dim_date")}
     nothing_new = incremental and not days and all(tables.table_exists(spark, b) for b in bases.values())
     touched = silver_txn.filter(_day_filter(days)) if incremental else silver_txn
@@ -283,7 +307,7 @@ def build_gold(
         fact = scores.build_fact_fraud(touched, cfg)
         for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
             if incremental:
-                tables.overwrite_partitions(df, paths[name], "txn_date", len(days))
+                tables.overwrite_partitions(df, paths[name], "txn_date")
             else:
                 tables.write_partitioned(df, paths[name], "txn_date")
             out[name] = paths[name]
@@ -315,14 +339,8 @@ def build_gold(
         out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base)
 
     cust_path = paths["dim_customer"]
-    if not tables._exists(spark, cust_path) or (days is None and customer_as_of is None):
-        read_silver_customers(spark, lake).write.mode("overwrite").partitionBy(scd.END).parquet(cust_path)
-    elif customer_as_of is not None:
-        end = F.col(scd.END)
-        changed = read_silver_customers(spark, lake).filter(
-            end.isNull() | (end == F.lit(customer_as_of).cast("timestamp_ntz"))
-        )
-        tables.overwrite_partitions(changed, cust_path, scd.END, n_values=2)
+    if customer_as_of is not None or days is None or not tables.has_data(spark, cust_path):
+        _copy_customers(spark, lake, cust_path, whole=days is None)
     out["dim_customer"] = cust_path
 
     if tables.table_exists(spark, lake.bronze("credit_history")):

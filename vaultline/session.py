@@ -26,7 +26,6 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "vaultl
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # checkpoint files are removed once their DataFrame is gone
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # no Python call-site capture on every DataFrame call (driver-side
@@ -40,7 +39,8 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "vaultl
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master  # local-cluster has executors of its own
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -7,7 +7,7 @@ version never overwrites the folder a plan is reading, so "read, change,
 write back" (SCD apply, schema evolution) is safe, and a failed write
 leaves the previous version current.  Partitioned facts live in one
 folder and are re-emitted per touched day with dynamic partition
-overwrite.
+overwrite, whose commit is per day, not for all days at once.
 """
 
 from __future__ import annotations
@@ -31,6 +31,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder has been committed; a folder that a
+    first write left half-way has no marker and counts as empty."""
+    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> set[str]:
+    """Folder values of one partition column directly below ``path``."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return set()
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")}
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions of the snapshot table at ``base``, ascending."""
     fs, p, jvm = _fs(spark, base)
@@ -46,7 +61,7 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
-def _next_version(spark: SparkSession, base: str) -> int:
+def next_version(spark: SparkSession, base: str) -> int:
     """One past every version folder, committed or not: a write that died
     half-way leaves its folder behind, and a retry must not reuse it."""
     fs, p, _ = _fs(spark, base)
@@ -108,7 +123,7 @@ def write_snapshot(
         raise FileExistsError(base)
     if vs and mode == "evolve":
         check_schema(read_table(spark, base), df, merge_schema)
-    path = version_path(base, _next_version(spark, base))
+    path = version_path(base, next_version(spark, base))
     obs = None
     if verify:
         obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
@@ -139,18 +154,20 @@ def upsert_partitions(
 
     Only the days the batch touches are rewritten: their existing rows
     minus the batch's keys, plus the batch (the batch wins).  Dynamic
-    partition overwrite stages the new files and swaps the touched day
-    folders in at job commit, so the job may read the days it replaces and
-    a failed job leaves the table as it was.  Re-running a batch changes
-    nothing.  With ``key=None`` the batch is appended as is (source
+    partition overwrite stages the new files, so the job may read the days
+    it replaces and a job that fails before its commit leaves the table as
+    it was; the commit itself moves one day folder after another, so a crash
+    in it can leave some days new and others old until the batch is run
+    again.  Re-running a batch changes nothing.  With ``key=None`` the batch is appended as is (source
     behaviour: a re-run duplicates rows).  ``days`` (a superset of the
     batch's partition values) saves the pass that would collect them.
     """
     spark = df.sparkSession
-    if key is None or not _exists(spark, path):
-        clustered_by(df, partition_col, None if days is None else len(days)).write.mode("append").partitionBy(
-            partition_col
-        ).parquet(path)
+    if key is not None and not has_data(spark, path):
+        write_partitioned(df, path, partition_col)  # nothing there, or a first write that died
+        return
+    if key is None:
+        clustered_by(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
         return
     if days is None:
         # one row per touched day: bounded by the batch's time span
@@ -163,7 +180,7 @@ def upsert_partitions(
     keep = existing.filter(touched).join(df.select(key), key, "left_anti")
     merged = keep.unionByName(df.select(*existing.columns))
     (
-        clustered_by(merged, partition_col, len(days))
+        clustered_by(merged, partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -171,26 +188,18 @@ def upsert_partitions(
     )
 
 
-FEW_DAYS = 7
-
-
-def clustered_by(df: DataFrame, partition_col: str, n_values: int | None = None) -> DataFrame:
-    """Before a partitioned write: when many partition values are written
-    (or their number is unknown), rows of one value are first brought to
-    few tasks, so each day gets few files instead of one per task and day;
-    AQE splits a hot day and merges small ones (REBALANCE).  A write of a
-    few days skips that extra shuffle: each task then writes at most a
-    few files anyway."""
-    if n_values is not None and n_values <= FEW_DAYS:
-        return df
+def clustered_by(df: DataFrame, partition_col: str) -> DataFrame:
+    """Before a partitioned write: rows of one partition value are brought to
+    few tasks, so each value gets few files instead of one per task; AQE
+    splits a hot value and merges small ones (REBALANCE)."""
     return df.hint("rebalance", partition_col)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str, n_values: int | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite);
     the others stay."""
     (
-        clustered_by(df, partition_col, n_values)
+        clustered_by(df, partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -199,8 +208,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, n_values:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> str:
-    """Static overwrite of a date-partitioned table (to a path not read)."""
-    clustered_by(df, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    """Overwrite of a whole partitioned table (to a path not read): static,
+    whatever the session says, so partitions that ``df`` lacks go."""
+    (
+        clustered_by(df, partition_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
     return path
 
 
