@@ -63,6 +63,7 @@ class TemplateRules:
     least_share: float = 0.3
     texts_per_element: int = 4
     link_share: float = 0.5
+    broadcast_tokens: int = 1 << 20  # template tokens (8 bytes each) that may be broadcast together
 
 
 @dataclass
@@ -260,8 +261,10 @@ def deduce_templates(tokens: DataFrame, rules: TemplateRules = TemplateRules())
     stand in each other's paths, which nests it into the template."""
     sums = [F.sum(c).alias(c) for c in ("high", "low", "n", "chars", "links")]
     per = tokens.groupBy("host", "kind", "token").agg(F.count("*").alias("pages"), *sums)
-    sizes = per.where(F.col("kind") == _ROOT).select(F.col("host").alias("z_host"), F.col("pages").alias("all_pages"))
     enough = (F.col("pages") >= rules.least_pages) & (F.col("pages") >= F.col("all_pages") * rules.least_share)
+    # read by three branches; what is left is bounded by the size of a page for each host
+    per = per.where((F.col("pages") >= rules.least_pages) | (F.col("kind") == _ROOT)).checkpoint()
+    sizes = per.where(F.col("kind") == _ROOT).select(F.col("host").alias("z_host"), F.col("pages").alias("all_pages"))
     per = per.where(F.col("pages") >= rules.least_pages).join(sizes, F.col("host") == F.col("z_host")).where(enough)
     is_text, is_element = F.col("kind") == _TEXT, F.col("kind") == _ELEMENT
     vector = ["host", "high", "low", "n", "pages"]
@@ -290,7 +293,10 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     go by their elements alone.  Repeated rows are pages like any other; an
     empty table gives an empty result; further columns are not read."""
     src = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host_key(F.col(url)).alias("host"))
-    templates = deduce_templates(page_tokens(src, "page_id", "html", "host"), rules).withColumnRenamed("host", "t_host")
+    templates = deduce_templates(page_tokens(src, "page_id", "html", "host"), rules).withColumnRenamed("host", "t_host").checkpoint()
+    size = templates.agg(F.coalesce(F.sum(F.size("template") + 4), F.lit(0))).first()[0]
+    if size <= rules.broadcast_tokens:  # else a shuffle join, whose hot hosts Spark splits
+        templates = F.broadcast(templates)
     both = src.join(templates, src["host"] == templates["t_host"], "left").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
