@@ -16,9 +16,16 @@ def test_snapshot_versions_and_append(spark):
     assert not tables.table_exists(spark, base)
     tables.write_snapshot(spark.range(3), base)
     tables.append_snapshot(spark.range(3, 5), base)
-    assert tables.versions(spark, base) == [1, 2]
-    assert sorted(r.id for r in tables.read_table(spark, base).collect()) == [0, 1, 2, 3, 4]
-    assert tables.read_table(spark, base, 1).count() == 3
+    tables.append_snapshot(spark.range(5, 6).withColumn("note", F.lit("x")), base)
+    assert tables.versions(spark, base) == [1]  # an append rewrites nothing
+    rows = tables.read_table(spark, base).orderBy("id").collect()
+    assert [r.id for r in rows] == [0, 1, 2, 3, 4, 5] and [r.note for r in rows] == [None] * 5 + ["x"]
+    with pytest.raises(ValueError):
+        tables.append_snapshot(spark.createDataFrame([("a",)], "id string"), base)
+    tables.write_snapshot(spark.range(2), base)  # a new version ends the appends
+    assert tables.read_table(spark, base).count() == 2 and tables.read_table(spark, base, 1).count() == 6
+    assert tables.drop_old_versions(spark, base, keep=1) == 3
+    assert tables.versions(spark, base) == [2] and tables.read_table(spark, base).count() == 2
     with pytest.raises(FileExistsError):
         tables.write_snapshot(spark.range(1), base, mode="errorifexists")
 

@@ -129,13 +129,24 @@ def _txn_join_customers(spark, d):
 
 @q("join_coverage")
 def _join_coverage(spark, d):
-    j = tx.join_accounts(clean_raw(spark, d), fx.accounts(spark, d))
+    """Transactions with an account, with an unknown one, and with none."""
+    t = fx.transactions_without_account(spark, d).transform(tx.flatten_struct).transform(tx.clean_transactions)
+    j = tx.join_accounts(t, fx.accounts(spark, d))
     return j.agg(
         F.count_if(F.col("customer_id").isNotNull()).alias("matched"),
         F.count_if(F.col("customer_id").isNull()).alias("unmatched"),
     )
 
 
+@q("silver_without_account")
+def _silver_without_account(spark, d):
+    """Silver of transactions with unknown or no accounts and unreadable times."""
+    bronze = add_audit(fx.transactions_without_account(spark, d), "transactions.json", AS_OF_1)
+    return tx.build_silver_transactions(
+        bronze, fx.accounts(spark, d), fx.customers(spark, d), FIXTURE, fx.location_map(spark, d)
+    )
+
+
 @q("txn_country")
 def _txn_country(spark, d):
     return tx.txn_country(clean_raw(spark, d), fx.location_map(spark, d)).select(
@@ -275,7 +286,9 @@ def _scd2_invariants(spark, d):
 
 @q("accounts_dedupe")
 def _accounts_dedupe(spark, d):
-    return scd.dedupe(fx.accounts_b2(spark, d), [ACC_KEY], ["load_seq"])
+    """All accounts, many of them sent more than once."""
+    sent = fx.accounts_b1(spark, d).unionByName(fx.accounts_b2(spark, d))
+    return scd.dedupe(sent, [ACC_KEY], ["load_seq"])
 
 
 @q("scd1_upsert")
@@ -374,8 +387,9 @@ def _distinct_locations(spark, d):
 
 @q("location_country_map")
 def _location_country_map(spark, d):
-    """Fixed literal map (source cities): the fixture's locations are all Unknown."""
-    return dims.location_rows(silver_raw(spark, d)).select("location", "country", "region")
+    """The literal map: its five cities in four regions, and unknown ones."""
+    txn = fx.with_cities(silver_raw(spark, d).select("location"))
+    return dims.location_rows(txn).select("location", "country", "region")
 
 
 @q("location_country_join")
@@ -515,6 +529,84 @@ def _silver_txn_append(spark, d):
     return spark.read.parquet(path)
 
 
+def _appended(spark, d, name, *batches):
+    path = scratch_path(spark, name)
+    acc, cust, loc = fx.accounts(spark, d), fx.customers(spark, d), fx.location_map(spark, d)
+    for batch in batches:
+        jobs.append_silver_transactions(spark, batch, acc, cust, path, FIXTURE, loc)
+    return spark.read.parquet(path)
+
+
+@q("silver_txn_resend")
+def _silver_txn_resend(spark, d):
+    """Transactions sent again on another day or under another account: one
+    row each, at the new place, with the windows of both places right."""
+    again = add_audit(fx.transactions_resent(spark, d), "transactions.json", AS_OF_1)
+    return _appended(spark, d, "silver-resend", bronze_txn_raw(spark, d), again)
+
+
+@q("silver_txn_dup_ids")
+def _silver_txn_dup_ids(spark, d):
+    """Every 30th id twice in one batch, the second time an hour older; then
+    two more loads of parts of it: still one row an id."""
+    whole = bronze_txn_raw(spark, d)
+    older = F.date_format(F.try_to_timestamp(F.col("timestamp")) - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss")
+    twice = whole.unionByName(whole.where("transaction_id % 30 = 0").withColumn("timestamp", older))
+    return _appended(spark, d, "silver-dup-ids", twice, whole.where("transaction_id % 30 = 0"), whole.where("transaction_id % 7 = 0"))
+
+
+@q("scd2_stored_loads")
+def _scd2_stored_loads(spark, d):
+    """Three stored customer loads, two of them as of the same time; the
+    third undoes the second's changes.  No version is lost."""
+    lake = jobs.Lake(scratch_path(spark, "lake-scd2"))
+    for batch, as_of in ((fx.customers(spark, d), AS_OF_1), (fx.customers_b2(spark, d), AS_OF_2), (fx.customers(spark, d), AS_OF_2)):
+        tables.write_snapshot(batch, lake.bronze("customers"))
+        jobs.load_silver_customers(spark, lake, as_of)
+    return jobs.read_silver_customers(spark, lake)
+
+
+@q("fact_transactions_rewrite")
+def _fact_transactions_rewrite(spark, d):
+    """A full rewrite with fewer days replaces the table: the days that are
+    gone go, whatever the session's overwrite mode."""
+    path = scratch_path(spark, "fact-rewrite")
+    silver = silver_raw(spark, d)
+    tables.publish_copy(spark, silver, path, "txn_date")
+    fewer = silver.where(F.dayofmonth("txn_date") > 5)
+    return tables.publish_copy(spark, fewer, path, "txn_date")
+
+
+@q("snapshot_append")
+def _snapshot_append(spark, d):
+    """Two appends to a snapshot table, none of which rewrites it."""
+    base = scratch_path(spark, "snapshot-append")
+    c = fx.customers(spark, d)
+    tables.write_snapshot(c.where("customer_id % 3 = 0"), base)
+    tables.append_snapshot(c.where("customer_id % 3 = 1"), base)
+    tables.append_snapshot(c.where("customer_id % 3 = 2").withColumn("note", F.lit("late")), base)
+    return tables.read_table(spark, base)
+
+
+@q("snapshot_evolve")
+def _snapshot_evolve(spark, d):
+    """Overwrite that may add columns but not change the type of any."""
+    base = scratch_path(spark, "snapshot-evolve")
+    c = fx.customers(spark, d)
+    tables.write_snapshot(c, base)
+    tables.write_snapshot(c.withColumn("name_length", F.length("name")), base, mode="evolve", merge_schema=True, verify=True)
+    return tables.read_table(spark, base)
+
+
+@q("publish_table")
+def _publish_table(spark, d):
+    """A managed table written twice, the second time with other rows."""
+    name = "vaultline_published_customer"
+    tables.publish(scd2_initial(spark, d), name)
+    tables.publish(scd2_batch2(spark, d), name)
+    return spark.table(name)
+
+
 @q("txn_quality_counts")
 def _txn_quality_counts(spark, d):
     """Counts observed while writing silver in one job (no extra passes)."""

@@ -8,6 +8,7 @@ string runs on the bare driver tables.
 from __future__ import annotations
 
 from vaultline.config import AS_OF_1, AS_OF_2, FIXTURE, SOURCE, RiskConfig
+from vaultline.sources.fixtures import CITIES
 
 
 def rnd(expr: str, n: int) -> str:
@@ -237,11 +238,31 @@ ORACLE["txn_join_customers"] = raw_chain(
     "LEFT JOIN fx_accounts a ON r.account_id = a.account_id "
     "LEFT JOIN fx_customers c ON a.customer_id = c.customer_id"
 )
-ORACLE["join_coverage"] = raw_chain(
-    "SELECT count(*) FILTER (WHERE a.customer_id IS NOT NULL) AS matched, "
-    "count(*) FILTER (WHERE a.customer_id IS NULL) AS unmatched FROM t_clean r "
-    "LEFT JOIN fx_accounts a ON r.account_id = a.account_id"
+
+
+def over_raw(sql: str, name: str, body: str) -> str:
+    """A query of the raw chain with its input replaced by ``body``, a SELECT
+    over fx_transactions_raw."""
+    head, rest = sql.split("t_flat AS (", 1)
+    flat, rest = rest.split("FROM fx_transactions_raw", 1)
+    return f"{head}{name} AS (\n{body}\n),\nt_flat AS ({flat}FROM {name}{rest}"
+
+
+_NO_ACCOUNT = (
+    "SELECT * REPLACE (CASE WHEN coalesce(transaction_id, 0) % 97 = 0 THEN -1 WHEN coalesce(transaction_id, 0) % 89 = 0 THEN NULL "
+    "ELSE account_id END AS account_id, CASE WHEN coalesce(transaction_id, 0) % 83 = 0 THEN 'no time' ELSE \"timestamp\" END AS \"timestamp\") "
+    "FROM fx_transactions_raw"
 )
+ORACLE["join_coverage"] = over_raw(
+    raw_chain(
+        "SELECT count(*) FILTER (WHERE a.customer_id IS NOT NULL) AS matched, "
+        "count(*) FILTER (WHERE a.customer_id IS NULL) AS unmatched FROM t_clean r "
+        "LEFT JOIN fx_accounts a ON r.account_id = a.account_id"
+    ),
+    "no_account",
+    _NO_ACCOUNT,
+)
+ORACLE["silver_without_account"] = over_raw(raw_chain("SELECT * FROM t_silver"), "no_account", _NO_ACCOUNT)
 ORACLE["txn_country"] = raw_chain("SELECT transaction_id, location, txn_country FROM t_enriched")
 ORACLE["txn_geo_mismatch"] = raw_chain(
     "SELECT transaction_id, txn_country, home_country, geo_mismatch_flag FROM t_silver"
@@ -382,7 +403,10 @@ def acc_chain(body: str) -> str:
     return with_fx(body, "fx_accounts_b1", "fx_accounts_b2", extra=ACC_CTES)
 
 
-ORACLE["accounts_dedupe"] = acc_chain("SELECT * FROM a_b2")
+ORACLE["accounts_dedupe"] = acc_chain(
+    "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY load_seq DESC, customer_id DESC, "
+    "status DESC) AS _rn FROM (SELECT * FROM fx_accounts_b1 UNION ALL SELECT * FROM fx_accounts_b2)) WHERE _rn = 1"
+)
 ORACLE["scd1_upsert"] = acc_chain("SELECT * FROM a_silver")
 ORACLE["dim_accounts"] = acc_chain("SELECT * FROM a_silver")
 ORACLE["churn_risk"] = acc_chain("SELECT * FROM a_churn")
@@ -461,9 +485,10 @@ _LOC_ROWS = (
 )
 
 ORACLE["distinct_locations"] = raw_chain("SELECT DISTINCT location FROM t_silver")
+_CITY = "CASE location " + " ".join(f"WHEN 'NATION_{k}' THEN '{c}'" for k, c in enumerate(CITIES)) + " ELSE location END"
 ORACLE["location_country_map"] = raw_chain(
     f"SELECT location, country, {_REGION} AS region FROM (SELECT location, {_FIXED_COUNTRY} AS country "
-    "FROM (SELECT DISTINCT location FROM t_silver WHERE location IS NOT NULL))"
+    f"FROM (SELECT DISTINCT {_CITY} AS location FROM t_silver WHERE location IS NOT NULL))"
 )
 ORACLE["location_country_join"] = raw_chain(
     f"SELECT location, country, {_REGION} AS region FROM ({_LOC_ROWS.format(src='t_silver')})"
@@ -532,6 +557,27 @@ ORACLE["bronze_transactions_multiline"] = ORACLE["bronze_transactions"]
 ORACLE["fact_transactions"] = ORACLE["silver_transactions"]
 ORACLE["cluster_silver"] = ORACLE["scd2_apply"]
 ORACLE["silver_txn_append"] = ORACLE["silver_transactions"]
+ORACLE["silver_txn_dup_ids"] = ORACLE["silver_transactions"]
+ORACLE["silver_txn_resend"] = over_raw(
+    ORACLE["silver_transactions"],
+    "resent",
+    "SELECT * REPLACE (CASE WHEN transaction_id % 40 = 0 THEN strftime(CAST(\"timestamp\" AS TIMESTAMP) + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') "
+    "ELSE \"timestamp\" END AS \"timestamp\", CASE WHEN transaction_id % 40 = 20 THEN account_id + 1 ELSE account_id END AS account_id) "
+    "FROM fx_transactions_raw",
+)
+ORACLE["fact_transactions_rewrite"] = raw_chain("SELECT * FROM t_silver WHERE day(txn_date) > 5")
+ORACLE["publish_table"] = ORACLE["scd2_apply"]
+ORACLE["snapshot_append"] = with_fx(
+    "SELECT *, CASE WHEN customer_id % 3 = 2 THEN 'late' END AS note FROM fx_customers", "fx_customers"
+)
+ORACLE["snapshot_evolve"] = with_fx("SELECT *, CAST(length(name) AS INTEGER) AS name_length FROM fx_customers", "fx_customers")
+ORACLE["scd2_stored_loads"] = scd_chain(
+    "SELECT * FROM s_b3",
+    extra=[
+        ("s_stg3", "SELECT customer_id, name, country, customer_type, risk_category FROM s_init"),
+        ("s_b3", scd2_step_sql("s_b2", "s_stg3", AS_OF_2)),
+    ],
+)
 ORACLE["txn_quality_counts"] = raw_chain(
     "SELECT (SELECT count(*) FROM fx_transactions_raw) AS raw_rows, count(*) AS kept_rows, "
     "(SELECT count(*) FROM fx_transactions_raw) - count(*) AS dropped_rows, "

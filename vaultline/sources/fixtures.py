@@ -183,3 +183,36 @@ def accounts_b2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "account_id", "customer_id", F.lit("Dormant").alias("status"), F.lit(2).alias("load_seq")
     )
     return closed.unionByName(dormant)
+
+
+#: the literal map's cities, in place of the first location codes
+CITIES = ("Mumbai", "Delhi", "London", "New York", "Toronto")
+
+
+def with_cities(df: DataFrame, location: str = "location") -> DataFrame:
+    """Locations NATION_0 to NATION_4 under the names of the literal map."""
+    out = F.col(location)
+    for k, city in enumerate(CITIES):
+        out = F.when(F.col(location) == f"NATION_{k}", city).otherwise(out)
+    return df.withColumn(location, out)
+
+
+def transactions_without_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty transactions of which every 97th names an account nobody has,
+    every 89th none at all, and every 83rd has no readable time."""
+    t = transactions_raw(spark, sf_dir)
+    tid = F.coalesce(F.col("transaction_id"), F.lit(0))
+    account = F.when(tid % 97 == 0, F.lit(-1).cast("long")).when(tid % 89 == 0, F.lit(None)).otherwise(F.col("account_id"))
+    return t.withColumns({"account_id": account, "timestamp": F.when(tid % 83 == 0, "no time").otherwise(F.col("timestamp"))})
+
+
+def transactions_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 20th transaction again: half with a time three days later, half
+    under the next account."""
+    t = transactions_raw(spark, sf_dir).where(F.col("transaction_id") % 20 == 0)
+    moved = F.col("transaction_id") % 40 == 0
+    later = F.date_format(F.try_to_timestamp(F.col("timestamp")) + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    return t.withColumns({
+        "timestamp": F.when(moved, later).otherwise(F.col("timestamp")),
+        "account_id": F.when(moved, F.col("account_id")).otherwise(F.col("account_id") + 1),
+    })

@@ -5,7 +5,8 @@ each version is a complete Parquet write (committed by Spark's
 ``_SUCCESS`` marker) and readers take the newest committed one.  A new
 version never overwrites the folder a plan is reading, so "read, change,
 write back" (SCD apply, schema evolution) is safe, and a failed write
-leaves the previous version current.  Partitioned facts live in one
+leaves the previous version current.  Appended rows lie in folders beside
+their version.  Partitioned facts live in one
 folder and are re-emitted per touched day with dynamic partition
 overwrite, whose commit is per day, not for all days at once.
 """
@@ -88,7 +89,10 @@ def read_table(spark: SparkSession, base: str, version: int | None = None) -> Da
     if not vs:
         raise FileNotFoundError(f"no committed snapshot under {base}")
     v = vs[-1] if version is None else version
-    return spark.read.parquet(version_path(base, v))
+    df = spark.read.parquet(version_path(base, v))
+    for path in _parts(spark, base, v):
+        df = df.unionByName(spark.read.parquet(path), allowMissingColumns=True)
+    return df
 
 
 def check_schema(old: DataFrame, new: DataFrame, merge_schema: bool) -> None:
@@ -139,12 +143,27 @@ def write_snapshot(
     return path
 
 
+def _parts(spark: SparkSession, base: str, version: int) -> list[str]:
+    """Committed appends to a version, in order."""
+    names = partition_values(spark, base, f"a{version:06d}")
+    paths = [f"{base.rstrip('/')}/a{version:06d}={n}" for n in sorted(names)]
+    return [p for p in paths if has_data(spark, p)]
+
+
 def append_snapshot(df: DataFrame, base: str) -> str:
-    """Append as a new version holding old rows + ``df`` (by column name)."""
+    """Append rows to the newest version, by column name: they go to a folder
+    of their own beside it (``a000001=000001`` is the first append to version
+    1) and nothing is rewritten.  The next full version ends them.  Columns
+    that either side lacks are NULL there; same-name columns keep their type."""
     spark = df.sparkSession
-    if table_exists(spark, base):
-        df = read_table(spark, base).unionByName(df, allowMissingColumns=True)
-    return write_snapshot(df, base, mode="replace")
+    if not table_exists(spark, base):
+        return write_snapshot(df, base, mode="replace")
+    check_schema(read_table(spark, base), df, merge_schema=True)
+    version = versions(spark, base)[-1]
+    taken = partition_values(spark, base, f"a{version:06d}")  # those of writes that died too
+    path = f"{base.rstrip('/')}/a{version:06d}={max(map(int, taken), default=0) + 1:06d}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
 
 
 def upsert_partitions(
@@ -258,3 +277,21 @@ def cluster_table(df: DataFrame, cols: Sequence[str], path: str, n_files: int |
     ranged = df.repartitionByRange(n_files, *keys) if n_files else df.repartitionByRange(*keys)
     ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
     return path
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> int:
+    """Explicit retention: deletes all but the newest ``keep`` committed
+    versions of a snapshot table with their appends, and unfinished older
+    ones; returns how many folders went.  Only for tables that no running
+    plan reads in an old version."""
+    fs, p, _ = _fs(spark, base)
+    vs = versions(spark, base)
+    if len(vs) <= keep:
+        return 0
+    oldest, gone = vs[-keep], 0
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        number = name[2:] if name.startswith("v=") else name[1:7] if name.startswith("a") and "=" in name else ""
+        if st.isDirectory() and number.isdigit() and int(number) < oldest:
+            gone += bool(fs.delete(st.getPath(), True))
+    return gone
