@@ -32,8 +32,8 @@ from vaultline.session import scratch_path
 BITS = 9  # of a symbol: 0 is a text's end, and what stands before its start; byte b is b + 1
 SYMBOLS = 257
 ORDER = 4
-CHUNK_BYTES = 32 << 20
-_PART_BYTES = 4 << 20
+CHUNK_BYTES = 24 << 20
+_PART_BYTES = 2 << 20
 _LOWER = bytes(range(256)).lower()
 _GRAM, _WORD = b"g", b"w"
 
@@ -154,9 +154,9 @@ def count_table(docs: DataFrame, train: Column, text: str, order: int = ORDER) -
             for yes in (True, False):
                 u, n = np.unique(leaves([t for t, x in zip(texts, learn, strict=True) if x == yes], order)[0], return_counts=True)
                 found.append((u, n if yes else np.zeros(len(u), np.int64)))
-            if sum(len(u) for u, _ in found) > 2_000_000:
+            if sum(len(u) for u, _ in found) > 1_000_000:
                 found = [merged()]
-            if len(words) > 1_500_000 or len(found[0][0]) > 1_500_000:  # partial counts add up anyway
+            if len(words) > 600_000 or len(found[0][0]) > 900_000:  # partial counts add up anyway
                 yield from flush()
                 words.clear()
                 found = []
@@ -242,12 +242,15 @@ def ppm_score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str
 
     def ask(table: pa.Table) -> pa.Table:
         """The distinct leaves and words of a chunk."""
-        codes, known = np.empty(0, np.int64), set()
+        lists, known = [np.empty(0, np.int64)], set()
         for part in _parts(table["text"]):
-            codes = np.union1d(codes, leaves(part, order)[0])
+            lists.append(np.unique(leaves(part, order)[0]))
+            if sum(map(len, lists)) > 1_000_000:
+                lists = [np.unique(np.concatenate(lists))]
             for t in part:
                 known.update(t.split())
-        keys = pa.array(_gram_keys(codes) + [_WORD + w for w in known], pa.binary())
+        grams = pa.array(_gram_keys(np.unique(np.concatenate(lists))), pa.binary())
+        keys = pa.chunked_array([grams, pa.array([_WORD + w for w in known], pa.binary())])
         chunk = table["chunk"][0].as_py() if table.num_rows else 0
         return pa.table({"chunk": pa.array(np.full(len(keys), chunk, np.int32)), "key": keys})
 
@@ -257,11 +260,14 @@ def ppm_score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         is_word = pc.equal(pc.binary_slice(right["key"], 0, 1), _WORD)
-        grams, known = right.filter(pc.invert(is_word)), right.filter(is_word)
-        codes = np.frombuffer(b"".join(k[1:] for k in grams["key"].to_pylist()), ">i8").astype(np.int64)
+        bare = pa.table({"key": pc.binary_slice(right["key"], 1, None), "value": right["value"]})
+        grams, known = bare.filter(pc.invert(is_word)), bare.filter(is_word)
+        codes = np.frombuffer(b"".join(grams["key"].to_pylist()), ">i8").astype(np.int64)
         order_ = np.argsort(codes)
         codes, cost = codes[order_], grams["value"].to_numpy()[order_]
-        logs = _Logs(zip((k[1:] for k in known["key"].to_pylist()), np.log10(known["value"].to_numpy() + 0.5).tolist(), strict=True))
+        logs = _Logs()
+        for block in known.to_batches(max_chunksize=50_000):
+            logs.update(zip(block.column(0).to_pylist(), np.log10(block.column(1).to_numpy() + 0.5).tolist(), strict=True))
         scale, end_log = np.log10(size + 0.5 * (kinds + 1)), np.log10(end_count + 0.5)
         n_tokens, n_known, base, score_ = [], [], [], []
         for part in _parts(left["text"]):
