@@ -255,13 +255,11 @@ def ppm_score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str
         return pa.table({"chunk": pa.array(np.full(len(keys), chunk, np.int32)), "key": keys})
 
     asked = src.groupBy("chunk").applyInArrow(ask, "chunk int, key binary")
-    answers = asked.join(model, "key").select("chunk", "key", "value")
+    answers = asked.join(model, "key").select("chunk", is_word.alias("is_word"), F.expr("substring(key, 2)").alias("key"), "value")
     names = [f"c_{k}" for k in carry]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        is_word = pc.equal(pc.binary_slice(right["key"], 0, 1), _WORD)
-        bare = pa.table({"key": pc.binary_slice(right["key"], 1, None), "value": right["value"]})
-        grams, known = bare.filter(pc.invert(is_word)), bare.filter(is_word)
+        grams, known = right.filter(pc.invert(right["is_word"])).select(["key", "value"]), right.filter(right["is_word"]).select(["key", "value"])
         codes = np.frombuffer(b"".join(grams["key"].to_pylist()), ">i8").astype(np.int64)
         order_ = np.argsort(codes)
         codes, cost = codes[order_], grams["value"].to_numpy()[order_]
