@@ -91,6 +91,11 @@ def test_gold_tables(spark, lake):
     assert spark.read.parquet(gold["dim_location"]).count() == 25
     assert spark.read.parquet(gold["churn"]).count() == 1425
     assert spark.read.parquet(gold["fact_credit"]).count() == 150
+    fact = spark.read.parquet(gold["fact_fraud"])
+    high = fact.where("fraud_risk_category = 'High'").count()
+    assert spark.read.parquet(gold["high_risk_count"]).first()[0] == high
+    top = spark.read.parquet(gold["alert_top10"])
+    assert top.count() <= 10 and top.agg({"high_risk_txn_count": "sum"}).first()[0] <= high
     # a second gold run succeeds and keeps location keys
     first = {r.location: r.location_key for r in spark.read.parquet(gold["dim_location"]).collect()}
     again = jobs.build_gold(spark, lk, FIXTURE, location_map=fx.location_map(spark, SF), publish_db="gold_test")
@@ -231,6 +236,7 @@ def test_gold_dim_customer_follows_customer_loads(spark):
     fact_files = data_files(lk.gold("fact_fraud"))
     assert fact_files
     out = jobs.run_jobs(spark, lk, {"customers": f"{raw}/c2"}, AS_OF_2, FIXTURE, loc)
+    assert out["customer_totals"] == {"total": 173, "current": 153, "expired": 20} and out["rejected"] == {"customers": 0}
     gold = spark.read.parquet(out["gold"]["dim_customer"])
     assert dict(gold.dtypes)["effective_end"] == "timestamp_ntz"
     silver = jobs.read_silver_customers(spark, lk)

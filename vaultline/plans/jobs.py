@@ -113,7 +113,8 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     staging = read_bronze(spark, lake, "customers")
     base = lake.silver("customer")
     if not tables.table_exists(spark, base):
-        return tables.write_snapshot(scd.scd2_apply(None, staging, "customer_id", as_of, tracked), base)
+        first = scd.scd2_apply(None, staging, "customer_id", as_of, tracked)
+        return tables.write_snapshot(first, base, verify=True, cluster_by=["customer_id"])
     current = read_silver_customers(spark, lake, current_only=True)
     newest = current.agg(F.max(scd.START).alias("at"), F.lit(as_of).cast("timestamp_ntz").alias("now")).first()
     if newest["at"] is not None and newest["now"] < newest["at"]:
@@ -124,7 +125,17 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     closed = step.transform(scd.expired_only)
     if not closed.isEmpty():
         closed.write.mode("overwrite").parquet(f"{_history(lake)}/load={load}")
-    return tables.write_snapshot(step.transform(scd.current_only), base)
+    return tables.write_snapshot(step.transform(scd.current_only), base, verify=True, cluster_by=["customer_id"])
+
+
+def check_customers(spark: SparkSession, lake: Lake) -> dict:
+    """Totals of the customer table; fails if a key has not exactly one
+    current row, versions overlap, or a closed row has no end."""
+    df = read_silver_customers(spark, lake)
+    health = scd.scd2_invariants(df, "customer_id").first()
+    if health["keys"] != health["keys_one_current"] or health["overlapping"] or health["expired_open"]:
+        raise AssertionError(f"silver customers: {health.asDict()}")
+    return scd.scd2_totals(df).first().asDict()
 
 
 def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
@@ -187,7 +198,7 @@ def append_silver_transactions(
     if not tables.has_data(spark, path):
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
-        tables.write_partitioned(silver, path, "txn_date")
+        tables.write_partitioned(silver, path, "txn_date", sort_by=["account_id"])
         days = [r[0] for r in prepared.select("txn_date").distinct().collect()]
         return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
@@ -228,7 +239,7 @@ def append_silver_transactions(
         .withColumn("rapid_txn_flag", F.coalesce(F.col("_flag"), F.col("rapid_txn_flag")))
         .select(*new_rows.columns)
     )
-    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date")
+    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", sort_by=["account_id"])
     return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
 
@@ -296,7 +307,7 @@ def build_gold(
     out: dict = {}
     paths = {n: lake.gold(n) for n in ("fact_fraud", "fact_transactions", "dim_customer")}
     incremental = days is not None and all(tables.has_data(spark, paths[n]) for n in ("fact_fraud", "fact_transactions"))
-    bases = {n: lake.gold(n) for n in ("kpi_daily_fraud", "dim_location", "dim_date")}
+    bases = {n: lake.gold(n) for n in ("kpi_daily_fraud", "dim_location", "dim_date", "alert_top10", "high_risk_count")}
     nothing_new = incremental and not days and all(tables.table_exists(spark, b) for b in bases.values())
     touched = silver_txn.filter(_day_filter(days)) if incremental else silver_txn
 
@@ -321,6 +332,8 @@ def build_gold(
         else:
             daily = kpi.kpi_daily_fraud(fact_days)
         out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base)
+        out["alert_top10"] = tables.write_snapshot(kpi.alert_summary(fact_days), bases["alert_top10"])
+        out["high_risk_count"] = tables.write_snapshot(kpi.high_risk_count(fact_days), bases["high_risk_count"])
 
         loc_base = bases["dim_location"]
         if tables.table_exists(spark, loc_base):
@@ -377,12 +390,14 @@ def run_jobs(
     out["rejected"] = {name: rejected_count(spark, lake, name) for name in raw}
     if "customers" in raw:
         out["silver_customer"] = load_silver_customers(spark, lake, as_of)
+        out["customer_totals"] = check_customers(spark, lake)
     if "accounts" in raw:
         out["silver_accounts"] = load_silver_accounts(spark, lake)
     days: list = []  # no transaction load: no transaction day changed
     if "transactions" in raw:
         out["transaction_quality"] = load_silver_transactions(spark, lake, cfg, location_map)
         days = out["transaction_quality"].get("days")
+        out["silver_transaction_rows"] = spark.read.parquet(lake.silver("transactions")).count()
     out["gold"] = build_gold(
         spark, lake, cfg, location_map=location_map, days=days, publish_db=publish_db,
         customer_as_of=as_of if "customers" in raw else None,

@@ -112,6 +112,7 @@ def write_snapshot(
     merge_schema: bool = False,
     partition_by: Sequence[str] | None = None,
     verify: bool = False,
+    cluster_by: Sequence[str] = (),
 ) -> str:
     """Write ``df`` as the next version of ``base``; returns its path.
 
@@ -120,8 +121,12 @@ def write_snapshot(
     ``mode="errorifexists"`` refuses when a version exists.
     ``verify=True`` counts the rows while writing (an Observation, no
     extra pass) and compares with a count of the committed files.
+    ``cluster_by`` lays the rows out by ranges of those columns, sorted in
+    each file, so that Parquet statistics skip files and row groups.
     """
     spark = df.sparkSession
+    if cluster_by:
+        df = df.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
     vs = versions(spark, base)
     if vs and mode == "errorifexists":
         raise FileExistsError(base)
@@ -214,11 +219,16 @@ def clustered_by(df: DataFrame, partition_col: str) -> DataFrame:
     return df.hint("rebalance", partition_col)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def _laid_out(df: DataFrame, partition_col: str, sort_by: Sequence[str]) -> DataFrame:
+    out = clustered_by(df, partition_col)
+    return out.sortWithinPartitions(partition_col, *sort_by) if sort_by else out
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = ()) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite);
-    the others stay."""
+    the others stay.  ``sort_by`` sorts the rows of each file."""
     (
-        clustered_by(df, partition_col)
+        _laid_out(df, partition_col, sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -226,11 +236,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     )
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str) -> str:
+def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = ()) -> str:
     """Overwrite of a whole partitioned table (to a path not read): static,
     whatever the session says, so partitions that ``df`` lacks go."""
     (
-        clustered_by(df, partition_col)
+        _laid_out(df, partition_col, sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(partition_col)
