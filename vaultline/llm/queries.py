@@ -15,6 +15,7 @@ from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import simhash_components
 from vaultline.llm.toxicity import fit_toxicity, score_toxicity
+from vaultline.llm.units import dedup_units
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,14 @@ def op9_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op7_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = dedup_units(docs)
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    kept_in = F.array_sort(F.array_distinct(F.transform("removed", lambda s: s["kept_id"])))
+    return got.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join(spans, ",").alias("removed_spans"), kept_in.alias("kept_in"), "text")
+
+
 def op8_embedding_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(_table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +86,7 @@ QUERIES = {
     "op4_extract_template": op4_extract_template,
     "op5_toxicity_subword": op5_toxicity_subword,
     "op6_mix_curriculum": op6_mix_curriculum,
+    "op7_dedup_lines": op7_dedup_lines,
     "op8_embedding_collisions": op8_embedding_collisions,
     "op9_pack_min_slack": op9_pack_min_slack,
     "op10_simhash_gray": op10_simhash_gray,
