@@ -62,8 +62,8 @@ def test_taken_words_meet_targets(spark):
 
 def test_training_order_is_sorted_by_position(spark):
     docs = spark.createDataFrame([(k, "a b c " * (k % 9 + 1), f"s{k % 4}") for k in range(200)], "doc_id long, text string, source string")
-    mixed = mix_sources(docs, carry=["text"]).cache()
-    rows = training_order(mixed, ["doc_id", "text"]).collect()
+    mixed = mix_sources(docs)
+    rows = training_order(docs).collect()
     places = {}
     for r in mixed.collect():
         places[r["doc_id"]] = list(r["positions"])
@@ -71,6 +71,15 @@ def test_training_order_is_sorted_by_position(spark):
     assert order == sorted(order) and not any(places.values())
 
 
+def test_equal_rows_share_the_positions_of_their_key(spark):
+    rows = [(k // 4, "a b c", "s", k % 4) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    taken = sum(r["copies"] for r in mix_sources(docs).collect())
+    got = training_order(docs)
+    assert got.columns == docs.columns and got.count() == taken == 40
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows)
+
+
 def test_edge_rows(spark):
     got = mix_sources(edge_docs(spark)).collect()
     assert len(got) == len(edge_rows()) and all(r["taken"] == 0 for r in got if r["size"] == 0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultline.llm import pii
 from vaultline.llm.common import renamed
-from vaultline.llm.mixing import mix_sources, training_order
+from vaultline.llm.mixing import training_order
 from vaultline.llm.packing import pack_documents, tokenizer_json
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import keep_one
@@ -37,10 +37,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in training order: a document taken twice stands there twice."""
-    src, at = renamed(docs)
-    doc_id, source = at["doc_id"], at["source"]
-    mixed = mix_sources(src, doc_id, at["text"], source, carry=[c for c in src.columns if c not in (doc_id, source)])
-    return training_order(mixed, src.columns, doc_id).toDF(*docs.columns)
+    return training_order(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
