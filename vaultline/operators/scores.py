@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vaultline.config import RiskConfig
 from vaultline.functions.exprs import classify, flag, weighted_sum
 
+# fixed values: output columns of the fact
 FACT_FRAUD_COLUMNS = (
     "transaction_id",
     "account_id",
@@ -27,6 +28,7 @@ FACT_FRAUD_COLUMNS = (
     "fraud_risk_category",
 )
 
+# fixed values: output columns of the fact
 FACT_CREDIT_COLUMNS = (
     "customer_id",
     "name",

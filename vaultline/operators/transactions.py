@@ -15,6 +15,7 @@ from vaultline.operators.rolling import rolling_count, rolling_count_plain
 
 METADATA_FIELDS = ("device", "ip_address", "channel")
 
+# fixed values: output columns of silver
 SILVER_COLUMNS = (
     "transaction_id",
     "account_id",

@@ -7,7 +7,6 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampType,
 )
 
 
@@ -41,7 +40,6 @@ TRANSACTIONS = _s(
     ("timestamp", StringType()),
     ("metadata", METADATA),
 )
-AUDIT = _s(("created_timestamp", TimestampType()), ("source_table", StringType()))
 
 # Complaints are ingested as they come; no column of them is ever read.
 SOURCES = {
