@@ -601,7 +601,8 @@ def _snapshot_evolve(spark, d):
 @q("publish_table")
 def _publish_table(spark, d):
     """A managed table written twice, the second time with other rows."""
-    name = "vaultline_published_customer"
+    # a folder left by an earlier session would block a fixed name
+    name = "vaultline_published_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     tables.publish(scd2_initial(spark, d), name)
     tables.publish(scd2_batch2(spark, d), name)
     return spark.table(name)
