@@ -86,6 +86,29 @@ def test_models_fit_and_hold_precision(spark):
     assert got["s"] >= got["b"] == 600
 
 
+def test_loose_forms_are_learned_and_added(spark):
+    rng = random.Random(5)
+    rows = [f"text u{k}.x@host{k}.com and +1 ({200 + k % 700}) 555-{1000 + k} of 10.{k % 250}.7.{k % 99} on 20{k % 90 + 10}-05-{k % 28 + 1:02} size {k} {k + 120} {k + 340} {k + 560}" for k in range(300)]
+    card = next(c for c in (f"4{rng.randrange(10**14):014}{d}" for _ in range(9) for d in range(10)) if luhn(c))
+    four = [card[k : k + 4] for k in range(0, 16, 4)]
+    loose = {"email": "ann.lee [at] host9.com", "phone": "(377) 555-0271", "card": ".".join(four), "ip": "10[.]20[.]30[.]40"}
+    rows += [f"here is {v} for them" for v in loose.values()]
+    plain = ["on 1990 1991 1992 1993 there", "see you @ noon", "12:30:45:123 and 1,234,190,200", f"{'.'.join(four)[:-1]}{(int(card[-1]) + 1) % 10} is no card", "date 2026-12-04 and 12/04/2026"]
+    docs = spark.createDataFrame(list(enumerate(rows + plain)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find_pii(docs, models=pii.fit_models(docs)).collect()}
+    for k, (kind, value) in enumerate(loose.items()):
+        assert [tuple(s) for s in got[300 + k]["pii_spans"]] == [(8, pii.KINDS.index(kind), 8 + len(value))], kind
+        assert got[300 + k]["pii_base"] == []
+    assert all(got[304 + k]["pii_spans"] == [] for k in range(len(plain)))
+    assert all(got[k]["pii_spans"] == got[k]["pii_base"] for k in range(300))  # dates and sizes stay
+
+
+def test_small_table_is_scored(spark):
+    docs = spark.createDataFrame([(1, "write to joe [at] mail.example.org today"), (2, "nothing")], "doc_id long, text string")
+    got = {r["doc_id"]: len(r["pii_spans"]) for r in pii.find_pii(docs, models=pii.fit_models(docs)).collect()}
+    assert got == {1: 1, 2: 0}
+
+
 def test_native_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.cd")], "doc_id long, text string")
     plan = pii.find_pii(docs, models={"email": Boosted(1.0, [(0, 3.0, -1.0, 1.0)], 0.5)})._jdf.queryExecution().executedPlan().toString()

@@ -3,8 +3,13 @@
 Fixed rules find the base spans.  High-recall generators propose looser spans
 of the same kinds, which may overlap; boosted trees score each by its format
 and context, and a threshold per kind, calibrated for precision, selects which
-of them are redacted too.  The trees learn from a bounded sample of documents,
-where a proposal that overlaps a base span of its kind is a positive one.
+of them are redacted too.  The trees learn from a bounded sample, for each
+kind, of documents that hold proposals.  Positive are base spans rewritten in
+loose forms that the rules miss, and proposals with evidence of their own
+(check sums, cue words, structure of hosts and numbers); negative are the same
+forms with that evidence broken, and proposals without any.  Proposals that
+overlap a base span of their kind teach nothing, as they add nothing.  A few
+fixed texts join every sample, so that a small table is scored as well.
 Finding, scoring, selecting and redacting are DataFrame functions in one
 narrow pass; Python runs on the driver alone, to fit the trees.
 
@@ -16,6 +21,7 @@ linear time and no stack.
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +31,7 @@ from pyspark.sql import functions as F
 
 from vaultline.llm.boosting import Boosted, calibrate, fit
 from vaultline.llm.common import renamed
+from vaultline.session import ensure_checkpoint_dir
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -35,16 +42,20 @@ _PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: looser forms of the same kinds: spaced or spelled at-signs, any dotted quadruple, long digit groups, numbers without a plus
+_AT = r"(?:@| @ | ?[\[({<] ?(?i:at) ?[\])}>] ?)"
+_DOT = r"(?: ?[\[({<] ?(?:\.|(?i:dot)) ?[\])}>] ?)"
+_WORD = r"[\p{L}\p{N}._%+'-]"
+_LABEL = r"[\p{L}\p{N}-]{1,63}+"
+#: looser forms of the same kinds: spaced or spelled at-signs and dots, letters beyond ASCII, any quadruple, long digit groups, numbers without a plus
 _PROPOSALS = {
-    "email": r"(?<![^\s])[^\s@]{1,64}+(?:@| ?[\[(]at[\])] ?)[^\s@]{2,255}+",
-    "ip": r"(?<![0-9])[0-9]{1,4}(?:[.,:][0-9]{1,4}){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){11,18}(?![0-9])",
-    "phone": r"(?<![0-9])[+(]{0,2}[0-9]{1,4}[)]?(?:[ ./-]{1,2}[(]?[0-9]{2,4}[)]?){2,4}(?![0-9])",
+    "email": rf"(?<!{_WORD}){_WORD}{{1,64}}+{_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,8}}+",
+    "ip": rf"(?<![0-9])[0-9]{{1,4}}+(?:(?:[.,:]|{_DOT})[0-9]{{1,4}}+){{3}}(?![0-9])",
+    "card": r"(?<![0-9])(?:(?:[0-9]{4}[ ./_-]{1,2}){3}[0-9]{4}|[0-9](?:[ ./_-]{0,2}[0-9]){11,18})(?![0-9])",
+    "phone": r"(?<![0-9])[+(]{0,2}[0-9]{1,4}[)]?(?:(?:[ ./-]{1,2}|(?<=[)]))[(]?[0-9]{2,4}[)]?){2,4}(?![0-9])",
 }
 _MAY = {
-    "email": lambda t: F.contains(t, F.lit("@")) | F.contains(t, F.lit("[at]")) | F.contains(t, F.lit("(at)")),
-    "ip": lambda t: t.rlike(r"[0-9][.,:][0-9]"),
+    "email": lambda t: F.contains(t, F.lit("@")) | t.rlike(r"[\[({<] ?(?i:at) ?[\])}>]"),
+    "ip": lambda t: t.rlike(rf"[0-9](?:[.,:]|{_DOT})[0-9]"),
     "card": lambda t: t.rlike(r"[0-9](?:[ ./_-]{0,2}[0-9]){10}"),
     "phone": lambda t: t.rlike(r"[0-9][ ()./-][ ()./0-9-]*[0-9]|\+[0-9]"),
 }
@@ -55,8 +66,8 @@ _CUES = (r"(?i)(?:tel|phone|call|fax|mobile|cell)", r"(?i)(?:card|visa|credit|pa
 class PiiRules:
     """Bounds of the training sample and the aim of the thresholds."""
 
-    sample_documents: int = 2000  # the smallest by a hash of the id
-    sample_proposals: int = 20000
+    sample_documents: int = 2000  # for each kind, of those that hold proposals: the smallest by a hash
+    sample_proposals: int = 20000  # for each kind
     precision: float = 0.95
 
 
@@ -112,25 +123,130 @@ def _valid(kind: str, value: Column) -> Column:
     return F.when(n.between(12, 19), _luhn(_digits(value))).otherwise(False)
 
 
-FEATURES = ("length", "digits", "groups", "longest_group", "letters", "others", "plus", "dots", "parens", "letter_before", "letter_after", "dot_after", "quoted",
-            "cue_phone", "cue_card", "cue_mail", "cue_host", "base_fit")
+FEATURES = ("length", "digits", "groups", "first_group", "last_group", "longest_group", "letters", "others", "separators", "plus", "dots", "brackets", "listed",
+            "letter_before", "letter_after", "dot_after", "quoted", "cue_phone", "cue_card", "cue_mail", "cue_host", "cue_near", "check", "shape")
+#: a cue word with no other number between it and the proposal
+_NEAR = {
+    "email": r"(?i)\b(?:e?-?mail|contact|write)\b[^0-9]{0,12}$",
+    "ip": r"(?i)\b(?:ip|host|server|addr|address)\b[^0-9]{0,12}$",
+    "card": r"(?i)\b(?:card|visa|credit|pay)\b[^0-9]{0,12}$",
+    "phone": r"(?i)\b(?:tel|telephone|phone|call|fax|mobile|cell)\b[^0-9]{0,12}$",
+}
+#: one separator throughout, in groups as the kind is written
+_SHAPES = {
+    "email": rf"^{_WORD}+@{_LABEL}(?:\.{_LABEL})*\.\p{{L}}{{2,24}}$",
+    "ip": r"^[0-9]+([^0-9]+)[0-9]+\1[0-9]+\1[0-9]+$",
+    "card": r"^(?:[0-9]{4}([ ./_-]{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[0-9]{3}([ ./_-]{1,2})[0-9]{6}\2[0-9]{5}|[0-9]{13,19})$",
+    "phone": r"^(?:(?:[+]|00)?[0-9]{1,3}[ ./-]{1,2})?(?:[(][0-9]{3}[)][ ./-]{0,2}[0-9]{3}[ ./-][0-9]{4}|[0-9]{3}([ ./-])[0-9]{3}\1[0-9]{4})$",
+}
+
+
+def _plain(value: Column) -> Column:
+    """Spelled or spaced signs as the signs themselves."""
+    return F.regexp_replace(F.regexp_replace(value, _AT, "@"), _DOT, ".")
+
+
+def _check(kind: str, value: Column) -> Column:
+    """Evidence in the value itself: host, range of the parts, check sum, count of digits."""
+    if kind == "email":
+        return _plain(value).rlike(rf"@(?:{_LABEL}\.)+\p{{L}}{{2,24}}$")
+    if kind == "ip":
+        return _valid(kind, F.regexp_replace(_plain(value), "[,:]", "."))
+    if kind == "card":
+        return _valid(kind, value) & value.rlike("^[2-6]")
+    return _valid(kind, value)
+
+
+def _shape(kind: str, value: Column) -> Column:
+    return (_plain(value) if kind == "email" else value).rlike(_SHAPES[kind])
+
+
+def _evidence(kind: str, x: Column) -> Column:
+    """Whether a proposal is personal data by what no base pattern looks at."""
+    v, near = x["value"], x["before"].rlike(_NEAR[kind])
+    alone = ~(x["before"].rlike(r"[\p{L}0-9_]$") | x["after"].rlike(r"^(?:[\p{L}0-9_]|[.,:/-][0-9])"))
+    fits = _check(kind, v) & _shape(kind, v)
+    if kind == "ip":  # lists, times and sums look alike, a spelled dot does not
+        fits &= v.rlike(_DOT) | near
+    if kind == "phone":
+        fits = _check(kind, v) & ~v.rlike(r"^[0-9]+(?:[.][0-9]+){3}$") & (_shape(kind, v) | near)
+    return alone & fits
+
 
+def _rewritten(kind: str, value: Column) -> list[Column]:
+    """A base match in loose forms that the rules miss."""
+    digits = _digits(value)
+    put = lambda sep: F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", f"$1{sep}")
+    if kind == "email":
+        host = F.regexp_replace(F.regexp_extract(value, "@(.*)$", 1), r"\.", " [dot] ")
+        return [F.regexp_replace(value, "@", at) for at in (" [at] ", "[at]", " (at) ", " @ ")] + [F.concat(F.regexp_extract(value, "^[^@]*", 0), F.lit(" [at] "), host)]
+    if kind == "ip":
+        return [F.regexp_replace(value, r"\.", dot) for dot in ("[.]", "(.)", "[dot]", " [.] ")]
+    if kind == "card":
+        return [put(sep) for sep in (".", "/", "_", "  ")]
+    bare = F.regexp_replace(value, r"^[+][0-9]{1,3}[ .-]+(?=[(]?[0-9])", "")
+    return [F.regexp_replace(value, "^[+]", ""), bare, F.regexp_replace(F.regexp_replace(bare, "[^0-9]+", "-"), "^-", ""), F.regexp_replace(F.regexp_replace(bare, "[^0-9]+", "."), "^[.]", ""),
+            F.regexp_replace(F.regexp_replace(bare, "[^0-9]+", " "), "^ ", ""), F.regexp_replace(value, "^[+]", "00")]
+
+
+def _damaged(kind: str, value: Column) -> Column:
+    """The same form without what makes it personal data: a host without a
+    top level, a part over 255, another last digit, groups of a table."""
+    if kind == "email":
+        return F.regexp_replace(value, r"(?:\.|" + _DOT + r")(?=[\p{L}\p{N}-]+(?:\.|" + _DOT + r"|$))", "")
+    if kind == "ip":
+        return F.regexp_replace(value, "^[0-9]+", "777")
+    if kind == "card":
+        last = F.right(value, F.lit(1)).cast("int")
+        return F.concat(F.left(value, F.length(value) - 1), F.pmod(last + 1 + F.length(value) % 7, F.lit(10)).cast("string"))
+    return F.regexp_replace(_digits(value), "([0-9]{4})(?=[0-9])", "$1 ")
 
-def _features(x: Column) -> Column:
-    """Format and context of a proposal; none of them is a rule's check sum."""
+
+def _features(kind: str, x: Column) -> Column:
+    """Format, context and check of a proposal."""
     v, b, a = x["value"], x["before"], x["after"]
     flag = lambda c: c.cast("double")
     runs = F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0))
-    digits, letters = F.length(_digits(v)), F.length(F.regexp_replace(v, "[^A-Za-z]", ""))
+    digits, letters = F.length(_digits(v)), F.length(F.regexp_replace(v, r"[^\p{L}]", ""))
+    seps = F.size(F.array_distinct(F.regexp_extract_all(v, F.lit("[^0-9]+"), F.lit(0))))
+    size = lambda r: F.coalesce(F.length(r), F.lit(0))
     cols = [
-        F.length(v), digits, F.size(runs), F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0)), letters, F.length(v) - digits - letters,
-        flag(F.contains(v, F.lit("+")) | b.endswith("+")), F.length(F.regexp_replace(v, "[^.]", "")), flag(F.contains(v, F.lit("("))),
-        flag(b.rlike("[A-Za-z0-9]$")), flag(a.rlike("^[A-Za-z0-9]")), flag(a.rlike("^[.][A-Za-z0-9]")), flag(b.rlike("[\"'=#/_:]$")),
-        *(flag(b.rlike(cue)) for cue in _CUES), flag(v.rlike(r"@[A-Za-z0-9-]+\.[A-Za-z]")),
+        F.length(v), digits, F.size(runs), size(F.get(runs, F.lit(0))), size(F.get(runs, F.size(runs) - 1)), F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0)),
+        letters, F.length(v) - digits - letters, seps,
+        flag(F.contains(v, F.lit("+")) | b.endswith("+")), F.length(F.regexp_replace(v, "[^.]", "")), flag(v.rlike(r"[\[({<]")), flag(v.rlike("[,:]")),
+        flag(b.rlike(r"[\p{L}0-9_]$")), flag(a.rlike(r"^[\p{L}0-9_]")), flag(a.rlike("^[.,:/-][A-Za-z0-9]")), flag(b.rlike("[\"'=#/_:]$")),
+        *(flag(b.rlike(cue)) for cue in _CUES), flag(b.rlike(_NEAR[kind])), flag(_check(kind, v)), flag(_shape(kind, v)),
     ]
     return F.array(*(c.cast("double") for c in cols))
 
 
+def _seeds() -> list[str]:
+    """Texts with base spans of each kind, and with what only looks like one."""
+    rng = random.Random(0)
+    words = "the report was sent there and then read again by all of them before noon".split()
+    some = lambda n=3: " ".join(rng.choice(words) for _ in range(n))
+    num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    out = []
+    for k in range(90):
+        card = rng.choice(["4", "51", "37", "6011"]) + num(11)
+        card += next(d for d in "0123456789" if _luhn_of(card + d))
+        phone = rng.choice([f"+1 ({rng.randrange(200, 999)}) {num(3)}-{num(4)}", f"+1 {num(3)} {num(3)} {num(4)}", f"+49 {num(3)} {num(3)}-{num(4)}"])
+        ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+        year = rng.randrange(1900, 2030)
+        out.append(f"{some()} {rng.choice(words)}.{k}@{rng.choice(words)}{k}.{rng.choice(['com', 'org', 'example.net', 'de'])} {some()}")
+        out += [f"{some()} {ip} {some()}", f"{some()} {card} {some()}", f"{some()} {phone} {some()}"]
+        out += [f"{some()} {year}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02} {some()}", f"{some()} {year} {year + 1} {year + 2} {some()}",
+                f"{some()} {rng.randrange(1, 9)},{rng.randrange(100, 256)},{rng.randrange(100, 256)},{rng.randrange(100, 256)} {some()}",
+                f"{some()} {rng.randrange(24)}:{rng.randrange(10, 60)}:{rng.randrange(10, 60)}:{rng.randrange(100, 256)} {some()}", f"{some()} 978-{num(1)}-{num(2)}-{num(4)}-{num(2)} {some()}",
+                f"{some()} {num(2)} {num(3)} {num(3)} {num(3)} {some()}", f"{some()} {num(4)}.{num(4)}.{num(4)}.{num(4)} {some()}", f"{some()} @ {rng.choice(words)} {some()}",
+                f"{some()} [at] {rng.choice(words)} {some()}", f"{some()} {rng.randrange(10, 32)}/{rng.randrange(10, 13)}/{year} {some()}"]
+    return out
+
+
+def _luhn_of(digits: str) -> bool:
+    return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
 def _base(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
     """``keep``, then b_<kind> and p_<kind>: spans of the rules, and proposals."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -154,26 +270,49 @@ def _overlaps(x: Column, spans: Column) -> Column:
     return F.exists(spans, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
 
 
-def fit_models(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: PiiRules = PiiRules()) -> dict[str, Boosted]:
-    """Trees and threshold of each kind, from a bounded sample: the documents
-    with the smallest hashes of their ids.  A third of the proposals, by hash,
-    calibrates the threshold."""
-    key = F.xxhash64(F.col(doc_id).cast("string"))
-    picked = docs.select(key.alias("__key")).orderBy("__key").limit(rules.sample_documents).distinct()
-    sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key")
-    spans = _base(sample, "__text", [F.col("__key")])
-    rows = None
+def _examples(spans: DataFrame) -> DataFrame:
+    """(kind, x, y, h) of all kinds, from base spans and proposals."""
+    all_kinds = []
     for k, kind in enumerate(KINDS):
-        known = F.transform(F.col(f"p_{kind}"), lambda x: F.struct(_features(x).alias("x"), _overlaps(x, F.col(f"b_{kind}")).alias("y"), F.xxhash64(x["value"]).alias("h")))
-        one = spans.select(F.lit(k).alias("kind"), F.explode(known).alias("r")).select("kind", "r.x", "r.y", "r.h")
-        rows = one if rows is None else rows.unionByName(one)
-    got = rows.orderBy("h", "kind", "x").limit(rules.sample_proposals).collect()
+        whole = f"^(?:{_PROPOSALS[kind]})$"
+        others = F.concat(*(F.col(f"b_{other}") for other in KINDS if other != kind))
+        own = F.filter(F.col(f"p_{kind}"), lambda x: ~_overlaps(x, F.col(f"b_{kind}")))
+        seen = F.transform(own, lambda x: F.struct(x.alias("x"), (_evidence(kind, x) & ~_overlaps(x, others)).alias("y"), F.xxhash64(x["value"]).alias("h")))
+
+        def loose(x: Column) -> Column:
+            pairs = []
+            for form in _rewritten(kind, x["value"]):
+                pairs += [(form, True), (_damaged(kind, form), False)]
+            put = lambda v: F.struct(x["start"], x["end"], v.alias("value"), x["before"], x["after"])
+            return F.array(*(F.struct(put(v).alias("x"), F.lit(y).alias("y"), F.xxhash64(x["value"]).alias("h")) for v, y in pairs))
+
+        made = F.filter(F.flatten(F.transform(F.col(f"b_{kind}"), loose)), lambda r: r["x"]["value"].rlike(whole))
+        all_kinds.append(F.transform(F.concat(seen, made), lambda r: F.struct(F.lit(k).alias("kind"), _features(kind, r["x"]).alias("x"), r["y"].alias("y"), r["h"].alias("h"))))
+    return spans.select(F.explode(F.concat(*all_kinds)).alias("r")).select("r.*")
+
+
+def fit_models(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: PiiRules = PiiRules()) -> dict[str, Boosted]:
+    """Trees and threshold of each kind, from a bounded sample for each: the
+    documents with its proposals that have the smallest hashes, and the seeds.
+    A third of the examples, by hash, calibrates the threshold."""
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    t = F.coalesce(F.col(text), F.lit(""))
+    key = F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
+    holds = [(_MAY[kind](t) & t.rlike(_PROPOSALS[kind])).alias(f"__{kind}") for kind in KINDS]
+    held = docs.select(key.alias("__key"), *holds).where(reduce(lambda a, b: a | b, (F.col(f"__{kind}") for kind in KINDS))).checkpoint()
+    picked = reduce(DataFrame.unionByName, (held.where(f"__{kind}").select("__key").orderBy("__key").limit(rules.sample_documents) for kind in KINDS)).distinct()
+    sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key").select("__text")
+    seeds = spark.createDataFrame([(s,) for s in _seeds()], "__text string")
+    # spans, then examples: the wide expressions of both in one task take memory to compile
+    spans = _base(sample.unionByName(seeds), "__text", []).checkpoint()
+    rows = _examples(spans).checkpoint()
     models = {}
     for k, kind in enumerate(KINDS):
-        mine = [r for r in got if r["kind"] == k]
+        mine = rows.where(F.col("kind") == k).orderBy("h", "x", "y").limit(rules.sample_proposals).collect()
         x, y = np.array([r["x"] for r in mine]).reshape(len(mine), len(FEATURES)), np.array([float(r["y"]) for r in mine])
-        held = np.array([r["h"] % 3 == 0 for r in mine], bool)
-        models[kind] = calibrate(fit(x[~held], y[~held]), x[held], y[held], rules.precision) if len(mine) else Boosted()
+        held_out = np.array([r["h"] % 3 == 0 for r in mine], bool)
+        models[kind] = calibrate(fit(x[~held_out], y[~held_out]), x[held_out], y[held_out], rules.precision) if len(mine) else Boosted()
     return models
 
 
@@ -198,7 +337,7 @@ def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     # features first, then scores: two steps, so that a tree reads ready values
     scored = spans.select(
         *keep, base.alias("pii_base"),
-        *(F.transform(F.col(f"p_{kind}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _features(x).alias("f"))).alias(f"f_{kind}") for kind in models),
+        *(F.transform(F.col(f"p_{kind}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _features(kind, x).alias("f"))).alias(f"f_{kind}") for kind in models),
     )
     more = [
         plain(F.filter(F.col(f"f_{kind}"), lambda x: m.column(x["f"]) >= F.lit(m.threshold)), KINDS.index(kind)) for kind, m in models.items()
