@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from vaultline.llm import neardup
 from vaultline.llm.components import components, local_roots
@@ -44,6 +45,29 @@ def test_recall_against_brute_force(spark):
     assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got)
 
 
+@pytest.mark.parametrize("norm", [0.02, 0.85, 0.9])
+def test_recall_holds_off_centre_and_at_scale(norm):
+    rng = np.random.default_rng(4)
+    d, n = 64, 300
+    mean = np.zeros(d)
+    mean[0] = norm
+    turn = (0.9 - norm**2) / (1 - norm**2)
+    e, f = np.linalg.qr(rng.standard_normal((n, d - 1, 2)))[0].transpose(2, 0, 1)
+    whole = lambda v: np.concatenate([np.full((n, 1), norm), np.sqrt(1 - norm**2) * v], axis=1)
+    x, y = whole(e), whole(turn * e + np.sqrt(1 - turn**2) * f)  # pairs of the set, at the limit
+    assert np.allclose((x * y).sum(axis=1), 0.9)
+    spec = neardup.calibrate(x, mean, 20_000_000, 0.9, 0.97, 7)
+    (ca, ha), (cb, hb) = spec.cells(x), spec.cells(y)
+    hits = ((ca == cb) & (np.abs(ha - hb) <= spec.window)).sum(axis=1)
+    assert spec.tables <= 512 and np.mean(hits >= spec.least) >= 0.95
+
+
+def test_recall_out_of_reach_is_an_error():
+    x = np.eye(8)
+    with pytest.raises(ValueError):
+        neardup.calibrate(x, x.mean(axis=0), 1000, 0.9, 0.97, 7, most=1, window=0.1)
+
+
 def test_crowded_cell_is_split(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 32)
     check(spark, np.concatenate([clusters(5, 1, 16, 200), clusters(6, 60, 16, 2)]), 0.95)

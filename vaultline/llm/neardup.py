@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import erf
 
 import numpy as np
 import pyarrow as pa
@@ -53,41 +54,73 @@ def _lines(dimension: int, count: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dimension]).standard_normal((dimension, count))
 
 
+def _collide(x: np.ndarray, y: np.ndarray, mean: np.ndarray, window: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pair, the chance to be on one side of a random line through the
+    mean, and to be within the window on another; both are exact."""
+    a, b = x - mean, y - mean
+    long = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+    angle = np.arccos(np.clip(np.divide((a * b).sum(axis=1), long, out=np.zeros(len(x)), where=long > 1e-12), -1, 1))
+    apart = np.maximum(np.linalg.norm(x - y, axis=1), 1e-12)
+    return 1 - angle / np.pi, np.array([erf(window / (np.sqrt(2) * v)) for v in apart])
+
+
+def _partners(sample: np.ndarray, mean: np.ndarray, cosine: float, seed: int) -> list[np.ndarray]:
+    """Partners of the sample at the limit: in a random direction, and (off
+    centre these are the harder ones) as far along the mean as the vector
+    itself; where that is nearer than the limit, the one opposite."""
+    noise = np.random.default_rng(seed).standard_normal(sample.shape)
+
+    def across(v: np.ndarray, *axes: np.ndarray) -> np.ndarray:
+        for axis in axes:
+            v = v - (v * axis).sum(axis=1, keepdims=True) * axis
+        norm = np.linalg.norm(v, axis=1, keepdims=True)
+        return np.divide(v, norm, out=np.zeros_like(v), where=norm > 1e-9)
+
+    free = across(noise, sample)
+    out = [np.where(free.any(axis=1, keepdims=True), cosine * sample + np.sqrt(1 - cosine**2) * free, sample)]
+    size = np.linalg.norm(mean)
+    if size > 1e-9 and sample.shape[1] > 2:
+        axis = np.broadcast_to(mean / size, sample.shape)
+        along = (sample * axis).sum(axis=1, keepdims=True)
+        rest = np.sqrt(np.maximum(1 - along**2, 1e-12))
+        own = across(sample, axis)
+        turn = np.clip((cosine - along**2) / rest**2, -1, 1)
+        out.append(along * axis + rest * (turn * own + np.sqrt(1 - turn**2) * across(noise, axis, own)))
+    return out
+
+
 def calibrate(sample: np.ndarray, mean: np.ndarray, total: int, cosine: float, recall: float, seed: int, window: float = 1.0, most: int = 512) -> Tables:
     """Tables for ``total`` vectors of the sample's kind.
 
-    Each sample vector gets a partner at exactly the limit; how often the two
-    collide in trial tables gives the number of tables with which two
-    collisions reach ``recall`` on the average of the sample (one collision
-    where even ``most`` tables do not), and then the largest count that still
-    does."""
+    Each sample vector gets partners at exactly the limit; the chance that a
+    table makes the harder of them collide is known exactly, and gives the
+    number of tables with which two collisions reach ``recall`` on the average
+    of the sample (one collision where even ``most`` tables do not), and then
+    the largest count that still does.  Where ``most`` tables are too few, the
+    cells get larger, side by side, until they reach it; a recall that no cell
+    size reaches is an error."""
     d = sample.shape[1]
-    sides = int(np.clip(np.log2(max(total, 1) / CELL), 0, 40))
-    rng = np.random.default_rng(seed)
-    noise = rng.standard_normal(sample.shape)
-    noise -= (noise * sample).sum(axis=1, keepdims=True) * sample
-    norm = np.linalg.norm(noise, axis=1, keepdims=True)
-    noise = np.divide(noise, norm, out=np.zeros_like(noise), where=norm > 1e-12)
-    partner = cosine * sample + np.sqrt(1 - cosine**2) * noise
-    probe = 64
-    lines = _lines(d, probe * (sides + 1), seed + 1)
-    trial = Tables(lines, mean @ lines, probe, sides, window, 1)
-    (ca, ha), (cb, hb) = trial.cells(sample), trial.cells(partner)
-    # of each vector by itself: where vectors crowd, pairs at the limit collide less often
-    hits = ((ca == cb) & (np.abs(ha - hb) <= window)).sum(axis=1)
-    p = (hits + 0.5) / (probe + 1) if len(sample) else np.full(1, 0.5)
-
-    def enough(t: int, least: int) -> bool:
+    if len(sample):
+        # of each vector by itself: where vectors crowd, pairs at the limit collide less often
+        chances = [_collide(sample, partner, mean, window) for partner in _partners(sample, mean, cosine, seed)]
+    else:
+        chances = [(np.full(1, 0.9), np.full(1, 0.9))]
+
+    def reached(sides: int, t: int, least: int) -> bool:
+        p = np.clip(np.min([side**sides * near for side, near in chances], axis=0), 0, 1 - 1e-9)
         miss, term = np.zeros(len(p)), (1 - p) ** t
         for k in range(least):
             miss += term
             term = term * ((t - k) / (k + 1)) * p / (1 - p)
         return float((1 - miss).mean()) >= recall
 
-    tables = next((t for t in range(2, most + 1) if enough(t, 2)), None)
-    if tables is None:
-        tables = next((t for t in range(1, most + 1) if enough(t, 1)), most)
-    least = max([k for k in range(1, 9) if enough(tables, k)], default=1)
+    top = int(np.clip(np.log2(max(total, 1) / CELL), 0, 40))
+    fits = next(((s, k) for s in range(top, -1, -1) for k in (2, 1) if most >= k and reached(s, most, k)), None)
+    if fits is None:
+        raise ValueError(f"a recall of {recall} at cosine {cosine} needs more than {most} tables")
+    sides, least = fits
+    tables = next(t for t in range(least, most + 1) if reached(sides, t, least))
+    least = max(k for k in range(1, 9) if k <= least or reached(sides, tables, k))
     lines = _lines(d, tables * (sides + 1), seed)
     return Tables(lines, mean @ lines, tables, sides, window, least)
 
