@@ -20,6 +20,23 @@ def test_regions_that_are_no_article():
         assert text_of(f"<body>{part}<article><p>main</p>{part}</article>{part}</body>") == "main", part
 
 
+def test_a_hint_takes_no_wrapper_away():
+    body = "<p>The whole story of the page, told at length.</p>"
+    for wrap in ("div class='layout with-sidebar'", "div class=no-sidebar", "div class='has-banner'", "div id='comments-enabled'", "section class='legal'", "div class='social-policy'", "div class='promo-2024 post'"):
+        name, side = wrap.split()[0], "<div class='sidebar'>side</div>"
+        for inner in (body, f"<article>{body}</article>", f"<main><article>{body}</article></main>"):
+            got = text_of(f"<body><{wrap}>{inner}{side}</{name}><div>{'long list ' * 40}</div></body>" if "article" in inner else f"<body><{wrap}>{inner}{side}</{name}></body>")
+            assert got == "The whole story of the page, told at length.", (wrap, inner)
+
+
+def test_a_hint_takes_its_region_away():
+    story = "<div><p>The whole story of the page, told at length, and more.</p></div>"
+    for part in ("<div class='sidebar'>side</div>", "<ol class='comment-list'><li class=comment><article class='comment-body'><p>reader</p></article></ol>",
+                 "<div class=related><article>one</article><article>two</article></div>"):
+        assert text_of(f"<body>{part}{story}</body>") == "The whole story of the page, told at length, and more.", part
+    assert text_of(f"<main><article>{story}</article><div class=related><article>one</article></div></main>") == "The whole story of the page, told at length, and more."
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(2)
     bits = ["<p>", "</p>", "<div class=\"a>b\">", "</div>", "<", ">", "<!--", "-->", "<script>", "</script>", "&am", "&lt;", "x", "</", "<a href='", "'>", "<b", "\x00", "İ", "<li>"]

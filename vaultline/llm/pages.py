@@ -7,6 +7,8 @@ class.  Classes that hold elements and occur on enough pages are valid; nested
 by path they are the host's template, and what they leave open are slots.
 Text of the template, slots made of links, and regions whose element names
 say that they are not the article are taken away; the rest is the main text.
+Words in a class or id are hints alone: an element that holds most of what is
+left, or its main article, stays whatever its theme calls it.
 
 An occurrence vector is kept as two sums of page hashes, so a host with a
 third of all pages is a plain partial aggregate.  The template that comes back
@@ -72,13 +74,25 @@ class Block:
     text: str
     links: int  # characters inside links
     main: bool  # inside an article or main element
-    outside: bool  # inside a region that is not the article
+    outside: bool  # inside a region that by its element or role is not the article
+    hints: tuple[int, ...] = ()  # places in Page.hints of the elements around it
+
+
+@dataclass
+class Hint:
+    """An element whose class or id has a word for what is no article."""
+
+    strong: bool  # one of its names is made of such words alone
+    words: frozenset[str]
+    level: int  # where it begins: outside (0) or inside (1) a main element, or in an article (2)
+    articles: int = 0  # outermost article and main elements in it
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
     elements: Counter = field(default_factory=Counter)  # path: occurrences
+    hints: list[Hint] = field(default_factory=list)
 
 
 def _hash(text: str) -> int:
@@ -87,14 +101,16 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _hinted(name: str, tag: str) -> tuple[str, bool]:
-    """Signature of an element for its path (digits dropped), and whether its
-    attributes say that it is no part of an article."""
+def _hinted(name: str, tag: str) -> tuple[str, bool, frozenset[str], bool]:
+    """Signature of an element for its path (digits dropped), whether its role
+    says that it is no part of an article, the words of its class and id that
+    hint at it, and whether one of its names has no other words."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(tag)} if "=" in tag else {}
-    words = [p for key in ("class", "id") for p in _PARTS.findall(found.get(key, ""))]
-    out = bool(_HINTS.intersection(words)) or found.get("role") in _ROLES
+    names = [_PARTS.findall(n) for key in ("class", "id") for n in found.get(key, "").split()]
+    words = [w for n in names for w in n]
     # an article, a main element and the body stay whatever their theme calls them
-    return f"{name}.{' '.join(words)}", out and name not in ("article", "main", "body", "html")
+    role = found.get("role") in _ROLES and name not in ("article", "main", "body", "html")
+    return f"{name}.{' '.join(words)}", role, _HINTS.intersection(words), any(n and _HINTS.issuperset(n) for n in names)
 
 
 def parse(source: str, cache: dict | None = None) -> Page:
@@ -105,7 +121,8 @@ def parse(source: str, cache: dict | None = None) -> Page:
     unclosed comment or raw element (script, style, ...) reaches to the end."""
     page = Page()
     cache = {} if cache is None else cache
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # name, path, main, outside
+    # name, path, in a main (1) or article (2) element, outside, hints
+    stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = [("", 0, 0, False, ())]
     text: list[str] = []
     links = depth = 0
 
@@ -114,8 +131,8 @@ def parse(source: str, cache: dict | None = None) -> Page:
         if text:
             whole = " ".join(_html.unescape("".join(text)).split())
             if whole:
-                _, path, main, outside = stack[-1]
-                page.blocks.append(Block(path, whole, min(links, len(whole)), main, outside))
+                _, path, main, outside, hints = stack[-1]
+                page.blocks.append(Block(path, whole, min(links, len(whole)), main > 0, outside, hints))
             text.clear()
         links = 0
 
@@ -191,14 +208,24 @@ def parse(source: str, cache: dict | None = None) -> Page:
         shut = _CLOSES.get(name, ())
         while len(stack) > 1 and (stack[-1][0] in shut or (stack[-1][0] == "p" and name in _ENDS_P)):
             stack.pop()
-        _, path, main, outside = stack[-1]
+        _, path, main, outside, hints = stack[-1]
         key = (path, name, tag)
         known = cache.get(key)
         if known is None:
-            sign, out = _hinted(name, tag)
-            known = cache[key] = (_hash(f"{path}/{sign}"), out or name in _OUTSIDE)
+            sign, out, words, strong = _hinted(name, tag)
+            known = cache[key] = (_hash(f"{path}/{sign}"), out or name in _OUTSIDE, words, strong)
         if len(stack) < 400:  # deeper nesting counts as its 400th level
-            stack.append((name, known[0], main or name in _MAIN, outside or known[1]))
+            if name in _MAIN:
+                # a comment in a list of comments is no main article
+                if not any(page.hints[h].words & known[2] for h in hints):
+                    if main < (2 if name == "article" else 1) and not outside:
+                        for h in hints:  # those inside the same main element, if any
+                            page.hints[h].articles += page.hints[h].level == main
+                    main = max(main, 2 if name == "article" else 1)
+            elif known[2] and name not in ("body", "html") and not (outside or known[1]):
+                hints = (*hints, len(page.hints))
+                page.hints.append(Hint(known[3], known[2], main))
+            stack.append((name, known[0], main, outside or known[1], hints))
         page.elements[known[0]] += 1
     flush()
     return page
@@ -221,8 +248,8 @@ def _text_token(path: int, text: str) -> int:
 def page_tokens(pages: DataFrame, page_id: str, html: str, host: str) -> DataFrame:
     """One row for each distinct token of a page: host, token, kind, the two
     halves of the page's hash times its occurrences, occurrences, characters
-    and those in links.  Text that is outside by its elements' names is left
-    out, its elements are not."""
+    and those in links.  Text that is outside by its elements' names or roles
+    is left out, its elements are not."""
     src = pages.select(F.col(host).alias("host"), F.xxhash64(F.col(page_id), F.col(html)).alias("page"), F.coalesce(F.col(html), F.lit("")).alias("html")).where("host is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,10 +304,31 @@ def deduce_templates(tokens: DataFrame, rules: TemplateRules = TemplateRules())
     return texts.unionByName(slots).groupBy("host").agg(F.collect_set("token").alias("template"))
 
 
+#: share of the page's text from which a hinted element is a wrapper: by a name that is all hint, or that says more
+_WRAPS = {True: 0.9, False: 0.5}
+
+
+def _unhinted(page: Page, left: list[Block]) -> list[Block]:
+    """The blocks without those in elements that hints take away: where the
+    rest of the page is more than theirs, and no main article is in them."""
+    size, main = [0] * len(page.hints), [0] * len(page.hints)
+    for b in left:
+        for h in b.hints:
+            size[h] += len(b.text)
+            main[h] += len(b.text) if b.main else 0
+    whole, articles = sum(len(b.text) for b in left), sum(len(b.text) for b in left if b.main)
+    stays = [
+        size[k] >= whole * _WRAPS[h.strong] or (h.articles == 1 and 2 * main[k] >= articles > 0) for k, h in enumerate(page.hints)
+    ]
+    return [b for b in left if all(stays[h] for h in b.hints)]
+
+
 def main_text(page: Page, template: set[int]) -> str:
     """The blocks that remain, in page order, one on a line.  Where the page
     has an article or main element with any of them, the rest is left out."""
     left = [b for b in page.blocks if not b.outside and b.path not in template and (not template or _text_token(b.path, b.text) not in template)]
+    if page.hints:
+        left = _unhinted(page, left)
     inside = [b for b in left if b.main]
     return "\n".join(b.text for b in inside or left)
 
