@@ -57,6 +57,24 @@ def test_json_form_is_recognised(spark, text):
     assert [(r["transaction_id"], r["amount"], r["note"], r[CORRUPT]) for r in rows] == [("t1", 5.0, "x", None), ("t2", 1.0, None, None)]
 
 
+ROW = '{"transaction_id": "%s", "amount": 5.0}\n'
+
+
+@pytest.mark.parametrize("bad", ['{"transaction_id": "t0", "amo\n', "\ufeff" + ROW % "t0", "{'transaction_id': 't0'}\n"])
+def test_json_lines_survive_a_bad_first_line(spark, bad):
+    rows = read_json(spark, put(spark, a=bad + ROW % "t1" + ROW % "t2", b=ROW % "t3"), TRANSACTIONS).collect()
+    assert len(rows) == 4 and {"t1", "t2", "t3"} <= {r["transaction_id"] for r in rows}
+    assert all(r[CORRUPT] is None for r in rows if r["transaction_id"] in ("t1", "t2", "t3"))
+
+
+def test_json_lines_and_documents_in_one_folder(spark):
+    array = '[\n{"transaction_id": "t5", "amount": 5.0},\n{"transaction_id": "t6", "amount": 5.0}\n]\n'
+    raw = put(spark, **{"a [1] b%20": ROW % "t3" + "cut\n" + ROW % "t4", "b": DOC, "c x": array})
+    rows = read_json(spark, raw, TRANSACTIONS).collect()
+    assert sorted(r["transaction_id"] for r in rows if r[CORRUPT] is None) == ["t1", "t2", "t3", "t4", "t5", "t6"]
+    assert [r[CORRUPT] for r in rows if r[CORRUPT] is not None] == ["cut"] and "x" in {r["note"] for r in rows}
+
+
 def test_rejected_rows_stay_in_bronze_and_go_no_further(spark):
     lake = jobs.Lake(scratch_path(spark, "lake"))
     raw = put(spark, a='{"transaction_id": "t1", "amount": 5.0}\n{"transaction_id": "t2", "amount": "many"}\nnot json\n')

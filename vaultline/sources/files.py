@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import json
+import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,33 +71,55 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
     return _typed(raw, None if infer else schema)
 
 
-def _is_document(spark: SparkSession, path: str) -> bool:
-    """Whether JSON input is one document a file rather than one value a line:
-    the first line with anything on it is no complete value."""
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    if not first:
-        return False
-    try:
-        json.loads(first[0][0])
-    except ValueError:
-        return True
-    return False
+def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """JSON files with one value a line, and files that are one document each.
+
+    All lines of a file count: it is a document if none is a complete value,
+    or if there are fewer of those than pieces of one (lines that open, go on
+    or close; the last row of an indented array is complete by itself)."""
+    line = F.regexp_replace("value", r"^[\s\x{FEFF}]+|\s+$", "")
+    whole = F.when(line.rlike(r"(?s)^\{.*\}$"), F.from_json(line, "map<string,string>").isNotNull())
+    whole = whole.when(line.rlike(r"(?s)^\[.*\]$"), F.from_json(line, "array<string>").isNotNull()).otherwise(False)
+    piece = line.rlike(r"[,:\[{]$|^[\]}]")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), line.alias("line"), whole.alias("whole"), piece.alias("piece")).where("line != ''")
+    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
+    files = lines.groupBy("file").agg(count(F.col("whole")).alias("whole"), count(F.col("piece") & ~F.col("whole")).alias("piece"))
+    found = files.select("file", ((F.col("whole") == 0) | (F.col("piece") > F.col("whole"))).alias("document")).collect()
+    return sorted(r["file"] for r in found if not r["document"]), sorted(r["file"] for r in found if r["document"])
+
+
+def _literal(uri: str) -> str:
+    """A file's URI as a path to read, with no sign left to expand."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None, multiline: bool | None = None) -> DataFrame:
     """JSON scan.  ``multiline=True`` reads whole-file documents (one task per
     file), ``False`` JSON Lines, which split across tasks; by default the
-    first line tells which it is.  Declared columns have their declared type,
-    further ones are inferred and kept.  A value that cannot be read that way
-    has NULL fields and its text in column CORRUPT."""
-    multiline = _is_document(spark, path) if multiline is None else multiline
-    options = {"multiLine": multiline, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    inferred = spark.read.options(**options).json(path).schema
+    lines of each file tell which it is, and a folder may hold both.  Declared
+    columns have their declared type, further ones are inferred and kept (as
+    text where the two kinds of files differ).  A value that cannot be read
+    that way has NULL fields and its text in column CORRUPT."""
+    parts: list[tuple[bool, str | list[str], dict]] = [(bool(multiline), path, {})]
+    if multiline is None:
+        lines, documents = _json_forms(spark, path)
+        parts = [(bool(documents), path, {})]
+        if lines and documents:
+            inside = path.rstrip("/") + "/"
+            base = {"basePath": path} if all(inside in unquote(f) for f in lines + documents) else {}
+            parts = [(False, [_literal(f) for f in lines], base), (True, [_literal(f) for f in documents], base)]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    reader = lambda many, more: spark.read.options(**options, **more, multiLine=many)
     declared = list(schema.fields) if schema is not None else []
     names = {f.name for f in declared} | {CORRUPT}
-    fields = [*declared, *(f for f in inferred.fields if f.name not in names)]
-    df = spark.read.options(**options).schema(StructType([*fields, StructField(CORRUPT, StringType())])).json(path)
-    return df
+    further: dict[str, StructField] = {}
+    for many, files, more in parts:
+        for f in reader(many, more).json(files).schema.fields:
+            if f.name not in names:
+                known = further.setdefault(f.name, f)
+                further[f.name] = f if known.dataType == f.dataType else StructField(f.name, StringType())
+    full = StructType([*declared, *further.values(), StructField(CORRUPT, StringType())])
+    return reduce(DataFrame.unionByName, (reader(many, more).schema(full).json(files) for many, files, more in parts))
 
 
 def accepted(df: DataFrame) -> DataFrame:
