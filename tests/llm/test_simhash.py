@@ -97,3 +97,10 @@ def test_repeated_rows_leave_one(spark):
 def test_edge_rows(spark):
     assert simhash.simhash_components(edge_docs(spark)).count() == len(edge_rows())
     assert simhash.simhash_components(no_docs(spark)).count() == 0
+
+
+def test_keep_one_of_each_group_under_a_repeated_id(spark):
+    one, two = " ".join(f"apple{k} pear{k}" for k in range(60)), " ".join(f"stone{k} river{k}" for k in range(60))
+    rows = [(1, one), (1, one), (2, one), (1, two), (1, two), (3, two), (4, "some other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == sorted([(1, one), (1, two), (4, "some other words")])

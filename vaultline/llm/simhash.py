@@ -235,31 +235,38 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Rows without words share fingerprint 0 and link like any other; repeated
     rows and ids are in one component anyway; an empty table gives an empty
     result."""
+    return _rooted(docs, doc_id, text, width, distance, block).select("doc_id", "text_hash", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, doc_id: str, text: str, width: int, distance: int, block: int = BLOCK) -> DataFrame:
+    """Columns of ``simhash_components``, and ``root``: the fingerprint that
+    tells components apart, also where ids are repeated."""
     prints = fingerprints(docs, doc_id, text, width).checkpoint()
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
     found = components(fingerprint_links(classes.select("fp"), distance, block))
     rooted = classes.join(found, classes["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.select("fp", "root").join(heads, "root").select(F.col("fp").alias("m_fp"), "component_id")
-    return prints.join(members, prints["fp"] == members["m_fp"]).select("doc_id", "text_hash", "fp", "component_id")
+    members = rooted.select("fp", "root").join(heads, "root").select(F.col("fp").alias("m_fp"), "root", "component_id")
+    return prints.join(members, prints["fp"] == members["m_fp"]).select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, distance: int = 2) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row
-    with the smallest id.  Of rows that share that id the first by text, then
-    by the other columns, stays; rows without an id have no place in that
+    with the smallest id.  Of its rows that share that id the first by text,
+    then by the other columns, stays; rows without an id have no place in that
     order and all stay.  The table itself is joined once, with the (id, text
     hash) of the rows that go or share an id."""
     src, at = renamed(docs)
     key, body = at[doc_id], at[text]
-    got = simhash_components(src.where(F.col(key).isNotNull()), key, body, width, distance).checkpoint()
-    per = got.groupBy("doc_id", "component_id").agg(F.count("*").alias("n"))
-    shared = per.where("n > 1 and doc_id = component_id").select(F.col("doc_id").alias("s_id"))
-    marks = got.join(shared, F.col("doc_id") == F.col("s_id"), "left").where("doc_id <> component_id or s_id is not null")
-    marks = marks.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.min("component_id").alias("m_component"))
+    got = _rooted(src.where(F.col(key).isNotNull()), key, body, width, distance).checkpoint()
+    per = got.where("doc_id = component_id").groupBy("doc_id", "root").agg(F.count("*").alias("n"))
+    shared = per.where("n > 1").select(F.col("doc_id").alias("s_id"), F.col("root").alias("s_root"))
+    marks = got.join(shared, (F.col("doc_id") == F.col("s_id")) & (F.col("root") == F.col("s_root")), "left").where("doc_id <> component_id or s_id is not null")
+    # one text has one fingerprint, so one root
+    marks = marks.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.min("component_id").alias("m_component"), F.min("root").alias("m_root"))
     marked = src.join(marks, (F.col(key) == F.col("m_id")) & (F.xxhash64(body) == F.col("m_hash")), "left")
     names = src.columns
     once = marked.where("m_id is null").select(*names)
     again = marked.where("m_id = m_component")
-    first = again.groupBy("m_component").agg(F.min(F.struct(body, *(c for c in names if c != body))).alias("m_row"))
+    first = again.groupBy("m_root").agg(F.min(F.struct(body, *(c for c in names if c != body))).alias("m_row"))
     return once.unionByName(first.select(*(F.col("m_row")[c].alias(c) for c in names))).toDF(*docs.columns)
