@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from vaultline.llm import pii
 from vaultline.llm.common import fold_bucket
+from vaultline.llm.lines import dedup_lines, kept_digest
+from vaultline.llm.merkle import fold, manifest, proof_text
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.neardup import embedding_components
+from vaultline.llm.oracle import ORACLE
 from vaultline.llm.packing import pack_documents, tokenizer_json
 from vaultline.llm.pages import extract_pages
 from vaultline.llm.ppm import ppm_score
 from vaultline.llm.repetition import repetition_quality
 from vaultline.llm.simhash import simhash_components
 from vaultline.llm.toxicity import fit_toxicity, score_toxicity
+from vaultline.llm.turns import conversation_digests, repair_turns
 from vaultline.llm.units import dedup_units
 
 
@@ -79,6 +83,39 @@ def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with planted faults, dealt by crc32 of ``conv_id:turn``
+    modulo 20; a null is one space."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), fate.alias("fate")).where("fate <> 0")
+    said = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fate") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fate") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), said.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(rows, repair_turns(damaged(rows)))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    capitals, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(hit, F.translate("text", capitals, small)).otherwise(F.col("text"))
+    got = manifest(docs, altered={"text": tampered})
+    folded = fold(F.col("altered_leaf"), F.col("path"))
+    got = got.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return got.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return kept_digest(dedup_lines(docs), "text", "keep").select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES = {
     "op1_quality_repetition": op1_quality_repetition,
     "op2_ppm_score": op2_ppm_score,
@@ -90,6 +127,9 @@ QUERIES = {
     "op8_embedding_collisions": op8_embedding_collisions,
     "op9_pack_min_slack": op9_pack_min_slack,
     "op10_simhash_gray": op10_simhash_gray,
+    "op11_repair_turns": op11_repair_turns,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_dedup_lines": op13_dedup_lines,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
