@@ -52,6 +52,21 @@ def test_tree_finds_all_pairs(distance):
     assert got == set(zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
 
 
+def test_pairs_are_expanded_a_part_at_a_time():
+    """Memory of a call does not grow with the visitors or the block."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    index = np.unique(rng.integers(0, 1 << 63, 16_384, np.uint64))
+    index = index[np.argsort(simhash.gray_rank(index))]
+    visitors = rng.integers(0, 1 << 63, 50_000, np.uint64)
+    tracemalloc.start()
+    found = sum(len(v) for v, _ in simhash.near_pairs(index, visitors, 0, 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20 and found == 0
+
+
 @pytest.mark.parametrize("block", [8, 64, 100_000])
 def test_links_connect_what_brute_force_connects(spark, block):
     x = np.concatenate([crowd(3, 500), crowd(4, 100)])

@@ -25,7 +25,7 @@ from vaultline.llm.components import components, local_roots
 SEED = 42
 BLOCK = 1 << 14  # distinct fingerprints that a block aims at
 _STEP = 6  # bits that one level of a block's tree covers
-_PAIRS = 1 << 20  # visitor-group pairs that are compared at once
+_PAIRS = 1 << 17  # visitor-group pairs that are expanded and compared at once
 _LOWER = bytes(range(256)).lower()
 
 
@@ -91,31 +91,35 @@ def near_pairs(index: np.ndarray, visitors: np.ndarray, used: int, distance: int
         head = index >> np.uint64(64 - bits)
         first = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
         levels.append((bits, head[first], first))
-    # children of a group: the groups of the next level that begin inside it
-    spans = []
+    # children of a group: the groups of the next level that begin inside it;
+    # above the first level stands one group that holds them all
+    spans = [np.array([0, len(levels[0][1])])]
     for (_, _, first), (_, _, below) in zip(levels, levels[1:], strict=False):
         spans.append(np.searchsorted(below, np.append(first, len(index))))
-    chunk = max(1, _PAIRS // max(1, len(levels[0][1])))
-    for begin in range(0, len(visitors), chunk):
-        part = visitors[begin : begin + chunk]
-        v = np.repeat(np.arange(len(part)), len(levels[0][1]))
-        todo = [(0, v, np.tile(np.arange(len(levels[0][1])), len(part)))]
-        while todo:
-            k, v, g = todo.pop()
-            if len(v) > 4 * _PAIRS:  # compare a part at a time
-                todo += [(k, v[i : i + _PAIRS], g[i : i + _PAIRS]) for i in range(0, len(v), _PAIRS)]
-                continue
-            bits, heads, _ = levels[k]
-            ok = np.bitwise_count(heads[g] ^ (part[v] >> np.uint64(64 - bits))) <= distance
-            v, g = v[ok], g[ok]
-            if not len(v):
-                continue
-            if k + 1 == len(levels):
-                yield begin + v, g
-                continue
-            a, n = spans[k][g], spans[k][g + 1] - spans[k][g]
-            inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            todo.append((k + 1, np.repeat(v, n), np.repeat(a, n) + inner))
+    # visitors with a range of children each; a pair becomes its children only
+    # when these are compared, about _PAIRS at once
+    todo = [(0, np.arange(len(visitors), dtype=np.int32), np.zeros(len(visitors), np.int32))]
+    while todo:
+        k, v, g = todo.pop()
+        span = spans[k]
+        head = g[:_PAIRS]  # each has a child at least
+        total = np.cumsum(span[head + 1] - span[head])
+        end = max(1, int(np.searchsorted(total, _PAIRS, side="right")))
+        if end < len(v):
+            todo.append((k, v[end:], g[end:]))
+            v, g = v[:end], g[:end]
+        n = span[g + 1] - span[g]
+        inner = np.arange(int(n.sum()), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+        v, g = np.repeat(v, n), np.repeat(span[g].astype(np.int32), n) + inner
+        bits, heads, _ = levels[k]
+        ok = np.bitwise_count(heads[g] ^ (visitors[v] >> np.uint64(64 - bits))) <= distance
+        v, g = v[ok], g[ok]
+        if not len(v):
+            continue
+        if k + 1 == len(levels):
+            yield v, g
+        else:
+            todo.append((k + 1, v, g))
 
 
 def _masks(bits: int, distance: int) -> list[tuple[int, int]]:
