@@ -214,8 +214,9 @@ def measure(texts: list[bytes], rules: RepetitionRules, with_spans: bool = True)
     return out
 
 
-def repetition_quality(docs: DataFrame, text: str = "text", rules: RepetitionRules = RepetitionRules(), spans_too: bool = True) -> DataFrame:
-    """All columns of ``docs`` with MEASURES behind them.
+def repetition_quality(docs: DataFrame, text: str = "text", rules: RepetitionRules = RepetitionRules(), spans_too: bool = True, only_kept: bool = False) -> DataFrame:
+    """All columns of ``docs`` with MEASURES behind them; ``only_kept``: the
+    rows that pass with their own columns alone, the others never leave the task.
 
     Columns of ``docs`` that bear one of those names come first under their
     own name with ``in_`` before it.  Null and empty texts have no words and
@@ -230,11 +231,16 @@ def repetition_quality(docs: DataFrame, text: str = "text", rules: RepetitionRul
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_size(batches, body):
             got = measure(text_bytes(b.column(b.schema.get_field_index(body))), rules, spans_too)
+            if only_kept:
+                yield b.filter(pa.array(got["kept"], pa.bool_()))
+                continue
             arrays = [pa.array(got[f.name], f.type) for f in kept]
             yield pa.RecordBatch.from_arrays([*b.columns, *arrays], names=[*b.schema.names, *(f.name for f in kept)])
 
     ddl = {"int64": "long", "bool": "boolean"}
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields]
+    if only_kept:
+        return src.mapInArrow(run, ", ".join(fields)).toDF(*docs.columns)
     fields += [f"`{f.name}` {ddl.get(str(f.type), 'array<array<long>>')}" for f in kept]
     own = {f.name for f in kept}
     names = [f"in_{c}" if c in own else c for c in docs.columns]

@@ -16,8 +16,7 @@ from vaultline.session import ensure_checkpoint_dir
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text passes the quality rules."""
-    src, at = renamed(docs)
-    return repetition_quality(src, at["text"], spans_too=False).where("kept").select(*src.columns).toDF(*docs.columns)
+    return repetition_quality(docs, spans_too=False, only_kept=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
