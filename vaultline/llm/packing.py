@@ -27,7 +27,8 @@ CAPACITY = 2048
 END_ID = 0
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 BUCKETS = 1 << 12
-_CACHE = 1_000_000  # words whose ids a worker keeps at hand; the result does not depend on it
+_CACHE = 48 << 20  # bytes of words and ids that a worker keeps at hand; the result does not depend on it
+_ENTRY = 150  # bytes that a cached word takes besides its own and its ids
 #: ASCII punctuation that forms a token apart from the letters before it (an apostrophe may not)
 _TAIL = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
 
@@ -50,6 +51,7 @@ class WordIds(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.letters, self.tails = tokenizer, tokenizer.model, _byte_letters(), {b"": b""}
+        self.size = 0
 
     def whole(self, word: bytes) -> bytes:
         return np.asarray(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
@@ -63,8 +65,9 @@ class WordIds(dict):
         return self.tails[tail]
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _CACHE:
+        if self.size >= _CACHE:
             self.clear()
+            self.tails, self.size = {b"": b""}, 0
         core = word.rstrip(_TAIL).lower()  # ASCII only
         tail = word[len(core) :]
         known = self.get(core) if tail and core[-1:].isalnum() else None  # an ASCII letter or digit ends a token here
@@ -77,9 +80,13 @@ class WordIds(dict):
             if name.isalpha() and max(name) < "\u0250":
                 ids = self.letters_only(name.encode().decode("latin-1").translate(self.letters)) + self.end(tail)
             else:
-                return self.setdefault(word, self.whole(word))
+                return self.keep(word, self.whole(word))
         if tail:
-            self[core] = ids[: len(ids) - len(self.end(tail))]
+            self.keep(core, ids[: len(ids) - len(self.end(tail))])
+        return self.keep(word, ids)
+
+    def keep(self, word: bytes, ids: bytes) -> bytes:
+        self.size += len(word) + len(ids) + _ENTRY
         self[word] = ids
         return ids
 
