@@ -40,6 +40,31 @@ def test_paragraphs_match_brute_force(spark):
     assert got == brute(rows, "paragraph", 2)
 
 
+def test_sentences_match_brute_force(spark):
+    rng = random.Random(4)
+    said = [" ".join(rng.choice(["Aa", "bé", "c", "d"]) for _ in range(rng.randrange(1, 9))) + rng.choice([".", "!", "", "?!"]) for _ in range(50)]
+    rows = [(k, "".join(rng.choice(said) + rng.choice([" ", "\n", "  ", " \n\n"]) for _ in range(rng.randrange(8)))) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["text"], [tuple(s) for s in r["removed"]]) for r in dedup_units(df, unit="sentence", least_words=3).collect()}
+    assert got == brute(rows, "sentence", 3)
+
+
+def test_sentences_leave_the_lines():
+    text = "One two. Three four!  Five\nsix. Seven"
+    assert [text[a:b] for a, b in units(text, "sentence")] == ["One two.", "Three four!", "Five", "six.", "Seven"]
+    cut = units(text, "sentence")
+    assert without(text, cut[2:3], "sentence") == "One two. Three four!\nsix. Seven"
+    assert without(text, cut[:3], "sentence") == "six. Seven" and without(text, cut[3:], "sentence") == "One two. Three four!  Five"
+    assert without(text, cut[1:2], "sentence") == "One two. Five\nsix. Seven"
+
+
+def test_a_passage_is_found_in_other_lines(spark):
+    passage = "this sentence of the passage has more than fifteen words so that it counts as one by itself here. " * 3
+    rows = [(1, "own start. " + passage.strip()), (2, "other\nlines about. " + passage + "and an end."), (3, "nothing shared in this one.")]
+    got = {r["doc_id"]: r for r in dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), unit="sentence", least_words=15).collect()}
+    assert got[2]["text"] == "other\nlines about. and an end." and len(got[2]["removed"]) == 3 and not got[3]["removed"]
+
+
 def test_cutting_keeps_the_rest():
     assert without("a\nb\n\nc", [(2, 3)]) == "a\n\nc" and without("a\nb", [(2, 3)]) == "a" and without("a\nb", [(0, 1)]) == "b"
     assert without("a\nb", [(0, 1), (2, 3)]) == "" and without("a\nb", []) == "a\nb"

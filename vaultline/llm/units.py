@@ -1,6 +1,7 @@
 """Substring dedup by line or paragraph hashing (operator 7).
 
-Texts are cut into lines or paragraphs, each is normalised (A-Z in lower case,
+Texts are cut into lines (as a whole, or further at sentence ends, since prose
+wraps a passage in other lines wherever it stands) or paragraphs, each unit is normalised (A-Z in lower case,
 white space made one space) and hashed to 128 bits.  Digests are grouped
 globally; of each the earliest occurrence stays, ranked by document id, then
 by place.  All others are removed, with their offsets in the original text
@@ -21,8 +22,12 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import by_size, renamed
 
 _LOWER = bytes(range(256)).lower()
-#: line ends, or runs of white space that hold two of them
-_BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r\x0b\f]*\n\s*")}
+#: line ends, these and the white space behind a sentence, or runs of white space that hold two line ends
+_BREAKS = {
+    "line": re.compile(r"\n"),
+    "sentence": re.compile(r"\n|(?<=[.!?])[ \t\r\x0b\f]+"),
+    "paragraph": re.compile(r"\n[ \t\r\x0b\f]*\n\s*"),
+}
 
 
 def units(text: str, unit: str = "line") -> list[tuple[int, int]]:
@@ -43,18 +48,19 @@ def digest(unit: str, least_words: int) -> bytes | None:
 
 def without(text: str, gone: list[tuple[int, int]], unit: str = "line") -> str:
     """The text without the units that begin at the given offsets, each with
-    the break behind it (the last one with the break before it)."""
+    the break behind it (the last one with the break before it); the sentence
+    before one that ended its line ends it then."""
     starts = {a for a, _ in gone}
     cut = units(text, unit)
-    kept = [k for k, (a, _) in enumerate(cut) if a not in starts]
-    if len(kept) == len(cut):
+    if not any(a in starts for a, _ in cut):
         return text
-    out = []
-    for n, k in enumerate(kept):
-        a, b = cut[k]
-        last = n + 1 == len(kept)
-        out.append(text[a:b] if last else text[a : cut[k + 1][0]])
-    return "".join(out)
+    out: list[str] = []  # units and breaks in turn
+    for (a, b), (c, _) in zip(cut, [*cut[1:], (len(text), 0)], strict=True):
+        if a not in starts:
+            out += [text[a:b], text[b:c]]
+        elif out and "\n" in text[b:c] and "\n" not in out[-1]:
+            out[-1] = text[b:c]
+    return "".join(out[:-1])
 
 
 def unit_rows(docs: DataFrame, doc_id: str, text: str, unit: str, least_words: int) -> DataFrame:
