@@ -41,12 +41,13 @@ def test_silver_plan_shuffles(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # both plans shuffle the account dimension once for the join; the
-    # skew-safe plan shuffles the transactions twice (window on (account,
-    # bucket), join on account), the plain plan once (the join reuses the
-    # window's account partitioning)
-    assert sum("_rc_bucket" in e for e in safe) == 1
-    assert not any("_rc_bucket" in e for e in plain)
-    assert len(safe) == len(plain) + 1 == 3
+    # skew-safe plan shuffles whole transactions twice (counts come back by
+    # (account, second), join on account) and counts of seconds for the
+    # window, the plain plan once (the join reuses the window's partitioning)
+    assert sum("_rc_spread" in e for e in safe) == 1
+    assert sum("txn_unix" in e for e in safe) == 1  # partial counts of seconds
+    assert not any("_rc_spread" in e or "txn_unix" in e for e in plain)
+    assert len(safe) == len(plain) + 2 == 4
 
 
 def test_filters_pushed_and_columns_pruned(spark):

@@ -2,13 +2,15 @@
 
 The plain form is one window partition per key, so a hot key (one account
 holding a third of all rows) becomes one task and AQE cannot split it.
-The default form partitions by (key, time bucket) instead: every row is
-owned by bucket ``floor(t / B)``, and rows in the last ``seconds`` of a
-bucket are also copied, as context only, into the next bucket.  With
-``B >= seconds`` the frame ``[t - seconds, t]`` of an owned row lies inside
-its bucket plus that context, so the counts equal the plain form while a
-hot key is spread over as many tasks as it has buckets.  Only the three
-columns the window needs are non-NULL in the context copies.
+The default form counts in two levels.  Rows are first counted for each
+(key, second), aggregated before the shuffle, so a second with a million rows
+is one row.  The window then runs over distinct seconds, in partitions of
+(key, time bucket): every second is owned by bucket ``floor(t / B)``, and
+seconds in the last ``seconds`` of a bucket are also copied, as context only,
+into the next one.  A window partition holds at most B + ``seconds`` rows
+however hot the key and however narrow the span of its rows.  The counts are
+joined back to the rows on (key, second); rows that get no count are spread by
+their hash.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-_B, _OWN, _NUL = "_rc_bucket", "_rc_own", "_rc_nul"
+_B, _OWN, _SPREAD = "_rc_bucket", "_rc_own", "_rc_spread"
+_KEY, _AT, _N = "_rc_key", "_rc_at", "_rc_n"
 
 
 def rolling_count_plain(
@@ -49,49 +52,43 @@ def rolling_count(
     By default rows with a NULL key or time get a NULL count; with
     ``null_peers=True`` they count each other as the source pipeline does.
 
-    One pass over ``df``: each row is exploded into its own copy and, when
-    it lies in the tail of its bucket, a context copy for the next bucket
-    whose other columns are NULL (so context copies are small in the
-    shuffle).  The input is scanned once.
+    ``df`` is read twice, the first time for three columns only; its rows are
+    shuffled once, for the join.  A (key, second) with very many rows is one
+    join key: AQE splits it on the side of the rows.
     """
-    # a row gets a context copy with probability ~ seconds / bsec, so the
-    # default keeps that at <= 25% while a bucket stays short enough to
-    # spread a hot key over many tasks
+    # a second gets a context copy with probability ~ seconds / bsec, so the
+    # default keeps that at <= 25% while a bucket stays short
     bsec = int(bucket_seconds or max(4 * seconds, 3600))
     if bsec < seconds:
         raise ValueError("bucket_seconds must be >= the window length")
+    counts = second_counts(df, key, order_unix, value)
     u = F.col(order_unix)
-    bucket = F.floor(u / F.lit(bsec)).cast("long")
-    invalid = u.isNull() if null_peers else (u.isNull() | F.col(key).isNull())
-    # Rows that get no count are spread by the whole hash of their atomic
-    # columns, so that NULL times never form one hot group.
-    atomic = [
-        f.name
-        for f in df.schema.fields
-        if not isinstance(f.dataType, (StructType, ArrayType, MapType)) and f.name not in (_B, _OWN, _NUL)
-    ]
-    spread = F.xxhash64(*[F.col(c) for c in atomic])
-    own_bucket = bucket if null_peers else F.when(invalid, spread).otherwise(bucket)
-    ctx_ok = u.isNotNull() if null_peers else ~invalid
-    in_tail = ctx_ok & (u >= (bucket + F.lit(1)) * F.lit(bsec) - F.lit(seconds))
+    if null_peers:
+        same = F.col(key).eqNullSafe(F.col(_KEY)) & u.eqNullSafe(F.col(_AT))
+        rows, counts = df, counts.transform(_window_sums, seconds, bsec, out)
+    else:
+        counts = counts.where(F.col(_KEY).isNotNull() & F.col(_AT).isNotNull()).transform(_window_sums, seconds, bsec, out)
+        # rows without a key or time match nothing; in place of the time their
+        # whole hash deals them out
+        atomic = [f.name for f in df.schema.fields if not isinstance(f.dataType, (StructType, ArrayType, MapType))]
+        spread = F.xxhash64(*[F.col(c) for c in atomic]).cast(df.schema[order_unix].dataType)
+        none = u.isNull() | F.col(key).isNull()
+        rows = df.withColumn(_SPREAD, F.when(none, spread).otherwise(u))
+        same = (F.col(key) == F.col(_KEY)) & (F.col(_SPREAD) == F.col(_AT)) & ~none
+    return rows.join(counts, same, "left").select(*df.columns, out)
+
+
+def second_counts(df: DataFrame, key: str, order_unix: str, value: str) -> DataFrame:
+    """First level: non-NULL values of each (key, second)."""
+    return df.groupBy(F.col(key).alias(_KEY), F.col(order_unix).alias(_AT)).agg(F.count(value).alias(_N))
+
+
+def _window_sums(counts: DataFrame, seconds: int, bsec: int, out: str) -> DataFrame:
+    """Second level: (key, second, out), the sums over trailing windows."""
+    at = F.col(_AT)
+    bucket = F.floor(at / F.lit(bsec)).cast("long")
+    in_tail = at.isNotNull() & (at >= (bucket + F.lit(1)) * F.lit(bsec) - F.lit(seconds))
     copies = F.when(in_tail, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
-    both = df.withColumn(_OWN, F.explode(copies))
-    own = F.col(_OWN)
-    keep = {key, order_unix, value}
-    blanked = {
-        f.name: F.when(own, F.col(f.name)).otherwise(F.lit(None).cast(f.dataType))
-        for f in df.schema.fields
-        if f.name not in keep
-    }
-    both = both.withColumns(
-        {
-            **blanked,
-            _B: F.when(own, own_bucket).otherwise(bucket + F.lit(1)),
-            _NUL: F.when(own, invalid).otherwise(F.lit(False)),
-        }
-    )
-    w = Window.partitionBy(key, _B, _NUL).orderBy(order_unix).rangeBetween(-seconds, 0)
-    cnt = F.count(value).over(w)
-    if not null_peers:
-        cnt = F.when(F.col(_NUL), F.lit(None)).otherwise(cnt)
-    return both.withColumn(out, cnt).filter(own).drop(_B, _OWN, _NUL)
+    both = counts.withColumn(_OWN, F.explode(copies)).withColumn(_B, F.when(F.col(_OWN), bucket).otherwise(bucket + F.lit(1)))
+    w = Window.partitionBy(_KEY, _B).orderBy(_AT).rangeBetween(-seconds, 0)
+    return both.withColumn(out, F.sum(_N).over(w)).where(_OWN).select(_KEY, _AT, out)
