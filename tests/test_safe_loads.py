@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from vaultline.operators import scd
 from vaultline.plans import jobs
 from vaultline.plans.catalog import QUERIES
 from vaultline.session import scratch_path
-from vaultline.sources import tables
+from vaultline.sources import idindex, tables
 
 ONE, TWO, THREE = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 SF = "/root/testdata/sf0.01"
@@ -72,6 +73,75 @@ def test_first_write_that_died_does_not_block(spark):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_a_day_that_loses_its_last_row_goes(spark):
+    path = scratch_path(spark, "silver")
+    load(spark, path, ("t1", "a", "2024-01-01 10:00:00"), ("t2", "a", "2024-02-02 10:00:00"), ("t3", "a", None))
+    load(spark, path, ("t1", "a", "2024-03-03 10:00:00"), ("t3", "a", "2024-03-03 11:00:00"))
+    rows = spark.read.parquet(path)
+    assert rows.count() == 3 and {str(r["txn_date"]) for r in rows.collect()} == {"2024-02-02", "2024-03-03"}
+    load(spark, path, ("t1", "a", "2024-03-03 10:00:00"))  # again: nothing changes
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_load_that_died_before_it_removed_a_day_is_mended(spark, monkeypatch):
+    path = scratch_path(spark, "silver")
+    load(spark, path, ("t1", "a", "2024-01-01 10:00:00"), ("t2", "a", "2024-02-02 10:00:00"))
+    moved = ("t1", "a", "2024-03-03 10:00:00")
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(tables, "drop_partitions", dies)
+        load(spark, path, moved)
+    assert spark.read.parquet(path).count() == 3
+    load(spark, path, moved)
+    assert {(r["transaction_id"], str(r["txn_date"])) for r in spark.read.parquet(path).collect()} == {("t1", "2024-03-03"), ("t2", "2024-02-02")}
+
+
+def test_gold_loses_an_emptied_day(spark):
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    tables.write_snapshot(spark.createDataFrame([("a", "c", "Open")], "account_id string, customer_id string, status string"), lake.silver("accounts"))
+    tables.write_snapshot(scd.scd2_init(spark.createDataFrame([("c", "UK", "A")], "customer_id string, country string, customer_type string"), ONE), lake.silver("customer"))
+
+    def run(*rows):
+        tables.write_snapshot(batch(spark, *rows), lake.bronze("transactions"))
+        out = jobs.load_silver_transactions(spark, lake, SOURCE)
+        return jobs.build_gold(spark, lake, SOURCE, days=out["days"])
+
+    run(("t1", "a", "2024-01-01 10:00:00"), ("t2", "a", "2024-02-02 10:00:00"))
+    out = run(("t1", "a", "2024-03-03 10:00:00"))
+    for name in ("fact_fraud", "fact_transactions", "kpi_daily_fraud"):
+        assert {str(r["txn_date"]) for r in spark.read.parquet(out[name]).collect()} == {"2024-02-02", "2024-03-03"}, name
+    assert spark.read.parquet(out["fact_fraud"]).count() == 2
+
+
+def test_ids_are_looked_up_in_their_buckets_and_days_only(spark):
+    """Rows read for a small batch do not grow with the table."""
+    path = scratch_path(spark, "silver")
+    start = dt.datetime(2024, 1, 1, 12)
+    load(spark, path, *[(f"t{k}", "a", str(start + dt.timedelta(days=k))) for k in range(60)])
+    ids = spark.createDataFrame([("t7",), ("unknown",)], "transaction_id string")
+    assert [str(d) for d in idindex.days_of(spark, path, ids, "transaction_id", "txn_date")] == ["2024-01-08"]
+    found = idindex.entries_of(spark, path, ids, "transaction_id", "txn_date")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket#" in plan and len(set(re.search(r"PartitionFilters: \[bucket#\d+ IN \(([\d,]+)\)", plan)[1].split(","))) <= 2
+    load(spark, path, ("t7", "a", "2024-06-01 00:00:00"))
+    assert {str(d) for d in idindex.days_of(spark, path, ids, "transaction_id", "txn_date")} == {"2024-01-08", "2024-06-01"}
+    idindex.rebuild(spark, path, "transaction_id", "txn_date", 3)  # compacts
+    assert [str(d) for d in idindex.days_of(spark, path, ids, "transaction_id", "txn_date")] == ["2024-06-01"]
+    load(spark, path, ("new", "a", "2024-01-05 00:00:00"))
+    assert sum(1 for _ in idindex.days_of(spark, path, spark.createDataFrame([("new",)], "transaction_id string"), "transaction_id", "txn_date")) == 1
+
+
+def test_a_table_without_an_index_gets_one(spark):
+    path = scratch_path(spark, "silver")
+    load(spark, path, ("t1", "a", ONE), ("t2", "a", TWO))
+    tables.drop_folder(spark, f"{path}_ids")
+    load(spark, path, ("t1", "a", THREE))
+    assert {(r["transaction_id"], str(r["txn_date"])) for r in spark.read.parquet(path).collect()} == {("t1", "2024-03-01"), ("t2", "2024-02-01")}
+
+
 def customers(spark, lake, as_of, *rows):
     tables.write_snapshot(spark.createDataFrame(rows, "customer_id string, customer_type string"), lake.bronze("customers"))
     jobs.load_silver_customers(spark, lake, as_of)
@@ -115,6 +185,24 @@ def test_load_that_died_before_its_history_is_repaired(spark):
     assert totals(spark, lake) == (2, 1, 1)
 
 
+def test_history_of_a_dead_load_does_not_come_back(spark, monkeypatch):
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    customers(spark, lake, ONE, ("1", "A"), ("2", "A"))
+    real = tables.write_snapshot
+
+    def dies(df, base, *args, **more):
+        if base == lake.silver("customer"):
+            raise RuntimeError("lost")
+        return real(df, base, *args, **more)
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(tables, "write_snapshot", dies)
+        customers(spark, lake, TWO, ("1", "B"), ("2", "A"))
+    customers(spark, lake, TWO, ("1", "A"), ("2", "A"))  # the source is put right: nothing closes
+    assert totals(spark, lake) == (2, 2, 0)
+    jobs.check_customers(spark, lake)
+
+
 def test_scd2_refuses_new_columns(spark):
     lake = jobs.Lake(scratch_path(spark, "lake"))
     customers(spark, lake, ONE, ("1", "A"))

@@ -19,7 +19,7 @@ from vaultline.operators import dims, kpi, quality, scd, scores
 from vaultline.operators import transactions as tx
 from vaultline.operators.audit import add_audit
 from vaultline.schemas import SOURCES
-from vaultline.sources import tables
+from vaultline.sources import idindex, tables
 from vaultline.sources.files import CORRUPT, accepted, read_csv, read_json
 
 
@@ -106,7 +106,8 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     to their own folder of the history, named by the version it is about to
     write, and then the current rows as that version; the version's commit
     marker makes both visible at once.  A load that dies before it leaves the
-    table as it was, and the next attempt takes a new number.  Closed rows of
+    table as it was; the next attempt takes a new number, or replaces what the
+    dead one wrote under the same.  Closed rows of
     earlier loads are never touched, whatever their ``as_of``; a load older
     than the newest open row is refused.  Costs O(current rows + batch).
     """
@@ -123,7 +124,9 @@ def load_silver_customers(spark: SparkSession, lake: Lake, as_of: str, tracked=(
     step = step.select(*current.columns).checkpoint()
     load = tables.next_version(spark, base)
     closed = step.transform(scd.expired_only)
-    if not closed.isEmpty():
+    if closed.isEmpty():  # a load of this number that died may have left rows
+        tables.drop_folder(spark, f"{_history(lake)}/load={load}")
+    else:
         closed.write.mode("overwrite").parquet(f"{_history(lake)}/load={load}")
     return tables.write_snapshot(step.transform(scd.current_only), base, verify=True, cluster_by=["customer_id"])
 
@@ -153,6 +156,16 @@ def _day_filter(days: Sequence[object]):
     return cond | F.col("txn_date").isNull() if len(values) < len(days) else cond
 
 
+def _emptied_days(existing: DataFrame, days: Sequence[object], gone_ids: DataFrame) -> list[object]:
+    """Those of the days that hold nothing but rows with the given ids (read
+    before the days are rewritten, ids only)."""
+    if not days:
+        return []
+    rows = existing.where(_day_filter(days)).select("transaction_id", "txn_date")
+    stay = {r[0] for r in rows.join(gone_ids, "transaction_id", "left_anti").select("txn_date").distinct().collect()}
+    return [d for d in days if d not in stay]
+
+
 def append_silver_transactions(
     spark: SparkSession,
     bronze_batch: DataFrame,
@@ -170,15 +183,18 @@ def append_silver_transactions(
     columns, and across batches the later batch.  Batches may arrive in any
     time order.  The batch is read once (kept in the checkpoint folder).
 
-    * Rows of silver with an id of the batch are looked up in all of silver
-      (four narrow columns), wherever they lie: they go.
+    * Rows of silver with an id of the batch go, wherever they lie: an index
+      of ids (``sources/idindex.py``) tells the days that may hold one, and
+      silver is read on these days only.  The batch's own ids enter the index
+      before silver is written.
     * Anchors are the places, (account, time), of the batch's rows and of the
       rows that go.  Windows reach from an anchor to W later, so the account's
       rows on the anchor's day and on the day W later are counted anew, with
       the days before them as context.
     * The days rewritten are those of the batch's rows, of rows that go and
       of rows whose flag changes: no day is rewritten for lying between two
-      others.
+      others.  A day that loses its last row is removed after the write (a
+      load that dies in between is mended by running it again).
 
     The result equals loading all batches at once.  Returns the quality
     counts observed on the way and ``days``, the partitions that may have
@@ -190,12 +206,15 @@ def append_silver_transactions(
     if not idempotent:
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
+        if idindex.index_path(spark, path):
+            idindex.add(spark, path, prepared, "transaction_id", "txn_date")
         tables.upsert_partitions(silver, path, "txn_date", None)
         return quality.quality_row(raw_obs, out_obs)
 
     prepared = scd.dedupe(prepared, ["transaction_id"], ["txn_timestamp"]).checkpoint()
     accounts = accounts.join(prepared.select("account_id").distinct(), "account_id", "left_semi")
     if not tables.has_data(spark, path):
+        idindex.add(spark, path, prepared, "transaction_id", "txn_date")
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
         tables.write_partitioned(silver, path, "txn_date", sort_by=["account_id"])
@@ -205,7 +224,9 @@ def append_silver_transactions(
     existing = spark.read.parquet(path)
     ids = prepared.select("transaction_id")
     place = ["account_id", "txn_timestamp", "txn_date"]
-    gone = existing.select("transaction_id", *place).join(ids, "transaction_id", "left_semi").checkpoint()
+    old_days = idindex.days_of(spark, path, ids, "transaction_id", "txn_date")
+    idindex.add(spark, path, prepared, "transaction_id", "txn_date")
+    gone = existing.where(_day_filter(old_days)).select("transaction_id", *place).join(ids, "transaction_id", "left_semi").checkpoint()
     anchors = prepared.select(*place).unionByName(gone.select(*place)).where("account_id is not null and txn_timestamp is not null")
     w = F.expr(f"INTERVAL {int(cfg.rapid_window_s)} SECONDS")
     after = F.explode(F.array(F.col("txn_date"), F.to_date(F.col("txn_timestamp") + w)))
@@ -223,8 +244,11 @@ def append_silver_transactions(
     counted = tx.rapid_flag_with_context(prepared, near, cfg, keep_context=True).checkpoint()
     changed = counted.where(F.col("_ctx") & F.col("_again") & (F.col("rapid_txn_flag") != F.col("_was")))
     changed = changed.select("transaction_id", "txn_date", F.col("rapid_txn_flag").alias("_flag"))
-    touched = prepared.select("txn_date").unionByName(gone.select("txn_date")).unionByName(changed.select("txn_date"))
-    days = [r[0] for r in touched.distinct().collect()]  # one row for each day that changes
+    own = prepared.select("txn_date", F.lit(True).alias("_own"))
+    others = gone.select("txn_date").unionByName(changed.select("txn_date")).withColumn("_own", F.lit(False))
+    touched = own.unionByName(others).groupBy("txn_date").agg(F.max("_own").alias("_own")).collect()  # one row for each day that changes
+    days = [r["txn_date"] for r in touched]
+    emptied = _emptied_days(existing, [r["txn_date"] for r in touched if not r["_own"]], ids)
 
     new_rows = tx.enrich_transactions(
         counted.where(~F.col("_ctx")).drop("_ctx", "_was", "_again"), accounts, customers_current, location_map
@@ -240,6 +264,7 @@ def append_silver_transactions(
         .select(*new_rows.columns)
     )
     tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", sort_by=["account_id"])
+    tables.drop_partitions(spark, path, "txn_date", emptied)
     return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
 
@@ -319,6 +344,8 @@ def build_gold(
         for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
             if incremental:
                 tables.overwrite_partitions(df, paths[name], "txn_date")
+                there = tables.present_partitions(spark, lake.silver("transactions"), "txn_date", days)
+                tables.drop_partitions(spark, paths[name], "txn_date", [d for d in days if d not in there])
             else:
                 tables.write_partitioned(df, paths[name], "txn_date")
             out[name] = paths[name]

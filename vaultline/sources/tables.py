@@ -38,13 +38,39 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, none if it is not there."""
+    fs, p, _ = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> set[str]:
     """Folder values of one partition column directly below ``path``."""
+    return {n.split("=", 1)[1] for n in subfolders(spark, path) if n.startswith(f"{column}=")}
+
+
+def _partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    """Folder name of a partition as Spark writes it (NULL and signs included)."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(column, None if value is None else str(value))
+
+
+def present_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> list[object]:
+    """Those of ``values`` that have a folder."""
+    there = set(subfolders(spark, path))
+    return [v for v in values if _partition_folder(spark, column, v) in there]
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> None:
+    """Delete the folders of partition values that have no rows any more: a
+    dynamic overwrite leaves partitions alone that its result lacks."""
+    for v in present_partitions(spark, path, column, values):
+        drop_folder(spark, f"{path.rstrip('/')}/{_partition_folder(spark, column, v)}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
-    if not fs.exists(p):
-        return set()
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return {n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")}
+    fs.delete(p, True)
 
 
 def versions(spark: SparkSession, base: str) -> list[int]:
