@@ -49,6 +49,44 @@ def alert_summary(fact_fraud: DataFrame, k: int = 10, label: str = "High") -> Da
     return agg.orderBy(F.desc("high_risk_txn_count"), F.desc("total_amount"), F.asc("account_id")).limit(k)
 
 
+def alert_partials(fact_fraud: DataFrame, label: str = "High") -> DataFrame:
+    """Per day and account: what ``alert_summary`` and ``high_risk_count`` need
+    of the ``label`` rows, in forms that add up exactly whatever the order: row
+    counts, the amount as a decimal, scores in integer units.  A day's partials
+    depend on that day's rows alone."""
+    return (
+        fact_fraud.filter(F.col("fraud_risk_category") == F.lit(label))
+        .groupBy("txn_date", "account_id")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("transaction_id").alias("txns"),
+            F.sum(F.col("amount").cast("decimal(28,8)")).alias("amount"),
+            F.sum(units(F.col("fraud_score"))).alias("score_units"),
+            F.count("fraud_score").alias("scores"),
+        )
+    )
+
+
+def alert_summary_of(partials: DataFrame, k: int = 10) -> DataFrame:
+    """``alert_summary`` from the partials of all days."""
+    agg = (
+        partials.groupBy("account_id")
+        .agg(
+            F.sum("txns").alias("high_risk_txn_count"),
+            F.round(F.sum("amount"), 2).cast("double").alias("total_amount"),
+            F.sum("score_units").alias("_su"),
+            F.sum("scores").alias("_sn"),
+        )
+        .withColumn("avg_fraud_score", exact_mean("_su", "_sn"))
+        .drop("_su", "_sn")
+    )
+    return agg.orderBy(F.desc("high_risk_txn_count"), F.desc("total_amount"), F.asc("account_id")).limit(k)
+
+
+def high_risk_count_of(partials: DataFrame) -> DataFrame:
+    return partials.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("high_risk_count"))
+
+
 def kpi_daily_fraud(fact_fraud: DataFrame, ordered: bool = True) -> DataFrame:
     """Per day and class: transactions, amount (2 places), mean score (4).
 

@@ -555,6 +555,32 @@ def _silver_txn_dup_ids(spark, d):
     return _appended(spark, d, "silver-dup-ids", twice, whole.where("transaction_id % 30 = 0"), whole.where("transaction_id % 7 = 0"))
 
 
+@q("silver_txn_moved_day")
+def _silver_txn_moved_day(spark, d):
+    """All transactions of some days sent again for another year: these days
+    are empty then, and gone."""
+    whole = bronze_txn_raw(spark, d)
+    at = F.try_to_timestamp(F.col("timestamp"))
+    later = F.date_format(at + F.expr("INTERVAL 400 DAY"), "yyyy-MM-dd HH:mm:ss")
+    moved = whole.where(F.dayofmonth(at) == 3).withColumn("timestamp", later)
+    return _appended(spark, d, "silver-moved-day", whole, moved)
+
+
+@q("alert_top10_incremental")
+def _alert_top10_incremental(spark, d):
+    """Top accounts from partial sums per day, over two loads: the second
+    brings new days and changes days of the first; only those are read again."""
+    fact = fact_fraud(spark, d).checkpoint()
+    path, alerts = scratch_path(spark, "fact-alerts"), scratch_path(spark, "alert-days")
+    first = fact.where("day(txn_date) < 15 and not (day(txn_date) = 7 and transaction_id % 2 = 0)")
+    tables.write_partitioned(first, path, "txn_date")
+    jobs.update_alerts(spark, path, alerts)
+    second = fact.where("txn_date is null or day(txn_date) >= 15 or day(txn_date) = 7")
+    days = [r[0] for r in second.select("txn_date").distinct().collect()]
+    tables.overwrite_partitions(second, path, "txn_date")
+    return kpi.alert_summary_of(jobs.update_alerts(spark, path, alerts, days))
+
+
 @q("scd2_stored_loads")
 def _scd2_stored_loads(spark, d):
     """Three stored customer loads, two of them as of the same time; the

@@ -147,7 +147,7 @@ def load_silver_accounts(spark: SparkSession, lake: Lake, order_by=()) -> str:
     base = lake.silver("accounts")
     target = tables.read_table(spark, base) if tables.table_exists(spark, base) else None
     out = scd.scd1_upsert(target, staging, "account_id", order_by, merge_schema=True)
-    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True)
+    return tables.write_snapshot(out, base, mode="evolve", merge_schema=True, verify=True, cluster_by=["account_id", "customer_id"])
 
 
 def _day_filter(days: Sequence[object]):
@@ -217,7 +217,7 @@ def append_silver_transactions(
         idindex.add(spark, path, prepared, "transaction_id", "txn_date")
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
-        tables.write_partitioned(silver, path, "txn_date", sort_by=["account_id"])
+        tables.write_partitioned(silver, path, "txn_date", sort_by=["account_id"], verify=True)
         days = [r[0] for r in prepared.select("txn_date").distinct().collect()]
         return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
@@ -263,7 +263,8 @@ def append_silver_transactions(
         .withColumn("rapid_txn_flag", F.coalesce(F.col("_flag"), F.col("rapid_txn_flag")))
         .select(*new_rows.columns)
     )
-    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", sort_by=["account_id"])
+    filled = _day_filter([d for d in days if d not in emptied])
+    tables.overwrite_partitions(kept.unionByName(new_rows), path, "txn_date", sort_by=["account_id"], verify=filled)
     tables.drop_partitions(spark, path, "txn_date", emptied)
     return {**quality.quality_row(raw_obs, out_obs), "days": days}
 
@@ -302,6 +303,29 @@ def _copy_customers(spark: SparkSession, lake: Lake, path: str, whole: bool) ->
         tables.write_partitioned(out, path, "closed_by")
 
 
+def _replace_days(df: DataFrame, path: str, days: Sequence[object], filled: Sequence[object]) -> None:
+    """Rewrite ``days`` of a day-partitioned table: ``df`` holds their rows as
+    they are now, on the ``filled`` ones; the others go."""
+    tables.overwrite_partitions(df, path, "txn_date", verify=_day_filter(filled))
+    tables.drop_partitions(df.sparkSession, path, "txn_date", [d for d in days if d not in filled])
+
+
+def update_alerts(spark: SparkSession, fact_path: str, alerts_path: str, days: Sequence[object] | None = None) -> DataFrame:
+    """Partial alert sums per day and account, as a table partitioned by day.
+
+    With ``days`` only these days of the fact are read and replaced; without,
+    or where the table is not there yet, all of them.  The alerts are a sum
+    over the partials: high-risk rows only, one for each account and day."""
+    fact = spark.read.parquet(fact_path)
+    if days is None or not tables.has_data(spark, alerts_path):
+        tables.write_partitioned(kpi.alert_partials(fact), alerts_path, "txn_date", verify=True)
+    else:
+        fresh = kpi.alert_partials(fact.where(_day_filter(days))).checkpoint()
+        filled = [r[0] for r in fresh.select("txn_date").distinct().collect()]
+        _replace_days(fresh, alerts_path, days, filled)
+    return spark.read.parquet(alerts_path)
+
+
 def build_gold(
     spark: SparkSession,
     lake: Lake,
@@ -340,14 +364,13 @@ def build_gold(
         out.update({n: paths[n] for n in ("fact_fraud", "fact_transactions")})
         out.update({n: _latest(spark, b) for n, b in bases.items()})
     else:
+        filled = tables.present_partitions(spark, lake.silver("transactions"), "txn_date", days) if incremental else []
         fact = scores.build_fact_fraud(touched, cfg)
         for name, df in (("fact_fraud", fact), ("fact_transactions", touched)):
             if incremental:
-                tables.overwrite_partitions(df, paths[name], "txn_date")
-                there = tables.present_partitions(spark, lake.silver("transactions"), "txn_date", days)
-                tables.drop_partitions(spark, paths[name], "txn_date", [d for d in days if d not in there])
+                _replace_days(df, paths[name], days, filled)
             else:
-                tables.write_partitioned(df, paths[name], "txn_date")
+                tables.write_partitioned(df, paths[name], "txn_date", verify=True)
             out[name] = paths[name]
 
         fact_days = spark.read.parquet(paths["fact_fraud"])
@@ -358,16 +381,17 @@ def build_gold(
             daily = kept.unionByName(fresh).orderBy("txn_date", "fraud_risk_category")
         else:
             daily = kpi.kpi_daily_fraud(fact_days)
-        out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base)
-        out["alert_top10"] = tables.write_snapshot(kpi.alert_summary(fact_days), bases["alert_top10"])
-        out["high_risk_count"] = tables.write_snapshot(kpi.high_risk_count(fact_days), bases["high_risk_count"])
+        out["kpi_daily_fraud"] = tables.write_snapshot(daily, kpi_base, verify=True)
+        partials = update_alerts(spark, paths["fact_fraud"], lake.gold("alert_days"), days if incremental else None)
+        out["alert_top10"] = tables.write_snapshot(kpi.alert_summary_of(partials), bases["alert_top10"], verify=True)
+        out["high_risk_count"] = tables.write_snapshot(kpi.high_risk_count_of(partials), bases["high_risk_count"], verify=True)
 
         loc_base = bases["dim_location"]
         if tables.table_exists(spark, loc_base):
             locs = dims.extend_dim_location(tables.read_table(spark, loc_base), touched, location_map)
         else:
             locs = dims.build_dim_location(touched, location_map)
-        out["dim_location"] = tables.write_snapshot(locs, loc_base)
+        out["dim_location"] = tables.write_snapshot(locs, loc_base, verify=True)
 
         date_base = bases["dim_date"]
         if incremental and tables.table_exists(spark, date_base):
@@ -376,7 +400,7 @@ def build_gold(
             )
         else:
             span = silver_txn.select("txn_date")
-        out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base)
+        out["dim_date"] = tables.write_snapshot(dims.build_dim_date_for(span, "txn_date"), date_base, verify=True)
 
     cust_path = paths["dim_customer"]
     if customer_as_of is not None or days is None or not tables.has_data(spark, cust_path):
@@ -388,9 +412,10 @@ def build_gold(
         out["fact_credit"] = tables.write_snapshot(
             scores.build_fact_credit(credit, read_silver_customers(spark, lake, current_only=True), cfg),
             lake.gold("fact_credit"),
+            verify=True,
         )
-    out["dim_accounts"] = tables.write_snapshot(accounts, lake.gold("dim_accounts"))
-    out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"))
+    out["dim_accounts"] = tables.write_snapshot(accounts, lake.gold("dim_accounts"), verify=True)
+    out["churn"] = tables.write_snapshot(kpi.churn_risk(accounts), lake.gold("churn"), verify=True)
     if publish_db:
         for name, path in out.items():
             tables.publish_path(spark, f"{publish_db}.{name}", path, partitioned=name in paths)

@@ -565,6 +565,13 @@ ORACLE["silver_txn_resend"] = over_raw(
     "ELSE \"timestamp\" END AS \"timestamp\", CASE WHEN transaction_id % 40 = 20 THEN account_id + 1 ELSE account_id END AS account_id) "
     "FROM fx_transactions_raw",
 )
+ORACLE["silver_txn_moved_day"] = over_raw(
+    ORACLE["silver_transactions"],
+    "moved",
+    "SELECT * REPLACE (CASE WHEN day(TRY_CAST(\"timestamp\" AS TIMESTAMP)) = 3 THEN strftime(TRY_CAST(\"timestamp\" AS TIMESTAMP) + INTERVAL 400 DAY, "
+    "'%Y-%m-%d %H:%M:%S') ELSE \"timestamp\" END AS \"timestamp\") FROM fx_transactions_raw",
+)
+ORACLE["alert_top10_incremental"] = ORACLE["alert_top10_accounts"]
 ORACLE["fact_transactions_rewrite"] = raw_chain("SELECT * FROM t_silver WHERE day(txn_date) > 5")
 ORACLE["publish_table"] = ORACLE["scd2_apply"]
 ORACLE["snapshot_append"] = with_fx(

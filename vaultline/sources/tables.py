@@ -16,7 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -161,16 +161,13 @@ def write_snapshot(
     path = version_path(base, next_version(spark, base))
     obs = None
     if verify:
-        obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df, obs = _observed(df)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     if obs is not None:
-        written, stored = obs.get["rows"], spark.read.parquet(path).count()
-        if written != stored:
-            raise RuntimeError(f"{path}: wrote {written} rows, read back {stored}")
+        _read_back(spark, path, obs)
     return path
 
 
@@ -250,9 +247,28 @@ def _laid_out(df: DataFrame, partition_col: str, sort_by: Sequence[str]) -> Data
     return out.sortWithinPartitions(partition_col, *sort_by) if sort_by else out
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = ()) -> None:
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _read_back(spark: SparkSession, path: str, obs: Observation, where: Column | None = None) -> None:
+    """Count the stored rows (from Parquet footers) and compare them with those written."""
+    stored = spark.read.parquet(path)
+    written, there = obs.get["rows"], (stored if where is None else stored.where(where)).count()
+    if written != there:
+        raise RuntimeError(f"{path}: wrote {written} rows, read back {there}")
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = (), verify: Column | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite);
-    the others stay.  ``sort_by`` sorts the rows of each file."""
+    the others stay.  ``sort_by`` sorts the rows of each file.  ``verify``: the
+    partitions that ``df`` covers; their rows are counted while written and
+    again in the table."""
+    spark = df.sparkSession
+    obs = None
+    if verify is not None:
+        df, obs = _observed(df)
     (
         _laid_out(df, partition_col, sort_by)
         .write.mode("overwrite")
@@ -260,11 +276,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by:
         .partitionBy(partition_col)
         .parquet(path)
     )
+    if obs is not None:
+        _read_back(spark, path, obs, verify)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = ()) -> str:
+def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = (), verify: bool = False) -> str:
     """Overwrite of a whole partitioned table (to a path not read): static,
-    whatever the session says, so partitions that ``df`` lacks go."""
+    whatever the session says, so partitions that ``df`` lacks go.  ``verify``
+    counts the rows while they are written and again in the table."""
+    spark = df.sparkSession
+    obs = None
+    if verify:
+        df, obs = _observed(df)
     (
         _laid_out(df, partition_col, sort_by)
         .write.mode("overwrite")
@@ -272,6 +295,8 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Seq
         .partitionBy(partition_col)
         .parquet(path)
     )
+    if obs is not None:
+        _read_back(spark, path, obs)
     return path
 
 
