@@ -139,6 +139,7 @@ def write_snapshot(
     partition_by: Sequence[str] | None = None,
     verify: bool = False,
     cluster_by: Sequence[str] = (),
+    bucket_by: tuple[str, int] | None = None,
 ) -> str:
     """Write ``df`` as the next version of ``base``; returns its path.
 
@@ -149,6 +150,9 @@ def write_snapshot(
     extra pass) and compares with a count of the committed files.
     ``cluster_by`` lays the rows out by ranges of those columns, sorted in
     each file, so that Parquet statistics skip files and row groups.
+    ``bucket_by=(column, n)`` writes Spark buckets, sorted inside, one file
+    each if ``df`` is dealt out that way; ``read_bucketed`` then joins and
+    groups on the column without a shuffle of the table.
     """
     spark = df.sparkSession
     if cluster_by:
@@ -165,12 +169,53 @@ def write_snapshot(
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if bucket_by:
+        column, n = bucket_by
+        name = f"vaultline_{uuid.uuid4().hex}"  # bucketed files are written through a catalog entry, which goes again
+        w.format("parquet").bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
+        fs, p, _ = _fs(spark, f"{path}/{_BUCKETED}{n}.{column}")
+        fs.create(p, True).close()
+    else:
+        w.parquet(path)
     if obs is not None:
-        _read_back(spark, path, obs)
+        _read_back(df, path, obs)
     return path
 
 
+_BUCKETED = "_buckets."
+
+
+def bucketing(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    """(column, number) of the buckets a version was written in."""
+    fs, p, _ = _fs(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(_BUCKETED):
+            n, column = name[len(_BUCKETED) :].split(".", 1)
+            return column, int(n)
+    return None
+
+
+def read_bucketed(spark: SparkSession, base: str) -> DataFrame:
+    """The newest version of a snapshot table; if it was written in buckets,
+    as a bucketed scan (the catalog entry that tells Spark so is dropped at
+    once; the files and the returned plan stay)."""
+    vs = versions(spark, base)
+    path = version_path(base, vs[-1]) if vs else ""
+    how = bucketing(spark, path) if vs else None
+    if how is None or _parts(spark, base, vs[-1]):
+        return read_table(spark, base)
+    column, n = how
+    name = f"vaultline_{uuid.uuid4().hex}"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {n} BUCKETS LOCATION '{path}'")
+    df = spark.table(name)
+    df.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 def _parts(spark: SparkSession, base: str, version: int) -> list[str]:
     """Committed appends to a version, in order."""
     names = partition_values(spark, base, f"a{version:06d}")
@@ -252,9 +297,10 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _read_back(spark: SparkSession, path: str, obs: Observation, where: Column | None = None) -> None:
-    """Count the stored rows (from Parquet footers) and compare them with those written."""
-    stored = spark.read.parquet(path)
+def _read_back(df: DataFrame, path: str, obs: Observation, where: Column | None = None) -> None:
+    """Count the stored rows (from Parquet footers) and compare them with those
+    of ``df`` that were written; a partitioned table of no rows has no files."""
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
     written, there = obs.get["rows"], (stored if where is None else stored.where(where)).count()
     if written != there:
         raise RuntimeError(f"{path}: wrote {written} rows, read back {there}")
@@ -265,7 +311,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by:
     the others stay.  ``sort_by`` sorts the rows of each file.  ``verify``: the
     partitions that ``df`` covers; their rows are counted while written and
     again in the table."""
-    spark = df.sparkSession
     obs = None
     if verify is not None:
         df, obs = _observed(df)
@@ -277,14 +322,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, sort_by:
         .parquet(path)
     )
     if obs is not None:
-        _read_back(spark, path, obs, verify)
+        _read_back(df, path, obs, verify)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Sequence[str] = (), verify: bool = False) -> str:
     """Overwrite of a whole partitioned table (to a path not read): static,
     whatever the session says, so partitions that ``df`` lacks go.  ``verify``
     counts the rows while they are written and again in the table."""
-    spark = df.sparkSession
     obs = None
     if verify:
         df, obs = _observed(df)
@@ -296,7 +340,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, sort_by: Seq
         .parquet(path)
     )
     if obs is not None:
-        _read_back(spark, path, obs)
+        _read_back(df, path, obs)
     return path
 
 
