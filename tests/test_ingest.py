@@ -82,3 +82,55 @@ def test_rejected_rows_stay_in_bronze_and_go_no_further(spark):
     assert tables.read_table(spark, lake.bronze("transactions")).count() == 3
     assert jobs.rejected_count(spark, lake, "transactions") == 2
     assert [r["transaction_id"] for r in jobs.read_bronze(spark, lake, "transactions").collect()] == ["t1"]
+
+
+RECORDS = [{"transaction_id": f"t{k}", "amount": k + 0.5, "metadata": {"ip": "1.2.3.4", "tags": [{"a": [k, "}, {"]}]}, "note": "x]},{"} for k in range(3000)]
+
+
+@pytest.mark.parametrize("style", ["indent 2", "tabs", "joined", "crlf"])
+def test_indented_documents_are_cut_between_records(spark, style):
+    import json
+
+    text = json.dumps(RECORDS, indent="\t" if style == "tabs" else 2)
+    if style == "joined":  # both braces on one line, records at the left edge
+        rows = [json.dumps(r, indent=2) for r in RECORDS]
+        text = "[ " + ", ".join(rows) + " ]"
+    raw = put(spark, **{"a.json": text.replace("\n", "\r\n") if style == "crlf" else text, "b.json": json.dumps(RECORDS[:2], indent=2), "c.json": json.dumps(RECORDS[7]) + "\n"})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        got = read_json(spark, raw, TRANSACTIONS)
+        assert got.rdd.getNumPartitions() > 3  # a.json alone is several splits
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 3003 and all(r[CORRUPT] is None for r in rows)
+    assert sorted((r["transaction_id"], r["amount"]) for r in rows) == sorted((r["transaction_id"], r["amount"]) for r in [*RECORDS, *RECORDS[:2], RECORDS[7]])
+    assert {r["note"] for r in rows} == {"x]},{"}
+
+
+def test_a_bad_record_of_a_cut_document_costs_itself(spark):
+    import json
+
+    text = json.dumps(RECORDS[:50], indent=2).replace('"amount": 7.5', '"amount": 7.5.5')
+    rows = read_json(spark, put(spark, a=text), TRANSACTIONS, split_over=0).collect()
+    assert len(rows) == 50 and sum(r[CORRUPT] is not None for r in rows) == 1
+    whole = read_json(spark, put(spark, a=json.dumps(RECORDS[:50])), TRANSACTIONS, split_over=0)  # on one line: nothing to cut at
+    assert whole.count() == 50
+
+
+def test_rows_name_their_file_and_rejected_ones_have_a_table(spark):
+    import json
+
+    raw = put(spark, a=json.dumps(RECORDS[:9], indent=2).replace('"amount": 3.5', '"amount": "x"'), b=json.dumps({"transaction_id": "l", "amount": 1.0}) + "\n{bad\n")
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    for over in (0, 1 << 30):  # cut or whole
+        jobs.ingest(spark, lake, "transactions", raw, AS_OF, split_over=over, provenance=True)
+        bronze = tables.read_table(spark, lake.bronze("transactions"))
+        assert {r["_source_file"].rsplit("/", 1)[1] for r in bronze.collect()} == {"a", "b"}
+        bad = sorted((r["source_file"].rsplit("/", 1)[1], "bad" in r["reason"]) for r in tables.read_table(spark, lake.bronze("transactions_rejected")).collect())
+        good = jobs.read_bronze(spark, lake, "transactions")
+        if over:  # read whole, a bad record costs its document
+            assert set(bad) == {("a", False), ("b", True)}
+        else:
+            assert bad == [("a", False), ("b", True)] and good.count() == 9
+        assert not {"_source_file", "_source_block"} & set(good.columns)

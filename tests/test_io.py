@@ -112,3 +112,54 @@ def test_verified_snapshot_write(spark):
     base = scratch_path(spark, "snap-verify")
     path = tables.write_snapshot(spark.range(7), base, verify=True)
     assert spark.read.parquet(path).count() == 7
+
+
+def test_republish_is_never_without_the_table(spark):
+    import threading
+
+    from vaultline.session import scratch_path
+    from vaultline.sources import tables
+
+    name, base = "vl_republish.t", scratch_path(spark, "published")
+    paths = []
+    for k in range(4):
+        df = spark.range(k + 1).selectExpr("id", "id * 2 as twice") if k else spark.range(1)
+        paths.append(tables.write_snapshot(df, base))
+    tables.publish_path(spark, name, paths[0])
+    stop, seen, lost = threading.Event(), set(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.catalog.tableExists(name))
+                spark.table(name).schema
+            except Exception as e:  # noqa: BLE001
+                lost.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for path in paths[1:]:
+            tables.publish_path(spark, name, path)
+            assert spark.table(name).count() == spark.read.parquet(path).count()
+    finally:
+        stop.set()
+        reader.join()
+    assert seen == {True} and not lost and spark.table(name).columns == ["id", "twice"]
+    other = tables.write_snapshot(spark.range(3).selectExpr("cast(id as string) as id"), base)
+    tables.publish_path(spark, name, other)  # a changed type
+    assert spark.table(name).schema["id"].dataType.simpleString() == "string" and spark.table(name).count() == 3
+
+
+def test_republish_follows_the_partitions(spark):
+    from vaultline.session import scratch_path
+    from vaultline.sources import tables
+
+    path = scratch_path(spark, "facts")
+    df = spark.range(9).selectExpr("id", "id % 3 as p")
+    tables.write_partitioned(df, path, "p")
+    tables.publish_path(spark, "vl_republish.f", path, partitioned=True)
+    tables.overwrite_partitions(df.selectExpr("id", "p + 1 as p"), path, "p")
+    tables.drop_partitions(spark, path, "p", [0])
+    tables.publish_path(spark, "vl_republish.f", path, partitioned=True)
+    assert {r["p"] for r in spark.table("vl_republish.f").collect()} == {1, 2, 3}

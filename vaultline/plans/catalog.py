@@ -468,6 +468,21 @@ def _bronze_credit(spark, d):
     return tables.read_table(spark, lake.bronze("credit_history"))
 
 
+@q("bronze_rejected")
+def _bronze_rejected(spark, d):
+    """Rows that could not be read as declared, from the table of rejected
+    rows, with the folder they came from and the reason."""
+    raw = scratch_path(spark, "raw-rejected")
+    cid = F.col("customer_id")
+    score = F.when(cid % 10 == 3, F.concat(F.col("credit_score").cast("string"), F.lit("x"))).otherwise(F.col("credit_score").cast("string"))
+    fx.credit(spark, d).withColumn("credit_score", score).write.option("header", True).csv(raw)
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.ingest(spark, lake, "credit_history", raw, AS_OF_1, provenance=True)
+    bad = tables.read_table(spark, lake.bronze("credit_history_rejected"))
+    folder = F.regexp_extract("source_file", r"/(raw-rejected)-[^/]*/part-[^/]*\.csv$", 1)
+    return bad.select(F.get_json_object("record", "$.customer_id").alias("customer_id"), "reason", folder.alias("folder"), "source_table")
+
+
 @q("bronze_transactions")
 def _bronze_transactions(spark, d):
     """Dirty transactions written as JSON Lines, ingested with the declared
@@ -477,22 +492,33 @@ def _bronze_transactions(spark, d):
     return _ingested_transactions(spark, raw)
 
 
-@q("bronze_transactions_multiline")
-def _bronze_transactions_multiline(spark, d):
-    """The same rows as documents of about a thousand rows, each a file that
-    holds one indented array; how to read them is recognised."""
+def _documents(spark, d):
+    """The raw rows as files of one indented array of about a thousand rows."""
     raw = scratch_path(spark, "raw-transactions-documents")
     rows = fx.transactions_raw(spark, d)
     buckets = max(1, rows.count() // 1000)
     rows = rows.select(F.pmod(F.xxhash64("transaction_id", "timestamp"), F.lit(buckets)).alias("part"), F.struct(*rows.columns).alias("row"))
     text = rows.groupBy("part").agg(F.to_json(F.collect_list("row"), {"pretty": "true"}).alias("value"))
     text.write.partitionBy("part").text(raw)
-    return _ingested_transactions(spark, raw).drop("part")
+    return raw
+
+
+@q("bronze_transactions_multiline")
+def _bronze_transactions_multiline(spark, d):
+    """The same rows as documents of about a thousand rows, each a file that
+    holds one indented array; how to read them is recognised."""
+    return _ingested_transactions(spark, _documents(spark, d)).drop("part")
+
+
+@q("bronze_transactions_split")
+def _bronze_transactions_split(spark, d):
+    """The same documents cut between records, whatever their size."""
+    return _ingested_transactions(spark, _documents(spark, d) + "/part=*", split_over=0)
 
 
-def _ingested_transactions(spark, raw):
+def _ingested_transactions(spark, raw, **how):
     lake = jobs.Lake(scratch_path(spark, "lake"))
-    jobs.ingest(spark, lake, "transactions", raw, AS_OF_1)
+    jobs.ingest(spark, lake, "transactions", raw, AS_OF_1, **how)
     bronze = tables.read_table(spark, lake.bronze("transactions"))
     return bronze.withColumn("metadata", F.to_json("metadata"))
 

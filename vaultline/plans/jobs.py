@@ -20,7 +20,7 @@ from vaultline.operators import transactions as tx
 from vaultline.operators.audit import add_audit
 from vaultline.schemas import SOURCES
 from vaultline.sources import idindex, tables
-from vaultline.sources.files import CORRUPT, accepted, read_csv, read_json
+from vaultline.sources.files import CORRUPT, accepted, read_csv, read_json, rejected
 
 
 @dataclass(frozen=True)
@@ -49,21 +49,29 @@ def ingest(
     as_of: str | None = None,
     infer: bool = False,
     multiline: bool | None = None,
+    split_over: int | None = None,
+    provenance: bool = False,
 ) -> str:
     """Raw file -> bronze snapshot with audit columns.
 
     Bronze keeps every column and every row of the file; rows that could not
     be read as declared carry the reason in ``_corrupt_record`` and go no
-    further (``rejected_count``)."""
+    further (``rejected_count``).  With ``provenance`` each row names its file
+    and block, and the rejected rows also make a table of their own,
+    ``<name>_rejected``, with file and reason."""
     fmt, schema = SOURCES[name]
     declared = None if infer else schema
     if fmt == "csv":
-        df = read_csv(spark, path, declared, infer=infer or schema is None)
+        df = read_csv(spark, path, declared, infer=infer or schema is None, provenance=provenance)
     else:
-        df = read_json(spark, path, declared, multiline=multiline)
+        df = read_json(spark, path, declared, multiline=multiline, split_over=split_over, provenance=provenance)
     if declared is not None:
         quality.assert_schema(df.select(*declared.fieldNames()), declared)
-    return tables.write_snapshot(add_audit(df, f"{name}.{fmt}", as_of), lake.bronze(name), mode="replace")
+    path = tables.write_snapshot(add_audit(df, f"{name}.{fmt}", as_of), lake.bronze(name), mode="replace")
+    if provenance:
+        bad = rejected(spark.read.parquet(path).drop("created_timestamp", "source_table"))
+        tables.write_snapshot(add_audit(bad, f"{name}.{fmt}", as_of), lake.bronze(f"{name}_rejected"), mode="replace")
+    return path
 
 
 def read_bronze(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
@@ -500,7 +508,7 @@ def run_jobs(
     plus the observed transaction quality counts."""
     out: dict = {}
     for name, path in raw.items():
-        out[f"bronze_{name}"] = ingest(spark, lake, name, path, as_of, multiline=json_multiline)
+        out[f"bronze_{name}"] = ingest(spark, lake, name, path, as_of, multiline=json_multiline, provenance=True)
     out["rejected"] = {name: rejected_count(spark, lake, name) for name in raw}
     if "customers" in raw:
         out["silver_customer"] = load_silver_customers(spark, lake, as_of)

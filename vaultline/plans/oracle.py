@@ -554,6 +554,12 @@ ORACLE["bronze_transactions"] = with_fx(
     "fx_transactions_raw",
 )
 ORACLE["bronze_transactions_multiline"] = ORACLE["bronze_transactions"]
+ORACLE["bronze_rejected"] = with_fx(
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, 'credit_score=' || CAST(credit_score AS VARCHAR) || 'x' AS reason, "
+    "'raw-rejected' AS folder, 'credit_history.csv' AS source_table FROM fx_credit WHERE customer_id % 10 = 3 AND credit_score IS NOT NULL",
+    "fx_credit",
+)
+ORACLE["bronze_transactions_split"] = ORACLE["bronze_transactions"]
 ORACLE["fact_transactions"] = ORACLE["silver_transactions"]
 ORACLE["cluster_silver"] = ORACLE["scd2_apply"]
 ORACLE["silver_txn_append"] = ORACLE["silver_transactions"]

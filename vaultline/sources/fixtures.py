@@ -14,7 +14,7 @@ from vaultline.sources.files import read_parquet
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", reuse=True)  # given tables do not change
 
 
 def _k(props: str = "props"):

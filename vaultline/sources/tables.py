@@ -353,15 +353,34 @@ def publish(df: DataFrame, name: str, mode: str = "overwrite") -> None:
 def publish_path(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
     """Register files already written at ``path`` as an external catalog
     table: metadata only, where a second ``saveAsTable`` write would run
-    the whole plan again.  Re-publishing replaces the entry (dropping an
-    external table leaves its files alone); partitioned tables get their
-    partitions recovered from the folders."""
+    the whole plan again.
+
+    Re-publishing moves the entry to the new location in one step, so readers
+    always find the table, in its old or its new state; new columns are added
+    to it.  Only a change of a type, or a column that is gone, replaces the
+    entry by a rename.  Partitioned tables get the partitions of the folders,
+    and lose those whose folders are gone."""
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+    else:
+        old = {f.name: f.dataType for f in spark.table(name).schema.fields}
+        new = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+        if all(new.get(c) == t for c, t in old.items()):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            added = ", ".join(f"`{c}` {t.simpleString()}" for c, t in new.items() if c not in old)
+            if added:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+            spark.catalog.refreshTable(name)
+        else:
+            beside = f"{name}_{uuid.uuid4().hex[:8]}"
+            spark.catalog.createTable(f"{beside}_new", path=path, source="parquet")
+            spark.sql(f"ALTER TABLE {name} RENAME TO {beside}_old")
+            spark.sql(f"ALTER TABLE {beside}_new RENAME TO {name}")
+            spark.sql(f"DROP TABLE {beside}_old")
     if partitioned:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def publish_copy(spark: SparkSession, src: DataFrame, dst: str, partition_by: str | None = None) -> DataFrame:
