@@ -163,3 +163,20 @@ def test_republish_follows_the_partitions(spark):
     tables.drop_partitions(spark, path, "p", [0])
     tables.publish_path(spark, "vl_republish.f", path, partitioned=True)
     assert {r["p"] for r in spark.table("vl_republish.f").collect()} == {1, 2, 3}
+
+
+def test_types_that_meet(spark):
+    import pytest
+
+    from vaultline.session import scratch_path
+    from vaultline.sources import tables
+
+    meet = tables.common_type
+    assert meet("int", "bigint") == meet("bigint", "tinyint") == "bigint" and meet("float", "double") == meet("bigint", "float") == "double"
+    assert meet("string", "int") is None and meet("date", "date") == "date"
+    base = scratch_path(spark, "widen")
+    tables.write_snapshot(spark.range(3).selectExpr("id as a", "'x' as s"), base)
+    tables.write_snapshot(spark.range(3).selectExpr("cast(id as int) as a", "'x' as s"), base, mode="evolve")  # narrower: stays wide
+    assert tables.read_table(spark, base).schema["a"].dataType.simpleString() == "bigint"
+    with pytest.raises(ValueError):
+        tables.append_snapshot(spark.range(1).selectExpr("id as a", "1 as s"), base)

@@ -650,6 +650,20 @@ def _snapshot_evolve(spark, d):
     return tables.read_table(spark, base)
 
 
+@q("snapshot_widen")
+def _snapshot_widen(spark, d):
+    """Columns that widen: int to long and long to double by an append, whose
+    older files are cast as they are read, then int to long by a new version."""
+    base = scratch_path(spark, "snapshot-widen")
+    c = fx.customers(spark, d).select("customer_id", F.length("name").alias("n"), F.col("customer_id").cast("long").alias("v"), F.lit(1).alias("k"))
+    tables.write_snapshot(c.where("customer_id % 2 = 0"), base)
+    wider = c.where("customer_id % 2 = 1").select("customer_id", (F.col("n") + F.lit(3_000_000_000)).alias("n"), (F.col("v") + F.lit(0.5)).alias("v"), "k")
+    tables.append_snapshot(wider, base)
+    both = tables.read_table(spark, base)
+    tables.write_snapshot(both.withColumn("k", F.col("k").cast("long") + F.lit(5_000_000_000)), base, mode="evolve")
+    return tables.read_table(spark, base)
+
+
 @q("publish_table")
 def _publish_table(spark, d):
     """A managed table written twice, the second time with other rows."""

@@ -584,6 +584,11 @@ ORACLE["snapshot_append"] = with_fx(
     "SELECT *, CASE WHEN customer_id % 3 = 2 THEN 'late' END AS note FROM fx_customers", "fx_customers"
 )
 ORACLE["snapshot_evolve"] = with_fx("SELECT *, CAST(length(name) AS INTEGER) AS name_length FROM fx_customers", "fx_customers")
+ORACLE["snapshot_widen"] = with_fx(
+    "SELECT customer_id, CAST(length(name) AS BIGINT) + CASE WHEN customer_id % 2 = 1 THEN 3000000000 ELSE 0 END AS n, "
+    "CAST(customer_id AS DOUBLE) + CASE WHEN customer_id % 2 = 1 THEN 0.5 ELSE 0 END AS v, CAST(5000000001 AS BIGINT) AS k FROM fx_customers",
+    "fx_customers",
+)
 ORACLE["scd2_stored_loads"] = scd_chain(
     "SELECT * FROM s_b3",
     extra=[

@@ -121,14 +121,40 @@ def read_table(spark: SparkSession, base: str, version: int | None = None) -> Da
     return df
 
 
-def check_schema(old: DataFrame, new: DataFrame, merge_schema: bool) -> None:
-    """Same-name columns keep their type; new columns need ``merge_schema``."""
-    ot = {f.name: f.dataType for f in old.schema.fields}
+#: numeric types that widen into the ones to their right without a change of value, and where they meet
+_INTEGRAL, _FRACTIONAL = ("tinyint", "smallint", "int", "bigint"), ("float", "double")
+
+
+def common_type(a: str, b: str) -> str | None:
+    """Least type that takes the values of both (simple names); None if only a
+    conversion could.  Whole and fractional numbers meet in double, as in a
+    union of the two."""
+    if a == b:
+        return a
+    for ladder in (_INTEGRAL, _FRACTIONAL):
+        if a in ladder and b in ladder:
+            return max(a, b, key=ladder.index)
+    return "double" if {a, b} <= {*_INTEGRAL, *_FRACTIONAL} else None
+
+
+def check_schema(old: DataFrame, new: DataFrame, merge_schema: bool) -> DataFrame:
+    """``new`` with same-name columns in the least common type of both tables;
+    new columns, and types that do not meet, need more than that:
+    ``merge_schema`` or a replaced table."""
+    ot = {f.name: f.dataType.simpleString() for f in old.schema.fields}
+    cast = {}
     for f in new.schema.fields:
-        if f.name in ot and ot[f.name] != f.dataType:
-            raise ValueError(f"column {f.name} changes type {ot[f.name].simpleString()} -> {f.dataType.simpleString()}")
-        if f.name not in ot and not merge_schema:
-            raise ValueError(f"new column {f.name}; pass merge_schema=True")
+        own = f.dataType.simpleString()
+        if f.name not in ot:
+            if not merge_schema:
+                raise ValueError(f"new column {f.name}; pass merge_schema=True")
+            continue
+        meet = common_type(ot[f.name], own)
+        if meet is None:
+            raise ValueError(f"column {f.name} changes type {ot[f.name]} -> {own}")
+        if meet != own:
+            cast[f.name] = F.col(f"`{f.name}`").cast(meet)
+    return new.withColumns(cast) if cast else new
 
 
 def write_snapshot(
@@ -144,7 +170,8 @@ def write_snapshot(
     """Write ``df`` as the next version of ``base``; returns its path.
 
     ``mode="replace"`` accepts any schema (overwrite with a new schema);
-    ``mode="evolve"`` applies ``check_schema`` against the current version;
+    ``mode="evolve"`` applies ``check_schema`` against the current version
+    (columns may be added and numbers widened);
     ``mode="errorifexists"`` refuses when a version exists.
     ``verify=True`` counts the rows while writing (an Observation, no
     extra pass) and compares with a count of the committed files.
@@ -161,7 +188,7 @@ def write_snapshot(
     if vs and mode == "errorifexists":
         raise FileExistsError(base)
     if vs and mode == "evolve":
-        check_schema(read_table(spark, base), df, merge_schema)
+        df = check_schema(read_table(spark, base), df, merge_schema)
     path = version_path(base, next_version(spark, base))
     obs = None
     if verify:
@@ -227,11 +254,12 @@ def append_snapshot(df: DataFrame, base: str) -> str:
     """Append rows to the newest version, by column name: they go to a folder
     of their own beside it (``a000001=000001`` is the first append to version
     1) and nothing is rewritten.  The next full version ends them.  Columns
-    that either side lacks are NULL there; same-name columns keep their type."""
+    that either side lacks are NULL there; numbers may widen: files written
+    before are cast as they are read."""
     spark = df.sparkSession
     if not table_exists(spark, base):
         return write_snapshot(df, base, mode="replace")
-    check_schema(read_table(spark, base), df, merge_schema=True)
+    df = check_schema(read_table(spark, base), df, merge_schema=True)
     version = versions(spark, base)[-1]
     taken = partition_values(spark, base, f"a{version:06d}")  # those of writes that died too
     path = f"{base.rstrip('/')}/a{version:06d}={max(map(int, taken), default=0) + 1:06d}"
