@@ -87,3 +87,18 @@ def test_edge_rows(spark):
     assert sum(r["piece"] == 0 for r in got) == len(edge_rows())
     assert pack_documents(no_docs(spark), tokenizer_json()).count() == 0
     assert token_pieces(no_docs(spark), tokenizer_json()).count() == 0
+
+
+def test_a_full_cache_changes_no_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from vaultline.llm import packing
+
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 6))) + rng.choice(["", ",", "!?"]) for _ in range(3000)).encode()
+    tk = Tokenizer.from_str(packing.tokenizer_json())
+    whole = packing.document_ids(text, packing.WordIds(tk))
+    monkeypatch.setattr(packing, "_CACHE", 20_000)
+    words = packing.WordIds(tk)
+    assert (packing.document_ids(text, words) == whole).all() and len(words) + len(words.old) < 400
+    assert whole.tolist()[:-1] == tk.encode(text.decode(), add_special_tokens=False).ids

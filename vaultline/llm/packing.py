@@ -27,7 +27,7 @@ CAPACITY = 2048
 END_ID = 0
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 BUCKETS = 1 << 12
-_CACHE = 48 << 20  # bytes of words and ids that a worker keeps at hand; the result does not depend on it
+_CACHE = 96 << 20  # bytes of words and ids that a worker keeps at hand; the result does not depend on it
 _ENTRY = 150  # bytes that a cached word takes besides its own and its ids
 #: ASCII punctuation that forms a token apart from the letters before it (an apostrophe may not)
 _TAIL = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
@@ -46,12 +46,14 @@ class WordIds(dict):
 
     Letters below U+0250 with punctuation behind them go straight to the
     tokenizer's own model, lower-cased and in its byte-level alphabet; any
-    other word goes through the whole tokenizer."""
+    other word goes through the whole tokenizer.  When the words fill half the
+    cache they become the old ones, and those before go: a word in use comes
+    back from the old ones, rare ones are forgotten."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.letters, self.tails = tokenizer, tokenizer.model, _byte_letters(), {b"": b""}
-        self.size = 0
+        self.size, self.old = 0, {}
 
     def whole(self, word: bytes) -> bytes:
         return np.asarray(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
@@ -65,12 +67,12 @@ class WordIds(dict):
         return self.tails[tail]
 
     def __missing__(self, word: bytes) -> bytes:
-        if self.size >= _CACHE:
-            self.clear()
-            self.tails, self.size = {b"": b""}, 0
+        ids = self.old.get(word)
+        if ids is not None:
+            return self.keep(word, ids)
         core = word.rstrip(_TAIL).lower()  # ASCII only
         tail = word[len(core) :]
-        known = self.get(core) if tail and core[-1:].isalnum() else None  # an ASCII letter or digit ends a token here
+        known = (self.get(core) or self.old.get(core)) if tail and core[-1:].isalnum() else None  # an ASCII letter or digit ends a token here
         if known is not None:
             ids = known + self.end(tail)
         elif core.isalpha():
@@ -86,6 +88,10 @@ class WordIds(dict):
         return self.keep(word, ids)
 
     def keep(self, word: bytes, ids: bytes) -> bytes:
+        if self.size >= _CACHE // 2:
+            self.old = dict(self)
+            self.clear()
+            self.tails, self.size = {b"": b""}, 0
         self.size += len(word) + len(ids) + _ENTRY
         self[word] = ids
         return ids
