@@ -1,6 +1,6 @@
 import random
 
-from vaultline.llm.pages import TemplateRules, extract_pages, main_text, parse
+from vaultline.llm.pages import TemplateRules, _text_token, deduce_templates, extract_pages, host_key, main_text, page_tokens, parse
 
 
 def text_of(html):
@@ -37,6 +37,58 @@ def test_a_hint_takes_its_region_away():
     assert text_of(f"<main><article>{story}</article><div class=related><article>one</article></div></main>") == "The whole story of the page, told at length, and more."
 
 
+def test_readers_comments_go_whatever_their_share():
+    story = "<div><p>A short story.</p></div>"
+    said = "".join(f"<p>Reader {k} says a good deal more than the story does.</p>" for k in range(60))
+    for name in ("class=comments", "id='comments'", "class='comment-list'", "class='post-comments wide'", "id=comments-section"):
+        for page in (f"<body>{story}<div {name}>{said}</div></body>", f"<article>{story}<div {name}>{said}</div></article>", f"<div {name}>{said}</div><main>{story}</main>"):
+            assert text_of(page) == "A short story.", (name, page[:60])
+        # a wrapper: no other text beside it
+        assert text_of(f"<body><div {name}>{story * 5}</div><ul><li><a href=/>home</a></ul></body>").startswith("A short story.")
+
+
+def test_levels_past_the_last_are_counted():
+    for n in (50, 450, 5000):
+        page = f"<div><article><p>before</p>{'<div>' * n}<p>deep</p><nav>menu</nav>{'</div>' * n}<p>after</p></article></div><p>outside</p>"
+        assert text_of(page) == "before\ndeep\nafter", n
+    assert text_of("<div>" * 20_000 + "</p></span>" * 20_000 + "deep") == "deep"
+
+
+def plain_classes(pages, rules):
+    """Template texts of one host by occurrence vectors written out in full."""
+    elements, texts = {}, {}
+    for k, page in enumerate(pages):
+        for t, n in page.elements.items():
+            elements.setdefault(t, {})[k] = n
+        for b in page.blocks:
+            if not b.outside:
+                at = texts.setdefault((b.path, b.text), {})
+                at[k] = at.get(k, 0) + 1
+    found = set()
+    for mine in texts.values():
+        alike = [t for t, v in elements.items() if v == mine]
+        same = [t for t, v in texts.items() if v == mine]
+        enough = len(mine) >= rules.least_pages and len(mine) >= rules.least_share * len(pages)
+        if enough and alike and len(same) <= rules.texts_per_element * len(alike):
+            found.update(same)
+    return found
+
+
+def test_templates_against_plain_occurrence_vectors(spark):
+    rules = TemplateRules(link_share=2.0)  # classes alone
+    rng = random.Random(8)
+    parts = [f"<div class='c{chr(97 + i)}'><p>fixed {i}</p></div>" for i in range(6)]
+    sources = []
+    for k in range(60):
+        own = "".join(f"<p>{rng.choice('uvw')} {rng.randrange(4)}</p>" for _ in range(rng.randrange(1, 5)))
+        sources.append("<body>" + "".join(p * rng.choice((0, 1, 1, 2)) if i % 2 else p for i, p in enumerate(parts)) + own + "</body>")
+    df = spark.createDataFrame([(k, "http://h.example/", t) for k, t in enumerate(sources)], "page_id long, url string, html string").repartition(3)
+    df = df.withColumn("host", host_key(df["url"]))
+    got = deduce_templates(page_tokens(df, "page_id", "html", "host"), rules).collect()
+    want = plain_classes([parse(t) for t in sources], rules)
+    assert len(got) == 1 and 3 <= len(want) and set(got[0]["template"]) == {_text_token(*t) for t in want}
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(2)
     bits = ["<p>", "</p>", "<div class=\"a>b\">", "</div>", "<", ">", "<!--", "-->", "<script>", "</script>", "&am", "&lt;", "x", "</", "<a href='", "'>", "<b", "\x00", "İ", "<li>"]

@@ -45,6 +45,9 @@ _HINTS = frozenset(
     "comment comments reply replies disqus sidebar aside widget widgets share sharing social related recommended breadcrumb breadcrumbs menu nav navbar navigation "
     "footer header masthead newsletter subscribe signup login search toolbar pagination pager skip legal disclaimer copyright".split()
 )
+#: of these words, those for what readers write, and what may stand beside them in a name for its place
+_READERS = frozenset("comment comments reply replies disqus".split())
+_HOLDERS = frozenset("area body box container content item list meta post section text thread user wrap wrapper".split())
 #: elements that end an open one of the same group when they begin
 _CLOSES = {n: frozenset(g) for g in (["p"], ["li"], ["dt", "dd"], ["tr"], ["td", "th"], ["option"], ["h1", "h2", "h3", "h4", "h5", "h6"]) for n in g}
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure".split())
@@ -83,6 +86,7 @@ class Hint:
     """An element whose class or id has a word for what is no article."""
 
     strong: bool  # one of its names is made of such words alone
+    reader: bool  # one of its names says that readers' comments are in it
     words: frozenset[str]
     level: int  # where it begins: outside (0) or inside (1) a main element, or in an article (2)
     articles: int = 0  # outermost article and main elements in it
@@ -101,16 +105,19 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _hinted(name: str, tag: str) -> tuple[str, bool, frozenset[str], bool]:
+def _hinted(name: str, tag: str) -> tuple[str, bool, frozenset[str], bool, bool]:
     """Signature of an element for its path (digits dropped), whether its role
     says that it is no part of an article, the words of its class and id that
-    hint at it, and whether one of its names has no other words."""
+    hint at it, whether one of its names has no other words, and whether one
+    names a place of readers' comments (``comments``, ``comment-list``)."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(tag)} if "=" in tag else {}
     names = [_PARTS.findall(n) for key in ("class", "id") for n in found.get(key, "").split()]
     words = [w for n in names for w in n]
     # an article, a main element and the body stay whatever their theme calls them
     role = found.get("role") in _ROLES and name not in ("article", "main", "body", "html")
-    return f"{name}.{' '.join(words)}", role, _HINTS.intersection(words), any(n and _HINTS.issuperset(n) for n in names)
+    strong = any(n and _HINTS.issuperset(n) for n in names)
+    reader = any(_READERS.intersection(n) and (_READERS | _HOLDERS).issuperset(n) for n in names)
+    return f"{name}.{' '.join(words)}", role, _HINTS.intersection(words), strong, reader
 
 
 def parse(source: str, cache: dict | None = None) -> Page:
@@ -118,11 +125,13 @@ def parse(source: str, cache: dict | None = None) -> Page:
 
     Forgiving: stray end tags are dropped, open paragraphs, list items and the
     like end where HTML ends them, unclosed inline elements mean nothing.  An
-    unclosed comment or raw element (script, style, ...) reaches to the end."""
+    unclosed comment or raw element (script, style, ...) reaches to the end.
+    Elements below the 400th level have the path and hints of that level."""
     page = Page()
     cache = {} if cache is None else cache
     # name, path, in a main (1) or article (2) element, outside, hints
     stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = [("", 0, 0, False, ())]
+    opened: Counter = Counter()  # names on the stack: a stray end tag need not search it
     text: list[str] = []
     links = depth = 0
 
@@ -200,32 +209,34 @@ def parse(source: str, cache: dict | None = None) -> Page:
         if name in _VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
+            while opened[name]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == name:
                     break
             continue
         shut = _CLOSES.get(name, ())
         while len(stack) > 1 and (stack[-1][0] in shut or (stack[-1][0] == "p" and name in _ENDS_P)):
-            stack.pop()
+            opened[stack.pop()[0]] -= 1
         _, path, main, outside, hints = stack[-1]
         key = (path, name, tag)
         known = cache.get(key)
         if known is None:
-            sign, out, words, strong = _hinted(name, tag)
-            known = cache[key] = (_hash(f"{path}/{sign}"), out or name in _OUTSIDE, words, strong)
-        if len(stack) < 400:  # deeper nesting counts as its 400th level
-            if name in _MAIN:
-                # a comment in a list of comments is no main article
-                if not any(page.hints[h].words & known[2] for h in hints):
-                    if main < (2 if name == "article" else 1) and not outside:
-                        for h in hints:  # those inside the same main element, if any
-                            page.hints[h].articles += page.hints[h].level == main
-                    main = max(main, 2 if name == "article" else 1)
-            elif known[2] and name not in ("body", "html") and not (outside or known[1]):
-                hints = (*hints, len(page.hints))
-                page.hints.append(Hint(known[3], known[2], main))
-            stack.append((name, known[0], main, outside or known[1], hints))
+            sign, out, words, strong, reader = _hinted(name, tag)
+            known = cache[key] = (_hash(f"{path}/{sign}"), out or name in _OUTSIDE, words, strong, reader)
+        deep = len(stack) >= 400
+        if name in _MAIN:
+            # a comment in a list of comments is no main article
+            if not any(page.hints[h].words & known[2] for h in hints):
+                if main < (2 if name == "article" else 1) and not outside:
+                    for h in hints:  # those inside the same main element, if any
+                        page.hints[h].articles += page.hints[h].level == main
+                main = max(main, 2 if name == "article" else 1)
+        elif known[2] and name not in ("body", "html") and not (outside or known[1] or deep):
+            hints = (*hints, len(page.hints))
+            page.hints.append(Hint(known[3], known[4], known[2], main))
+        stack.append((name, path if deep else known[0], main, outside or known[1], hints))
+        opened[name] += 1
         page.elements[known[0]] += 1
     flush()
     return page
@@ -310,15 +321,18 @@ _WRAPS = {True: 0.9, False: 0.5}
 
 def _unhinted(page: Page, left: list[Block]) -> list[Block]:
     """The blocks without those in elements that hints take away: where the
-    rest of the page is more than theirs, and no main article is in them."""
+    rest of the page is more than theirs, and no main article is in them.
+    Readers' comments go whatever their share, if there is other text (not
+    links) on the page."""
     size, main = [0] * len(page.hints), [0] * len(page.hints)
     for b in left:
         for h in b.hints:
             size[h] += len(b.text)
             main[h] += len(b.text) if b.main else 0
     whole, articles = sum(len(b.text) for b in left), sum(len(b.text) for b in left if b.main)
+    other = any(2 * b.links < len(b.text) and not any(page.hints[h].reader for h in b.hints) for b in left)
     stays = [
-        size[k] >= whole * _WRAPS[h.strong] or (h.articles == 1 and 2 * main[k] >= articles > 0) for k, h in enumerate(page.hints)
+        (size[k] >= whole * _WRAPS[h.strong] and not (h.reader and other)) or (h.articles == 1 and 2 * main[k] >= articles > 0) for k, h in enumerate(page.hints)
     ]
     return [b for b in left if all(stays[h] for h in b.hints)]
 
