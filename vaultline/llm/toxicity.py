@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import by_size, renamed
+from vaultline.session import ensure_checkpoint_dir
 
 _SPACE = str.maketrans({c: " " for c in "\t\n\r\x0b\f"})
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -32,6 +33,7 @@ class ToxicityRules:
     """Bounds of the sample and of the training."""
 
     rows_per_label: int = 2000  # the smallest by a hash of the id, for each label
+    bytes_per_label: int = 64 << 20  # of their texts in UTF-8; a row that does not fit any more is passed over
     grams: tuple[int, ...] = (3, 4, 5)
     bucket_bits: int = 18
     dimension: int = 8
@@ -39,7 +41,7 @@ class ToxicityRules:
     batch: int = 64
     rate: float = 1.0
     decay: float = 0.015  # of the vectors, each step, times the rate
-    least_share: float = 0.005  # buckets in fewer of the sample's texts (and in under 2) have no vector
+    least_texts: int = 2  # buckets in fewer of the sample's texts have no vector
     held: int = 5  # every so many sample rows calibrate instead of training
     seed: int = 11
 
@@ -109,7 +111,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, rules: ToxicityRul
     frequency = np.zeros(size, np.int64)
     for u, _ in rows:
         frequency[u] += 1
-    live = frequency >= max(2, rules.least_share * len(texts))
+    live = frequency >= rules.least_texts
     slot = np.cumsum(live) - 1
     data = []
     for u, n in rows:
@@ -184,15 +186,27 @@ def _calibrated(model: Model, texts: list[str], labels: np.ndarray, share: float
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rules: ToxicityRules = ToxicityRules(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of the labelled rows for which ``learn`` (a condition on the
-    id) holds.  The driver gets at most 2 x ``rows_per_label`` texts: those
-    with the smallest hashes of their ids."""
+    id) holds.  The driver gets at most ``rows_per_label`` texts a label, those
+    with the smallest hashes of their ids, and at most ``bytes_per_label`` of
+    them.  An id is one row: the greatest of its labels, the least of its
+    texts by code point (null as empty).  Null ids teach nothing."""
+    ensure_checkpoint_dir(docs.sparkSession)
     known = labels.where(learn & F.col(label).isNotNull()).select(F.col(doc_id).alias("k_id"), (F.col(label) == 1).cast("int").alias("k_label"))
     known = known.groupBy("k_id").agg(F.max("k_label").alias("k_label"))
     counts = {r["k_label"]: r["count"] for r in known.groupBy("k_label").count().collect()}
     key = F.xxhash64(F.col("k_id").cast("string"))
     picks = [known.where(F.col("k_label") == v).orderBy(key, "k_id").limit(rules.rows_per_label) for v in (0, 1)]
     picked = F.broadcast(picks[0].unionByName(picks[1]))  # bounded by the rules
-    rows = docs.join(picked, F.col(doc_id) == F.col("k_id")).select(F.coalesce(F.col(text), F.lit("")).alias("text"), "k_label", F.xxhash64("k_id", text).alias("h")).collect()
+    texts = docs.join(picked, F.col(doc_id) == F.col("k_id")).select("k_id", "k_label", F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = texts.groupBy("k_id", "k_label").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("k_id", "text")).checkpoint()
+    sizes = texts.select("k_id", "k_label", F.octet_length("text").alias("bytes"), key.alias("h")).collect()
+    room = {v: rules.bytes_per_label for v in (0, 1)}
+    fits = []
+    for r in sorted(sizes, key=lambda r: (r["h"], r["k_id"])):
+        if r["bytes"] <= room[r["k_label"]]:
+            room[r["k_label"]] -= r["bytes"]
+            fits.append(r["k_id"])
+    rows = texts.where(F.col("k_id").isin(fits)).collect()
     rows.sort(key=lambda r: (r["h"], r["k_label"], r["text"]))
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return train([r["text"] for r in rows], np.array([r["k_label"] for r in rows]), share, rules)
