@@ -103,6 +103,47 @@ def test_loose_forms_are_learned_and_added(spark):
     assert all(got[k]["pii_spans"] == got[k]["pii_base"] for k in range(300))  # dates and sizes stay
 
 
+def test_numbers_side_by_side_are_told_apart(spark):
+    rng = random.Random(6)
+    card = next(c for c in (f"4{rng.randrange(10**14):014}{d}" for _ in range(9) for d in range(10)) if luhn(c))
+    four = " ".join(card[k : k + 4] for k in range(0, 16, 4))
+    cases = [("phone", "+1 (843) 555-7672", " 170.106.47.218"), ("phone", "+1 (843) 555-7672", " 170 106"), ("card", four, " 77"), ("card", four, " 124")]  # tails without a check sum of their own
+    rows = [f"text u{k}.x@host{k}.com and +1 ({200 + k % 700}) 555-{1000 + k} of 10.{k % 250}.7.{k % 99} on 20{k % 90 + 10}-05-{k % 28 + 1:02} size {k} {k + 120} {k + 340} {k + 560}" for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate([f"see {v}{tail} there" for _, v, tail in cases] + rows)), "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(s) for s in r["pii_spans"]] for r in pii.find_pii(docs, models=pii.fit_models(docs)).collect()}
+    for k, (kind, value, tail) in enumerate(cases):
+        assert (4, pii.KINDS.index(kind), 4 + len(value)) in got[k], (kind, value, tail, got[k])
+
+
+def test_cuts_are_all_runs_of_groups(spark):
+    values = {"phone": ["+1 (843) 555-7672 170", "(843)555 7672", "++49 89 1234 55"], "card": ["5 4111 1111 1111 1111", "1-2-3-4-5-6-7-8-9-0-1-2-3", "4111/1111._1111 1111"], "email": ["a @ b.c"]}
+    for kind, all_values in values.items():
+        rows = [("<left >", "<" + v, v, "! r") for v in all_values]
+        df = spark.createDataFrame(rows, "b string, t string, v string, a string").select("v", F.struct(F.lit(100).alias("start"), (F.length("v") + 100).alias("end"), F.col("v").alias("value"), F.col("b").alias("before"), F.col("a").alias("after")).alias("x"))
+        for r in df.select("v", pii._cuts(kind, F.col("x")).alias("c")).collect():
+            v, want = r["v"], {(100, 100 + len(r["v"]))}
+            groups = [m.span() for m in re.finditer(r"[+(]*[0-9]+[)]?", v)] if kind != "email" else []
+            for i in range(len(groups)):
+                for j in range(i, len(groups)):
+                    piece = v[groups[i][0] : groups[j][1]]
+                    digits = len(re.sub("[^0-9]", "", piece))
+                    if digits >= 12 if kind == "card" else digits >= 7 and j - i >= 2:
+                        want.add((100 + groups[i][0], 100 + groups[j][1]))
+            assert {(c["start"], c["end"]) for c in r["c"]} == want and len(r["c"]) == len(want), (kind, v)
+            for c in r["c"]:
+                at, end = c["start"] - 100, c["end"] - 100
+                assert c["value"] == v[at:end] and c["before"] == ("<left >" + v[:at])[-24:] and c["after"] == (v[end:] + "! r")[:4]
+
+
+def test_repeated_rows_are_one_row_of_the_sample(spark):
+    rows = [(k, f"tel {200 + k} 555 {1000 + k} and size {k} {k + 120} {k + 340} {k + 560}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    copies = docs.union(docs.where("doc_id < 3").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("n"))
+    rules = pii.PiiRules(sample_documents=40)
+    a, b = pii.fit_models(docs, rules=rules), pii.fit_models(copies, rules=rules)
+    assert all(a[k].trees == b[k].trees and a[k].threshold == b[k].threshold for k in pii.KINDS)
+
+
 def test_small_table_is_scored(spark):
     docs = spark.createDataFrame([(1, "write to joe [at] mail.example.org today"), (2, "nothing")], "doc_id long, text string")
     got = {r["doc_id"]: len(r["pii_spans"]) for r in pii.find_pii(docs, models=pii.fit_models(docs)).collect()}

@@ -1,7 +1,9 @@
 """Personal data by candidate gradient boosting (operator 3), native.
 
 Fixed rules find the base spans.  High-recall generators propose looser spans
-of the same kinds, which may overlap; boosted trees score each by its format
+of the same kinds, which overlap: a run of digit groups is proposed whole and
+with groups left off at either end, as numbers side by side look like one.
+Boosted trees score each by its format
 and context, and a threshold per kind, calibrated for precision, selects which
 of them are redacted too.  The trees learn from a bounded sample, for each
 kind, of documents that hold proposals.  Positive are base spans rewritten in
@@ -173,6 +175,32 @@ def _evidence(kind: str, x: Column) -> Column:
     return alone & fits
 
 
+def _cuts(kind: str, x: Column) -> Column:
+    """A proposal, and for numbers in groups every run of its groups that is
+    still long enough for the kind, whole one included.  The generator bounds
+    the groups: five of a phone number, nineteen of a card."""
+    if kind not in ("card", "phone"):
+        return F.array(x)
+    groups = F.regexp_extract_all(x["value"], F.lit(r"[ ./_-]*[+(]*[0-9]+[)]?"), F.lit(0))
+    n = F.size(groups)
+
+    def cut(i: Column, j: Column) -> Column:
+        """Groups i to j, from 1, both included."""
+        value = F.regexp_replace(F.array_join(F.slice(groups, i, j - i + 1), ""), "^[ ./_-]+", "")
+        used = F.length(F.array_join(F.slice(groups, 1, j), ""))
+        begin = used - F.length(value)
+        return F.struct(
+            (x["start"] + begin).alias("start"), (x["start"] + used).alias("end"), value.alias("value"),
+            F.right(F.concat(x["before"], F.left(x["value"], begin)), F.lit(24)).alias("before"), F.left(F.concat(F.substr(x["value"], used + 1), x["after"]), F.lit(4)).alias("after"),
+        )
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(i, n), lambda j: cut(i, j))))
+    digits = lambda v: F.length(_digits(v))
+    long = (lambda v: digits(v) >= 12) if kind == "card" else (lambda v: (digits(v) >= 7) & v.rlike("[0-9][^0-9]+[0-9]+[^0-9]+[0-9]"))
+    part = F.filter(runs, lambda c: long(c["value"]) & (F.length(c["value"]) < F.length(x["value"])))
+    return F.concat(F.array(F.struct(*(x[c].alias(c) for c in ("start", "end", "value", "before", "after")))), part)
+
+
 def _rewritten(kind: str, value: Column) -> list[Column]:
     """A base match in loose forms that the rules miss."""
     digits = _digits(value)
@@ -276,7 +304,7 @@ def _examples(spans: DataFrame) -> DataFrame:
     for k, kind in enumerate(KINDS):
         whole = f"^(?:{_PROPOSALS[kind]})$"
         others = F.concat(*(F.col(f"b_{other}") for other in KINDS if other != kind))
-        own = F.filter(F.col(f"p_{kind}"), lambda x: ~_overlaps(x, F.col(f"b_{kind}")))
+        own = F.filter(F.flatten(F.transform(F.col(f"p_{kind}"), lambda x: _cuts(kind, x))), lambda x: ~_overlaps(x, F.col(f"b_{kind}")))
         seen = F.transform(own, lambda x: F.struct(x.alias("x"), (_evidence(kind, x) & ~_overlaps(x, others)).alias("y"), F.xxhash64(x["value"]).alias("h")))
 
         def loose(x: Column) -> Column:
@@ -301,8 +329,9 @@ def fit_models(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule
     key = F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
     holds = [(_MAY[kind](t) & t.rlike(_PROPOSALS[kind])).alias(f"__{kind}") for kind in KINDS]
     held = docs.select(key.alias("__key"), *holds).where(reduce(lambda a, b: a | b, (F.col(f"__{kind}") for kind in KINDS))).checkpoint()
-    picked = reduce(DataFrame.unionByName, (held.where(f"__{kind}").select("__key").orderBy("__key").limit(rules.sample_documents) for kind in KINDS)).distinct()
-    sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key").select("__text")
+    # repeated rows are one row of the sample
+    picked = reduce(DataFrame.unionByName, (held.where(f"__{kind}").select("__key").distinct().orderBy("__key").limit(rules.sample_documents) for kind in KINDS)).distinct()
+    sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key").groupBy("__key").agg(F.min("__text").alias("__text")).select("__text")
     seeds = spark.createDataFrame([(s,) for s in _seeds()], "__text string")
     # spans, then examples: the wide expressions of both in one task take memory to compile
     spans = _base(sample.unionByName(seeds), "__text", []).checkpoint()
@@ -322,7 +351,9 @@ def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     start, then kind; rank is the kind's place in KINDS.
 
     Base spans are always in ``pii_spans``; a proposal is added if its kind's
-    model selects it and it overlaps no base span and no earlier added one.
+    model selects it and it overlaps no base span and no earlier added one.  Of
+    the overlapping runs of one match's groups the one that scores best is
+    taken (of equal ones the longest, then the last).
     Null and empty texts have no spans; every row is taken by itself; an empty
     table gives an empty result.  A kept column that bears one of the two
     names comes as ``in_`` and its name."""
@@ -335,12 +366,15 @@ def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     base = F.array_sort(F.concat(*(plain(F.col(f"b_{kind}"), k) for k, kind in enumerate(KINDS))))
     models = {k: m for k, m in (models or {}).items() if m.trees and m.threshold <= 1}
     # features first, then scores: two steps, so that a tree reads ready values
-    scored = spans.select(
-        *keep, base.alias("pii_base"),
-        *(F.transform(F.col(f"p_{kind}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _features(kind, x).alias("f"))).alias(f"f_{kind}") for kind in models),
-    )
+    ready = lambda kind, x: F.transform(_cuts(kind, x), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _features(kind, c).alias("f")))
+    scored = spans.select(*keep, base.alias("pii_base"), *(F.transform(F.col(f"p_{kind}"), lambda x: ready(kind, x)).alias(f"f_{kind}") for kind in models))
+
+    def best(kind: str, m: Boosted, cuts: Column) -> Column:
+        rated = F.transform(cuts, lambda c: F.struct(m.column(c["f"]).alias("score"), (c["end"] - c["start"]).alias("size"), c["start"].alias("start"), c["end"].alias("end")))
+        return F.array_max(F.filter(rated, lambda c: (c["score"] >= F.lit(m.threshold)) & ~_overlaps(c, F.col("pii_base"))))
+
     more = [
-        plain(F.filter(F.col(f"f_{kind}"), lambda x: m.column(x["f"]) >= F.lit(m.threshold)), KINDS.index(kind)) for kind, m in models.items()
+        plain(F.filter(F.transform(F.col(f"f_{kind}"), lambda x: best(kind, m, x)), lambda x: x.isNotNull()), KINDS.index(kind)) for kind, m in models.items()
     ]
     added = reduce(lambda a, b: F.concat(a, b), more) if more else F.array().cast(kind_of)
     with_added = scored.select(*keep, "pii_base", added.alias("__added"))
