@@ -332,7 +332,9 @@ def fit_models(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule
     # repeated rows are one row of the sample
     picked = reduce(DataFrame.unionByName, (held.where(f"__{kind}").select("__key").distinct().orderBy("__key").limit(rules.sample_documents) for kind in KINDS)).distinct()
     sample = docs.select(key.alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key").groupBy("__key").agg(F.min("__text").alias("__text")).select("__text")
-    seeds = spark.createDataFrame([(s,) for s in _seeds()], "__text string")
+    # a bounded sample needs few tasks, and each compiles the wide expressions below
+    sample = sample.coalesce(8)
+    seeds = spark.createDataFrame([(s,) for s in _seeds()], "__text string").coalesce(1)
     # spans, then examples: the wide expressions of both in one task take memory to compile
     spans = _base(sample.unionByName(seeds), "__text", []).checkpoint()
     rows = _examples(spans).checkpoint()
