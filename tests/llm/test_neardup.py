@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vaultline.llm import neardup
@@ -60,6 +61,35 @@ def test_recall_holds_off_centre_and_at_scale(norm):
     (ca, ha), (cb, hb) = spec.cells(x), spec.cells(y)
     hits = ((ca == cb) & (np.abs(ha - hb) <= spec.window)).sum(axis=1)
     assert spec.tables <= 512 and np.mean(hits >= spec.least) >= 0.95
+    bits = np.bitwise_count((spec.sketch(x) ^ spec.sketch(y)).view(np.uint64)).sum(axis=1)
+    assert np.mean(bits <= spec.differ) >= 0.99
+    if norm == 0.02:  # unlike vectors are told apart
+        assert np.mean(np.bitwise_count((spec.sketch(x) ^ spec.sketch(x[::-1])).view(np.uint64)).sum(axis=1) <= spec.differ) < 0.01
+
+
+def test_hopeful_rows_against_a_plain_loop():
+    x = clusters(8, 40, 16, 4)
+    spec = {16: neardup.calibrate(x, x.mean(axis=0), 64, 0.9, 0.97, 7)}
+    cells, own = spec[16].cells(x)
+    own, m = own[:, 0].astype(np.float32), spec[16].sketch(x)
+    rng = np.random.default_rng(2)
+    rows = []
+    for k, part in enumerate(rng.integers(0, 2, len(x)).tolist()):  # every other cell is split into two parts
+        blocks = [0] if cells[k, 0] % 2 else [(part + 1) * (1 << 31) + part + 1, (1 << 31) + 2]
+        rows += [(16, 0, int(cells[k, 0]), b, part, k) for b in blocks]
+    rows.sort(key=lambda r: r[:4])
+    at = [r[5] for r in rows]
+    cols = dict(zip(("d", "t", "cell", "block", "part"), map(list, zip(*[r[:5] for r in rows], strict=True)), strict=True))
+    table = pa.table({**cols, "own": own[at], "m0": np.ascontiguousarray(m[at, 0]), "m1": np.ascontiguousarray(m[at, 1])})
+
+    def partner(r, s):
+        if r is s or r[:4] != s[:4] or abs(float(own[r[5]]) - float(own[s[5]])) > spec[16].window + neardup._SLACK:
+            return False
+        mixed = r[3] == (1 << 31) + 2  # the block of two different parts
+        return not (mixed and r[4] == s[4]) and sum(int(v) for v in np.bitwise_count((m[r[5]] ^ m[s[5]]).view(np.uint64))) <= spec[16].differ
+
+    want = [any(partner(r, s) for s in rows) for r in rows]
+    assert neardup._hopeful(table, spec).tolist() == want and 0 < sum(want) < len(want)
 
 
 def test_recall_out_of_reach_is_an_error():

@@ -9,16 +9,20 @@ the other.  Collisions are counted over all tables, pairs with at least
 calibrated on a bounded sample, so that pairs at the limit are found with the
 wanted recall; every vector is indexed.
 
-Equal vectors collapse first.  A pair is handled in the first table in which
-it collides: the rows there recompute their cells in all tables, so nothing
-but counts and a few links leaves a task.
+Equal vectors collapse first.  Vectors do not travel to every table: ids,
+sorting values and a sketch of ``MARKS`` signs do, and of these the rows stay
+that hold a partner in their window whose sketch differs in few enough bits
+for a pair at the limit (calibrated too).  Only such rows fetch their vector.
+A pair is handled in the first table in which it collides: the rows there
+recompute their cells in all tables, so nothing but counts and a few links
+leaves a task, however large a group of near copies is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import erf
+from math import comb, erf
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,11 @@ from vaultline.llm.components import components, local_roots
 
 CELL = 16  # distinct vectors that a cell aims at
 BLOCK = 2048  # vectors of one cell that meet in one task group
+MARKS = 128  # signs of a sketch, two 64-bit words
+MARK_MISS = 0.0005  # share of the pairs at the limit that sketches may cost
 _PAIRS = 1 << 16
+_SLACK = 1e-4  # sorting values travel in single precision
+_KEYS = ["d", "t", "cell", "block"]
 
 
 @dataclass(frozen=True)
@@ -42,6 +50,9 @@ class Tables:
     sides: int
     window: float  # half width
     least: int
+    marks: np.ndarray  # (dimension, MARKS)
+    mark_cut: np.ndarray
+    differ: int  # sketches of a pair differ in at most this many bits
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cell and sorting value of each vector in each table."""
@@ -49,6 +60,10 @@ class Tables:
         bits = (h[:, :, : self.sides] > 0) @ (1 << np.arange(self.sides, dtype=np.int64))
         return bits, h[:, :, self.sides]
 
+    def sketch(self, x: np.ndarray) -> np.ndarray:
+        """(vectors, 2) words of the signs on the sketch's lines."""
+        return np.packbits(x @ self.marks > self.mark_cut, axis=1).view(np.int64)
+
 
 def _lines(dimension: int, count: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dimension]).standard_normal((dimension, count))
@@ -121,8 +136,19 @@ def calibrate(sample: np.ndarray, mean: np.ndarray, total: int, cosine: float, r
     sides, least = fits
     tables = next(t for t in range(least, most + 1) if reached(sides, t, least))
     least = max(k for k in range(1, 9) if k <= least or reached(sides, tables, k))
-    lines = _lines(d, tables * (sides + 1), seed)
-    return Tables(lines, mean @ lines, tables, sides, window, least)
+    lines, marks = _lines(d, tables * (sides + 1), seed), _lines(d, MARKS, seed + 1)
+    return Tables(lines, mean @ lines, tables, sides, window, least, marks, mean @ marks, _differ(np.min([side for side, _ in chances], axis=0)))
+
+
+def _differ(side: np.ndarray) -> int:
+    """The number of bits within which the sketches of all but ``MARK_MISS`` of
+    the pairs differ; ``side``: the chance of a pair to agree in one bit."""
+    within = 0.0
+    for bits in range(MARKS + 1):
+        within += float(np.mean(comb(MARKS, bits) * (1 - side) ** bits * side ** (MARKS - bits)))
+        if within >= 1 - MARK_MISS:
+            return bits
+    return MARKS
 
 
 def _usable(vector: Column) -> Column:
@@ -139,11 +165,68 @@ def unit_rows(values: pa.Array, d: int) -> np.ndarray:
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
+def _groups(table: pa.Table) -> np.ndarray:
+    """Number of each row's (dimension, table, cell, block), rows in key order."""
+    key = np.stack([table[n].to_numpy().astype(np.int64) for n in _KEYS])
+    return np.cumsum(np.append(False, (np.diff(key) != 0).any(axis=0)))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of complete groups from the sorted rows of a partition."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size < 4 * BLOCK:
+            continue
+        table = pa.Table.from_batches(held)
+        ends = np.flatnonzero(np.diff(_groups(table)))
+        if not len(ends):
+            continue
+        cut = int(ends[-1]) + 1
+        yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+        size = table.num_rows - cut
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _hopeful(table: pa.Table, t: dict[int, Tables]) -> np.ndarray:
+    """Of each row, whether one in its window may be its partner by the sketch."""
+    group, own = _groups(table), table["own"].to_numpy()
+    order = np.lexsort((own, group))
+    g, own = group[order], own[order].astype(np.float64)
+    d, p, b = (table[n].to_numpy()[order] for n in ("d", "part", "block"))
+    m0, m1 = (table[n].to_numpy()[order].view(np.uint64) for n in ("m0", "m1"))
+    dims, at = np.unique(d, return_inverse=True)
+    window = np.array([t[int(v)].window + _SLACK for v in dims])[at]
+    differ = np.array([t[int(v)].differ for v in dims])[at]
+    near = np.zeros(len(g), bool)
+    alive, step = np.flatnonzero(np.append(g[1:] == g[:-1], False)), 1
+    while len(alive):  # row i meets row i + step while that lies in its window
+        alive = alive[alive + step < len(g)]
+        alive = alive[(g[alive] == g[alive + step]) & (own[alive + step] - own[alive] <= window[alive])]
+        i = alive[_meets(b[alive], p[alive], p[alive + step])]
+        j = i + step
+        close = np.bitwise_count(m0[i] ^ m0[j]) + np.bitwise_count(m1[i] ^ m1[j]) <= differ[i]
+        near[i[close]] = near[j[close]] = True
+        step += 1
+    out = np.empty(len(g), bool)
+    out[order] = near
+    return out
+
+
+def _meets(block: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Blocks (a, b) of a large cell compare part a with part b, and (a, a) within it."""
+    return (block == 0) | (p != q) | (block % (1 << 31) == block >> 31)
+
+
 def _spread(table: pa.Table, t: dict[int, Tables], cosine: float) -> Iterator[pa.RecordBatch]:
     """Links of the complete (dimension, table, cell, block) groups of a
     partition; see ``near_links``."""
-    d, tab, cell, pair = (table[n].to_numpy() for n in ("d", "t", "cell", "block"))
-    group = np.cumsum(np.concatenate(([True], (np.diff(d) != 0) | (np.diff(tab) != 0) | (np.diff(cell) != 0) | (np.diff(pair) != 0)))) - 1
+    d, tab, pair = (table[n].to_numpy() for n in ("d", "t", "block"))
+    group = _groups(table)
     rep, n, part = table["rep"].to_numpy(), table["n"].to_numpy(), table["part"].to_numpy()
     vec = table["vec"].combine_chunks()
     for dim in np.unique(d):
@@ -164,8 +247,7 @@ def _spread(table: pa.Table, t: dict[int, Tables], cosine: float) -> Iterator[pa
             for k in range(0, len(alive), _PAIRS):
                 i = alive[k : k + _PAIRS]
                 j = i + step
-                # blocks (a, b) of a large cell compare part a with part b, and (a, a) within it
-                meets = (b[i] == 0) | (p[i] != p[j]) | (b[i] % (1 << 31) == b[i] >> 31)
+                meets = _meets(b[i], p[i], p[j])
                 i, j = i[meets], j[meets]
                 hits = (cells[i] == cells[j]) & (np.abs(h[i] - h[j]) <= spec.window)
                 mine = (hits.argmax(axis=1) == tt[i]) & (hits.sum(axis=1) >= spec.least)
@@ -196,54 +278,46 @@ def near_links(classes: DataFrame, spec: dict[int, Tables], cosine: float = 0.9)
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):
                 b = batch.slice(begin, 1024)
-                d = np.array([len(v) for v in b.column(2)])
+                d = np.array([len(v) for v in b.column(1)])
                 for dim in np.unique(d):
-                    at = np.flatnonzero(d == dim)
-                    part = b.take(pa.array(at))
-                    cells, _ = spec[int(dim)].cells(unit_rows(part.column(2), int(dim)))
+                    at = pa.array(np.flatnonzero(d == dim))
+                    x, rep = unit_rows(b.column(1).take(at), int(dim)), b.column(0).take(at)
+                    cells, own = spec[int(dim)].cells(x)
+                    m0, m1 = (pa.array(m) for m in spec[int(dim)].sketch(x).T)
                     for t in range(cells.shape[1]):
                         key = [pa.array(np.full(len(at), v, np.int32)) for v in (dim, t)]
-                        yield pa.RecordBatch.from_arrays([*key, pa.array(cells[:, t]), *part.columns], names=["d", "t", "cell", "rep", "n", "vec"])
+                        cols = [*key, pa.array(cells[:, t]), rep, pa.array(own[:, t].astype(np.float32)), m0, m1]
+                        yield pa.RecordBatch.from_arrays(cols, names=["d", "t", "cell", "rep", "own", "m0", "m1"])
 
-    kind = classes.schema["vec"].dataType.simpleString()
-    rows = classes.select("rep", "n", "vec").mapInArrow(deal, f"d int, t int, cell long, rep long, n long, vec {kind}")
+    rows = classes.select("rep", "vec").mapInArrow(deal, "d int, t int, cell long, rep long, own float, m0 long, m1 long")
     # cells over BLOCK, from keys alone; at most tables * vectors / BLOCK of them
     large = rows.groupBy("d", "t", "cell").count().where(F.col("count") > BLOCK)
     large = large.select(F.col("d").alias("l_d"), F.col("t").alias("l_t"), F.col("cell").alias("l_cell"), F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
     large = large.checkpoint()
-    keys = ["d", "t", "cell", "block"]
-    if large.isEmpty():  # no cell to split: spare the vectors a shuffle
-        dealt = rows.select("d", "t", "cell", F.lit(0).cast("long").alias("block"), F.lit(0).alias("part"), "rep", "n", "vec")
+    slim = ["rep", "own", "m0", "m1"]
+    if large.isEmpty():  # no cell to split: spare the rows a shuffle
+        dealt = rows.select("d", "t", "cell", F.lit(0).cast("long").alias("block"), F.lit(0).alias("part"), *slim)
     else:
         both = rows.join(large, (rows["d"] == large["l_d"]) & (rows["t"] == large["l_t"]) & (rows["cell"] == large["l_cell"]), "left")
         both = both.withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("parts"))).cast("int"))
         meets = lambda k: F.struct(F.least(k, F.col("part") + 1).cast("long").alias("a"), F.greatest(k, F.col("part") + 1).cast("long").alias("b"))
         pairs = F.transform(F.transform(F.sequence(F.lit(1), F.col("parts")), meets), lambda s: s["a"] * (1 << 31) + s["b"])
         blocks = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)
-        dealt = both.select("d", "t", "cell", F.explode(blocks).alias("block"), "part", "rep", "n", "vec")
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+        dealt = both.select("d", "t", "cell", F.explode(blocks).alias("block"), "part", *slim)
+
+    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            yield from table.select([*_KEYS, "part", "rep"]).filter(pa.array(_hopeful(table, spec))).to_batches()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for b in batches:
-            held.append(b)
-            size += b.num_rows
-            if size < 4 * BLOCK:
-                continue
-            table = pa.Table.from_batches(held)
-            key = np.stack([table[n].to_numpy().astype(np.int64) for n in keys])
-            ends = np.flatnonzero((np.diff(key) != 0).any(axis=0))
-            if not len(ends):
-                continue
-            cut = int(ends[-1]) + 1
-            yield from _spread(table.slice(0, cut), spec, cosine)
-            held = table.slice(cut).to_batches()
-            size = table.num_rows - cut
-        if size:
-            yield from _spread(pa.Table.from_batches(held), spec, cosine)
-
-    return dealt.mapInArrow(meet, "src long, dst long, links long")
+        for table in _whole_groups(batches):
+            yield from _spread(table, spec, cosine)
+
+    grouped = lambda df: df.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+    some = grouped(dealt).mapInArrow(hopeful, "d int, t int, cell long, block long, part int, rep long")
+    some = some.withColumnRenamed("rep", "s_rep")
+    full = some.join(classes, some["s_rep"] == classes["rep"]).select(*_KEYS, "part", "rep", "n", "vec")
+    return grouped(full).mapInArrow(meet, "src long, dst long, links long")
 
 
 def embedding_components(
