@@ -6,7 +6,7 @@ import pytest
 
 from vaultline.plans import jobs
 from vaultline.session import scratch_path
-from vaultline.sources import tables
+from vaultline.sources import files, tables
 from vaultline.sources.files import CORRUPT, read_csv, read_json
 from vaultline.schemas import CREDIT_HISTORY, CUSTOMERS, TRANSACTIONS
 
@@ -75,6 +75,22 @@ def test_json_lines_and_documents_in_one_folder(spark):
     assert [r[CORRUPT] for r in rows if r[CORRUPT] is not None] == ["cut"] and "x" in {r["note"] for r in rows}
 
 
+def test_folder_of_lines_is_not_listed(spark):
+    raw = put(spark, **{f"f{k}": ROW % f"t{k}" + "cut\n" + ROW % f"u{k}" for k in range(5)})
+    assert files._json_forms(spark, raw) == ([], [])
+    assert sorted(r["transaction_id"] for r in read_json(spark, raw, TRANSACTIONS).collect() if r[CORRUPT] is None) == [f"{a}{k}" for a in "tu" for k in range(5)]
+
+
+@pytest.mark.parametrize("text", [DOC, '{"transaction_id": "t1", "amount": 5.0, "note": "x"}\n{"transaction_id": "t2", "amount": 1.0}\n'])
+def test_declared_columns_alone(spark, text):
+    got = read_json(spark, put(spark, a=text), TRANSACTIONS, undeclared=False)
+    assert got.columns == [*TRANSACTIONS.fieldNames(), CORRUPT]
+    assert sorted((r["transaction_id"], r["amount"], r[CORRUPT]) for r in got.collect()) == [("t1", 5.0, None), ("t2", 1.0, None)]
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.ingest(spark, lake, "transactions", put(spark, a=text), AS_OF, undeclared=False)
+    assert "note" not in jobs.read_bronze(spark, lake, "transactions").columns and jobs.rejected_count(spark, lake, "transactions") == 0
+
+
 def test_rejected_rows_stay_in_bronze_and_go_no_further(spark):
     lake = jobs.Lake(scratch_path(spark, "lake"))
     raw = put(spark, a='{"transaction_id": "t1", "amount": 5.0}\n{"transaction_id": "t2", "amount": "many"}\nnot json\n')

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -436,6 +437,18 @@ def _audit_columns(spark, d):
     return add_audit(fx.customers(spark, d), "customers.csv", AS_OF_1)
 
 
+@q("audit_load_time")
+def _audit_load_time(spark, d):
+    """Audit columns with the time of the load itself: one instant for all of
+    the load's rows, and a recent one."""
+    base = scratch_path(spark, "audit")
+    tables.write_snapshot(add_audit(fx.customers(spark, d), "customers.csv"), base)
+    at, now = F.col("created_timestamp"), F.current_timestamp().cast("timestamp_ntz")
+    fresh = (F.max(at) <= F.max(now)) & (F.min(at) > F.max(now - F.expr("INTERVAL 1 DAY")))
+    rows = tables.read_table(spark, base).groupBy("source_table")
+    return rows.agg(F.count("*").alias("rows"), F.countDistinct(at).alias("load_times"), fresh.alias("fresh"))
+
+
 @q("bronze_customers")
 def _bronze_customers(spark, d):
     """Customers written as CSV with columns in another order and one that is
@@ -618,6 +631,21 @@ def _scd2_stored_loads(spark, d):
     return jobs.read_silver_customers(spark, lake)
 
 
+@q("scd1_stored_loads")
+def _scd1_stored_loads(spark, d):
+    """Two stored account loads.  A first write that died is no table, so the
+    first load is one; the second finds the table and merges."""
+    lake = jobs.Lake(scratch_path(spark, "lake-scd1"))
+    base = lake.silver("accounts")
+    fx.accounts_b2(spark, d).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(tables.version_path(base, 1))
+    for batch, there in ((fx.accounts_b1(spark, d), False), (fx.accounts_b2(spark, d), True)):
+        if tables.table_exists(spark, base) != there:
+            raise AssertionError(f"{base}: expected {'a' if there else 'no'} table")
+        tables.write_snapshot(batch, lake.bronze("accounts"))
+        jobs.load_silver_accounts(spark, lake, order_by=["load_seq"])
+    return tables.read_table(spark, base)
+
+
 @q("fact_transactions_rewrite")
 def _fact_transactions_rewrite(spark, d):
     """A full rewrite with fewer days replaces the table: the days that are
@@ -674,6 +702,19 @@ def _publish_table(spark, d):
     return spark.table(name)
 
 
+@q("publish_new_table")
+def _publish_new_table(spark, d):
+    """A managed table written without a mode: a second write is refused and
+    leaves the table as it is."""
+    name = "vaultline_new_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    tables.publish(scd2_initial(spark, d), name, mode="errorifexists")
+    try:
+        tables.publish(scd2_batch2(spark, d), name, mode="errorifexists")
+    except AnalysisException:
+        return spark.table(name)
+    raise AssertionError(f"{name} was written a second time")
+
+
 @q("txn_quality_counts")
 def _txn_quality_counts(spark, d):
     """Counts observed while writing silver in one job (no extra passes)."""

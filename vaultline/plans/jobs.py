@@ -51,6 +51,7 @@ def ingest(
     multiline: bool | None = None,
     split_over: int | None = None,
     provenance: bool = False,
+    undeclared: bool = True,
 ) -> str:
     """Raw file -> bronze snapshot with audit columns.
 
@@ -58,13 +59,14 @@ def ingest(
     be read as declared carry the reason in ``_corrupt_record`` and go no
     further (``rejected_count``).  With ``provenance`` each row names its file
     and block, and the rejected rows also make a table of their own,
-    ``<name>_rejected``, with file and reason."""
+    ``<name>_rejected``, with file and reason.  ``undeclared=False`` takes the
+    declared columns of JSON alone and spares the pass that finds others."""
     fmt, schema = SOURCES[name]
     declared = None if infer else schema
     if fmt == "csv":
         df = read_csv(spark, path, declared, infer=infer or schema is None, provenance=provenance)
     else:
-        df = read_json(spark, path, declared, multiline=multiline, split_over=split_over, provenance=provenance)
+        df = read_json(spark, path, declared, multiline=multiline, split_over=split_over, provenance=provenance, undeclared=undeclared)
     if declared is not None:
         quality.assert_schema(df.select(*declared.fieldNames()), declared)
     path = tables.write_snapshot(add_audit(df, f"{name}.{fmt}", as_of), lake.bronze(name), mode="replace")

@@ -580,6 +580,12 @@ ORACLE["silver_txn_moved_day"] = over_raw(
 ORACLE["alert_top10_incremental"] = ORACLE["alert_top10_accounts"]
 ORACLE["fact_transactions_rewrite"] = raw_chain("SELECT * FROM t_silver WHERE day(txn_date) > 5")
 ORACLE["publish_table"] = ORACLE["scd2_apply"]
+ORACLE["publish_new_table"] = ORACLE["scd2_initial"]
+ORACLE["scd1_stored_loads"] = ORACLE["scd1_upsert"]
+ORACLE["audit_load_time"] = with_fx(
+    "SELECT 'customers.csv' AS source_table, count(*) AS rows, CAST(1 AS BIGINT) AS load_times, TRUE AS fresh FROM fx_customers",
+    "fx_customers",
+)
 ORACLE["snapshot_append"] = with_fx(
     "SELECT *, CASE WHEN customer_id % 3 = 2 THEN 'late' END AS note FROM fx_customers", "fx_customers"
 )

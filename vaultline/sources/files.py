@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vaultline.session import scratch_path
+from vaultline.session import ensure_checkpoint_dir, scratch_path
 
 _READS: dict[tuple[int, str], DataFrame] = {}
 
@@ -91,6 +91,8 @@ _ALONE, _JOINED = ("[", "]"), ("[ {", "}, {", "} ]")
 def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[str, int, str | None]]]:
     """JSON files with one value a line, and files that are one document each:
     (file, bytes, text between two records, if the document can be cut there).
+    Both are empty where no file is a document, so that a folder of lines is
+    not listed on the driver however many files it has.
 
     All lines of a file count: it is a document if none is a complete value,
     or if there are fewer of those than pieces of one (lines that open, go on
@@ -116,7 +118,12 @@ def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[s
     files = per.groupBy("file").agg(
         *(F.sum(c).alias(c) for c in ("whole", "piece", "alone", "joined", "begins")), F.max("bytes").alias("bytes"), F.sum(F.when(edge, F.col("n")).otherwise(0)).alias("edge"), inner
     )
-    found = files.select("file", "bytes", ((F.col("whole") == 0) | (F.col("piece") > F.col("whole"))).alias("document"), "alone", "joined", "edge", "begins", "inner").collect()
+    document = (F.col("whole") == 0) | (F.col("piece") > F.col("whole"))
+    ensure_checkpoint_dir(spark)
+    files = files.select("file", "bytes", document.alias("document"), "alone", "joined", "edge", "begins", "inner").checkpoint()  # asked twice
+    documents = files.where("document").collect()
+    if not documents:
+        return [], []
 
     def between(r) -> str | None:
         if r["begins"] != 1 or r["inner"] is None:
@@ -125,8 +132,8 @@ def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[s
             return "\n}, {"
         return f"\n{r['inner']['indent']}}}," if r["edge"] == r["alone"] and r["inner"]["n"] == r["inner"]["braces"] else None
 
-    lined = sorted(r["file"] for r in found if not r["document"])
-    return lined, sorted((r["file"], r["bytes"], between(r)) for r in found if r["document"])
+    lined = sorted(r["file"] for r in files.where("not document").select("file").collect())
+    return lined, sorted((r["file"], r["bytes"], between(r)) for r in documents)
 
 
 def _records(spark: SparkSession, files: list[str], between: str, provenance: bool) -> DataFrame:
@@ -155,7 +162,7 @@ def _literal(uri: str) -> str:
 
 def read_json(
     spark: SparkSession, path: str, schema: StructType | None = None, multiline: bool | None = None, split_over: int | None = None,
-    provenance: bool = False,
+    provenance: bool = False, undeclared: bool = True,
 ) -> DataFrame:
     """JSON scan.  ``multiline=True`` reads whole-file documents (one task per
     file), ``False`` JSON Lines, which split across tasks; by default the
@@ -168,7 +175,9 @@ def read_json(
     scan task) that is an indented array is read by many tasks: cut between
     records, which are written as lines to the shared scratch folder first; a
     bad record then costs itself only.  Other documents are one task each.
-    ``provenance`` adds FILE and BLOCK (no block for records of a cut document)."""
+    ``provenance`` adds FILE and BLOCK (no block for records of a cut document).
+    ``undeclared=False`` reads the declared columns alone, without the pass over
+    the files that looks for others."""
     parts: list[tuple[bool, str | list[str], dict]] = [(bool(multiline), path, {})]
     if multiline is None:
         lines, found = _json_forms(spark, path)
@@ -199,7 +208,7 @@ def read_json(
     declared = list(schema.fields) if schema is not None else []
     names = {f.name for f in declared} | {CORRUPT, FILE}
     further: dict[str, StructField] = {}
-    for many, files, more in parts:
+    for many, files, more in parts if undeclared or schema is None else []:
         for f in reader(many, more).json(files).schema.fields:
             if f.name not in names:
                 known = further.setdefault(f.name, f)
