@@ -1,7 +1,8 @@
 import pytest
 
 from tests.llm.cases import edge_docs, edge_rows, no_docs
-from vaultline.llm.mixing import SCHEDULES, mix_sources, position, source_targets, training_order
+from vaultline.llm.mixing import SCHEDULES, mix_sources, position, source_targets, training_order, training_places
+from vaultline.llm.queries import op6_mix_curriculum
 from vaultline.llm.stages import mixing
 from pyspark.sql import functions as F
 
@@ -71,6 +72,18 @@ def test_training_order_is_sorted_by_position(spark):
     assert order == sorted(order) and not any(places.values())
 
 
+def test_query_numbers_the_copies_in_training_order(spark, tmp_path):
+    rows = [(k if k % 11 else None, "a b c " * (k % 9 + 1), f"s{k % 4}" if k % 4 else None) for k in range(300)] + [(400, None, "s1")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op6_mix_curriculum(spark, str(tmp_path)).collect()
+    assert len(got) == 301 and all(len(r["places"]) == r["copies"] for r in got)
+    copies = sorted((n, p, r["doc_id"]) for r in got for n, p in zip(r["places"], r["positions"], strict=True))
+    assert [n for n, *_ in copies] == list(range(len(copies))) and [p for _, p, _ in copies] == sorted(p for _, p, _ in copies)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert [d for *_, d in copies] == [r["doc_id"] for r in training_order(docs).collect()]
+    assert training_places(mix_sources(no_docs(spark))).count() == 0
+
+
 def test_equal_rows_share_the_positions_of_their_key(spark):
     rows = [(k // 4, "a b c", "s", k % 4) for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")

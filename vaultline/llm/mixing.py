@@ -173,6 +173,27 @@ def _key(doc_id: str, source: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.col(source), F.xxhash64(F.col(text)))
 
 
+def training_places(mixed: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """``mixed`` (of ``mix_sources``) with ``places``: the number, from 0, of
+    every copy in the training order, ascending as ``positions``.
+
+    All copies are range-sorted by position (ties: id, source, key); a copy's
+    number is its place in its sorted range plus the rows of the ranges before,
+    so only one row a range is summed up as a whole."""
+    ensure_checkpoint_dir(mixed.sparkSession)
+    rows = mixed.withColumn("__row", F.monotonically_increasing_id()).checkpoint()  # the row numbers must not change
+    copies = rows.select("__row", doc_id, source, "key", F.explode("positions").alias("__position"))
+    ordered = copies.orderBy("__position", doc_id, source, "key", "__row").select("__row", F.monotonically_increasing_id().alias("__at"))
+    ordered = ordered.checkpoint()  # an id tells the range (above 33 bits) and the place in it
+    ordered = ordered.select("__row", F.shiftright("__at", 33).alias("__range"), F.col("__at").bitwiseAND((1 << 33) - 1).alias("__at"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    base = ordered.groupBy("__range").agg(F.count("*").alias("__n"))
+    base = base.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    places = ordered.join(F.broadcast(base), "__range").groupBy("__row").agg(F.sort_array(F.collect_list(F.col("__base") + F.col("__at"))).alias("places"))
+    out = rows.join(places, "__row", "left")
+    return out.select(*mixed.columns, F.coalesce("places", F.array().cast("array<long>")).alias("places"))
+
+
 def training_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **mix) -> DataFrame:
     """The mix itself: the rows of ``docs``, one for every copy taken,
     range-sorted by training position (ties by id).

@@ -9,7 +9,7 @@ from vaultline.llm import pii
 from vaultline.llm.common import fold_bucket
 from vaultline.llm.lines import dedup_lines, kept_digest
 from vaultline.llm.merkle import fold, manifest, proof_text
-from vaultline.llm.mixing import mix_sources
+from vaultline.llm.mixing import mix_sources, training_places
 from vaultline.llm.neardup import embedding_components
 from vaultline.llm.oracle import ORACLE
 from vaultline.llm.packing import pack_documents, tokenizer_json
@@ -44,7 +44,8 @@ def op5_toxicity_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions")
+    mixed = training_places(mix_sources(docs))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "positions", "places")
 
 
 def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
