@@ -1,8 +1,10 @@
 """Ingest keeps every column and row, binds by name, and shows what it could not read."""
 
+import json
 import os
 
 import pytest
+from pyspark.sql.types import StructType
 
 from vaultline.plans import jobs
 from vaultline.session import scratch_path
@@ -150,3 +152,22 @@ def test_rows_name_their_file_and_rejected_ones_have_a_table(spark):
         else:
             assert bad == [("a", False), ("b", True)] and good.count() == 9
         assert not {"_source_file", "_source_block"} & set(good.columns)
+
+
+def test_documents_are_read_once_from_the_file(spark, tmp_path):
+    """Numbers that a declared text column takes keep their text, and the
+    parser does not open the file again for each of them."""
+    rows = ",\n  ".join(f'{{"id": {k}.50, "ref": {k}e2, "n": {k}, "more": [{k}, "é"]}}' for k in range(1500))
+    (tmp_path / "good.json").write_text(f"[\n  {rows}\n]\n", encoding="utf-8")
+    (tmp_path / "bom.json").write_text('\ufeff{\n "id": "a",\n "ref": -0\n}', encoding="utf-8")
+    (tmp_path / "bad.json").write_text('[\n {"id": 7.0, "n": "x"},\n {"id": 8', encoding="utf-8")
+    (tmp_path / "wrong.json").write_text('[\n {"id": 7.0, "n": "x"},\n {"id": 8.10}\n]', encoding="utf-8")
+    schema = StructType.fromDDL("id string, ref string, n int")
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    docs = read_json(spark, str(tmp_path), schema, provenance=True)
+    before = read()
+    got = docs.collect()
+    assert read() - before < 3 * sum(f.stat().st_size for f in tmp_path.iterdir())
+    assert ("3.50", "3e2", 3) in [(r["id"], r["ref"], r["n"]) for r in got] and ("a", "-0", None) in [(r["id"], r["ref"], r["n"]) for r in got]
+    key = lambda r: json.dumps(r.asDict(recursive=True), sort_keys=True)
+    assert sorted(map(key, got)) == sorted(map(key, read_json(spark, str(tmp_path), schema, multiline=True, provenance=True).collect()))

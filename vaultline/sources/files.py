@@ -86,6 +86,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
 #: how indented arrays close a record and open the next one, by the lines that
 #: stand at the left edge: the brackets alone with records indented, or both on one line
 _ALONE, _JOINED = ("[", "]"), ("[ {", "}, {", "} ]")
+_BOM, _SPACE = "\ufeff", " \t\n\x0b\f\r"
+#: stands in no document (JSON has no bare NUL): a reader of lines that end with it takes a file as one line
+_NEVER = "\0vaultline: no document holds this\0"
 
 
 def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[str, int, str | None]]]:
@@ -100,11 +103,12 @@ def _json_forms(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[s
     document is cut between records if its lines at the left edge are the
     array's brackets and nothing else, and those of the next indent are a
     record's braces and nothing else: a string cannot hold a line end."""
-    line = F.regexp_replace("value", r"^[\s\x{FEFF}]+|\s+$", "")
-    whole = F.when(line.rlike(r"(?s)^\{.*\}$"), F.from_json(line, "map<string,string>").isNotNull())
-    whole = whole.when(line.rlike(r"(?s)^\[.*\]$"), F.from_json(line, "array<string>").isNotNull()).otherwise(False)
-    piece = line.rlike(r"[,:\[{]$|^[\]}]")
-    indent = F.regexp_extract(F.regexp_replace("value", r"^\x{FEFF}", ""), r"^([ \t]*)", 1)
+    raw = F.when(F.startswith(F.col("value"), F.lit(_BOM)), F.expr("substring(value, 2)")).otherwise(F.col("value"))
+    line = F.rtrim(F.ltrim("value", F.lit(_SPACE + _BOM)), F.lit(_SPACE + "\u0085\u2028\u2029"))
+    whole = F.when(line.startswith("{") & line.endswith("}"), F.from_json(line, "map<string,string>").isNotNull())
+    whole = whole.when(line.startswith("[") & line.endswith("]"), F.from_json(line, "array<string>").isNotNull()).otherwise(False)
+    piece = F.substring(line, -1, 1).isin(",", ":", "[", "{") | F.substring(line, 1, 1).isin("]", "}")
+    indent = F.left(raw, F.length(raw) - F.length(F.ltrim(raw, F.lit(" \t"))))
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), line.alias("line"), whole.alias("whole"), piece.alias("piece"), indent.alias("indent")).where("line != ''")
     count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
     at_edge = lambda values: count((F.col("indent") == "") & F.col("line").isin(*values))
@@ -174,11 +178,15 @@ def read_json(
     A document of more than ``split_over`` bytes (by default the size of one
     scan task) that is an indented array is read by many tasks: cut between
     records, which are written as lines to the shared scratch folder first; a
-    bad record then costs itself only.  Other documents are one task each.
+    bad record then costs itself only.  Other documents are one task each; up to
+    that size a document is parsed from memory, as one long line: Spark's
+    multi-line parser opens the file again for each number that a declared text
+    column takes.
     ``provenance`` adds FILE and BLOCK (no block for records of a cut document).
     ``undeclared=False`` reads the declared columns alone, without the pass over
     the files that looks for others."""
     parts: list[tuple[bool, str | list[str], dict]] = [(bool(multiline), path, {})]
+    in_memory = False
     if multiline is None:
         lines, found = _json_forms(spark, path)
         inside = path.rstrip("/") + "/"
@@ -192,6 +200,8 @@ def read_json(
                 cut.setdefault(between, []).append(f)
         gone = {f for files in cut.values() for f in files}
         documents = [f for f, *_ in found if f not in gone]
+        most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        in_memory = all(size <= most for f, size, _ in found if f not in gone)
         parts = [(bool(documents), path, {})]
         if cut:
             folders = [scratch_path(spark, "json-records") for _ in cut]
@@ -214,7 +224,8 @@ def read_json(
                 known = further.setdefault(f.name, f)
                 further[f.name] = f if known.dataType == f.dataType else StructField(f.name, StringType())
     full = StructType([*declared, *further.values(), *([StructField(FILE, StringType())] if provenance else []), StructField(CORRUPT, StringType())])
-    read = [reader(many, more).schema(full).json(files) for many, files, more in parts]
+    options_of = lambda many, more: (False, {**more, "lineSep": _NEVER}) if many and in_memory else (many, more)
+    read = [reader(*options_of(many, more)).schema(full).json(files) for many, files, more in parts]
     return reduce(DataFrame.unionByName, (_with_source(df) if provenance else df for df in read))
 
 
