@@ -1,7 +1,8 @@
 import random
 
 from tests.llm.cases import edge_docs, edge_rows, no_docs
-from vaultline.llm.units import dedup_units, digest, units, without
+from vaultline.llm.queries import op7_dedup_lines
+from vaultline.llm.units import LEAST_UNIT, dedup_units, digest, in_runs, units, without
 
 
 def brute(rows, unit, least):
@@ -90,3 +91,42 @@ def test_repeated_rows_and_edges(spark):
     assert dedup_units(no_docs(spark)).count() == 0
     twin = spark.createDataFrame([(1, "one two three four five", 3)] * 3, "doc_id long, text string, removed int")
     assert sorted(r["text"] for r in dedup_units(twin).collect()) == ["", "", "one two three four five"]
+
+
+def brute_runs(rows, least, run):
+    """As ``brute``, by runs of clauses; ids differ."""
+    seen, out = {}, {}
+    for doc, text in sorted(rows):
+        cut = [(a, b, digest(text[a:b], LEAST_UNIT)) for a, b in units(text, "clause")]
+        gone = [{"start": a, "end": b, "kept_id": seen.get(d, doc)} for k, (a, b, d) in enumerate(cut) if d and (d in seen or d in [c[2] for c in cut[:k]])]
+        own = [s["kept_id"] == doc for s in gone]
+        for _, _, d in cut:
+            seen.setdefault(d, doc)
+        left = in_runs(text, gone, own, "clause", least, run)
+        out[doc] = (without(text, [(s["start"], s["end"]) for s in left], "clause"), [(s["start"], s["end"], s["kept_id"]) for s in left])
+    return out
+
+
+def test_runs_match_brute_force(spark):
+    rng = random.Random(7)
+    said = [" ".join(f"w{rng.randrange(90)}" for _ in range(rng.randrange(1, 25))) + rng.choice([".", ",", "", "?!"]) for _ in range(60)]
+    rows = [(k, "".join(rng.choice(said) + rng.choice([" ", "\n", "  "]) for _ in range(rng.randrange(9)))) for k in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["text"], [tuple(s) for s in r["removed"]]) for r in dedup_units(df, unit="clause", least_words=8, least_run=20).collect()}
+    assert got == brute_runs(rows, 8, 20) and any(v[1] for v in got.values())
+
+
+def test_query_finds_passages_that_begin_anywhere(spark, tmp_path):
+    """Passages of over 50 words in short sentences or clauses, or from the
+    midst of one, go; a single sentence that two documents share stays."""
+    rng = random.Random(3)
+    some = lambda n, end="": " ".join(f"x{rng.randrange(5000)}" for _ in range(n)) + end
+    short, long, alone, mine = " ".join(some(6, ".") for _ in range(10)), some(4) + " " + " ".join(some(9, ",") for _ in range(6)) + " " + some(4), some(17, "."), some(17, ".")
+    rows = [(1, f"{some(30)}. {short} {some(30)}"), (2, f"{some(9)}. {short} {some(9)}"), (3, f"{some(40)} {long} {some(8)}"), (4, f"{some(25)} {long} {some(31)}")]
+    rows += [(5, f"{some(20)}. {alone} {some(20)}"), (6, f"{some(11)}. {alone} {some(20)}"), (7, f"{short}\n{short}"), (8, None), (8, ""), (9, f"{mine} {mine}")] + [(10, short)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op7_dedup_lines(spark, str(tmp_path)).collect()
+    n = {r["doc_id"]: r["n_removed"] for r in got}
+    assert len(got) == 12 and all(n[k] for k in (2, 4, 7, 9, 10)) and not any(n[k] for k in (1, 3, 5, 6, 8))
+    text = {r["doc_id"]: r["text"] for r in got}
+    assert text[7] == text[10] == "" and text[2] == rows[1][1].replace(short + " ", "")
