@@ -237,6 +237,19 @@ def _emptied_days(existing: DataFrame, days: Sequence[object], gone_ids: DataFra
     return [d for d in days if d not in stay]
 
 
+def _places_near(anchors: DataFrame, window_s: int) -> DataFrame:
+    """(account_id, txn_date, _again): the days that windows of ``window_s``
+    seconds starting at the anchors reach (``_again``), and the days before
+    them that windows ending there reach back to; one row a place."""
+    at = F.col("txn_timestamp")
+    reached = (F.col("txn_date"), F.to_date(at + F.expr(f"INTERVAL {window_s} SECONDS")))
+    back = range(-(-window_s // 86400) + 1)
+    days = [F.struct(F.date_sub(d, b).alias("day"), F.lit(b == 0).alias("again")) for d in reached for b in back]
+    rows = anchors.where("account_id is not null and txn_timestamp is not null")
+    rows = rows.select("account_id", F.explode(F.array_distinct(F.array(*days))).alias("_d"))
+    return rows.groupBy("account_id", F.col("_d.day").alias("txn_date")).agg(F.max("_d.again").alias("_again"))
+
+
 def append_silver_transactions(
     spark: SparkSession,
     bronze_batch: DataFrame,
@@ -282,10 +295,12 @@ def append_silver_transactions(
         tables.upsert_partitions(silver, path, "txn_date", None)
         return quality.quality_row(raw_obs, out_obs)
 
-    prepared = scd.dedupe(prepared, ["transaction_id"], ["txn_timestamp"]).checkpoint()
+    # every column breaks ties between rows of an id; those that silver lacks go no further
+    prepared = scd.dedupe(prepared, ["transaction_id"], ["txn_timestamp"])
+    prepared = prepared.select(*[c for c in prepared.columns if c.lower() in tx.SILVER_COLUMNS]).checkpoint()
     accounts = accounts.join(prepared.select("account_id").distinct(), "account_id", "left_semi")
     if not tables.has_data(spark, path):
-        idindex.add(spark, path, prepared, "transaction_id", "txn_date")
+        idindex.add(spark, path, prepared, "transaction_id", "txn_date", unique=True)
         silver = tx.enrich_transactions(tx.rapid_flag(prepared, cfg), accounts, customers_current, location_map)
         silver, out_obs = quality.observe_silver(silver)
         tables.write_partitioned(silver, path, "txn_date", sort_by=["account_id"], verify=True)
@@ -296,34 +311,27 @@ def append_silver_transactions(
     ids = prepared.select("transaction_id")
     place = ["account_id", "txn_timestamp", "txn_date"]
     old_days = idindex.days_of(spark, path, ids, "transaction_id", "txn_date")
-    idindex.add(spark, path, prepared, "transaction_id", "txn_date")
+    idindex.add(spark, path, prepared, "transaction_id", "txn_date", unique=True)
     gone = existing.where(_day_filter(old_days)).select("transaction_id", *place).join(ids, "transaction_id", "left_semi").checkpoint()
-    anchors = prepared.select(*place).unionByName(gone.select(*place)).where("account_id is not null and txn_timestamp is not null")
-    w = F.expr(f"INTERVAL {int(cfg.rapid_window_s)} SECONDS")
-    after = F.explode(F.array(F.col("txn_date"), F.to_date(F.col("txn_timestamp") + w)))
-    recounted = anchors.select("account_id", after.alias("txn_date")).distinct()
-    back = -(-int(cfg.rapid_window_s) // 86400)
-    before = F.explode(F.sequence(F.lit(0), F.lit(back)))
-    context = recounted.select("account_id", F.col("txn_date").alias("_day"), before.alias("_b"))
-    context = context.select("account_id", F.date_sub("_day", F.col("_b")).alias("txn_date")).distinct()
     near = (
         existing.select("transaction_id", *place, F.col("rapid_txn_flag").alias("_was"))
-        .join(context, ["account_id", "txn_date"], "left_semi")
+        .join(_places_near(prepared.select(*place).unionByName(gone.select(*place)), int(cfg.rapid_window_s)), ["account_id", "txn_date"])
         .join(ids, "transaction_id", "left_anti")
-        .join(recounted.withColumn("_again", F.lit(True)), ["account_id", "txn_date"], "left")
+        .checkpoint()  # the windows read it twice
     )
-    counted = tx.rapid_flag_with_context(prepared, near, cfg, keep_context=True).checkpoint()
-    changed = counted.where(F.col("_ctx") & F.col("_again") & (F.col("rapid_txn_flag") != F.col("_was")))
-    changed = changed.select("transaction_id", "txn_date", F.col("rapid_txn_flag").alias("_flag"))
+    # windows are counted on ids and places alone; of the result the batch's flags and the changed ones are kept
+    flags = tx.rapid_flag_with_context(prepared.select("transaction_id", *place), near, cfg, keep_context=True)
+    flags = flags.where(~F.col("_ctx") | (F.col("_again") & (F.col("rapid_txn_flag") != F.col("_was"))))
+    flags = flags.select("transaction_id", "txn_date", "_ctx", "rapid_txn_flag").checkpoint()
+    changed = flags.where(F.col("_ctx")).select("transaction_id", "txn_date", F.col("rapid_txn_flag").alias("_flag"))
     own = prepared.select("txn_date", F.lit(True).alias("_own"))
     others = gone.select("txn_date").unionByName(changed.select("txn_date")).withColumn("_own", F.lit(False))
     touched = own.unionByName(others).groupBy("txn_date").agg(F.max("_own").alias("_own")).collect()  # one row for each day that changes
     days = [r["txn_date"] for r in touched]
     emptied = _emptied_days(existing, [r["txn_date"] for r in touched if not r["_own"]], ids)
 
-    new_rows = tx.enrich_transactions(
-        counted.where(~F.col("_ctx")).drop("_ctx", "_was", "_again"), accounts, customers_current, location_map
-    )
+    flagged = prepared.join(flags.where(~F.col("_ctx")).select("transaction_id", "rapid_txn_flag"), "transaction_id", "left")
+    new_rows = tx.enrich_transactions(flagged, accounts, customers_current, location_map)
     new_rows, out_obs = quality.observe_silver(new_rows)
     # the days as they will be: rows not replaced by the batch, with their new
     # flags, plus the batch; silver has one row an id, so the join adds none

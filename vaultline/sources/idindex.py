@@ -40,8 +40,9 @@ def _bucket(key: str, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
-def _entries(df: DataFrame, key: str, day: str, n: int) -> DataFrame:
-    rows = df.select(F.col(key).alias("id"), F.col(day).alias("day")).where("id is not null").distinct()
+def _entries(df: DataFrame, key: str, day: str, n: int, unique: bool = False) -> DataFrame:
+    rows = df.select(F.col(key).alias("id"), F.col(day).alias("day")).where("id is not null")
+    rows = rows if unique else rows.distinct()
     return rows.withColumn("bucket", _bucket("id", n))
 
 
@@ -54,15 +55,16 @@ def rebuild(spark: SparkSession, path: str, key: str, day: str, buckets: int = B
     return folder
 
 
-def add(spark: SparkSession, path: str, batch: DataFrame, key: str, day: str, buckets: int = BUCKETS) -> None:
+def add(spark: SparkSession, path: str, batch: DataFrame, key: str, day: str, buckets: int = BUCKETS, unique: bool = False) -> None:
     """Append a batch's ids and days; call it before the table is written.  A
-    table without an index gets one of all its rows first."""
+    table without an index gets one of all its rows first.  ``unique``: the
+    batch has one row an id, so its entries need no de-duplication."""
     folder = index_path(spark, path)
     if folder is None and tables.has_data(spark, path):
         folder = rebuild(spark, path, key, day, buckets)
     if folder is None:
         folder = f"{_base(path)}/{1:06d}-of-{buckets}"
-    rows = _entries(batch, key, day, _buckets(folder))
+    rows = _entries(batch, key, day, _buckets(folder), unique)
     tables.clustered_by(rows, "bucket").sortWithinPartitions("bucket", "id").write.mode("append").partitionBy("bucket").parquet(folder)
 
 
